@@ -95,3 +95,17 @@ def bloom_probe(df: DataFrame, key: str, filter_: DataFrame, blocks: int, hashes
 
 def _byte(bitmap: str, bit: Column) -> Column:
     return F.conv(F.hex(F.substring(F.col(bitmap), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+
+
+#: A group with at least this share of all rows is hot. There can be no more such groups than its inverse.
+HOT_SHARE = 1 / 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """rows joined with groups, one row a key, on key. Groups with HOT_SHARE of total or more, of which there can be but
+    1 / HOT_SHARE, are broadcast, so that no task gets all rows of one; the others are shuffled. Read twice: pass written tables."""
+    hot = groups.where(F.col(size) >= max(2.0, total * HOT_SHARE))
+    cool = groups.where(F.col(size) < max(2.0, total * HOT_SHARE))
+    apart = rows.join(F.broadcast(hot), key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return apart.unionByName(rest.join(cool, key))

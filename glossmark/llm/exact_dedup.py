@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from glossmark.llm.common import bloom_blocks, bloom_filter, bloom_probe, fresh, without, written
+from glossmark.llm.common import bloom_blocks, bloom_filter, bloom_probe, fresh, join_groups, without, written
 
 OUTPUTS = ("keep_id", "group_size", "kept", "text_sha256")
 BITS_PER_ROW, HASHES = 16, 2
@@ -23,24 +23,25 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", digest: str = "text_sha
 
     Pass one counts the rows that set each slot of a blocked Bloom filter and keeps the slots set more than once. Pass two
     probes it with every row: a row with an unset slot is alone and passes straight through; only the others are shuffled,
-    where an exact group-by on the digest settles them. False positives cost a shuffle of their row, never a wrong result.
+    where an exact group-by on the digest settles them; groups that hold a large share of the rows are joined by broadcast. False positives cost a shuffle of their row, never a wrong result.
 
     Adds keep_id (smallest non-null id of the group; null if all are null), group_size and kept. Rows that repeat an id and a
     digest are copies like any other: exactly one of them is kept, chosen by a hash of its columns. Input columns named
     like the added ones are replaced. An empty table gives an empty table.
     """
     docs = docs.select(*without(docs, {"keep_id", "group_size", "kept"}))
-    blocks = bloom_blocks(docs.count(), bits_per_row)
+    total = docs.count()
+    blocks = bloom_blocks(total, bits_per_row)
     repeated = written(bloom_filter(docs.select(digest), digest, blocks, HASHES, at_least=2), "repeated-slots")
     flag = fresh(docs, "may_repeat")
     probed = bloom_probe(docs, digest, repeated, blocks, HASHES, flag)
     alone = probed.where(~F.col(flag)).select(*docs.columns, F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
-    flagged = probed.where(F.col(flag)).select(*docs.columns)
+    flagged = written(probed.where(F.col(flag)).select(*docs.columns), "may-repeat")
     groups = flagged.groupBy(digest).agg(F.min(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     nth = fresh(docs, "nth")
     hashable = [F.col(c) for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
     ranked = flagged.withColumn(nth, F.row_number().over(W.partitionBy(digest, id_col).orderBy(F.xxhash64(*hashable))))
-    settled = ranked.join(groups, digest).withColumn("kept", F.col(id_col).eqNullSafe(F.col("keep_id")) & (F.col(nth) == 1))
+    settled = join_groups(ranked, groups, digest, "group_size", total).withColumn("kept", F.col(id_col).eqNullSafe(F.col("keep_id")) & (F.col(nth) == 1))
     return alone.unionByName(settled.select(*docs.columns, "keep_id", "group_size", "kept"))
 
 
