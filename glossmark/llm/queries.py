@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossmark.llm import exact_dedup
+from glossmark.llm import bpe_codec, exact_dedup, packing, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,8 +31,27 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe_codec.encode_and_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_exact_dedup": op1_exact_dedup}
+    return {
+        "op1_exact_dedup": op1_exact_dedup,
+        "op5_bpe_codec": op5_bpe_codec,
+        "op8_token_counts": op8_token_counts,
+        "op9_best_fit_packing": op9_best_fit_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
