@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossmark.llm import bpe_codec, exact_dedup, packing, token_counts
+from glossmark.llm import bpe_codec, exact_dedup, langid, packing, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,12 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.identify(docs, langid.fit(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "mixture")
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe_codec.encode_and_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -48,6 +54,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_language_id": op2_language_id,
         "op5_bpe_codec": op5_bpe_codec,
         "op8_token_counts": op8_token_counts,
         "op9_best_fit_packing": op9_best_fit_packing,
