@@ -16,8 +16,8 @@ from array import array
 import regex
 from tokenizers import Tokenizer
 
-#: Chunks and pre-tokens kept by a worker process; once full, new ones are encoded each time they come.
-CACHE_ENTRIES = 300_000
+#: Chunks, and pre-tokens, kept by a worker process, at about 200 bytes each; once full, new ones are encoded each time they come.
+CACHE_ENTRIES = 120_000
 
 # fixed values: the pre-tokenizers' patterns as the tokenizer files and the byte-level scheme define them
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -103,7 +103,7 @@ class Encoder:
     @functools.cached_property
     def counts(self) -> Memo:
         """By byte-level chunk without its leading space: its number of tokens."""
-        return Memo(lambda rest: len(self._chunk(" " + rest)) // 4, 2 * CACHE_ENTRIES)
+        return Memo(lambda rest: len(self._chunk(" " + rest)) // 4)
 
     def count(self, text: str) -> int:
         if self.lowers or _before_space(text):

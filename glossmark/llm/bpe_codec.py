@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossmark.llm import bpe, long_texts
+from glossmark.llm.common import slices
 
 
 def encode_and_decode(docs: DataFrame, file: str, id_col: str = "doc_id", text_col: str = "text", part_chars: int = long_texts.PART_CHARS) -> DataFrame:
@@ -25,10 +26,9 @@ def encode_and_decode(docs: DataFrame, file: str, id_col: str = "doc_id", text_c
 
     def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = bpe.encoder(file)
-        for batch in batches:
-            for some in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                ids = [coder.encode(t) for t in some.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([some.column("id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array([coder.decode(x) for x in ids], pa.string())], names=["id", "n_tokens", "ids", "decoded"])
+        for some in slices(batches):
+            ids = [coder.encode(t) for t in some.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([some.column("id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array([coder.decode(x) for x in ids], pa.string())], names=["id", "n_tokens", "ids", "decoded"])
 
     def put(pieces: list) -> list[tuple]:
         coder = bpe.encoder(file)

@@ -5,8 +5,9 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,3 +110,10 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     apart = rows.join(F.broadcast(hot), key)
     rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
     return apart.unionByName(rest.join(cool, key))
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from glossmark.llm import bpe
-from glossmark.llm.common import written
+from glossmark.llm.common import slices, written
 
 CAPACITY = 4096
 END_ID = 1
@@ -27,7 +27,7 @@ def token_pieces(docs: DataFrame, file: str, id_col: str = "doc_id", text_col: s
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, end = bpe.encoder(file), end_id.to_bytes(4, "little")
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for key, text in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
                 ids = coder.encode(text or "") + end

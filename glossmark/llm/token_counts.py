@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossmark.llm import bpe, long_texts
+from glossmark.llm.common import slices
 
 OVERLAP_CHARS = 256
 
@@ -26,7 +27,7 @@ def token_counts(docs: DataFrame, file: str, id_col: str = "doc_id", text_col: s
 
     def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = bpe.encoder(file).count
-        for batch in batches:
+        for batch in slices(batches):
             found = pa.array([count(t) for t in batch.column("text").to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), found], names=["id", "n_bytes", "n_tokens"])
 
