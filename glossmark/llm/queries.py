@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossmark.llm import bpe_codec, exact_dedup, langid, packing, token_counts
+from glossmark.llm import bpe_codec, dart_minhash, exact_dedup, langid, packing, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,10 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
@@ -56,6 +60,7 @@ def queries() -> dict[str, Query]:
         "op1_exact_dedup": op1_exact_dedup,
         "op2_language_id": op2_language_id,
         "op5_bpe_codec": op5_bpe_codec,
+        "op6_near_duplicates": op6_near_duplicates,
         "op8_token_counts": op8_token_counts,
         "op9_best_fit_packing": op9_best_fit_packing,
     }
