@@ -13,6 +13,7 @@ import re
 import unicodedata
 from array import array
 
+import numpy as np
 import regex
 from tokenizers import Tokenizer
 
@@ -134,7 +135,7 @@ def _before_space(text: str) -> bool:
 class TreeJoin:
     """Encoding by tree concatenation: halves first, then windows around the join, which grow until both sides agree.
 
-    A piece is (text, ids, starts, ends) in characters. The ids of left + right are those of left up to a place p, those of a
+    A piece is (text, ids, starts, ends): arrays, in characters, in order. The ids of left + right are those of left up to a place p, those of a
     window around the join from p to q, and those of right from q. That is exact in two cases.
 
     1. p and q are hard boundaries: white space that the pre-tokenizer's pattern cannot join to what stands before it.
@@ -157,19 +158,18 @@ class TreeJoin:
 
     def leaf(self, text: str):
         found = self.encoder.by_library(text)
-        return text, list(found.ids), [a for a, _ in found.offsets], [b for _, b in found.offsets]
+        places = np.array(found.offsets, np.uint32).reshape(-1, 2)
+        return text, np.array(found.ids, np.uint32), places[:, 0], places[:, 1]
 
     def pieces(self, text: str) -> list[str]:
-        """Halves of halves, down to leaves; never between a base character and its marks."""
+        """Halves of halves, down to leaves."""
         if len(text) <= self.LEAF_CHARS:
             return [text]
         cut = len(text) // 2
-        while cut < len(text) and unicodedata.combining(text[cut]):
-            cut += 1
-        return [*self.pieces(text[:cut]), *self.pieces(text[cut:])] if 0 < cut < len(text) else [text]
+        return [*self.pieces(text[:cut]), *self.pieces(text[cut:])]
 
     def encode(self, text: str) -> bytes:
-        return array("I", self.joined([self.leaf(x) for x in self.pieces(text)])[1]).tobytes()
+        return self.joined([self.leaf(x) for x in self.pieces(text)])[1].tobytes()
 
     def joined(self, parts: list):
         while len(parts) > 1:
@@ -179,15 +179,14 @@ class TreeJoin:
     def join(self, left, right):
         if not left[0] or not right[0]:
             return right if not left[0] else left
-        width = self.WINDOW_CHARS
+        n, width = len(left[0]), self.WINDOW_CHARS
         while True:
-            a, b = max(0, len(left[0]) - width), min(len(right[0]), width)
-            whole = a == 0 and b == len(right[0])
-            if whole:
+            a, b = max(0, n - width), min(len(right[0]), width)
+            if a == 0 and b == len(right[0]):
                 return self.leaf(left[0] + right[0])
             p, q = self._hard(left[0], a, last=True) if a else 0, self._hard(right[0], b, last=False) if b < len(right[0]) else b
             if p is not None and q is not None:
-                return self._put(left, right, p, q, self.leaf(left[0][p:] + right[0][:q]), p, q)
+                return self._put(left, right, p, q, self.leaf(left[0][p:] + right[0][:q]), p)
             if (found := self._agreed(left, right, a, b)) is not None:
                 return found
             width *= 2
@@ -199,37 +198,32 @@ class TreeJoin:
             return None
         return edge - 1 + places[-1] if last else places[0]
 
+    def _one_run(self, text: str) -> bool:
+        return bool(self.one_run.fullmatch(text)) and unicodedata.is_normalized("NFC", text) and len(text.lower()) == len(text)
+
     def _agreed(self, left, right, a: int, b: int):
         """Case 2 of the class: p and q at agreed tokens, or None."""
-        starts = [s for s in left[2] if s >= a]
-        stops = [e for e in right[3] if e <= b]
-        if not starts or not stops:
-            return None
-        a, b = starts[0], stops[-1]
-        window = left[0][a:] + right[0][:b]
-        around = left[0][max(0, a - self.CONTEXT_CHARS) :] + right[0][: b + self.CONTEXT_CHARS]
-        if not self.one_run.fullmatch(around) or not unicodedata.is_normalized("NFC", window) or len(window.lower()) != len(window):
+        n = len(left[0])
+        first, stop = np.searchsorted(left[2], a), np.searchsorted(right[3], b, side="right")
+        if first == len(left[2]) or stop == 0:
             return None
-        middle = self.leaf(window)
-        at = len(left[0]) - a
-        mine = {(s + a, e + a, i) for i, s, e in zip(*middle[1:], strict=True)}
-        p = next((e for i, s, e in zip(*left[1:], strict=True) if s >= a and e < len(left[0]) and (s, e, i) in mine), None)
-        theirs = {(s - at, e - at, i) for i, s, e in list(zip(*middle[1:], strict=True))[:-1]}
-        q = next((s for i, s, e in reversed(list(zip(*right[1:], strict=True))[:-1]) if 0 < s and e < b and (s, e, i) in theirs), None)
-        if p is None or q is None:
+        a, b = int(left[2][first]), int(right[3][stop - 1])
+        if not self._one_run(left[0][max(0, a - self.CONTEXT_CHARS) :] + right[0][: b + self.CONTEXT_CHARS]):
             return None
-        return self._put(left, right, p, q, middle, a, b, at)
-
-    def _put(self, left, right, p: int, q: int, middle, a: int, b: int, at: int | None = None):
-        at = len(left[0]) - a if at is None else at
+        middle = self.leaf(left[0][a:] + right[0][:b])
+        mine = {(i, s + a, e + a) for i, s, e in _rows(middle)}
+        theirs = {(i, s + a - n, e + a - n) for i, s, e in _rows(middle)[:-1]}
+        p = next((x[2] for x in _rows(left, first) if x[2] < n and x in mine), None)
+        q = next((x[1] for x in reversed(_rows(right, 0, stop)) if 0 < x[1] and x[2] < b and x in theirs), None)
+        return None if p is None or q is None else self._put(left, right, p, q, middle, a)
+
+    def _put(self, left, right, p: int, q: int, middle, a: int):
+        """left up to p, from there to q in right what middle has, whose text starts at a in left; the rest of right."""
         n = len(left[0])
-        head = [x for x in zip(*left[1:], strict=True) if x[2] <= p and x[1] < p]
-        body = [(i, s + a, e + a) for i, s, e in zip(*middle[1:], strict=True) if s + a >= p and e + a <= n + q]
-        tail = [(i, s + n, e + n) for i, s, e in zip(*right[1:], strict=True) if s >= q]
-        rows = [*head, *body, *tail]
-        ids, starts, ends = (list(x) for x in zip(*rows, strict=True)) if rows else ([], [], [])
-        return left[0] + right[0], ids, starts, ends
-
+        head = slice(0, np.searchsorted(left[2], p))
+        body = slice(np.searchsorted(middle[2], p - a), np.searchsorted(middle[3], n + q - a, side="right"))
+        tail = slice(np.searchsorted(right[2], q), None)
+        return left[0] + right[0], *(np.concatenate([x[head], y[body] + np.uint32(k and a), z[tail] + np.uint32(k and n)]) for k, x, y, z in zip((0, 1, 1), left[1:], middle[1:], right[1:], strict=True))
 
     def spliced(self, left, right, overlap: int):
         """The two as one, where the last overlap characters of left are the first of right: up to a common boundary from left, on
@@ -238,19 +232,21 @@ class TreeJoin:
         n = len(left[0]) - overlap
         if overlap and (p := self._hard(left[0], max(n, 1), last=True)) is not None:
             return self._cut(left, right, p, n)
-        around = left[0][max(0, n - self.CONTEXT_CHARS) :] + right[0][overlap : overlap + self.CONTEXT_CHARS]
-        if overlap and self.one_run.fullmatch(around) and unicodedata.is_normalized("NFC", around) and len(around.lower()) == len(around):
-            mine = {x for x in zip(*left[1:], strict=True) if x[1] >= n and x[2] < len(left[0])}
-            agreed = [e for i, s, e in zip(*right[1:], strict=True) if (i, s + n, e + n) in mine]
+        if overlap and self._one_run(left[0][max(0, n - self.CONTEXT_CHARS) :] + right[0][overlap : overlap + self.CONTEXT_CHARS]):
+            mine = {x for x in _rows(left, np.searchsorted(left[2], n)) if x[2] < len(left[0])}
+            agreed = [e for i, s, e in _rows(right, 0, np.searchsorted(right[2], overlap)) if (i, s + n, e + n) in mine]
             if agreed:
                 return self._cut(left, right, agreed[0] + n, n)
         rest = right[0][overlap:]
         return self.join(left, self.leaf(rest)) if rest else left
 
     def _cut(self, left, right, p: int, n: int):
-        rows = [x for x in zip(*left[1:], strict=True) if x[1] < p] + [(i, s + n, e + n) for i, s, e in zip(*right[1:], strict=True) if s + n >= p]
-        ids, starts, ends = (list(x) for x in zip(*rows, strict=True)) if rows else ([], [], [])
-        return left[0] + right[0][len(left[0]) - n :], ids, starts, ends
+        head, tail = slice(0, np.searchsorted(left[2], p)), slice(np.searchsorted(right[2], p - n), None)
+        return left[0] + right[0][len(left[0]) - n :], *(np.concatenate([x[head], y[tail] + np.uint32(k and n)]) for k, x, y in zip((0, 1, 1), left[1:], right[1:], strict=True))
+
+
+def _rows(piece, start: int = 0, stop: int | None = None) -> list[tuple[int, int, int]]:
+    return list(zip(*(x[start:stop].tolist() for x in piece[1:]), strict=True))
 
 
 @functools.cache

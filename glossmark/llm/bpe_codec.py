@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,7 +32,7 @@ def encode_and_decode(docs: DataFrame, file: str, id_col: str = "doc_id", text_c
     def put(pieces: list) -> list[tuple]:
         coder = bpe.encoder(file)
         ids = bpe.TreeJoin(coder).joined(pieces)[1]
-        packed = array("I", ids).tobytes()
+        packed = ids.tobytes()
         return [(len(ids), packed, coder.decode(packed))]
 
     id_type = docs.schema["id"].dataType.simpleString()

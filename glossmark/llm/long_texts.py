@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossmark.llm import bpe
+from glossmark.llm.common import slices
 
 #: Texts of more characters are encoded in parts of as many.
-PART_CHARS = 32768
+PART_CHARS = 65536
 
 
 def parts_of(docs: DataFrame, part_chars: int, overlap: int) -> DataFrame:
@@ -30,9 +31,9 @@ def encoded(parts: DataFrame, file: str) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leaf = bpe.TreeJoin(bpe.encoder(file)).leaf
-        for batch in batches:
-            found = [leaf(t) for t in batch.column("text").to_pylist()]
-            packed = [pa.array([array("I", x[k]).tobytes() for x in found], pa.binary()) for k in (1, 2, 3)]
+        for batch in slices(batches, 16):
+            found = [[x.tobytes() for x in leaf(t)[1:]] for t in batch.column("text").to_pylist()]
+            packed = [pa.array([x[k] for x in found], pa.binary()) for k in range(3)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "text_hash", "part", "text")), *packed], names=["id", "text_hash", "part", "text", "ids", "starts", "ends"])
 
     schema = f"id {id_type}, text_hash long, part int, text string, ids binary, starts binary, ends binary"
@@ -52,7 +53,7 @@ def assembled(parts: DataFrame, put: Callable[[list], list[tuple]], columns: str
         numbers = table.column("part").to_pylist()
         copies = numbers.count(0)
         cols = [table.column(c).to_pylist() for c in ("text", "ids", "starts", "ends")]
-        pieces = [(t, *(list(memoryview(x).cast("I")) for x in places)) for t, *places in list(zip(*cols, strict=True))[::copies]]
+        pieces = [(t, *(np.frombuffer(x, np.uint32) for x in places)) for t, *places in list(zip(*cols, strict=True))[::copies]]
         out = [(table.column("id")[0].as_py(), *r) for r in put(pieces) for _ in range(copies)]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
 
