@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossmark.llm import bpe_codec, dart_minhash, exact_dedup, langid, packing, token_counts
+from glossmark.llm import bpe_codec, dart_minhash, exact_dedup, langid, packing, substring, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,11 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
@@ -61,6 +66,7 @@ def queries() -> dict[str, Query]:
         "op2_language_id": op2_language_id,
         "op5_bpe_codec": op5_bpe_codec,
         "op6_near_duplicates": op6_near_duplicates,
+        "op7_substring_dedup": op7_substring_dedup,
         "op8_token_counts": op8_token_counts,
         "op9_best_fit_packing": op9_best_fit_packing,
     }

@@ -10,6 +10,8 @@ import xxhash
 
 #: Characters of text that one numpy pass takes; a longer text is a pass of its own.
 PASS_CHARS = 4 << 20
+#: Texts of a pass are told apart by 16-bit numbers.
+PASS_TEXTS = 1 << 16
 MEMO_WORDS = 300_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -64,7 +66,7 @@ def passes(texts: list[str | None]) -> Iterator[range]:
     start, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t or "")
-        if size >= PASS_CHARS:
+        if size >= PASS_CHARS or i + 1 - start == PASS_TEXTS:
             yield range(start, i + 1)
             start, size = i + 1, 0
     if start < len(texts):
