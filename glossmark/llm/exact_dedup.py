@@ -18,14 +18,14 @@ def text_digest(text: Column) -> Column:
     return F.coalesce(digest, F.lit(""))  # never null: without this each join on it would compute it once more, as a filter
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", digest: str = "text_sha256", bits_per_row: int = BITS_PER_ROW) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", digest: str = "text_sha256", bits_per_row: int = BITS_PER_ROW, keep: str = "min") -> DataFrame:
     """Mark all but one of the rows whose digest column is equal.
 
     Pass one counts the rows that set each slot of a blocked Bloom filter and keeps the slots set more than once. Pass two
     probes it with every row: a row with an unset slot is alone and passes straight through; only the others are shuffled,
     where an exact group-by on the digest settles them; groups that hold a large share of the rows are joined by broadcast. False positives cost a shuffle of their row, never a wrong result.
 
-    Adds keep_id (smallest non-null id of the group; null if all are null), group_size and kept. Rows that repeat an id and a
+    Adds keep_id (smallest, or with keep="max" largest, non-null id of the group; null if all are null), group_size and kept. Rows that repeat an id and a
     digest are copies like any other: exactly one of them is kept, chosen by a hash of its columns. Input columns named
     like the added ones are replaced. An empty table gives an empty table.
     """
@@ -37,7 +37,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", digest: str = "text_sha
     probed = bloom_probe(docs, digest, repeated, blocks, HASHES, flag)
     alone = probed.where(~F.col(flag)).select(*docs.columns, F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
     flagged = written(probed.where(F.col(flag)).select(*docs.columns), "may-repeat")
-    groups = flagged.groupBy(digest).agg(F.min(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    groups = flagged.groupBy(digest).agg((F.min if keep == "min" else F.max)(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     nth = fresh(docs, "nth")
     hashable = [F.col(c) for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
     ranked = flagged.withColumn(nth, F.row_number().over(W.partitionBy(digest, id_col).orderBy(F.xxhash64(*hashable))))

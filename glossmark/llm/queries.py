@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossmark.llm import bpe_codec, dart_minhash, exact_dedup, langid, packing, substring, token_counts
+from glossmark.llm import ann, bpe_codec, dart_minhash, exact_dedup, langid, packing, page_archive, substring, token_counts, warc
+from glossmark.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +38,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "mixture")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    page_archive.archive_pages(_table(spark, sf_dir, "pages"), path)
+    return page_archive.archived_pages(warc.read_warc(spark, path, payload="false", verify="true"))
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe_codec.encode_and_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -60,15 +67,21 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(_table(spark, sf_dir, "embeddings"), lambda id_: id_ % 20 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_language_id": op2_language_id,
+        "op3_warc": op3_warc,
         "op5_bpe_codec": op5_bpe_codec,
         "op6_near_duplicates": op6_near_duplicates,
         "op7_substring_dedup": op7_substring_dedup,
         "op8_token_counts": op8_token_counts,
         "op9_best_fit_packing": op9_best_fit_packing,
+        "op10_nearest_neighbours": op10_nearest_neighbours,
     }
 
 
