@@ -15,7 +15,9 @@ from glossmark.llm.common import bloom_blocks, bloom_filter, bloom_probe, join_g
 SHINGLE_WORDS, THRESHOLD = 5, 0.8
 #: 24 bands of 5 coordinates: a pair of similarity 0.8 shares none of them with a chance of 7 in 100,000.
 BANDS, BAND_ROWS = 24, 5
-COORDINATES = BANDS * BAND_ROWS
+#: Four bits of each coordinate make a sketch. At similarity 0.8 two sketches differ in more than MAX_UNLIKE of them with a chance
+#: of 7 in 100,000 too; such pairs are not looked at.
+COORDINATES, MAX_UNLIKE = 240, 68
 #: Darts a document throws on average: enough that a coordinate stays empty in one of seven documents, which then throw on.
 DARTS = int(COORDINATES * (np.log(COORDINATES) + 2))
 #: Members of a leader that one copy of the leader's elements is joined with.
@@ -96,12 +98,16 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cut = np.r_[0, np.cumsum(size)]
             content = np.array([words.xxhash.xxh64_intdigest(element[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)], np.uint64)
             bands = np.zeros((n, BANDS), np.uint64)
-            signed = signatures(owner, element, n).reshape(n, BANDS, BAND_ROWS)
+            whole = signatures(owner, element, n)
+            signed = whole[:, : BANDS * BAND_ROWS].reshape(n, BANDS, BAND_ROWS)
+            sketch = np.zeros((n, COORDINATES // 16), np.uint64)
+            for k in range(16):
+                sketch = sketch << np.uint64(4) | whole[:, k::16] & np.uint64(15)
             for k in range(BAND_ROWS):
                 bands = bands * np.uint64(0x9E3779B97F4A7C15) + signed[:, :, k]
             bands = words.mix(bands + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB)).astype(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("id").slice(some.start, n), pa.array(content.astype(np.int64)), pa.array(size), lists], names=["id", "node", "size", "bands"])
+            lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.astype(np.int64).ravel())) for x in (bands, sketch)]
+            yield pa.RecordBatch.from_arrays([batch.column("id").slice(some.start, n), pa.array(content.astype(np.int64)), pa.array(size), *lists], names=["id", "node", "size", "bands", "sketch"])
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,8 +159,19 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return both.select("low", "high", "mine", "theirs").mapInArrow(_similar, "low long, high long")
 
 
+def _unlike(a: str, b: str):
+    """In how many of their four-bit parts two sketches differ."""
+    unlike = F.lit(0)
+    for k in range(COORDINATES // 16):
+        x = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        unlike += F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return unlike
+
+
 def _roots(parents: DataFrame) -> DataFrame:
-    """(node, root) from (node, root) where each root is a node that is smaller, or itself: pointers are jumped until none moves."""
+    """(node, root) from (node, root) that point up in some order, or to themselves: pointers are jumped until none moves."""
     while True:
         hops = written(parents, "parents")
         moving = hops.where("node <> root")
@@ -169,9 +186,10 @@ def _roots(parents: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, labels: DataFrame) -> DataFrame:
-    """(node, root): labels with the roots that links (low, high) connect as one, the smallest of them.
+    """(node, root): labels with the roots that links (low, high) connect as one.
 
     Smallest labels travel along the links between roots, and pointers are jumped after each step, until nothing changes."""
+    links = written(links, "more-links")
     labels = _roots(labels)
     while True:
         across = links.join(labels.select(F.col("node").alias("low"), F.col("root").alias("a")), "low").join(labels.select(F.col("node").alias("high"), F.col("root").alias("b")), "high")
@@ -194,35 +212,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two texts are linked if the weighted Jaccard similarity of their five-word shingles, weighted by count, is 0.8 or more;
     classes are what links connect. Equal shingle counts make one node, so copies are never paired. Nodes that share a band
-    are candidates: first each with the smallest node of its buckets, then, where a bucket still holds several classes, each
-    pair across them. Candidates are verified on their elements, as 32-bit fingerprints. Rows without words (null, empty)
+    and have like sketches are candidates. First each is held against the hubs of its buckets, the nodes that share most, and the
+    likest is verified; that settles most members of large classes. Then, where a bucket still holds several classes, each
+    pair across them is a candidate; the sketches are compared within that join, so pairs that aren't alike are never rows.
+    Candidates are verified on their elements, as 32-bit fingerprints. Rows without words (null, empty)
     are each a class of their own; rows that repeat an id or a text share the class. kept is true for the rows whose id is
     class_id; null ids count as larger than all others, and a row alone is kept in any case. An empty table gives none.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = docs.schema["id"].dataType.simpleString()
-    signed = written(docs.mapInArrow(_sign, f"id {id_type}, node long, size long, bands array<long>"), "signatures")
+    signed = written(docs.mapInArrow(_sign, f"id {id_type}, node long, size long, bands array<long>, sketch array<long>"), "signatures")
     rows = signed.where("size > 0")
-    nodes = rows.groupBy("node").agg(F.min(F.struct(F.xxhash64("id").alias("id_hash"), "bands")).alias("one"), F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
-    nodes = written(nodes.select("node", "n", "first_id", "one.id_hash", "one.bands"), "nodes")
+    nodes = rows.groupBy("node").agg(F.min(F.struct(F.xxhash64("id").alias("id_hash"), "bands", "sketch")).alias("one"), F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
+    nodes = written(nodes.select("node", "n", "first_id", "one.id_hash", "one.bands", "one.sketch"), "nodes")
+    total = nodes.count()
+    sketches = nodes.select("node", "sketch")
     members = nodes.select("node", F.explode("bands").alias("bucket"))
-    buckets = members.groupBy("bucket").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = written(buckets, "buckets")
-    shared = written(join_groups(members, buckets, "bucket", "n", nodes.count()), "shared")
-
-    stars = written(shared.where("node <> low").groupBy(F.col("node").alias("high")).agg(F.min("low").alias("low")), "stars")
+    buckets = written(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    shared = written(join_groups(members, buckets, "bucket", "n", total), "shared")
+
+    hubs = shared.join(shared.groupBy("node").agg(F.sum("n").alias("degree")), "node").groupBy("bucket").agg(F.max(F.struct("degree", "node")).alias("hub"), F.count(F.lit(1)).alias("n"))
+    hubs = written(hubs.select("bucket", F.col("hub.node").alias("low"), "n"), "hubs")
+    spokes = join_groups(shared.select("node", "bucket"), hubs, "bucket", "n", total).where("node <> low").select(F.col("node").alias("high"), "low").distinct()
+    spokes = spokes.join(sketches.toDF("high", "mine"), "high").join(sketches.toDF("low", "theirs"), "low").select("low", "high", _unlike("mine", "theirs").alias("unlike")).where(F.col("unlike") <= MAX_UNLIKE)
+    stars = written(spokes.groupBy("high").agg(F.min_by("low", F.struct("unlike", "low")).alias("low")), "stars")
     links = written(_verified(stars, nodes, docs), "links")
     labels = nodes.join(links.withColumnRenamed("high", "node"), "node", "left").select("node", F.coalesce("low", "node").alias("root"))
     labels = _roots(labels)
 
     within = written(shared.select("node", "bucket").join(labels, "node"), "within")
-    mixed = within.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("n")).where("least <> most").select("bucket", "n")
-    open_ = written(join_groups(within, written(mixed, "mixed"), "bucket", "n", nodes.count()), "open")
-    left, right = (open_.select("bucket", F.col("node").alias(a), F.col("root").alias(b)) for a, b in (("low", "a"), ("high", "b")))
-    pairs = written(left.join(right, "bucket").where("low < high and a <> b").select("low", "high").distinct().join(stars, ["low", "high"], "left_anti"), "pairs")
-    more = written(_verified(pairs, nodes, docs), "more-links")
-    labels = components(more, labels)
+    parts = within.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("classes"), F.sum("n").alias("n"))
+    open_ = join_groups(within, written(parts.where("classes > 1"), "mixed"), "bucket", "n", total)
+    open_ = written(open_.join(sketches, "node"), "open")
+    left = open_.where("root <> main").select("bucket", "main", F.col("node").alias("x"), F.col("root").alias("a"), F.col("sketch").alias("mine"))
+    right = open_.select("bucket", F.col("node").alias("y"), F.col("root").alias("b"), F.col("sketch").alias("theirs"))
+    pairs = left.join(right, "bucket").where((F.col("a") != F.col("b")) & ((F.col("b") == F.col("main")) | (F.col("x") < F.col("y"))) & (_unlike("mine", "theirs") <= MAX_UNLIKE))
+    pairs = pairs.select(F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high")).distinct()
+    tried = stars.select(F.least("low", "high").alias("low"), F.greatest("low", "high").alias("high"))
+    pairs = written(pairs.join(tried, ["low", "high"], "left_anti"), "pairs")
+    labels = components(_verified(pairs, nodes, docs), labels)
 
     named = nodes.join(labels, "node")
     classes = named.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("class_size"))
