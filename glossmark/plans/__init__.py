@@ -1 +1,3 @@
-"""See the package README for what lives here."""
+"""Queries by theme; importing this package enters them into the registry."""
+
+from glossmark.plans import market  # noqa: F401
