@@ -66,7 +66,7 @@ r0 AS (
         sql += f""",
 g{k} AS (
   SELECT *, CASE WHEN regexp_matches(e, '^[0-9]+$') THEN '{{n}}' WHEN regexp_matches(e, '^[0-9]{{4}}-[0-9]{{2}}(-[0-9]{{2}})?$') THEN '{{date}}'
-    WHEN regexp_matches(e, '^[0-9]+\.[A-Za-z]{{1,5}}$') THEN '{{n}}.' || regexp_extract(e, '\.(.*)$', 1)
+    WHEN regexp_matches(e, '^[0-9]+\\.[A-Za-z]{{1,5}}$') THEN '{{n}}.' || regexp_extract(e, '\\.(.*)$', 1)
     WHEN regexp_matches(e, '^[0-9a-fA-F-]{{16,}}$') THEN '{{hex}}' ELSE e END AS g FROM (SELECT *, s[{k + 1}] AS e FROM r{k})),
 n{k} AS (SELECT host, template, g, count(*) AS n, count(blocked) AS labelled, coalesce(sum(blocked), 0) AS bad FROM g{k} WHERE g IS NOT NULL GROUP BY ALL),
 w{k} AS (SELECT *, count(*) OVER w AS children, sum(n) OVER w AS urls, sum(labelled) FILTER (labelled >= {limits.min_labelled}) OVER w AS al,
