@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -13,11 +13,11 @@ from pyspark.sql.types import StringType
 
 @F.arrow_udf(StringType())
 def _nfkc(texts: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(texts, form="NFKC")
+    return pa.array([t if t is None or t.isascii() else unicodedata.normalize("NFKC", t) for t in texts.to_pylist()], pa.string())
 
 
 def nfkc_lower(text: Column) -> Column:
-    """NFKC, then lower case: what scored search compares. Spark has no function for it; Arrow's works on whole batches."""
+    """NFKC, then lower case: what scored search compares. Spark has no function for it, and Arrow's leaves letters decomposed."""
     return F.lower(_nfkc(text))
 
 
