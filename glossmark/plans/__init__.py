@@ -1,3 +1,3 @@
 """Queries by theme; importing this package enters them into the registry."""
 
-from glossmark.plans import market, search, themes  # noqa: F401
+from glossmark.plans import market, search, sync, themes  # noqa: F401
