@@ -105,10 +105,10 @@ def reconcile_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.reconcile(manifest, docs.select("doc_id"), "doc_id", {"source": F.lit("unknown"), "status": F.lit("found")})
 
 
-@register("pending_shard", "SELECT event_id, user_id FROM events e WHERE event_id % 3 = 1 AND value > 5 AND event_type <> 'error' AND user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND value > 40)")
+@register("pending_shard", "SELECT event_id, user_id FROM events e WHERE event_id % 3 = 1 AND value > 5 AND event_type <> 'error' AND user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND user_id % 2 = 0)")
 def pending_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     queue = table(spark, sf_dir, "events")
-    done = queue.where("event_type = 'purchase' and value > 40").select("user_id")
+    done = queue.where("event_type = 'purchase' and user_id % 2 = 0").select("user_id")
     return S.pending(queue, "event_id", 3, 1, (F.col("value") > 5) & (F.col("event_type") != "error"), done, "user_id").select("event_id", "user_id")
 
 
