@@ -26,6 +26,11 @@ def collapse_spaces(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at the ends; trim takes spaces alone."""
+    return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
+
+
 def count_literal(text: Column, needle: str | Column) -> Column:
     """Non-overlapping occurrences; 0 for an empty needle."""
     needle = F.lit(needle) if isinstance(needle, str) else needle
@@ -59,14 +64,14 @@ def frontmatter_map(text: Column, quotes: str = "\"'") -> Column:
     """The leading block's `key: value` lines as a map; values lose the quotes given at their ends."""
     block = F.regexp_extract(text, r"(?s)\A---\n(.*?)\n---", 1)
     lines = F.filter(F.split(block, "\n"), lambda x: F.instr(x, ":") > 0)
-    pair = F.transform(lines, lambda x: F.struct(F.trim(F.regexp_extract(x, r"^([^:]*):", 1)).alias("k"), F.trim(F.lit(quotes), F.trim(F.regexp_extract(x, r"^[^:]*:(.*)$", 1))).alias("v")))
+    pair = F.transform(lines, lambda x: F.struct(F.trim(F.regexp_extract(x, r"^([^:]*):", 1)).alias("k"), F.trim(F.trim(F.regexp_extract(x, r"^[^:]*:(.*)$", 1)), F.lit(quotes)).alias("v")))
     return F.map_from_entries(pair)
 
 
 def clean_transcript(text: Column) -> Column:
     """Without time stamps, heading lines and replacement characters."""
     text = F.regexp_replace(text, r"\[\d{2}:\d{2}:\d{2}\]\s*", "")
-    return F.trim(F.regexp_replace(F.regexp_replace(text, r"(?m)^# .*$", ""), "�", ""))
+    return strip(F.regexp_replace(F.regexp_replace(text, r"(?m)^# .*$", ""), "�", ""))
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -102,7 +107,7 @@ def first_hit_snippet(raw: Column, normal: Column, needles: list[str], width: in
     places = F.array(*[F.nullif(F.locate(n, normal), F.lit(0)) for n in needles if n])
     at = F.array_min(places) - 1
     start = F.greatest(at - width // 3, F.lit(0))
-    return F.when(at.isNull(), F.substring(raw, 1, width)).otherwise(F.trim(F.substring(raw, start + 1, width)))
+    return F.when(at.isNull(), F.substring(raw, 1, width)).otherwise(strip(F.substring(raw, start + 1, width)))
 
 
 def earliest_snippet(text: Column, keywords: list[str], context: int = 90) -> Column:
@@ -156,6 +161,6 @@ def first_nonempty(*columns: Column) -> Column:
 
 def unfenced(text: Column) -> Column:
     """The inside of a JSON code fence; the text itself if there is none."""
-    trimmed = F.trim(text)
+    trimmed = strip(text)
     inner = F.regexp_extract(trimmed, r"(?s)\A```(?:json)?\s*(.*?)\s*```\z", 1)
     return F.when(trimmed.rlike(r"(?s)\A```(?:json)?\s*.*?\s*```\z"), inner).otherwise(trimmed)

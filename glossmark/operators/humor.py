@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from glossmark.functions import text as T
+
 
 @dataclass(frozen=True)
 class Markers:
@@ -89,7 +91,7 @@ def chunks_of(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     mark = r"(?m)^#+\s*(?=\d{1,3}:\d{2}\b)"
     cut = docs.select(key, F.posexplode(F.slice(F.split(F.col(text), mark), 2, 1 << 20)).alias("ord", "part"))
     head = F.substring_index("part", "\n", 1)
-    return cut.select(key, "ord", F.regexp_extract(head, r"^(\d{1,3}:\d{2})", 1).alias("timestamp"), F.trim(F.regexp_replace(head, r"^\d{1,3}:\d{2}\s*", "")).alias("heading"), F.trim(F.substring(F.col("part"), F.length(head) + 1, F.length("part"))).alias("body"))
+    return cut.select(key, "ord", F.regexp_extract(head, r"^(\d{1,3}:\d{2})", 1).alias("timestamp"), T.strip(F.regexp_replace(head, r"^\d{1,3}:\d{2}\s*", "")).alias("heading"), T.strip(F.substring(F.col("part"), F.length(head) + 1, F.length("part"))).alias("body"))
 
 
 @dataclass

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glossmark.functions import text as T
 from glossmark.operators.sync import last_by_key
 
 # fixed values: strings that count as true
@@ -15,7 +16,7 @@ TRUTHY = ("true", "yes", "y", "1", "是", "有")
 
 def enum_value(value: Column, allowed: Sequence[str], aliases: Mapping[str, str], fallback: str) -> Column:
     """The value if allowed; else its lower case, else what it or its lower case is an alias of, else fallback. Trimmed first."""
-    value = F.trim(F.coalesce(value, F.lit("")))
+    value = T.strip(F.coalesce(value, F.lit("")))
     low = F.lower(value)
     if aliases:
         table = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
@@ -27,11 +28,11 @@ def enum_value(value: Column, allowed: Sequence[str], aliases: Mapping[str, str]
 
 def bool_value(value: Column) -> Column:
     """Whether a string is one that counts as true; null and all else are false."""
-    return F.coalesce(F.lower(F.trim(value)).isin(*TRUTHY), F.lit(False))
+    return F.coalesce(F.lower(T.strip(value)).isin(*TRUTHY), F.lit(False))
 
 
 def short_evidence(text: Column) -> Column:
-    text = F.trim(text)
+    text = T.strip(text)
     return F.when(F.length(text) > 200, F.concat(F.substring(text, 1, 197), F.lit("..."))).otherwise(text)
 
 

@@ -145,6 +145,6 @@ def batch_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.settle_batches(outputs, "user_id", ["event_id"], "valid")
 
 
-@register("evidence_short", "SELECT conv_id, turn, CASE WHEN length(trim(text)) > 200 THEN substr(trim(text), 1, 197) || '...' ELSE trim(text) END AS evidence FROM conversations")
+@register("evidence_short", "SELECT conv_id, turn, CASE WHEN length(t) > 200 THEN substr(t, 1, 197) || '...' ELSE t END AS evidence FROM (SELECT conv_id, turn, trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS t FROM conversations)")
 def evidence_short(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", N.short_evidence(F.col("text")).alias("evidence"))

@@ -23,7 +23,7 @@ def _score_sql(text: str) -> str:
 
 def _snippet_sql() -> str:
     places = ", ".join(f"nullif(strpos(lower(text), '{t.lower()}'), 0)" for t in TERMS)
-    return f"trim(substr(text, greatest(list_min([{places}]) - 1 - 73, 0) + 1, 220))"
+    return rf"regexp_replace(substr(text, greatest(list_min([{places}]) - 1 - 73, 0) + 1, 220), '^\s+|\s+$', '', 'g')"
 
 
 _SCORED = f"SELECT doc_id, lang, date, {_score_sql('lower(text)')} AS score, {_snippet_sql()} AS snippet FROM (SELECT *, strftime(day, '%Y-%m-%d') AS date FROM ({DATED})) WHERE score > 0"
