@@ -43,15 +43,20 @@ class Plan:
     """Which lengths share a sequence, and how many sequences are alike. Its size follows capacity, not the number of pieces."""
 
     def __init__(self, histogram: dict[int, int], capacity: int):
+        """Complements of up to three lengths use up short ones that best fit could place better when all lengths are few. So it is
+        tried with up to three, two, one and none, and the plan of fewest sequences stands; of equal ones the first."""
         self.capacity = capacity
-        self.left = np.zeros(capacity + 1, np.int64)
-        for length, n in histogram.items():
-            self.left[length] = n
-        self.patterns: list[tuple[int, list[int]]] = []
-        for length in range(capacity, 0, -1):
-            while self.left[length] and (more := self._complement(length)) is not None:
-                self._take([length, *more])
-        self._best_fit()
+        plans = []
+        for self.most in (3, 2, 1, 0):
+            self.left = np.zeros(capacity + 1, np.int64)
+            self.left[list(histogram)] = list(histogram.values())
+            self.patterns: list[tuple[int, list[int]]] = []
+            for length in range(capacity, 0, -1):
+                while self.left[length] and (more := self._complement(length)) is not None:
+                    self._take([length, *more])
+            self._best_fit()
+            plans.append(self.patterns)
+        self.patterns = min(plans, key=lambda p: sum(times for times, _ in p))
 
     def _times(self, lengths: list[int]) -> int:
         return min(int(self.left[x]) // lengths.count(x) for x in set(lengths))
@@ -67,21 +72,24 @@ class Plan:
         gap = self.capacity - length
         if gap == 0:
             return []
-        if self._times([length, gap]):
+        if self.most >= 1 and self._times([length, gap]):
             return [gap]
-        if (pair := self._pair(gap, [length])) is not None:
+        if self.most >= 2 and (pair := self._pair(gap, [length])) is not None:
             return pair
+        if self.most < 3:
+            return None
         # The index of pair sums: how many pairs of available lengths make up each sum.
         have = (self.left[: gap + 1] > 0).astype(np.float64)
         size = 1 << (2 * gap + 1).bit_length()
         sums = np.fft.irfft(np.fft.rfft(have, size) ** 2, size)[: gap + 1] > 0.5
-        for third in np.flatnonzero((have > 0) & sums[::-1])[::-1]:
+        thirds = np.flatnonzero((have > 0) & sums[::-1])
+        for third in thirds[np.argsort(np.abs(3 * thirds - gap), kind="stable")]:
             if (pair := self._pair(gap - int(third), [length, int(third)])) is not None:
                 return [int(third), *pair]
         return None
 
     def _pair(self, total: int, beside: list[int]) -> list[int] | None:
-        low = np.arange(1, total // 2 + 1)
+        low = np.arange(total // 2, 0, -1)  # evenly split first: the shortest are the best fillers for what is left over
         for a in low[(self.left[low] > 0) & (self.left[total - low] > 0)]:
             pair = [total - int(a), int(a)]
             if self._times([*beside, *pair]):
