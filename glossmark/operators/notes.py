@@ -11,7 +11,7 @@ from glossmark.functions import text as T
 from glossmark.operators.sync import last_by_key
 
 # fixed values: strings that count as true
-TRUTHY = ("true", "yes", "y", "1", "是", "有")
+TRUTHY = ("1", "true", "yes", "y", "是", "對")
 
 
 def enum_value(value: Column, allowed: Sequence[str], aliases: Mapping[str, str], fallback: str) -> Column:

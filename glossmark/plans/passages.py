@@ -108,10 +108,10 @@ def enum_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", N.enum_value(value, ("click", "view", "purchase"), _ALIASES, "other").alias("kind"))
 
 
-@register("bool_coerce", "SELECT event_id, coalesce(lower(trim(v)) IN ('true', 'yes', 'y', '1', '是', '有'), false) AS flag FROM (SELECT event_id, CASE event_id % 7 WHEN 0 THEN ' Yes' WHEN 1 THEN 'no' WHEN 2 THEN '1' WHEN 3 THEN NULL WHEN 4 THEN 'TRUE' WHEN 5 THEN '有' ELSE event_type END AS v FROM events)")
+@register("bool_coerce", "SELECT event_id, coalesce(lower(trim(v)) IN ('1', 'true', 'yes', 'y', '是', '對'), false) AS flag FROM (SELECT event_id, CASE event_id % 7 WHEN 0 THEN ' Yes' WHEN 1 THEN 'no' WHEN 2 THEN '1' WHEN 3 THEN NULL WHEN 4 THEN 'TRUE' WHEN 5 THEN '對' ELSE event_type END AS v FROM events)")
 def bool_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("event_id") % 7
-    value = F.when(k == 0, " Yes").when(k == 1, "no").when(k == 2, "1").when(k == 4, "TRUE").when(k == 5, "有").when(k == 6, F.col("event_type"))
+    value = F.when(k == 0, " Yes").when(k == 1, "no").when(k == 2, "1").when(k == 4, "TRUE").when(k == 5, "對").when(k == 6, F.col("event_type"))
     return table(spark, sf_dir, "events").select("event_id", N.bool_value(value).alias("flag"))
 
 

@@ -81,10 +81,14 @@ def line_of_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where(at > 0).select("doc_id", T.line_of(F.col("text"), at - 1).alias("line"))
 
 
+def _hit(keyword: str):
+    return lambda m: F.struct(F.lit(keyword).alias("keyword"), m["start"].alias("start"), m["match"].alias("match"))
+
+
 @register("snippets_greedy")
 def snippets_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Up to four hits a document, keyword by keyword, each at least 95 characters from all taken before."""
-    hits = F.concat(*[F.transform(T.matches(F.col("text"), "(?iu)" + T.literal(k)), lambda m, k=k: F.struct(F.lit(k).alias("keyword"), m["start"].alias("start"), m["match"].alias("match"))) for k in _KEYS])
+    hits = F.concat(*[F.transform(T.matches(F.col("text"), "(?iu)" + T.literal(k)), _hit(k)) for k in _KEYS])
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.explode(T.spaced_hits(hits, 95, 4)).alias("h"))
     return docs.select("doc_id", "h.keyword", "h.start", T.line_of(F.col("text"), F.col("h.start")).alias("line"), T.around(F.col("text"), F.col("h.start"), F.length("h.match"), 95).alias("snippet"))
 
