@@ -183,3 +183,36 @@ FIRST_FORMAT = Rules(
         Items("qa_views", "question_theme viewpoint principle tone evidence".split(), longest={"evidence": 200}),
     ],
 )
+
+# fixed values: what notes of the first format write for an action, a view, a horizon and a confidence
+ACTION_ALIASES = {"accumulate": "buy", "add": "buy", "buying": "buy", "conditional": "wait", "de-risk": "size-down", "decrease": "size-down", "increase": "buy", "reduce": "size-down", "sell down": "size-down", "size_down": "size-down", "size down": "size-down", "trim": "size-down", "watch": "wait", "watchlist": "wait", "觀望": "wait", "等待": "wait", "買進": "buy", "加碼": "buy", "賣出": "sell", "減碼": "size-down", "避險": "hedge", "輪動": "rotate"}
+VIEW_ALIASES = {"positive": "bullish", "bull": "bullish", "buy": "bullish", "negative": "bearish", "bear": "bearish", "sell": "bearish", "hold": "neutral", "wait": "conditional", "mixed": "conditional", "unclear": "neutral", "unknown": "neutral", "看多": "bullish", "偏多": "bullish", "看空": "bearish", "偏空": "bearish", "中性": "neutral", "觀望": "conditional"}
+HORIZON_ALIASES = {"short-term": "swing", "short term": "swing", "near-term": "swing", "near term": "swing", "mid-term": "medium-term", "mid term": "medium-term", "medium term": "medium-term", "long term": "long-term", "短線": "swing", "中期": "medium-term", "長期": "long-term"}
+CONFIDENCE_ALIASES = {"strong": "high", "certain": "high", "moderate": "medium", "normal": "medium", "weak": "low", "uncertain": "low", "高": "high", "中": "medium", "低": "low"}
+
+FIRST_SCHEMA = """episode int, date string, title string, market_regime string, topics array<string>,
+ investment_logic array<struct<claim: string, trigger: string, action_bias: string, risk_control: string, evidence: string, confidence: string>>,
+ trade_observations array<struct<asset_or_sector: string, asset_symbol: string, view: string, time_horizon: string, reasoning: string, market_alignment: string, is_joke_or_aside: string>>,
+ qa_views array<struct<question_theme: string, viewpoint: string, principle: string, tone: string, evidence: string>>, open_questions array<string>"""
+
+
+def repaired(note: Column, episode: Column, date: Column, title: Column) -> Column:
+    """A note of FIRST_SCHEMA brought to the format: what metadata knows where the note is silent, values to their vocabularies,
+    evidence cut at 200 characters, flags as booleans. Entries that are null are left out."""
+    from glossmark.operators.notes import bool_value, enum_value, short_evidence
+
+    def logic(x: Column) -> Column:
+        x = x.withField("action_bias", enum_value(x["action_bias"], FIRST_ACTIONS, ACTION_ALIASES, "unknown"))
+        return x.withField("confidence", enum_value(x["confidence"], CONFIDENCES, CONFIDENCE_ALIASES, "medium")).withField("evidence", F.coalesce(short_evidence(x["evidence"]), F.lit("")))
+
+    def observation(x: Column) -> Column:
+        x = x.withField("view", enum_value(x["view"], FIRST_VIEWS, VIEW_ALIASES, "neutral"))
+        return x.withField("time_horizon", enum_value(x["time_horizon"], HORIZONS, HORIZON_ALIASES, "unclear")).withField("is_joke_or_aside", bool_value(x["is_joke_or_aside"]))
+
+    def answer(x: Column) -> Column:
+        return x.withField("evidence", F.coalesce(short_evidence(x["evidence"]), F.lit("")))
+
+    note = note.withField("episode", F.coalesce(note["episode"], episode)).withField("date", F.coalesce(note["date"], date, F.lit(""))).withField("title", F.coalesce(note["title"], title, F.lit("")))
+    for name, fix in (("investment_logic", logic), ("trade_observations", observation), ("qa_views", answer)):
+        note = note.withField(name, F.transform(F.array_compact(note[name]), fix))
+    return note

@@ -67,3 +67,13 @@ def test_first_format_and_location(spark):
     rows = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "i int, t string")
     found = rows.select("i", R.at(R.located(F.try_parse_json("t")), "title").cast("string").alias("title")).collect()
     assert [r.title for r in sorted(found)] == ["t"] * 5 + [None]
+
+
+def test_repair(spark):
+    raw = {"title": "t", "topics": ["a", "b", "c"], "investment_logic": [{"action_bias": " Trim ", "confidence": "高", "evidence": "x" * 300}, {"action_bias": "leap"}, None], "trade_observations": [{"view": "Bull", "time_horizon": "short term", "is_joke_or_aside": "YES"}, {"view": "BEARISH"}], "qa_views": [{"evidence": None}]}
+    rows = spark.createDataFrame([(json.dumps(raw),)], "t string").select(F.from_json("t", R.FIRST_SCHEMA).alias("n"))
+    n = rows.select(R.repaired(F.col("n"), F.lit(7), F.lit("2024-01-01"), F.lit("other")).alias("n")).first().n
+    assert (n.episode, n.date, n.title) == (7, "2024-01-01", "t")
+    assert [(x.action_bias, x.confidence, len(x.evidence)) for x in n.investment_logic] == [("size-down", "high", 200), ("unknown", "medium", 0)]
+    assert [(x.view, x.time_horizon, x.is_joke_or_aside) for x in n.trade_observations] == [("bullish", "swing", True), ("bearish", "unclear", False)]
+    assert n.qa_views[0].evidence == ""
