@@ -17,7 +17,7 @@ SHINGLE_WORDS, THRESHOLD = 5, 0.8
 BANDS, BAND_ROWS = 24, 5
 #: Four bits of each coordinate make a sketch. At similarity 0.8 two sketches differ in more than MAX_UNLIKE of them with a chance
 #: of 7 in 100,000 too; such pairs are not looked at.
-COORDINATES, MAX_UNLIKE = 240, 68
+COORDINATES, MAX_UNLIKE = 368, 97
 #: Darts a document throws on average: enough that a coordinate stays empty in one of seven documents, which then throw on.
 DARTS = int(COORDINATES * (np.log(COORDINATES) + 2))
 #: Members of a leader that one copy of the leader's elements is joined with.
@@ -153,7 +153,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
     partners = pairs.groupBy("low").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / MEMBERS_PER_COPY).cast("int").alias("copies"))
     partners = written(partners, "partners")
-    dealt = join_groups(pairs, partners, "low", "n", pairs.count()).withColumn("copy", F.pmod(F.xxhash64("high"), F.col("copies")).cast("int"))
+    dealt = pairs.join(partners, "low").withColumn("copy", F.pmod(F.xxhash64("high"), F.col("copies")).cast("int"))
     leaders = packed.join(partners, packed["node"] == partners["low"]).select("low", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.col("elements").alias("mine"))
     both = dealt.select("low", "high", "copy").join(packed.select(F.col("node").alias("high"), F.col("elements").alias("theirs")), "high").join(leaders, ["low", "copy"])
     return both.select("low", "high", "mine", "theirs").mapInArrow(_similar, "low long, high long")
@@ -174,37 +174,33 @@ def _roots(parents: DataFrame) -> DataFrame:
     """(node, root) from (node, root) that point up in some order, or to themselves: pointers are jumped until none moves."""
     while True:
         hops = written(parents, "parents")
-        moving = hops.where("node <> root")
-        up = moving.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        n = hops.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-        steps = written(n.join(up, "root").select("root", "next", "n"), "steps")
+        up = hops.where("node <> root").select(F.col("node").alias("root"), F.col("root").alias("next"))
+        steps = written(hops.where("node <> root").select("root").distinct().join(up, "root"), "steps")
         if steps.isEmpty():
             return hops
-        total = hops.count()
-        jumped = join_groups(hops, steps, "root", "n", total).select("node", F.col("next").alias("root"))
-        parents = hops.join(jumped.select("node"), "node", "left_anti").unionByName(jumped)
+        parents = _moved(hops, steps)
+
+
+def _moved(labels: DataFrame, steps: DataFrame) -> DataFrame:
+    """labels with each root that steps (root, next) have replaced. A root of very many nodes is split by Spark as the join runs."""
+    return labels.join(steps, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
 
 
 def components(links: DataFrame, labels: DataFrame) -> DataFrame:
-    """(node, root): labels with the roots that links (low, high) connect as one.
+    """(node, root): labels, all at their roots, with the roots that links (low, high) connect as one.
 
     Smallest labels travel along the links between roots, and pointers are jumped after each step, until nothing changes."""
     links = written(links, "more-links")
-    labels = _roots(labels)
     while True:
         across = links.join(labels.select(F.col("node").alias("low"), F.col("root").alias("a")), "low").join(labels.select(F.col("node").alias("high"), F.col("root").alias("b")), "high")
         across = written(across.where("a <> b").select(F.least("a", "b").alias("small"), F.greatest("a", "b").alias("large")).distinct(), "across")
         if across.isEmpty():
             return labels
-        moves = across.groupBy("large").agg(F.min("small").alias("small"))
-        roots = labels.where("node = root").select("root").join(moves, F.col("root") == F.col("large"), "left")
         # a root that hangs below several gets one of them now; the others follow in the next rounds
-        merged = _roots(roots.select(F.col("root").alias("node"), F.coalesce("small", "root").alias("root")))
-        up = merged.where("node <> root").select(F.col("node").alias("root"), F.col("root").alias("next"))
-        counts = labels.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-        steps = written(counts.join(up, "root"), "steps")
-        moved = join_groups(labels, steps, "root", "n", labels.count()).select("node", F.col("next").alias("root"))
-        labels = written(labels.join(moved.select("node"), "node", "left_anti").unionByName(moved), "labels")
+        moves = across.groupBy("large").agg(F.min("small").alias("small"))
+        touched = moves.select(F.col("large").alias("node"), F.col("small").alias("root")).unionByName(moves.select(F.col("small").alias("node"), F.col("small").alias("root")).distinct().join(moves.select(F.col("large").alias("node")), "node", "left_anti"))
+        merged = _roots(touched).where("node <> root").select(F.col("node").alias("root"), F.col("root").alias("next"))
+        labels = written(_moved(labels, merged), "labels")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -226,15 +222,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = signed.where("size > 0")
     nodes = rows.groupBy("node").agg(F.min(F.struct(F.xxhash64("id").alias("id_hash"), "bands", "sketch")).alias("one"), F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
     nodes = written(nodes.select("node", "n", "first_id", "one.id_hash", "one.bands", "one.sketch"), "nodes")
-    total = nodes.count()
     sketches = nodes.select("node", "sketch")
     members = nodes.select("node", F.explode("bands").alias("bucket"))
     buckets = written(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
-    shared = written(join_groups(members, buckets, "bucket", "n", total), "shared")
+    shared = written(members.join(buckets, "bucket"), "shared")
 
     hubs = shared.join(shared.groupBy("node").agg(F.sum("n").alias("degree")), "node").groupBy("bucket").agg(F.max(F.struct("degree", "node")).alias("hub"), F.count(F.lit(1)).alias("n"))
     hubs = written(hubs.select("bucket", F.col("hub.node").alias("low"), "n"), "hubs")
-    spokes = join_groups(shared.select("node", "bucket"), hubs, "bucket", "n", total).where("node <> low").select(F.col("node").alias("high"), "low").distinct()
+    spokes = shared.select("node", "bucket").join(hubs, "bucket").where("node <> low").select(F.col("node").alias("high"), "low").distinct()
     spokes = spokes.join(sketches.toDF("high", "mine"), "high").join(sketches.toDF("low", "theirs"), "low").select("low", "high", _unlike("mine", "theirs").alias("unlike")).where(F.col("unlike") <= MAX_UNLIKE)
     stars = written(spokes.groupBy("high").agg(F.min_by("low", F.struct("unlike", "low")).alias("low")), "stars")
     links = written(_verified(stars, nodes, docs), "links")
@@ -243,8 +238,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     within = written(shared.select("node", "bucket").join(labels, "node"), "within")
     parts = within.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("classes"), F.sum("n").alias("n"))
-    open_ = join_groups(within, written(parts.where("classes > 1"), "mixed"), "bucket", "n", total)
-    open_ = written(open_.join(sketches, "node"), "open")
+    open_ = written(within.join(parts.where("classes > 1").drop("n"), "bucket").join(sketches, "node"), "open")
     left = open_.where("root <> main").select("bucket", "main", F.col("node").alias("x"), F.col("root").alias("a"), F.col("sketch").alias("mine"))
     right = open_.select("bucket", F.col("node").alias("y"), F.col("root").alias("b"), F.col("sketch").alias("theirs"))
     pairs = left.join(right, "bucket").where((F.col("a") != F.col("b")) & ((F.col("b") == F.col("main")) | (F.col("x") < F.col("y"))) & (_unlike("mine", "theirs") <= MAX_UNLIKE))
@@ -256,7 +250,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = nodes.join(labels, "node")
     classes = named.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("class_size"))
     # by node: a third of all rows may be copies, but they are one node each here
-    of_node = written(join_groups(named.select("node", "root", "n"), written(classes, "classes"), "root", "class_size", signed.count()), "of-node")
+    of_node = written(named.select("node", "root", "n").join(classes, "root"), "of-node")
     found = join_groups(rows.select("id", "node"), of_node.select("node", "class_id", "class_size", F.col("n").alias("copies")), "node", "copies", signed.count())
     found = found.select("id", "class_id", "class_size", F.coalesce(F.col("id") == F.col("class_id"), F.col("class_size") == 1).alias("kept"))
     alone = signed.where("size = 0").select("id", F.col("id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"))
