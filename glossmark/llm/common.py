@@ -113,7 +113,9 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """The batches in smaller ones, so that few texts are Python objects at a time."""
+    """The batches in smaller ones, so that few texts are Python objects at a time. At the end Arrow gives back what it keeps in reserve:
+    a worker stays alive for other stages."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossmark.llm import words
-from glossmark.llm.common import bloom_blocks, bloom_filter, bloom_probe, join_groups, written
+from glossmark.llm.common import bloom_blocks, bloom_filter, bloom_probe, join_groups, slices, written
 
 SHINGLE_WORDS, THRESHOLD = 5, 0.8
 #: 24 bands of 5 coordinates: a pair of similarity 0.8 shares none of them with a chance of 7 in 100,000.
@@ -89,7 +89,7 @@ def signatures(owner: np.ndarray, element: np.ndarray, documents: int) -> np.nda
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column("text").to_pylist()
         for some in words.passes(texts):
             owner, element = elements([texts[i] for i in some])
@@ -112,7 +112,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, elements): a document's elements as sorted 32-bit fingerprints."""
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column("text").to_pylist()
         for some in words.passes(texts):
             owner, element = elements([texts[i] for i in some])
@@ -124,7 +124,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, 1024):
         pairs = zip(batch.column("mine").to_pylist(), batch.column("theirs").to_pylist(), strict=True)
         keep = []
         for a, b in pairs:

@@ -11,6 +11,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glossmark.llm.common import slices
+
 TABLE_BITS = 16
 ORDER = 3
 #: The model is fitted on about so many labelled documents of each language at most, picked by a hash of their id.
@@ -108,7 +110,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches):
             for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 sums[lang] = sums.get(lang, 0) + ngram_counts(text)
         for lang, total in sums.items():
@@ -130,7 +132,8 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
 
     @F.arrow_udf("struct<lang_pred: string, score: double, mixture: map<string, double>>")
     def predict(texts: pa.Array) -> pa.Array:
-        found = [model.predict(t) for t in texts.to_pylist()]
+        pieces = slices([pa.RecordBatch.from_arrays([texts], names=["text"])])
+        found = [model.predict(t) for some in pieces for t in some.column("text").to_pylist()]
         fields = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()), pa.array([list(x[2].items()) for x in found], pa.map_(pa.string(), pa.float64()))]
         return pa.StructArray.from_arrays(fields, names=["lang_pred", "score", "mixture"])
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossmark.llm import words
-from glossmark.llm.common import bloom_blocks, bloom_filter, bloom_probe, fresh, written
+from glossmark.llm.common import bloom_blocks, bloom_filter, bloom_probe, fresh, slices, written
 
 WINDOW_WORDS = 13
 ANCHOR_WORDS = 7
@@ -67,7 +67,7 @@ def _aside(name: int, shards: int) -> int:
 def _anchors(shards: int):
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each shard what this pass has of it; aside, the pass's documents and the anchors known here to repeat."""
-        for batch in batches:
+        for batch in slices(batches, 1024):
             texts = batch.column("text").to_pylist()
             for some in words.passes(texts):
                 ids, keys = (batch.column(c).slice(some.start, len(some)).to_numpy() for c in ("id", "key"))
@@ -150,7 +150,7 @@ def _windows(shards: int):
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Hits extended: each window that covers a hit, by shard of its own hash; aside, the pass's documents and the windows that an
         earlier document of the pass has too, which are settled."""
-        for batch in batches:
+        for batch in slices(batches, 1024):
             texts, hits = batch.column("text").to_pylist(), batch.column("hits").to_pylist()
             for some in words.passes(texts):
                 ids, keys = (batch.column(c).slice(some.start, len(some)).to_numpy() for c in ("id", "key"))
@@ -253,7 +253,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     @F.arrow_udf("struct<n_words: long, n_removed: long, kept_text: string>")
     def cut(texts: pa.Array, runs: pa.Array) -> pa.Array:
         rows = []
-        for text, places in zip(texts.to_pylist(), runs.to_pylist(), strict=True):
+        pairs = slices([pa.RecordBatch.from_arrays([texts, runs], names=["text", "runs"])])
+        for text, places in (x for some in pairs for x in zip(*(c.to_pylist() for c in some.columns), strict=True)):
             found = words.split(text)
             covered = np.zeros(len(found) + 1, np.int64)
             for some in places or []:

@@ -12,7 +12,7 @@ import xxhash
 PASS_CHARS = 4 << 20
 #: Texts of a pass are told apart by 16-bit numbers.
 PASS_TEXTS = 1 << 16
-MEMO_WORDS = 300_000
+MEMO_WORDS = 100_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
