@@ -75,13 +75,13 @@ def signatures(owner: np.ndarray, element: np.ndarray, documents: int) -> np.nda
             cells.append(owner[live] * COORDINATES + ((dart >> np.uint64(32)) % np.uint64(COORDINATES)).astype(np.int64))
             ranks.append(rank[live])
             darts.append(dart)
-        cell, dart = np.concatenate(cells), np.concatenate(darts)
-        worst_first = np.argsort(-np.concatenate(ranks), kind="stable")
+        cell, rank_, dart = np.concatenate(cells), np.concatenate(ranks), np.concatenate(darts)
+        lowest = np.full(documents * COORDINATES, np.inf)
+        np.minimum.at(lowest, cell, rank_)
+        wins = rank_ == lowest[cell]
         flat = np.zeros(documents * COORDINATES, np.uint64)
-        hit = np.zeros(documents * COORDINATES, bool)
-        flat[cell[worst_first]] = dart[worst_first]
-        hit[cell] = True
-        full = hit.reshape(documents, -1).all(1) & open_
+        flat[cell[wins]] = dart[wins]
+        full = np.isfinite(lowest).reshape(documents, -1).all(1) & open_
         signature[full] = flat.reshape(documents, -1)[full]
         open_ &= ~full
         bound = bound * 2
