@@ -238,11 +238,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     within = written(shared.select("node", "bucket").join(labels, "node"), "within")
     parts = within.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("classes"), F.sum("n").alias("n"))
-    open_ = written(within.join(parts.where("classes > 1").drop("n"), "bucket").join(sketches, "node"), "open")
-    left = open_.where("root <> main").select("bucket", "main", F.col("node").alias("x"), F.col("root").alias("a"), F.col("sketch").alias("mine"))
-    right = open_.select("bucket", F.col("node").alias("y"), F.col("root").alias("b"), F.col("sketch").alias("theirs"))
-    pairs = left.join(right, "bucket").where((F.col("a") != F.col("b")) & ((F.col("b") == F.col("main")) | (F.col("x") < F.col("y"))) & (_unlike("mine", "theirs") <= MAX_UNLIKE))
-    pairs = pairs.select(F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high")).distinct()
+    open_ = written(within.join(parts.where("classes > 1").drop("n"), "bucket").join(nodes.select("node", "sketch", "bands"), "node"), "open")
+    left = open_.where("root <> main").select("bucket", "main", F.col("node").alias("x"), F.col("root").alias("a"), F.col("sketch").alias("mine"), F.col("bands").alias("my_bands"))
+    right = open_.select("bucket", F.col("node").alias("y"), F.col("root").alias("b"), F.col("sketch").alias("theirs"), F.col("bands").alias("their_bands"))
+    first = F.get(F.array_intersect("my_bands", "their_bands"), F.lit(0))  # a pair is a row of the first bucket it shares alone
+    pairs = left.join(right, "bucket").where((F.col("a") != F.col("b")) & ((F.col("b") == F.col("main")) | (F.col("x") < F.col("y"))) & (_unlike("mine", "theirs") <= MAX_UNLIKE) & (first == F.col("bucket")))
+    pairs = pairs.select(F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high"))
     tried = stars.select(F.least("low", "high").alias("low"), F.greatest("low", "high").alias("high"))
     pairs = written(pairs.join(tried, ["low", "high"], "left_anti"), "pairs")
     labels = components(_verified(pairs, nodes, docs), labels)
