@@ -21,10 +21,20 @@ FROM documents d JOIN ({_SQL["regime_4"]}) r ON r.doc_id = d.doc_id JOIN ({_SQL[
 )
 def deterministic_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A note for each document from rules alone: regime of its day, headline, themes, assets."""
+    return _notes(spark, sf_dir, themes.headline_class(spark, sf_dir))
+
+
+@register("deterministic_notes_whole")
+def deterministic_notes_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with headlines classed by their whole body."""
+    return _notes(spark, sf_dir, themes.headline_class_whole(spark, sf_dir))
+
+
+def _notes(spark: SparkSession, sf_dir: str, headlines: DataFrame) -> DataFrame:
     hits = themes.counts(spark, sf_dir).groupBy("doc_id", "theme", "theme_ord").agg(F.sum("n").alias("hit_count"))
     of_themes = hits.groupBy("doc_id").agg(F.count(F.lit(1)).alias("themes"), F.sum("hit_count").alias("hits"), F.max_by("theme", F.struct("hit_count", F.negate("theme_ord"))).alias("top_theme"))
     assets = search.alias_mentions(spark, sf_dir).groupBy("doc_id").agg(F.count(F.lit(1)).alias("assets"))
-    notes = market.regime_4(spark, sf_dir).join(themes.headline_class(spark, sf_dir), "doc_id").join(of_themes, "doc_id", "left").join(assets, "doc_id", "left")
+    notes = market.regime_4(spark, sf_dir).join(headlines, "doc_id").join(of_themes, "doc_id", "left").join(assets, "doc_id", "left")
     return notes.fillna(0, ["themes", "hits", "assets"]).fillna("", ["top_theme"])
 
 

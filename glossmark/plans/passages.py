@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmark.operators import humor as H
@@ -84,7 +84,17 @@ def humor_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def conversation_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chunks that belong to a note as one row: first and last mark, text in order, maxima."""
-    rows = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("seconds"), F.col("role").alias("timestamp"), F.substring("text", 1, 10).alias("text"), (F.length("text") / 1000).alias("similarity"), F.length("text").cast("long").alias("score"))
+    return _payload(spark, sf_dir, F.substring("text", 1, 10))
+
+
+@register("conversation_payload_whole")
+def conversation_payload_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the whole text of each turn."""
+    return _payload(spark, sf_dir, F.col("text"))
+
+
+def _payload(spark: SparkSession, sf_dir: str, text: Column) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("seconds"), F.col("role").alias("timestamp"), text.alias("text"), (F.length("text") / 1000).alias("similarity"), F.length("text").cast("long").alias("score"))
     return H.payload(rows, ["conv_id"])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -211,7 +211,17 @@ def page_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def hashtags_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delimited keywords, first occurrences in order."""
-    words = F.filter(F.transform(F.split(F.substring("text", 1, 200), "[,;|]"), lambda x: F.trim(x)), lambda x: x != "")
+    return _keywords(spark, sf_dir, F.substring("text", 1, 200))
+
+
+@register("hashtags_keywords_whole")
+def hashtags_keywords_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of whole texts."""
+    return _keywords(spark, sf_dir, F.col("text"))
+
+
+def _keywords(spark: SparkSession, sf_dir: str, text: Column) -> DataFrame:
+    words = F.filter(F.transform(F.split(text, "[,;|]"), lambda x: F.trim(x)), lambda x: x != "")
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.transform(F.array_distinct(words), lambda x: F.lower(x)), "|").alias("words"))
 
 
@@ -253,6 +263,16 @@ def duration_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
  + CASE WHEN contains(lower(substr(text, 1, 40)), 'src1') THEN 3 ELSE 0 END + CASE WHEN contains(lower(substr(text, 41, 200)), 'src1') THEN 2 ELSE 0 END + CASE WHEN contains(source, 'src1') THEN 1 ELSE 0 END) AS score FROM documents)""",
 )
 def author_relevance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = {"title": F.substring("text", 1, 40), "description_text": F.substring("text", 41, 200), "channel_author": F.col("source")}
+    return _relevance(spark, sf_dir, F.substring("text", 41, 200))
+
+
+@register("author_relevance_whole")
+def author_relevance_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with everything after the stand-in title as description."""
+    return _relevance(spark, sf_dir, F.substr("text", F.lit(41)))
+
+
+def _relevance(spark: SparkSession, sf_dir: str, description: Column) -> DataFrame:
+    fields = {"title": F.substring("text", 1, 40), "description_text": description, "channel_author": F.col("source")}
     score, included = S.author_relevance(fields, ["the", "SRC1"], {"title": 3, "description_text": 2}, F.col("source") == "src3")
     return table(spark, sf_dir, "documents").select("doc_id", score.alias("score"), included.alias("included"))

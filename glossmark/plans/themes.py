@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmark.functions import text as T
@@ -137,7 +137,17 @@ def _sum_sql(words: list[str]) -> str:
 )
 def headline_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Direction and horizon from cues in title and body; the title counts again as it begins the body."""
-    s = F.concat(F.substring("text", 1, 40), F.lit(" "), F.substring("text", 1, 120))
+    return _headlines(spark, sf_dir, F.substring("text", 1, 120))
+
+
+@register("headline_class_whole")
+def headline_class_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the whole body. The reference stops at 2,500 characters of it; here no cue is lost behind them."""
+    return _headlines(spark, sf_dir, F.col("text"))
+
+
+def _headlines(spark: SparkSession, sf_dir: str, body: Column) -> DataFrame:
+    s = F.concat(F.substring("text", 1, 40), F.lit(" "), body)
     total = lambda words: sum((T.count_literal(F.col("s"), w) for w in words), F.lit(0))
     rows = table(spark, sf_dir, "documents").select("doc_id", s.alias("s")).select("doc_id", "s", total(_UP).alias("u"), total(_DOWN).alias("d"), total(_RISK).alias("r"))
     direction = F.when((F.col("r") >= 2) & (F.col("d") >= 1), "risk_control").when((F.col("u") > 0) & (F.col("d") > 0), "mixed").when(F.col("u") > 0, "bullish").when(F.col("d") > 0, "bearish").otherwise("unknown")
