@@ -130,7 +130,9 @@ def spaced_hits(hits: Column, context: int, limit: int) -> Column:
 
 def trigrams(text: Column) -> Column:
     """The set of runs of three characters; a shorter text is its own only one, an empty one has none."""
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - 2), lambda i: F.substring(text, i, F.lit(3))))
+    chars, n = F.split(text, ""), F.length(text)
+    pairs = F.zip_with(chars, F.slice(chars, 2, n), lambda x, y: F.concat(x, y))
+    grams = F.array_distinct(F.array_compact(F.zip_with(pairs, F.slice(chars, 3, n), lambda x, y: F.concat(x, y))))
     return F.when(F.length(text) > 3, grams).when(F.length(text) > 0, F.array(text)).otherwise(F.array().cast("array<string>"))
 
 

@@ -244,6 +244,16 @@ def jaccard_trigram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("doc_id", "next_id", F.round(T.jaccard(F.col("t"), F.col("u")), 6).alias("similarity"))
 
 
+@register("jaccard_turns")
+def jaccard_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similarity of the whole bare texts of consecutive turns: each turn with the next number of its conversation.
+
+    Pairs are found by conversation and number, so a long conversation is not one task."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", T.bare(F.col("text")).alias("s")).select("conv_id", "turn", "role", T.trigrams(F.col("s")).alias("t"))
+    later = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next_role"), F.col("t").alias("u"))
+    return turns.join(later, ["conv_id", "turn"]).select("conv_id", "turn", "role", "next_role", F.round(T.jaccard(F.col("t"), F.col("u")), 6).alias("similarity"))
+
+
 @register(
     "duration_parse",
     r"""SELECT event_id, s AS text, CASE WHEN regexp_matches(s, '^\d+(:\d+){0,2}$') THEN list_reduce(list_transform(string_split(s, ':'), lambda x: x::BIGINT), lambda a, b: a * 60 + b) END AS seconds,
