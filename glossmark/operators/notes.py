@@ -59,10 +59,18 @@ def dangling(references: Column, ids: Column) -> Column:
     return F.filter(references, lambda r: r.isNotNull() & (r != "") & ~F.coalesce(F.array_contains(ids, r), F.lit(False)))
 
 
-def summary(checked: DataFrame, key: str, found: str = "errors", most: int = 20) -> DataFrame:
-    """(valid, invalid, error, notes): how often each message occurs, and the overall counts beside it; at most so many keys as examples."""
-    rows = checked.select(key, F.explode(found).alias("error"))
-    return rows.groupBy("error").agg(F.count(F.lit(1)).alias("notes"), F.slice(F.array_sort(F.collect_set(key)), 1, most).alias("examples"))
+def summary(targets: DataFrame, checked: DataFrame, key: str, found: str = "errors") -> DataFrame:
+    """(target, valid, missing, invalid, error, notes): a row for each error with the number of notes that have it, and the overall
+    counts beside it; one row without an error if there is none. A target without a checked note is missing.
+
+    targets and checked have a key once each; dangling references count as one error, whatever they refer to."""
+    short = lambda e: F.when(F.startswith(e, F.lit("dangling")), F.substring_index(e, ":", 1)).otherwise(e)
+    notes = targets.select(key).join(checked.select(key, F.array_distinct(F.transform(F.coalesce(found, F.array().cast("array<string>")), short)).alias("found__")), key, "left")
+    size = F.size(F.coalesce("found__", F.array().cast("array<string>")))
+    missing = F.col("found__").isNull()
+    totals = notes.agg(F.count(F.lit(1)).alias("target"), F.count_if(~missing & (size == 0)).alias("valid"), F.count_if(missing).alias("missing"), F.count_if(size > 0).alias("invalid"))
+    rules = notes.select(F.explode("found__").alias("error")).groupBy("error").agg(F.count(F.lit(1)).alias("notes"))
+    return totals.join(rules, F.lit(True), "left")
 
 
 def settle_batches(outputs: DataFrame, key: str, order: Sequence[str], valid: str) -> DataFrame:

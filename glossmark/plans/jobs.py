@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glossmark.operators import notes as N
 from glossmark.plans import market, passages, search, sync, themes
+from glossmark.plans.tables import table
 from glossmark.registry import oracle_sql, register
 
 _SQL = oracle_sql()
@@ -44,6 +46,17 @@ def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return errors.where("error <> '' and not startswith(error, 'dangling')").groupBy("error").agg(F.count(F.lit(1)).alias("notes"))
 
 
+@register("validation_totals")
+def validation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target, valid, missing and invalid counts beside the notes of each error, dangling references included.
+
+    Each event is a target, and one without properties has no note."""
+    events = table(spark, sf_dir, "events")
+    checked = passages.note_validate(spark, sf_dir).join(events.where("props is not null").select("event_id"), "event_id", "left_semi")
+    found = checked.select("event_id", F.filter(F.split("errors", "; "), lambda e: e != "").alias("errors"))
+    return N.summary(events.select("event_id"), found, "event_id")
+
+
 @register(
     "changed_rollup",
     f"WITH c AS ({_SQL['signature_diff']}) SELECT theme, change, count(DISTINCT k.doc_id) AS episode_count, sum(n)::BIGINT AS hit_count FROM ({themes.COUNTS}) k JOIN c ON c.doc_id = k.doc_id GROUP BY ALL",
