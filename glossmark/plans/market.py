@@ -29,7 +29,7 @@ def drawdown_60(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _aligned(spark: SparkSession, sf_dir: str, shift: int) -> DataFrame:
     snapshots = prices.with_returns(bars(spark, sf_dir))
     symbols = snapshots.select("symbol").distinct()
-    targets = dated(spark, sf_dir).select("doc_id", F.date_sub("day", shift).alias("target")).crossJoin(F.broadcast(symbols.limit(1000)))
+    targets = dated(spark, sf_dir).select("doc_id", F.date_sub("day", shift).alias("target")).crossJoin(symbols)
     return prices.as_of_ranged(targets, snapshots)
 
 
