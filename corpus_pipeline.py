@@ -15,8 +15,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language cannot be told: null texts and texts without a letter."""
+    """Drops documents whose language cannot be told: null texts and texts without a letter. The same where no row has a label to learn from."""
     model = langid.fit(docs)
+    if not model.languages:
+        model = langid.unlabelled()
     return langid.identify(docs, model).where(F.col("lang_pred") != langid.UNDETERMINED).select(*COLUMNS)
 
 

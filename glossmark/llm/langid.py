@@ -90,6 +90,11 @@ class LanguageModel:
         return top, min(1.0, found[top]), found
 
 
+def unlabelled() -> LanguageModel:
+    """For tables without labels: one language of no name that has every text with a letter."""
+    return LanguageModel(["unlabelled"], np.full((1, 1 << TABLE_BITS), 1 / (1 << TABLE_BITS)))
+
+
 def held_out(id_: Column) -> Column:
     """The fold that no model learns from."""
     return F.coalesce(F.crc32(id_.cast("string")) % 5 == 0, F.lit(False))
