@@ -1,24 +1,27 @@
 """Byte-pair encoding of whole texts, equal to the tokenizers library's, on top of its own merge model.
 
-Three layers. A chunk is what lies between hard boundaries, places that neither the pre-tokenizer's pattern nor any merge
-crosses whatever stands around them; chunks repeat, so a worker keeps the ids of those it has seen. A chunk that is new is
-cut into pre-tokens by the pattern and each is given to the library's merge model. A long text is cut into halves again and
-again, the pieces are encoded in parallel, and TreeJoin puts them together.
+A chunk is what lies between hard boundaries, places that neither the pre-tokenizer's pattern nor any merge crosses whatever
+stands around them; chunks repeat, so a worker keeps the ids of those it has seen. A chunk that is new is cut into
+pre-tokens by the pattern and each is given to the library's merge model. Every text above a leaf is encoded in pieces:
+TreeJoin halves it again and again and joins what the halves give; Splices encodes overlapping pieces and splices them.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import unicodedata
 from array import array
+from typing import NamedTuple
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-#: Chunks, and pre-tokens, kept by a worker process, at about 200 bytes each; once full, new ones are encoded each time they come.
-CACHE_ENTRIES = 120_000
+#: Chunks, and pre-tokens, kept by a worker process, at about 200 bytes each: those that came twice, as most words come but once.
+#: Once full, new ones are encoded each time they come.
+CACHE_ENTRIES = 160_000
 
 # fixed values: the pre-tokenizers' patterns as the tokenizer files and the byte-level scheme define them
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -40,16 +43,21 @@ BYTES_TO_TEXT = _byte_alphabet()
 
 
 class Memo(dict):
-    """A dict that computes what it lacks, and keeps it while there is room."""
+    """A dict that computes what it lacks, and keeps what it lacked twice, while there is room."""
 
     def __init__(self, compute, entries: int = CACHE_ENTRIES):
         super().__init__()
         self.compute, self.entries = compute, entries
+        self.seen = bytearray(1 << 21)
 
     def __missing__(self, key):
         value = self.compute(key)
         if len(self) < self.entries:
-            self[key] = value
+            at = hash(key) & 0x1FFFFF
+            if self.seen[at]:
+                self[key] = value
+            else:
+                self.seen[at] = 1
         return value
 
 
@@ -77,7 +85,7 @@ class Encoder:
     def _chunk(self, chunk: str) -> bytes:
         """A chunk of Latin-1 letters, which normal form leaves as they are, goes to the model piece by piece; others to the library."""
         if len(chunk) > TreeJoin.LEAF_CHARS:
-            return TreeJoin(self).encode(chunk)
+            return self.tree.encode(chunk)
         if not _LATIN.match(chunk) or any(s in chunk for s in self.special):
             return array("I", self.by_library(chunk).ids).tobytes()
         if self.lowers:
@@ -99,18 +107,40 @@ class Encoder:
         return [head, *[" " + x for x in rest]] if head else [" " + x for x in rest]
 
     def encode(self, text: str) -> bytes:
+        return self.flat(text) if len(text) <= TreeJoin.LEAF_CHARS else self.tree.encode(text)
+
+    def flat(self, text: str) -> bytes:
         return b"".join(map(self.chunks.__getitem__, self.split(text)))
 
+    @functools.cached_property
+    def tree(self) -> TreeJoin:
+        return TreeJoin(self)
+
+    @functools.cached_property
+    def splices(self) -> Splices:
+        return Splices(self)
+
     @functools.cached_property
     def counts(self) -> Memo:
         """By byte-level chunk without its leading space: its number of tokens."""
         return Memo(lambda rest: len(self._chunk(" " + rest)) // 4)
 
     def count(self, text: str) -> int:
-        if self.lowers or _before_space(text):
-            return len(self.encode(text)) // 4
-        head, *rest = text.split(" ")
-        return (len(self.chunks[head]) // 4 if head else 0) + sum(map(self.counts.__getitem__, rest))
+        return sum(self.chunk_counts(text)[1]) if len(text) <= TreeJoin.LEAF_CHARS else self.splices.count(text)
+
+    def chunk_counts(self, text: str) -> tuple[list[int], list[int]]:
+        """Where the text's chunks start, and how many tokens each has."""
+        if not self.lowers and not _before_space(text):
+            head, *rest = text.split(" ")
+            counts, sizes = list(map(self.counts.__getitem__, rest)), [len(x) + 1 for x in rest]
+            if head:
+                counts, sizes = [len(self.chunks[head]) // 4, *counts], [len(head), *sizes]
+            return [0, *itertools.accumulate(sizes)][:-1], counts
+        if self.lowers:
+            found = [(m.start(), m.group()) for m in re.finditer(r"[^ \t\n\r\x0b\x0c]+", text)]
+            return [x for x, _ in found], [len(self.chunks[x]) // 4 for _, x in found]
+        chunks = self.split(text)
+        return [0, *itertools.accumulate(map(len, chunks))][:-1], [len(self.chunks[x]) // 4 for x in chunks]
 
     @functools.cached_property
     def tokens(self) -> list[str]:
@@ -132,11 +162,30 @@ def _before_space(text: str) -> bool:
     return re.search(r"\s ", text) is not None
 
 
+class Run(NamedTuple):
+    """A stretch of text; if it is longer than a leaf, with its encoding: ids and their places, in characters."""
+
+    text: str
+    ids: np.ndarray | None = None
+    starts: np.ndarray | None = None
+    ends: np.ndarray | None = None
+
+
+class Piece(NamedTuple):
+    """What a stretch of a text gives by itself: the ids between its first and last hard boundary. What stands before and behind these, its
+    neighbours decide. A stretch without a hard boundary is all head, and has no tail."""
+
+    head: Run
+    body: bytes
+    tail: Run | None
+
+
 class TreeJoin:
     """Encoding by tree concatenation: halves first, then windows around the join, which grow until both sides agree.
 
-    A piece is (text, ids, starts, ends): arrays, in characters, in order. The ids of left + right are those of left up to a place p, those of a
-    window around the join from p to q, and those of right from q. That is exact in two cases.
+    The ids of left + right are those of left up to a place p, those of a window around the join from p to q, and those of right
+    from q. That is exact in two cases. meet() does the first on pieces, whose ends are kept as text up to the nearest hard
+    boundary; join() does both on runs with arrays, so that long text without any such boundary needn't be encoded again.
 
     1. p and q are hard boundaries: white space that the pre-tokenizer's pattern cannot join to what stands before it.
     2. The window lies in one pre-token, a run of letters or of punctuation, and its encoding begins with a token that left has
@@ -169,12 +218,46 @@ class TreeJoin:
         return [*self.pieces(text[:cut]), *self.pieces(text[cut:])]
 
     def encode(self, text: str) -> bytes:
-        return self.joined([self.leaf(x) for x in self.pieces(text)])[1].tobytes()
-
-    def joined(self, parts: list):
-        while len(parts) > 1:
-            parts = [self.join(*parts[i : i + 2]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
-        return parts[0]
+        return self.ids(self.tree(text))
+
+    def tree(self, text: str) -> Piece:
+        return self.met([self.piece(x) for x in self.pieces(text)])
+
+    def piece(self, text: str) -> Piece:
+        """A leaf by itself."""
+        chunks = self.encoder.split(text)
+        if self.encoder.lowers and not any(s in text for s in _SEPARATORS):
+            chunks = [*[""] * text[:1].isspace(), *chunks, *[""] * text[-1:].isspace()]
+        if len(chunks) < 2:
+            return Piece(Run(text), b"", None)
+        return Piece(Run(chunks[0]), b"".join(map(self.encoder.chunks.__getitem__, filter(None, chunks[1:-1]))), Run(chunks[-1]))
+
+    def met(self, pieces: list[Piece]) -> Piece:
+        while len(pieces) > 1:
+            pieces = [self.meet(*pieces[i : i + 2]) if i + 1 < len(pieces) else pieces[i] for i in range(0, len(pieces), 2)]
+        return pieces[0]
+
+    def meet(self, left: Piece, right: Piece) -> Piece:
+        """Both as one: what stands between the last hard boundary of left and the first of right is encoded again."""
+        if left.tail is None:
+            return Piece(self.glue(left.head, right.head), right.body, right.tail)
+        middle = self.glue(left.tail, right.head)
+        if right.tail is None:
+            return Piece(left.head, left.body, middle)
+        return Piece(left.head, left.body + self.run_ids(middle) + right.body, right.tail)
+
+    def glue(self, left: Run, right: Run, overlap: int = 0) -> Run:
+        """The two as one, where the last overlap characters of left are the first of right."""
+        if len(left.text) + len(right.text) - overlap <= self.LEAF_CHARS:
+            return Run(left.text + right.text[overlap:])
+        left, right = (x if x.ids is not None else Run(*self.leaf(x.text)) for x in (left, right))
+        return Run(*(self.spliced(left, right, overlap) if overlap else self.join(left, right)))
+
+    def run_ids(self, run: Run) -> bytes:
+        return self.encoder.flat(run.text) if run.ids is None else run.ids.tobytes()
+
+    def ids(self, piece: Piece) -> bytes:
+        return self.run_ids(piece.head) + piece.body + (self.run_ids(piece.tail) if piece.tail else b"")
 
     def join(self, left, right):
         if not left[0] or not right[0]:
@@ -245,6 +328,60 @@ class TreeJoin:
         return left[0] + right[0][len(left[0]) - n :], *(np.concatenate([x[head], y[tail] + np.uint32(k and n)]) for k, x, y in zip((0, 1, 1), left[1:], right[1:], strict=True))
 
 
+class Splices:
+    """Token counts by overlap resynchronisation: overlapping pieces are encoded with offsets, and neighbours are spliced at a
+    boundary that both have in their overlap and that provably stands in the whole text: a hard one. If the overlap has none, it is
+    widened to both sides, up to the nearest hard boundaries; where they are far apart, what lies between is a run without any, and
+    its own overlapping pieces are spliced at tokens that both sides have (TreeJoin.spliced)."""
+
+    OVERLAP_CHARS = 256
+
+    def __init__(self, encoder: Encoder):
+        self.encoder, self.join = encoder, TreeJoin(encoder)
+
+    def part(self, text: str) -> tuple[np.ndarray, np.ndarray, Run, Run | None]:
+        """(starts, counts, head, tail) of a piece: its hard boundaries, the tokens from each to the next, and what stands before the
+        first and behind the last. A piece without any is all head."""
+        starts, counts = self.encoder.chunk_counts(text)
+        if starts and starts[0] == 0:  # the cut, which is no boundary
+            starts, counts = starts[1:], counts[1:]
+        if not starts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), self.run(text), None
+        return np.array(starts), np.array(counts), self.run(text[: starts[0]]), self.run(text[starts[-1] :])
+
+    def run(self, text: str) -> Run:
+        if len(text) <= self.join.LEAF_CHARS:
+            return Run(text)
+        size, overlap = self.join.LEAF_CHARS, min(self.OVERLAP_CHARS, self.join.LEAF_CHARS // 2)
+        done = None
+        for at in range(0, max(1, len(text) - overlap), size):
+            piece = self.join.leaf(text[at : at + size + overlap])
+            done = piece if done is None else self.join.spliced(done, piece, len(done[0]) - at)
+        return Run(*done)
+
+    def count(self, text: str) -> int:
+        size, overlap = self.join.LEAF_CHARS, self.OVERLAP_CHARS
+        return self.counted([(at, *self.part(text[at : at + size + overlap])) for at in range(0, max(1, len(text) - overlap), size)])
+
+    def counted(self, parts: list[tuple]) -> int:
+        """Tokens of a text from its parts (at, starts, counts, head, tail), in order. All before from_, the start or a hard boundary,
+        is counted in total; run is what is known from there to end."""
+        total, run, from_, end = 0, Run(""), 0, 0
+        for at, starts, counts, head, tail in parts:
+            found = np.searchsorted(starts, from_ - at) if from_ > at else len(starts)
+            if found < len(starts):  # from_ is a boundary of both sides: spliced there
+                total += int(counts[found:-1].sum())
+            else:
+                run = self.join.glue(run, head, min(max(0, end - at), len(head.text)))
+                end = at + len(head.text)
+                if tail is None:
+                    continue
+                total += len(self.join.run_ids(run)) // 4 + int(counts[:-1].sum())
+            run, from_ = tail, at + int(starts[-1])
+            end = from_ + len(tail.text)
+        return total + len(self.join.run_ids(run)) // 4
+
+
 def _rows(piece, start: int = 0, stop: int | None = None) -> list[tuple[int, int, int]]:
     return list(zip(*(x[start:stop].tolist() for x in piece[1:]), strict=True))
 

@@ -93,6 +93,42 @@ def test_codec_counts_and_pieces(spark, docs_of, part_chars):
     assert bpe_codec.encode_and_decode(df.limit(0), WORD).count() == 0 and token_counts.token_counts(df.limit(0), BYTE).count() == 0
 
 
+@pytest.mark.parametrize(("leaf", "overlap"), [(2048, 256), (40, 10), (16, 6)])
+@pytest.mark.parametrize("file", [WORD, BYTE])
+def test_trees_and_splices_of_whole_texts(file, leaf, overlap, monkeypatch):
+    monkeypatch.setattr(bpe.TreeJoin, "LEAF_CHARS", leaf)
+    monkeypatch.setattr(bpe.Splices, "OVERLAP_CHARS", overlap)
+    coder = bpe.Encoder(file)
+    rnd = random.Random(6)
+    texts = [*odd_texts(60, 6000 if leaf == 2048 else 300, 7), " ".join("".join(rnd.choice("abcdeé") for _ in range(rnd.randrange(1, 9))) for _ in range(3000)), "ab" * 3000, " " * 5000, "!?" * 3000, "  a" * 3000, "x" * 5000 + " y " + "z" * 5000, "\n\n " * 2000]
+    for t in texts:
+        want = coder.library.encode(t, add_special_tokens=False).ids
+        assert list(memoryview(coder.encode(t)).cast("I")) == want and coder.count(t) == len(want)
+
+
+@pytest.mark.parametrize("name", ["op5_bpe_codec", "op8_token_counts"])
+def test_registered_queries_against_the_library(spark, small, tmp_path, name):
+    """The whole table, and texts of 70,000 and 1,000,000 characters, with and without white space, at production settings."""
+    rnd = random.Random(8)
+    words = ["".join(rnd.choice("abcdefghé") for _ in range(rnd.randrange(1, 10))) for _ in range(5000)]
+    long = [" ".join(rnd.choice(words) for _ in range(n // 6))[:n] for n in (70_000, 1_000_000)] + ["".join(rnd.choice("abcdefgh") for _ in range(140_000)), "\n \n" * 40_000, "中文字" * 30_000]
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    extra = spark.createDataFrame([(10**6 + i // 2, t, None, None, None) for i, t in enumerate([x for t in long for x in (t, t)])], docs.schema)
+    docs.unionByName(extra).repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = sorted(queries.queries()[name](spark, str(tmp_path)).collect())
+    word, byte = Tokenizer.from_file(WORD), Tokenizer.from_file(BYTE)
+    want = []
+    for r in docs.unionByName(extra).collect():
+        t = r.text or ""
+        if name == "op5_bpe_codec":
+            ids = word.encode(t, add_special_tokens=False).ids
+            want.append((r.doc_id, len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest(), hashlib.sha256(word.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
+        else:
+            n = len(byte.encode(t, add_special_tokens=False).ids)
+            want.append((r.doc_id, len(t.encode()), n, n > 1024))
+    assert [tuple(r) for r in rows] == sorted(want)
+
+
 def test_parts_cover_texts(spark, docs_of):
     df = docs_of(["abcdefghij"]).selectExpr("doc_id AS id", "text")
     assert [r.text for r in long_texts.parts_of(df, 4, 2).orderBy("part").collect()] == ["abcdef", "efghij", "ij"]
