@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,73 +11,100 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-PROJECTIONS = 96
-#: Candidates, and queries, of one task. A block is at most 1.5 times as large as this in practice; ranks in it are 16-bit numbers.
-CANDIDATE_BLOCK, QUERY_BLOCK = 16384, 1024
-#: The first radius, and the factor it grows by while fewer than k vectors are verified.
-FIRST_RADIUS, GROWTH = 0.5, 1.45
+from glossmark.llm.common import written
 
+#: Sorted arrays of a block, and those that take part in a search: where the query lies farthest from the centre, as a window there
+#: holds few of the vectors that are unlike it.
+PROJECTIONS, SEARCHED = 512, 64
+#: A vector is verified when this share of the searched arrays have it in their window.
+COLLISIONS = 0.5
+#: Windows go on until a vector as near as the k-th found would have been verified, with so many standard deviations to spare.
+SURETY = 0.65
+#: The first radius, and the factor it grows by; the larger one while fewer than k vectors are verified.
+FIRST_RADIUS, GROWTH, FAST_GROWTH = 0.8, 1.08, 1.25
+#: Candidates of a block, on average. Blocks are dealt out by a hash of a row number, so a block doesn't come near 65,536, what ranks of 16 bits tell apart.
+BLOCK = 16384
+#: A block is copied once for every so many queries, which is more work than the copy.
+QUERY_GROUP = 65536
 
-def threshold(projections: int) -> int:
-    """Collisions that a vector at distance R shows with a chance of 0.93 in windows of R to each side of the query."""
-    p = math.erf(1 / math.sqrt(2))
-    return max(1, math.floor(projections * p - 1.5 * math.sqrt(projections * p * (1 - p))))
+
+def _normal(x: np.ndarray) -> np.ndarray:
+    """The standard normal distribution function, to about 1e-4, which is enough for a rule of when to stop."""
+    return 0.5 * (1 + np.sign(x) * np.sqrt(1 - np.exp(-np.square(x) * 2 / np.pi)))
 
 
 class Block:
     """Candidates with their projections, each in a sorted array of its own.
 
-    Vectors are scaled by the largest norm and lifted by one coordinate to norm 1, so the largest inner product is the least
-    distance. A window of R to each side holds a vector at distance d with a chance that depends on d / R alone, so one set of
-    arrays serves every radius: larger windows only go on to both sides (virtual rehashing)."""
+    Vectors are scaled by the largest norm and lifted by one coordinate to norm 1, so that the inner product with the query's
+    direction is all that tells how near they are; at rho, a projection is normal around rho times the query's, with variance 1 - rho^2. A window
+    of R to each side of the query serves every R: a larger one goes on to both sides (virtual rehashing), and only the ranks
+    that are new in it are counted."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, scale: float, projections: int = PROJECTIONS):
         self.ids, self.vectors, self.scale, self.m = ids, vectors.astype(np.float64), scale, projections
-        directions = np.random.default_rng(20).standard_normal((vectors.shape[1] + 1, projections))
+        n = len(ids)
+        if n > 1 << 16:
+            raise ValueError("a block holds at most 65,536 vectors")
+        self.directions = np.random.default_rng(20).standard_normal((vectors.shape[1] + 1, projections))
         small = self.vectors / scale
-        self.directions = directions
-        h = small @ directions[:-1] + np.sqrt(np.maximum(0, 1 - (small**2).sum(1)))[:, None] * directions[-1]
-        order = np.argsort(h, axis=0, kind="stable")
-        # where each vector stands in each array: whether a window holds it is one comparison, for all vectors at once
-        self.rank = np.empty((projections, len(ids)), np.uint16)
-        np.put_along_axis(self.rank, order.T, np.arange(len(ids), dtype=np.uint16)[None], axis=1)
+        lift = np.sqrt(np.maximum(0, 1 - (small**2).sum(1)))
+        self.order = np.empty((projections, n), np.uint16)
+        places = np.empty((projections, n))
+        for j in range(0, projections, 64):  # a few at a time, for memory
+            h = (small @ self.directions[:-1, j : j + 64] + lift[:, None] * self.directions[-1, j : j + 64]).T
+            order = np.argsort(h, axis=1, kind="stable")
+            self.order[j : j + 64], places[j : j + 64] = order, np.take_along_axis(h, order, axis=1)
         # the arrays one after the other, far enough apart that one search serves all
-        self.apart = 4 * (np.abs(h).max(initial=0) + 100)
-        self.sorted = (np.take_along_axis(h, order, axis=0) + np.arange(projections) * self.apart).T.ravel()
-
-    def nearest(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k largest inner products found, ties to the smaller id; rows with the id own don't count."""
+        self.apart = 4 * (np.abs(places).max(initial=0) + 100)
+        self.sorted = (places + (np.arange(projections) * self.apart)[:, None]).ravel()
+
+    def _sure(self, at: np.ndarray, radius: float, rho: float, enough: int) -> bool:
+        """Whether windows of this radius count a vector at rho as often as enough, but for little chance."""
+        spread = math.sqrt(max(1e-12, 1 - rho * rho))
+        p = _normal((at + radius - rho * at) / spread) - _normal((at - radius - rho * at) / spread)
+        return p.sum() - enough + 0.5 >= SURETY * math.sqrt((p * (1 - p)).sum())
+
+    def nearest(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """(ids, scores, verified): the k largest inner products found, ties to the smaller id, and how many vectors were verified
+        for them; rows with the id own don't count."""
         n, query = len(self.ids), query.astype(np.float64)
         length = float(np.linalg.norm(query))
-        at = query / length @ self.directions[:-1] + np.arange(self.m) * self.apart
-        base = np.arange(self.m) * n
-        verified = self.ids == own
+        at = query / length @ self.directions[:-1]
+        chosen = np.argsort(-np.abs(at), kind="stable")[:SEARCHED]
+        at, base, shift = at[chosen], chosen * n, chosen * self.apart
+        enough = max(1, math.ceil(COLLISIONS * len(chosen)))
+        verified, counts = self.ids == own, np.zeros(n, np.int64)
         found, scores = np.zeros(0, np.int64), np.zeros(0)
-        radius, enough = FIRST_RADIUS, threshold(self.m)
-        k = min(k, n - int(verified.sum()))
+        total = n - int(verified.sum())
+        k, radius = min(k, total), FIRST_RADIUS
+        left = right = np.clip(np.searchsorted(self.sorted, at + shift) - base, 0, n)
         while k:
-            left = np.clip(np.searchsorted(self.sorted, at - radius) - base, 0, n)
-            right = np.clip(np.searchsorted(self.sorted, at + radius, side="right") - base, 0, n)
-            inside = (self.rank - left.astype(np.uint16)[:, None]) < (right - left).astype(np.uint16)[:, None]
-            counts = np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)  # of at most 255 projections
+            wide = np.clip(np.searchsorted(self.sorted, np.stack([at - radius + shift, np.nextafter(at + radius, np.inf) + shift])) - base, 0, n)
+            spans = [self.order[j, a:b] for j, new, l, r, end in zip(chosen.tolist(), wide[0].tolist(), left.tolist(), right.tolist(), wide[1].tolist(), strict=True) for a, b in ((new, l), (r, end)) if a < b]
+            left, right = np.minimum(wide[0], left), np.maximum(wide[1], right)
+            if spans:
+                counts += np.bincount(np.concatenate(spans), minlength=n)
             fresh = np.flatnonzero((counts >= enough) & ~verified)
             verified[fresh] = True
             found = np.r_[found, fresh]
-            scores = np.r_[scores, np.einsum("ij,j->i", self.vectors[fresh], query)]
+            scores = np.r_[scores, self.vectors[fresh] @ query]
+            if len(found) == total:
+                break
             if len(found) >= k:
                 kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-                needed = math.sqrt(max(0.0, 2 - 2 * kth / (length * self.scale)))
-                if needed <= radius:
+                if self._sure(at, radius, min(1.0, kth / (length * self.scale)), enough):
                     break
-                radius = needed
-            else:
                 radius *= GROWTH
+            else:
+                radius *= FAST_GROWTH if len(found) < k // 2 else GROWTH
+        seen = len(found)
         # equal vectors must tie exactly, so the best are summed once more, in an order that their place doesn't change
         if k:
             found = found[scores >= np.partition(scores, len(scores) - k)[len(scores) - k] - 1e-9 * length * self.scale]
         scores = (self.vectors[found] * query).sum(1)
         best = np.lexsort((self.ids[found], -scores))[:k]
-        return self.ids[found[best]], scores[best]
+        return self.ids[found[best]], scores[best], seen
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -90,38 +118,46 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 def nearest_neighbours(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, id_col, score): the k largest inner products found for each row that is_query, a condition on id, holds for.
 
-    Every task has a block of queries and a block of candidates, indexes its candidates by sorted projections, and verifies
-    those that collide with a query often enough; the best of all blocks are ranked. Scores are in double precision on the
-    original vectors; ties go to the smaller id. Vectors that usable() leaves out take no part, nor do those of another
-    length than the most common one (the shorter, if several are). Rows with the query's own id are no candidates. An empty
-    table gives no rows. Columns other than the two are not read.
+    Candidates are dealt into blocks of about BLOCK, each of them in one place; queries go to every block, and are streamed past its
+    index, so a task holds one block and a few queries. A block's vectors that collide with a query often enough are
+    verified, and the best of all blocks are ranked. Scores are in double precision on the original vectors; ties go to the
+    smaller id. Vectors that usable() leaves out take no part, nor do those of another length than the most common one (the
+    shorter, if several are). Rows with the query's own id are no candidates; rows that repeat an id or a vector each count. An
+    empty table gives no rows. Columns other than the two are not read.
     """
-    good = usable(vectors, id_col, vector_col)
-    sizes = good.groupBy(F.size("vector").alias("size")).agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)).alias("norm")).orderBy(F.desc("n"), "size").take(1)
+    good = written(usable(vectors, id_col, vector_col).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    sizes = good.groupBy(F.size("vector").alias("size")).agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query(F.col("id"))).alias("queries"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)).alias("norm")).orderBy(F.desc("n"), "size").take(1)
     if not sizes:
         return good.sparkSession.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
     size, n, scale = sizes[0]["size"], sizes[0]["n"], math.sqrt(sizes[0]["norm"]) * (1 + 1e-12)
+    blocks, groups = math.ceil(n / BLOCK), max(1, math.ceil(sizes[0]["queries"] / QUERY_GROUP))
     good = good.where(F.size("vector") == size)
-    queries = good.where(is_query(F.col("id")))
-    q_blocks, c_blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK)), math.ceil(n / CANDIDATE_BLOCK)
-
-    def block(count: int, other: int, mine: str, theirs: str) -> list:
-        return [F.pmod(F.xxhash64("id", F.xxhash64("vector")), F.lit(count)).cast("int").alias(mine), F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias(theirs)]
-
-    dealt = queries.select("id", "vector", F.lit(True).alias("query"), *block(q_blocks, c_blocks, "q", "c"))
-    dealt = dealt.unionByName(good.select("id", "vector", F.lit(False).alias("query"), *block(c_blocks, q_blocks, "c", "q")))
-
-    def search(table: pa.Table) -> pa.Table:
-        ask = table.column("query").to_numpy(zero_copy_only=False).astype(bool)
-        ids = table.column("id").to_numpy()
-        all_ = table.column("vector").combine_chunks().flatten().to_numpy().reshape(-1, size)
-        found = []
-        if ask.any() and not ask.all():
-            index = Block(ids[~ask], all_[~ask], scale)
-            found = [(i, *index.nearest(i, v, k)) for i, v in zip(ids[ask], all_[ask], strict=True)]
-        columns = [np.concatenate(x) if found else np.zeros(0) for x in ([np.full(len(f[1]), f[0]) for f in found], [f[1] for f in found], [f[2] for f in found])]
-        return pa.table({"query_id": pa.array(columns[0].astype(np.int64)), id_col: pa.array(columns[1].astype(np.int64)), "score": pa.array(columns[2])})
-
-    found = dealt.groupBy("q", "c").applyInArrow(search, f"query_id long, {id_col} long, score double")
+    to_all = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    hashed = lambda count: F.pmod(F.xxhash64("row"), F.lit(count)).cast("int")
+    candidates = good.select("id", "vector", F.lit(False).alias("query"), hashed(blocks).alias("block"), to_all(groups).alias("group"))
+    queries = good.where(is_query(F.col("id"))).select("id", "vector", F.lit(True).alias("query"), to_all(blocks).alias("block"), hashed(groups).alias("group"))
+    dealt = candidates.unionByName(queries).select("id", "vector", "query", (F.col("group") * blocks + F.col("block")).alias("place"))
+    dealt = dealt.repartitionById(blocks * groups, "place").sortWithinPartitions("place", "query")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, held, index = None, [], None
+        for batch in batches:
+            at, ask, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("place", "query", "id"))
+            all_ = batch.column("vector").flatten().to_numpy().reshape(-1, size)
+            cuts = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (ask[1:] != ask[:-1])]) if len(at) else []
+            for a, b in zip(cuts, np.r_[cuts[1:], len(at)], strict=True):
+                if at[a] != place:
+                    place, held, index = at[a], [], None
+                if not ask[a]:
+                    held.append((ids[a:b], all_[a:b].copy()))
+                    continue
+                if index is None and held:
+                    index, held = Block(*(np.concatenate(x) for x in zip(*held, strict=True)), scale), []
+                if index is not None:
+                    found = [(i, *index.nearest(i, v, k)) for i, v in zip(ids[a:b], all_[a:b], strict=True)]
+                    columns = (np.concatenate([np.full(len(f[1]), f[0]) for f in found]), np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found]))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", id_col, "score"])
+
+    found = dealt.mapInArrow(search, f"query_id long, {id_col} long, score double")
     best = W.partitionBy("query_id").orderBy(F.desc("score"), id_col)
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", id_col, "score")

@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -245,6 +246,36 @@ def test_neighbours_recall_and_edges(spark, small):
     assert np.mean(recall) >= 0.9
 
 
+def test_few_vectors_are_verified_at_good_recall():
+    rows = pq.read_table("/root/testdata/sf0.1/embeddings.parquet", columns=["vec_id", "embedding"])
+    ids, all_ = rows["vec_id"].to_numpy(), np.array(rows["embedding"].to_pylist(), float)
+    block = ann.Block(ids, all_, np.linalg.norm(all_, axis=1).max() * (1 + 1e-12))
+    recall, verified = [], []
+    for q in np.flatnonzero(ids % 20 == 0):
+        exact = (all_ * all_[q]).sum(1)
+        exact[q] = -np.inf
+        found, _, seen = block.nearest(ids[q], all_[q], 20)
+        recall.append(len(set(ids[np.lexsort((ids, -exact))[:20]].tolist()) & set(found.tolist())) / 20)
+        verified.append(seen / len(ids))
+    assert np.mean(recall) >= 0.9 and np.mean(verified) <= 0.1
+
+
+def test_neighbours_of_many_repeated_rows_and_blocks(spark, monkeypatch):
+    """Rows that repeat id and vector are dealt out like any others; several blocks and query groups give what one gives."""
+    rng = np.random.default_rng(3)
+    rows = [(7, [1.0, 0.0, 0.0])] * 3000 + [(i, rng.standard_normal(3).tolist()) for i in range(20, 120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "BLOCK", 500)
+    monkeypatch.setattr(ann, "QUERY_GROUP", 2)
+    found = ann.nearest_neighbours(df, lambda i: i % 20 == 0, k=3).collect()
+    assert Counter(r.query_id for r in found) == {i: 3 for i in range(20, 120, 20)}
+    vectors = {i: np.array(v) for i, v in rows}
+    for q in range(20, 120, 20):
+        exact = sorted(((-float((vectors[i] * vectors[q]).sum()), i) for i, _ in rows if i != q))[:3]
+        mine = sorted((r.rank, r.vec_id) for r in found if r.query_id == q)
+        assert [i for _, i in mine] == [i for _, i in exact]
+
+
 def test_neighbour_edges(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 0.0]), (20, [0.0, 2.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, [1.0, 1.0, 1.0]), (9, [-3.0, 0.5]), (None, [1.0, 1.0]), (40, []), (60, None)]
