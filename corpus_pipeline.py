@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmark.llm import dart_minhash, exact_dedup, langid, packing, substring
-from glossmark.llm.common import bloom_blocks, bloom_filter, bloom_probe, written
+from glossmark.llm.common import bloom_blocks, bloom_filter, bloom_probe, kept, scratch_scope, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -28,14 +28,23 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate class the document with the smallest doc_id stays."""
-    dropped = written(dart_minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id"), "near-copies")
+    """Of each near-duplicate class the document with the smallest doc_id stays; null ids come last.
+
+    Rows are told apart by doc_id and text together, so a row that shares only its doc_id with a dropped copy stays. Rows that
+    are alike in both are exact copies, which the stage before has removed; here they stay or go together."""
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text_hash"))
+    classes = dart_minhash.near_duplicates(docs.select(row.alias("row"), "text"), "row")
+    dropped = written(classes.where(~F.col("kept")).select("row.doc_id", "row.text_hash").distinct(), "near-copies")
     # Only rows that a Bloom filter takes for dropped ones are shuffled to make sure; the rest pass straight through.
+    hashed = dropped.select(F.xxhash64("doc_id", "text_hash").alias("row__"))
     blocks = bloom_blocks(dropped.count(), 16)
-    filter_ = written(bloom_filter(dropped, "doc_id", blocks, 2), "near-copies-filter")
-    probed = bloom_probe(docs, "doc_id", filter_, blocks, 2, "maybe__")
-    kept = probed.where(~F.col("maybe__")).select(*COLUMNS)
-    return kept.unionByName(probed.where("maybe__").select(*COLUMNS).join(dropped, "doc_id", "left_anti"))
+    filter_ = written(bloom_filter(hashed, "row__", blocks, 2), "near-copies-filter")
+    told = docs.select(*COLUMNS, F.xxhash64("text").alias("text_hash__"), F.xxhash64("doc_id", F.xxhash64("text")).alias("row__"))
+    probed = bloom_probe(told, "row__", filter_, blocks, 2, "maybe__")
+    sure = probed.where(~F.col("maybe__")).select(*COLUMNS)
+    gone = dropped.select(F.col("doc_id").alias("gone__"), F.col("text_hash").alias("gone_hash__"))
+    left = probed.where("maybe__").join(gone, F.col("doc_id").eqNullSafe(F.col("gone__")) & (F.col("text_hash__") == F.col("gone_hash__")), "left_anti")
+    return sure.unionByName(left.select(*COLUMNS))
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,5 +73,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch_scope(spark):  # the tables on a stage's way go once its result is written
+            docs = kept(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -17,10 +19,17 @@ BLOCK_BITS = 32768
 MAX_BROADCAST_BYTES = 32 << 20
 
 
+#: Bytes of one Arrow batch on its way to a Python worker, while a scratch table is computed: a worker holds a few batches, whatever the rows' size.
+BATCH_BYTES = 4 << 20
+_scopes: list[list[str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it; a local one only where none is set."""
+    """The folder all executors share, as the session names it. A folder of this machine only where Spark runs on it alone."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="glossmark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -34,15 +43,47 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: computed once, and readable whatever executor is lost later."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    if _scopes:
+        _scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """At its end the tables written within it go: write what reads them first, outside of the scope's own list (see kept)."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _delete(spark, path)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df as a table that outlives the scope it is written in."""
+    out = written(df, name)
+    if _scopes:
+        path = _scopes[-1].pop()
+        if len(_scopes) > 1:
+            _scopes[-2].append(path)
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the scratch tables of this application; results that still read them must be written first."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/glossmark-{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_dir(spark).rstrip('/')}/glossmark-{spark.sparkContext.applicationId}")
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -22,6 +22,8 @@ COORDINATES, MAX_UNLIKE = 368, 97
 DARTS = int(COORDINATES * (np.log(COORDINATES) + 2))
 #: Members of a leader that one copy of the leader's elements is joined with.
 MEMBERS_PER_COPY = 500
+#: What one numpy pass takes: about so many characters, and documents that throw some 200,000 darts; a longer text is a pass of its own.
+PASS_CHARS, PASS_DOCUMENTS = 1 << 19, 64
 
 
 def elements(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +93,7 @@ def signatures(owner: np.ndarray, element: np.ndarray, documents: int) -> np.nda
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         texts = batch.column("text").to_pylist()
-        for some in words.passes(texts):
+        for some in words.passes(texts, PASS_CHARS, PASS_DOCUMENTS):
             owner, element = elements([texts[i] for i in some])
             n = len(some)
             size = np.bincount(owner, minlength=n)
@@ -111,24 +113,24 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, elements): a document's elements as sorted 32-bit fingerprints."""
+    """(node, elements): a document's elements, sorted."""
     for batch in slices(batches):
         texts = batch.column("text").to_pylist()
-        for some in words.passes(texts):
+        for some in words.passes(texts, PASS_CHARS, PASS_DOCUMENTS):
             owner, element = elements([texts[i] for i in some])
             cut = np.r_[0, np.cumsum(np.bincount(owner, minlength=len(some)))]
             rows = [element[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
             node = np.array([words.xxhash.xxh64_intdigest(x.tobytes()) for x in rows], np.uint64).astype(np.int64)
-            packed = [np.unique((x >> np.uint64(32)).astype(np.uint32)).tobytes() for x in rows]
+            packed = [np.sort(x).tobytes() for x in rows]
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(packed, pa.binary())], names=["node", "elements"])
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, 1024):
+    for batch in slices(batches, 64):
         pairs = zip(batch.column("mine").to_pylist(), batch.column("theirs").to_pylist(), strict=True)
         keep = []
         for a, b in pairs:
-            a, b = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
             if min(len(a), len(b)) < THRESHOLD * max(len(a), len(b)):
                 keep.append(False)
                 continue
@@ -211,7 +213,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and have like sketches are candidates. First each is held against the hubs of its buckets, the nodes that share most, and the
     likest is verified; that settles most members of large classes. Then, where a bucket still holds several classes, each
     pair across them is a candidate; the sketches are compared within that join, so pairs that aren't alike are never rows.
-    Candidates are verified on their elements, as 32-bit fingerprints. Rows without words (null, empty)
+    Candidates are verified on all their elements, 64-bit hashes. Rows without words (null, empty)
     are each a class of their own; rows that repeat an id or a text share the class. kept is true for the rows whose id is
     class_id; null ids count as larger than all others, and a row alone is kept in any case. An empty table gives none.
     """

@@ -61,12 +61,12 @@ def rolling(h: np.ndarray, width: int) -> np.ndarray:
     return mix(out)
 
 
-def passes(texts: list[str | None]) -> Iterator[range]:
-    """Runs of positions in texts whose characters add up to about PASS_CHARS."""
+def passes(texts: list[str | None], chars: int = PASS_CHARS, most: int = PASS_TEXTS) -> Iterator[range]:
+    """Runs of positions in texts, most at a time, whose characters add up to about so many."""
     start, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t or "")
-        if size >= PASS_CHARS or i + 1 - start == PASS_TEXTS:
+        if size >= chars or i + 1 - start == most:
             yield range(start, i + 1)
             start, size = i + 1, 0
     if start < len(texts):
