@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from glossmark.llm.common import bloom_blocks, bloom_filter, bloom_probe, fresh, join_groups, without, written
 
 OUTPUTS = ("keep_id", "group_size", "kept", "text_sha256")
-BITS_PER_ROW, HASHES = 16, 2
+#: One slot a row, so that pass one counts one slot a row; a row that is alone shares it with another one with a chance of 1 in 64.
+BITS_PER_ROW, HASHES = 64, 1
 
 
 def text_digest(text: Column) -> Column:
@@ -21,27 +21,30 @@ def text_digest(text: Column) -> Column:
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", digest: str = "text_sha256", bits_per_row: int = BITS_PER_ROW, keep: str = "min") -> DataFrame:
     """Mark all but one of the rows whose digest column is equal.
 
-    Pass one counts the rows that set each slot of a blocked Bloom filter and keeps the slots set more than once. Pass two
-    probes it with every row: a row with an unset slot is alone and passes straight through; only the others are shuffled,
-    where an exact group-by on the digest settles them; groups that hold a large share of the rows are joined by broadcast. False positives cost a shuffle of their row, never a wrong result.
+    Pass one counts the rows that set each slot of a blocked Bloom filter and keeps the slots set more than once: a slot's number
+    is shuffled for each digest of a task, nothing else of the rows. Pass two probes the filter with every row: a row with an
+    unset slot is alone and passes straight through; only the others are shuffled, where an exact group-by on the digest
+    settles them, with sums in each task first; groups that hold a large share of the rows are joined by broadcast. False
+    positives cost a shuffle of their row, never a wrong result.
 
     Adds keep_id (smallest, or with keep="max" largest, non-null id of the group; null if all are null), group_size and kept. Rows that repeat an id and a
-    digest are copies like any other: exactly one of them is kept, chosen by a hash of its columns. Input columns named
-    like the added ones are replaced. An empty table gives an empty table.
+    digest are copies like any other: exactly one of them is kept. Input columns named like the added ones are replaced. An
+    empty table gives an empty table.
     """
     docs = docs.select(*without(docs, {"keep_id", "group_size", "kept"}))
     total = docs.count()
     blocks = bloom_blocks(total, bits_per_row)
     repeated = written(bloom_filter(docs.select(digest), digest, blocks, HASHES, at_least=2), "repeated-slots")
-    flag = fresh(docs, "may_repeat")
+    flag, row = fresh(docs, "may_repeat"), fresh(docs, "row__")
     probed = bloom_probe(docs, digest, repeated, blocks, HASHES, flag)
     alone = probed.where(~F.col(flag)).select(*docs.columns, F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
-    flagged = written(probed.where(F.col(flag)).select(*docs.columns), "may-repeat")
-    groups = flagged.groupBy(digest).agg((F.min if keep == "min" else F.max)(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    nth = fresh(docs, "nth")
-    hashable = [F.col(c) for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
-    ranked = flagged.withColumn(nth, F.row_number().over(W.partitionBy(digest, id_col).orderBy(F.xxhash64(*hashable))))
-    settled = join_groups(ranked, groups, digest, "group_size", total).withColumn("kept", F.col(id_col).eqNullSafe(F.col("keep_id")) & (F.col(nth) == 1))
+    flagged = written(probed.where(F.col(flag)).select(*docs.columns, F.monotonically_increasing_id().alias(row)), "may-repeat")
+    known = F.col(id_col).isNotNull()
+    first = F.min(F.struct((~known).alias("none"), F.col(id_col).alias("id"), row)) if keep == "min" else F.max(F.struct(known.alias("none"), F.col(id_col).alias("id"), row))
+    one, kept_row = fresh(docs, "one__"), fresh(docs, "kept_row__")
+    groups = flagged.groupBy(digest).agg(first.alias(one), F.count(F.lit(1)).alias("group_size"))
+    groups = groups.select(digest, F.col(f"{one}.id").alias("keep_id"), F.col(f"{one}.{row}").alias(kept_row), "group_size")
+    settled = join_groups(flagged, groups, digest, "group_size", total).withColumn("kept", F.col(row) == F.col(kept_row))
     return alone.unionByName(settled.select(*docs.columns, "keep_id", "group_size", "kept"))
 
 
