@@ -17,6 +17,8 @@ TABLE_BITS = 16
 ORDER = 3
 #: The model is fitted on about so many labelled documents of each language at most, picked by a hash of their id.
 FIT_DOCS_PER_LANGUAGE = 4000
+#: Labels learned, those of most documents: a model holds 512 KB a language.
+MOST_LANGUAGES = 400
 BLOCK_CHARS = 1 << 20
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -74,7 +76,7 @@ class LanguageModel:
         if len(self.languages) > 1:
             everything, _ = self.proportions(p, n)
             for other in np.argsort(-everything, kind="stable"):
-                if other in chosen or everything[other] < 0.02:
+                if other in chosen:
                     continue
                 new, likelihood = self.proportions(p[[*chosen, other]], n)
                 if likelihood - best <= self.penalty * np.log(n.sum() + 1):
@@ -100,18 +102,19 @@ def held_out(id_: Column) -> Column:
     return F.coalesce(F.crc32(id_.cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = FIT_DOCS_PER_LANGUAGE) -> LanguageModel:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = FIT_DOCS_PER_LANGUAGE, languages: int = MOST_LANGUAGES) -> LanguageModel:
     """A model from the labelled documents outside the held-out fold.
 
     At most about per_language documents of each language are read whole, picked by a hash of their id; null labels, texts
-    and ids are left out. What comes to the driver is a table of languages by 65,536 hashed n-grams, whatever the input."""
+    and ids are left out, and so are labels beyond the most frequent ones, as a dirty column may hold any number. What comes to the driver is a table of languages by 65,536 hashed n-grams, whatever the input."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
-    sizes = {r[0]: r[1] for r in known.groupBy(lang_col).agg(F.count(F.lit(1))).collect()}
+    counted = known.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n__")).orderBy(F.desc("n__"), lang_col)
+    sizes = {r[0]: r[1] for r in counted.limit(languages).collect()}
     languages = sorted(sizes)
     if not languages:
         return LanguageModel([], np.zeros((0, 1 << TABLE_BITS)))
     limit = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(min(1.0, per_language / sizes[k])))])
-    sample = known.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < limit[F.col(lang_col)] * (1 << 20)).select(lang_col, text_col)
+    sample = known.where(F.col(lang_col).isin(languages)).where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < limit[F.col(lang_col)] * (1 << 20)).select(lang_col, text_col)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
