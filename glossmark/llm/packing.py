@@ -40,16 +40,23 @@ def token_pieces(docs: DataFrame, file: str, id_col: str = "doc_id", text_col: s
 
 
 class Plan:
-    """Which lengths share a sequence, and how many sequences are alike. Its size follows capacity, not the number of pieces."""
+    """Which lengths share a sequence, and how many sequences are alike. Its size follows capacity, not the number of pieces.
+
+    pairs is the index of pair sums: by sum, how many pairs of lengths that are left make it up. It is kept in step as lengths run
+    out; a triple is a length that is left and a pair whose sum is the rest."""
 
     def __init__(self, histogram: dict[int, int], capacity: int):
-        """Complements of up to three lengths use up short ones that best fit could place better when all lengths are few. So it is
-        tried with up to three, two, one and none, and the plan of fewest sequences stands; of equal ones the first."""
+        """Complements of up to three lengths use up short ones that would fill gaps better where all lengths are few. So there is a plan
+        with up to three, one with two and one with one; that of fewest sequences stands, of equal ones the first."""
         self.capacity = capacity
         plans = []
-        for self.most in (3, 2, 1, 0):
+        for self.most in (3, 2, 1):
             self.left = np.zeros(capacity + 1, np.int64)
             self.left[list(histogram)] = list(histogram.values())
+            there = np.flatnonzero(self.left)
+            self.pairs = np.zeros(2 * capacity + 1, np.int64)
+            for i, a in enumerate(there):
+                self.pairs[a + there[i:]] += 1
             self.patterns: list[tuple[int, list[int]]] = []
             for length in range(capacity, 0, -1):
                 while self.left[length] and (more := self._complement(length)) is not None:
@@ -66,23 +73,23 @@ class Plan:
         self.patterns.append((times, lengths))
         for x in lengths:
             self.left[x] -= times
+        for x in {x for x in lengths if not self.left[x]}:
+            self.pairs[x + np.flatnonzero(self.left)] -= 1
+            self.pairs[2 * x] -= 1
+            self.left[x] = 0
 
     def _complement(self, length: int) -> list[int] | None:
-        """One, two or three available lengths that exactly fill the gap beside length; None if there are none."""
+        """One, two or three lengths that are left and exactly fill the gap beside length; None if there are none."""
         gap = self.capacity - length
         if gap == 0:
             return []
-        if self.most >= 1 and self._times([length, gap]):
+        if self._times([length, gap]):
             return [gap]
-        if self.most >= 2 and (pair := self._pair(gap, [length])) is not None:
+        if self.most >= 2 and self.pairs[gap] and (pair := self._pair(gap, [length])) is not None:
             return pair
         if self.most < 3:
             return None
-        # The index of pair sums: how many pairs of available lengths make up each sum.
-        have = (self.left[: gap + 1] > 0).astype(np.float64)
-        size = 1 << (2 * gap + 1).bit_length()
-        sums = np.fft.irfft(np.fft.rfft(have, size) ** 2, size)[: gap + 1] > 0.5
-        thirds = np.flatnonzero((have > 0) & sums[::-1])
+        thirds = np.flatnonzero((self.left[:gap] > 0) & (self.pairs[gap:0:-1] > 0))
         for third in thirds[np.argsort(np.abs(3 * thirds - gap), kind="stable")]:
             if (pair := self._pair(gap - int(third), [length, int(third)])) is not None:
                 return [int(third), *pair]
@@ -138,7 +145,7 @@ def best_fit_pack(pieces: DataFrame, capacity: int = CAPACITY, tie_cols: tuple[s
     """pieces (any columns, with length from 1 to capacity) with sequence_id and offset.
 
     Exact complements first: one, two or three lengths that fill the gap beside the longest one left, under the counts of
-    what is available; best fit for the rest. Only the histogram of lengths, of at most capacity rows, comes to the driver.
+    what is available; best fit for the rest (Plan tells how many complements it takes at most). Only the histogram of lengths, of at most capacity rows, comes to the driver.
     The pieces of a length are told apart by rank; ranks are counted in buckets, so a length that a third of all pieces
     have is shared out. pieces is read more than once: pass a written table. Columns named like the added ones are replaced.
     """
