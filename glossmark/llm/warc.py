@@ -36,9 +36,13 @@ _DATE = "1970-01-01T00:00:00Z"
 
 
 def member(data: bytes) -> bytes:
-    """A gzip member that tells its own length."""
-    squeeze = zlib.compressobj(6, zlib.DEFLATED, -15)
-    body = squeeze.compress(data) + squeeze.flush()
+    """A gzip member that tells its own length. No member's start stands within its body, as one would where an archive is stored in an
+    archive: such data is coded with fixed codes, whose bytes aren't those of the data."""
+    for strategy in (zlib.Z_DEFAULT_STRATEGY, zlib.Z_FIXED):
+        squeeze = zlib.compressobj(6, zlib.DEFLATED, -15, strategy=strategy)
+        body = squeeze.compress(data) + squeeze.flush()
+        if _MEMBER not in body:
+            break
     tail = struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
     return _MEMBER + struct.pack("<II", _HEAD + len(body) + 8, len(data) & 0xFFFFFFFF) + body + tail
 
@@ -72,13 +76,18 @@ class Archive:
             self.at, self.block = at, self.file.read_at(min(max(n, _BLOCK), max(0, self.size - at)), at)
         return self.block[at - self.at : at - self.at + n]
 
+    def leads_on(self, at: int) -> bool:
+        """Whether the member that seems to begin here ends where another one begins, or the file ends."""
+        after = at + struct.unpack("<I", self.get(at + len(_MEMBER), 4).ljust(4, b"\0"))[0]
+        return after == self.size or at < after < self.size and self.get(after, len(_MEMBER)) == _MEMBER
+
     def next_member(self, at: int, end: int) -> int:
         """Where the first member with a length begins at or after at; end if there is none before it."""
         while at < end:
             found = self.get(at, min(_BLOCK, self.size - at)).find(_MEMBER)
-            if found >= 0:
+            if found >= 0 and self.leads_on(at + found):
                 return min(at + found, end)
-            at += max(1, min(_BLOCK, self.size - at) - len(_MEMBER))
+            at += found + 1 if found >= 0 else max(1, min(_BLOCK, self.size - at) - len(_MEMBER))
         return end
 
 
