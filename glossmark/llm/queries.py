@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossmark.llm import ann, bpe_codec, dart_minhash, exact_dedup, langid, packing, page_archive, substring, token_counts, url_filter, warc
+from glossmark.llm import ann, bpe_codec, dart_minhash, exact_dedup, langid, packing, page_archive, substring, token_counts, url_filter
 from glossmark.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +41,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     page_archive.archive_pages(_table(spark, sf_dir, "pages"), path)
-    return page_archive.archived_pages(warc.read_warc(spark, path, payload="false", verify="true"))
+    return page_archive.read_pages(spark, path)
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,37 +49,36 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op4_sql(limits: url_filter.TreeLimits = url_filter.TreeLimits()) -> str:
-    """The same tree in SQL, level by level; for paths of up to limits.depth segments all levels are there."""
+    """The same tree in SQL, one level after the other, whatever their number."""
     rules = sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))
     fits = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p, int(a == "block")) for a, h, p in rules]
     rule = "CASE " + " ".join(f"WHEN {f} THEN '{r}'" for f, r, _ in fits) + " END"
     label = "CASE " + " ".join(f"WHEN {f} THEN {b}" for f, _, b in fits) + " END"
-    sql = f"""WITH parts AS (
+    return rf"""WITH RECURSIVE parts AS (
   SELECT page_id, CASE WHEN contains(u, '://') THEN translate(regexp_extract(u, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
          CASE WHEN contains(u, '://') THEN regexp_extract(u, '^.*?://[^/?#]*([^?#]*)', 1, 's') ELSE '' END AS path
   FROM (SELECT page_id, coalesce(url, '') AS u FROM pages)),
-r0 AS (
-  SELECT page_id, host, path, {rule} AS rule, {label} AS blocked, '' AS template,
-         CASE WHEN len(s) > {limits.depth} THEN list_append(s[1:{limits.depth - 1}], array_to_string(s[{limits.depth}:], '/')) ELSE s END AS s
-  FROM (SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS s FROM parts))"""
-    for k in range(limits.depth):
-        sql += f""",
-g{k} AS (
-  SELECT *, CASE WHEN regexp_matches(e, '^[0-9]+$') THEN '{{n}}' WHEN regexp_matches(e, '^[0-9]{{4}}-[0-9]{{2}}(-[0-9]{{2}})?$') THEN '{{date}}'
-    WHEN regexp_matches(e, '^[0-9]+\\.[A-Za-z]{{1,5}}$') THEN '{{n}}.' || regexp_extract(e, '\\.(.*)$', 1)
-    WHEN regexp_matches(e, '^[0-9a-fA-F-]{{16,}}$') THEN '{{hex}}' ELSE e END AS g FROM (SELECT *, s[{k + 1}] AS e FROM r{k})),
-n{k} AS (SELECT host, template, g, count(*) AS n, count(blocked) AS labelled, coalesce(sum(blocked), 0) AS bad FROM g{k} WHERE g IS NOT NULL GROUP BY ALL),
-w{k} AS (SELECT *, count(*) OVER w AS children, sum(n) OVER w AS urls, sum(labelled) FILTER (labelled >= {limits.min_labelled}) OVER w AS al,
-    (sum(bad) FILTER (labelled >= {limits.min_labelled}) OVER w) / al AS share, count(*) FILTER (labelled >= {limits.min_labelled}) OVER w AS firm
-    FROM n{k} WINDOW w AS (PARTITION BY host, template)),
-m{k} AS (SELECT host, template, g, CASE WHEN children >= {limits.min_children} AND children >= {limits.variable_share} * urls THEN '*'
-    WHEN labelled >= {limits.min_labelled} AND firm > 1 AND abs(bad / labelled - share) <= {limits.z} * sqrt(share * (1 - share) / labelled) THEN '~' ELSE g END AS name FROM w{k}),
-r{k + 1} AS (SELECT page_id, host, path, rule, blocked, s, template || coalesce('/' || name, '') AS template FROM g{k} LEFT JOIN m{k} USING (host, template, g))"""
-    last = f"r{limits.depth}"
-    return sql + f""",
-p AS (SELECT host, template, (coalesce(sum(blocked), 0) + 1) / (count(blocked) + 2) >= {limits.purity} AS rejected FROM {last} GROUP BY ALL)
+r AS (
+  SELECT page_id, host, path, {rule} AS rule, {label} AS blocked, '' AS template, 0 AS k,
+    list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda e: CASE WHEN regexp_matches(e, '^[0-9]+$') THEN '{{n}}' WHEN regexp_matches(e, '^[0-9]{{4}}-[0-9]{{2}}(-[0-9]{{2}})?$') THEN '{{date}}'
+      WHEN regexp_matches(e, '^[0-9]+\.[A-Za-z]{{1,5}}$') THEN '{{n}}.' || regexp_extract(e, '\.(.*)$', 1) WHEN regexp_matches(e, '^[0-9a-fA-F-]{{16,}}$') THEN '{{hex}}' ELSE e END) AS s
+  FROM parts
+  UNION ALL
+  SELECT * FROM (
+    WITH g AS (SELECT *, s[k + 1] AS step FROM r WHERE len(s) > k),
+    c AS (SELECT host, template, step, count(*) AS n, count(blocked) AS labelled, coalesce(sum(blocked), 0)::DOUBLE AS bad FROM g GROUP BY ALL),
+    w AS (SELECT host, template, count(*) >= {limits.min_children} AND count(*) >= {limits.variable_share} * sum(n) AS variable FROM c GROUP BY ALL),
+    o AS (SELECT *, lag(labelled) OVER v AS n0, lag(bad) OVER v AS bad0, (bad0 + bad) / (n0 + labelled) AS p FROM (SELECT host, template, labelled, bad, count(*) AS alike FROM c WHERE labelled >= {limits.min_labelled} GROUP BY ALL)
+      WINDOW v AS (PARTITION BY host, template ORDER BY bad / labelled, labelled)),
+    h AS (SELECT *, sum(CASE WHEN abs(bad / labelled - bad0 / n0) > {limits.z} * sqrt(p * (1 - p) * (1 / n0 + 1 / labelled)) THEN 1 ELSE 0 END) OVER (PARTITION BY host, template ORDER BY bad / labelled, labelled ROWS UNBOUNDED PRECEDING) AS grp FROM o),
+    m AS (SELECT *, sum(alike) OVER (PARTITION BY host, template, grp) AS members FROM h)
+    SELECT g.page_id, g.host, g.path, g.rule, g.blocked, g.template || '/' || CASE WHEN w.variable THEN '*' WHEN m.members > 1 THEN '~' || (m.grp + 1)::INT ELSE g.step END AS template, g.k + 1 AS k, g.s
+    FROM g JOIN c ON g.host = c.host AND g.template = c.template AND g.step = c.step JOIN w ON g.host = w.host AND g.template = w.template
+      LEFT JOIN m ON g.host = m.host AND g.template = m.template AND c.labelled = m.labelled AND c.bad = m.bad)),
+e AS (SELECT * FROM r WHERE len(s) = k),
+p AS (SELECT host, template, (coalesce(sum(blocked), 0) + 1) / (count(blocked) + 2) >= {limits.purity} AS rejected FROM e GROUP BY ALL)
 SELECT page_id, host, path, rule, CASE WHEN coalesce(blocked, rejected::INT) = 1 THEN 'block' ELSE 'allow' END AS verdict, template
-FROM {last} JOIN p USING (host, template)"""
+FROM e JOIN p USING (host, template)"""
 
 
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from oracle import duck, spark_rows
 from pyspark.sql import functions as F
 
 from glossmark.llm import ann, dart_minhash, langid, page_archive, queries, substring, url_filter, warc, words
@@ -38,6 +39,77 @@ def test_language_accuracy_on_the_held_out_fold(spark, small):
     assert all(0 <= r.score <= 1 and abs(sum(r.mixture.values()) - 1) < 1e-6 for r in rows if r.lang_pred != "und")
 
 
+def brute_mixture(model, text):
+    """The same inference over dicts of trigrams, in plain Python: every language is tried in order of its share."""
+    if text is None or not re.search(r"[^\W\d_]", text):
+        return {}
+    raw = b" ".join(re.sub(rb"[^A-Za-z\x80-\xff]", b" ", text.lower().encode()).split())
+    grams = Counter(raw[i : i + 3] for i in range(len(raw) - 2))
+    if not grams:
+        return {model.languages[0]: 1 / len(model.languages)}
+    slot = lambda g: ((g[0] * 257 * 257 + g[1] * 257 + g[2]) * 2654435761 % 2**32) >> 16
+    counts = Counter()
+    for g, n in grams.items():
+        counts[slot(g)] += n
+    p = {k: {g: float(model.probability[k, g]) for g in counts} for k in range(len(model.languages))}
+    total = sum(counts.values())
+
+    def em(some):
+        share = {k: 1 / len(some) for k in some}
+        for _ in range(model.rounds):
+            new = dict.fromkeys(some, 0.0)
+            for g, n in counts.items():
+                whole = sum(share[k] * p[k][g] for k in some)
+                for k in some:
+                    new[k] += share[k] * p[k][g] * n / whole
+            new = {k: v / total for k, v in new.items()}
+            done = max(abs(new[k] - share[k]) for k in some) < 1e-4
+            share = new
+            if done:
+                break
+        return share, sum(n * math.log(sum(share[k] * p[k][g] for k in some)) for g, n in counts.items())
+
+    single = {k: sum(n * math.log(p[k][g]) for g, n in counts.items()) for k in p}
+    chosen = [max(single, key=lambda k: (single[k], -k))]
+    best, share = single[chosen[0]], {chosen[0]: 1.0}
+    if len(p) > 1:
+        everything, _ = em(list(p))
+        for other in sorted(p, key=lambda k: -everything[k]):
+            if other in chosen:
+                continue
+            new, likelihood = em([*chosen, other])
+            if likelihood - best <= model.penalty * math.log(total + 1):
+                break
+            chosen, best, share = [*chosen, other], likelihood, new
+    return {model.languages[k]: v for k, v in share.items()}
+
+
+def test_language_mixtures_against_brute_force(spark, small):
+    """The registered query, and texts that mix languages, against the same EM over dicts."""
+    docs = table(spark, small, "documents")
+    model = langid.fit(docs)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = queries.queries()["op2_language_id"](spark, small).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = brute_mixture(model, texts[r.doc_id])
+        assert r.mixture.keys() == want.keys() and all(abs(r.mixture[k] - want[k]) < 1e-6 for k in want)
+        assert (r.lang_pred, r.score) == ("und", 0.0) if not want else r.lang_pred == min(want, key=lambda k: (-round(want[k], 9), k)) and abs(r.score - max(want.values())) < 1e-6
+    some = [t for t in texts.values() if t and 300 < len(t) < 3000][:12]
+    for a, b in zip(some, some[1:], strict=False):
+        text = a + " " + b[: len(b) // 3]
+        want, mine = brute_mixture(model, text), model.mixture(text)
+        assert mine.keys() == want.keys() and all(abs(mine[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_language_ties_and_dirty_labels(spark, docs_of):
+    tied = langid.LanguageModel(["aa", "bb"], np.full((2, 1 << langid.TABLE_BITS), 1 / (1 << langid.TABLE_BITS)))
+    assert tied.predict("some text")[0] == "aa"
+    docs = docs_of(["plain text"] * 50, range(50), langs={i: f"l{i}" for i in range(40)})
+    model = langid.fit(docs, languages=3)
+    assert len(model.languages) == 3 and "en" in model.languages
+
+
 def test_language_edges(spark, small, docs_of):
     model = langid.fit(table(spark, small, "documents"))
     english, french = (next(r.text for r in table(spark, small, "documents").where(f"lang = '{k}' and n_chars > 2000").limit(1).collect()) for k in ("en", "fr"))
@@ -155,6 +227,13 @@ def test_substring_dedup_of_repeats_and_shifts(spark, docs_of):
     assert {r.doc_id: (r.n_words, r.n_removed, hashlib.sha256(r.kept_text.encode()).hexdigest()) for r in rows} == removed(texts)
 
 
+def test_substring_dedup_of_one_id_with_two_texts(spark, docs_of):
+    """Rows that share an id but not a text are told apart, and don't count against each other."""
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows = substring.remove_repeats(docs_of([passage, "a b " + passage, passage + " c", "z " * 20], [1, 2, 2, 3])).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in rows) == [(1, 20, 0), (2, 21, 20), (2, 22, 20), (3, 20, 0)]
+
+
 def test_substring_edges(spark, docs_of):
     long = " ".join(f"w{i}" for i in range(30))
     rows = substring.remove_repeats(docs_of([None, "", long, long, long, long, "few words"], [1, 2, 3, 3, 4, None, 5])).collect()
@@ -192,6 +271,33 @@ def test_warc_edges_pushdown_and_splits(spark, tmp_path):
     assert warc.read_warc(spark, f"file://{tmp_path}/empty").count() == 0
 
 
+def test_warc_splits_around_a_nested_archive_and_long_payloads(spark, tmp_path):
+    """An archive as a payload is no start of a range; a payload of 3 MB is one record, in whatever range it begins."""
+    row = {"record_type": "response", "record_id": "<urn:page:1>", "target_uri": "http://a", "payload": b"x", "payload_digest": base64.b32encode(hashlib.sha1(b"x").digest()).decode(), "payload_length": 1, "refers_to": None}
+    rng = np.random.default_rng(4)
+    noise = rng.integers(0, 256, 3_000_000, np.uint8).tobytes()
+    nested = b"".join(warc.member(warc.record(row | {"payload": rng.integers(0, 256, 400, np.uint8).tobytes()})) for _ in range(20))
+    assert warc.member(nested).count(warc._MEMBER) == 1
+    payloads = [nested, noise, b"end"]
+    records = [row | {"record_id": f"<urn:page:{i}>", "payload": p, "payload_length": len(p), "payload_digest": base64.b32encode(hashlib.sha1(p).digest()).decode()} for i, p in enumerate(payloads)]
+    schema = "record_id string, record_type string, target_uri string, refers_to string, payload_digest string, payload_length long, payload binary"
+    path = f"file://{tmp_path}/w"
+    warc.write_warc(spark.createDataFrame([tuple(r[k.split()[0]] for k in schema.split(", ")) for r in records], schema).coalesce(1), path)
+    got = warc.read_warc(spark, path, splitBytes="1000", verify="true").orderBy("record_id").collect()
+    assert [bytes(r.payload) for r in got] == payloads
+
+
+def test_warc_skips_what_filters_rule_out(spark, tmp_path):
+    """Revisits are read without touching response payloads: a broken response is no error there."""
+    row = {"record_type": "response", "record_id": "<urn:page:1>", "target_uri": "http://a", "payload": b"hello", "payload_digest": "WRONG"}
+    revisit = {"record_type": "revisit", "record_id": "<urn:page:2>", "target_uri": "http://a", "payload": None, "payload_digest": "X", "payload_length": 5, "refers_to": "<urn:page:1>"}
+    (tmp_path / "a.warc.gz").write_bytes(warc.member(warc.record(row)) + warc.member(warc.record(revisit)))
+    found = warc.read_warc(spark, f"file://{tmp_path}", verify="true").where("record_type = 'revisit'").collect()
+    assert [(r.record_id, r.payload_length) for r in found] == [("<urn:page:2>", 5)]
+    with pytest.raises(Exception, match="digest"):
+        warc.read_warc(spark, f"file://{tmp_path}", verify="true").collect()
+
+
 def test_warc_reads_foreign_files(spark, tmp_path):
     row = {"record_type": "response", "record_id": "<urn:x:1>", "target_uri": "http://a", "payload": b"hello", "payload_digest": base64.b32encode(hashlib.sha1(b"hello").digest()).decode()}
     raw = [warc.record(row), warc.record(row | {"record_id": "<urn:x:2>", "payload": b"x" * 5000, "payload_digest": base64.b32encode(hashlib.sha1(b"x" * 5000).digest()).decode()})]
@@ -219,10 +325,37 @@ def test_url_edges(spark):
 def test_url_templates_generalise_and_reject(spark):
     rows = [(f"h{i}", "site", f"/shop/{i}/buy", 1) for i in range(30)] + [("q", "site", "/shop/99/buy", None)] + [(f"u{i}", "site", f"/user/name{i}", None) for i in range(20)] + [(f"d{i}", "site", f"/{k}/x", v) for i in range(12) for k, v in (("aa", 0), ("bb", 0))]
     df = spark.createDataFrame(rows, "page_id string, host string, path string, blocked int")
-    found = {r.page_id: r.template for r in url_filter.templates(df).collect()}
+    grown = {r.shape: r.template for r in url_filter.tree(df).collect()}
+    found = {r.page_id: grown[r.shape] for r in url_filter.shapes(df).collect()}
     assert found["q"] == "/shop/{n}/buy" and found["u3"] == "/user/*"
-    deep = spark.createDataFrame([("d", "h", "/".join(["", *map(str, range(40))]), None)], "page_id string, host string, path string, blocked int")
-    assert url_filter.templates(deep).first().template.count("/") >= 8
+
+
+def test_url_paths_of_any_depth(spark):
+    """Paths that part at the thirtieth segment are told apart there; a path of 100,000 segments, and one of a million characters, are paths like others."""
+    head = "/".join(f"s{k}" for k in range(30))
+    paths = [f"/{head}/left/x", f"/{head}/right/x", f"/{head}", "/" + "/".join(["a"] * 100_000), "/" + "z" * 1_000_000, "/" + "/".join(["c"] * 500) + "/d", "/" + "/".join(["c"] * 500) + "/e"]
+    df = spark.createDataFrame([("h", p, None) for p in paths], "host string, path string, blocked int")
+    found = {r.shape: r.template for r in url_filter.tree(df).collect()}
+    assert {"h" + p: p for p in paths} == found
+
+
+def test_url_branches_merge_pairwise(spark):
+    """Two clusters of branches, nearly all blocked and nearly none, are two branches, not one and not each alone."""
+    rows = []
+    for seg, bad in (("aa", 19), ("bb", 20), ("cc", 1), ("dd", 0), ("ee", None)):
+        rows += [("h", f"/{seg}/p", None if bad is None else int(i < bad)) for i in range(20)]
+    found = {r.shape: r.template for r in url_filter.tree(spark.createDataFrame(rows, "host string, path string, blocked int")).collect()}
+    assert found["h/aa/p"] == found["h/bb/p"] == "/~2/p" and found["h/cc/p"] == found["h/dd/p"] == "/~1/p" and found["h/ee/p"] == "/ee/p"
+
+
+def test_url_trees_against_sql(spark, tmp_path):
+    """Random trees, deep and with labels of all kinds, against the recursive SQL."""
+    rnd = random.Random(11)
+    hosts = ["a.com", "example.com", "b.example.com", "x.net", "example.net", "y.org", "z.io"]
+    words_ = ["en", "de", "es", "7", "71", "8", "8x", "shop", "2024-01-02", "3.html", "deadbeefdeadbeef", "~1", "*", "u1", "u2"]
+    urls = ["http://" + rnd.choice(hosts) + "".join("/" + (rnd.choice(words_) if rnd.random() < 0.9 else f"v{rnd.randrange(400)}") for _ in range(min(12, int(rnd.expovariate(0.3))))) + rnd.choice(["", "/", "?q", "#f"]) for _ in range(3000)] + [None, "", "none"]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert spark_rows(queries.queries()["op4_url_filter"](spark, str(tmp_path))) == duck(str(tmp_path), queries.oracle_sql()["op4_url_filter"])
 
 
 def test_neighbours_recall_and_edges(spark, small):
