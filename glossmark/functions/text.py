@@ -61,11 +61,14 @@ def plain_markdown(text: Column, frontmatter: bool = True) -> Column:
 
 
 def frontmatter_map(text: Column, quotes: str = "\"'") -> Column:
-    """The leading block's `key: value` lines as a map; values lose the quotes given at their ends."""
+    """The leading block's `key: value` lines as a map; values lose the quotes given at their ends, and of a repeated key the last line counts.
+
+    quotes is both kinds, or the double one alone, as corpora differ in it."""
     block = F.regexp_extract(text, r"(?s)\A---\n(.*?)\n---", 1)
     lines = F.filter(F.split(block, "\n"), lambda x: F.instr(x, ":") > 0)
     pair = F.transform(lines, lambda x: F.struct(F.trim(F.regexp_extract(x, r"^([^:]*):", 1)).alias("k"), F.trim(F.trim(F.regexp_extract(x, r"^[^:]*:(.*)$", 1)), F.lit(quotes)).alias("v")))
-    return F.map_from_entries(pair)
+    last = F.filter(pair, lambda x, i: ~F.exists(F.slice(pair, i + 2, F.size(pair)), lambda y: y["k"] == x["k"]))
+    return F.map_from_entries(last)
 
 
 def clean_transcript(text: Column) -> Column:

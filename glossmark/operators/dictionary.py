@@ -42,7 +42,7 @@ def rollup(counts: DataFrame, key: str, themes: Dictionary | None = None, spark:
     if themes is None:
         return found
     every = spark.createDataFrame([(t,) for t in themes], "theme string")
-    return F.broadcast(every).join(found, "theme", "left").fillna(0, ["episode_count", "hit_count"])
+    return every.join(found, "theme", "left").fillna(0, ["episode_count", "hit_count"])
 
 
 def most_common(counts: DataFrame, key_ord: str) -> DataFrame:
@@ -67,7 +67,7 @@ def score_query(query: str, dictionary: Dictionary, labels: Mapping[str, str], p
 
 def choose_themes(rolled: DataFrame, scored: DataFrame, k: int, fallback: Sequence[str]) -> DataFrame:
     """The k best themes of a question; if none scores, those of fallback, by hits."""
-    both = F.broadcast(scored).join(rolled, "theme", "left")
+    both = scored.join(rolled, "theme", "left")
     none = scored.agg((F.max("score") <= 0).alias("none__"))
     rank = F.when(F.col("none__"), F.when(F.col("theme").isin(*fallback), F.coalesce("hit_count", F.lit(0)))).otherwise(F.when(F.col("score") > 0, F.col("score")))
     ranked = both.crossJoin(F.broadcast(none)).withColumn("rank_score", rank).where("rank_score is not null").drop("none__")
@@ -78,12 +78,24 @@ def evidence_scores(counts: DataFrame, keys: Sequence[str], chosen: DataFrame, q
     """Per document: hits of the chosen themes, and five for each hit of a keyword that the question has."""
     asked = F.instr(F.lit(query.lower()), F.lower("keyword")) > 0
     weight = F.when(asked, 6).otherwise(1)
-    return counts.join(F.broadcast(chosen.select("theme")), "theme", "left_semi").groupBy(*keys).agg(F.sum(F.col("n") * weight).alias("score"))
+    return counts.join(chosen.select("theme"), "theme", "left_semi").groupBy(*keys).agg(F.sum(F.col("n") * weight).alias("score"))
 
 
 def asset_rollup(hits: DataFrame) -> DataFrame:
-    """hits (ord, source, symbol, name, kind, n): per asset, named by its symbol or else its name: documents, hits, and what its last row says."""
+    """hits (ord, source, symbol, name, kind, alias, n): per asset, named by its symbol or else its name: documents, hits, what its last row says,
+    and its aliases with their hits, most first, then by name."""
     key = F.coalesce(F.nullif("symbol", F.lit("")), F.nullif("name", F.lit("")))
     last = F.max_by(F.struct("name", "symbol", "kind"), F.struct("ord", "name", "kind")).alias("last__")
-    found = hits.withColumn("asset", key).where("asset is not null").groupBy("asset").agg(F.count_distinct("source").alias("episode_count"), F.sum("n").alias("hit_count"), last)
-    return found.select("asset", "episode_count", "hit_count", "last__.*")
+    named = hits.withColumn("asset", key).where("asset is not null")
+    found = named.groupBy("asset").agg(F.count_distinct("source").alias("episode_count"), F.sum("n").alias("hit_count"), last)
+    sums = named.groupBy("asset", "alias").agg(F.sum("n").alias("n")).groupBy("asset").agg(F.array_sort(F.collect_list(F.struct(F.negate("n").alias("less"), "alias"))).alias("l__"))
+    aliases = F.transform("l__", lambda x: F.struct(x["alias"].alias("alias"), (-x["less"]).alias("n")))
+    return found.join(sums, "asset").select("asset", "episode_count", "hit_count", "last__.*", aliases.alias("aliases"))
+
+
+def first_snippets(snippets: DataFrame, chosen: DataFrame, key: str, k: int) -> DataFrame:
+    """The first k of each record's snippets (key, theme, place, others) over the chosen themes (theme, theme_rank): theme by theme in rank,
+    and within one in their stored order. The window drops all but k of a record in each task before the shuffle."""
+    rows = snippets.join(chosen.select("theme", "theme_rank"), "theme")
+    order = W.partitionBy(key).orderBy("theme_rank", "place")
+    return rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k)

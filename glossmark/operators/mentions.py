@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from glossmark.functions import text as T
 
-#: Up to so many aliases are literals of one expression; more are joined in blocks of alternations.
+#: Aliases of one array expression; more are further arrays of the same scan.
 INLINE_ALIASES = 512
 
 
@@ -17,12 +17,10 @@ def alias_hits(docs: DataFrame, aliases: Sequence[tuple[str, str]], text: str =
     """docs' other columns with symbol and alias, for each alias the text has; ASCII aliases only as whole words.
 
     Patterns are literals, so each is compiled once, and a text is looked at where it lies."""
-    if len(aliases) > INLINE_ALIASES:
-        halves = aliases[: len(aliases) // 2], aliases[len(aliases) // 2 :]
-        return alias_hits(docs, halves[0], text).unionByName(alias_hits(docs, halves[1], text))
     hits = [F.when(F.col(text).rlike(T.alias_pattern(a)), F.struct(F.lit(s).alias("symbol"), F.lit(a).alias("alias"))) for s, a in aliases]
     keep = [c for c in docs.columns if c != text]
-    return docs.select(*keep, F.explode(F.array_compact(F.array(*hits))).alias("hit__")).select(*keep, "hit__.*")
+    parts = [F.array_compact(F.array(*hits[i : i + INLINE_ALIASES])) for i in range(0, len(hits), INLINE_ALIASES)]
+    return docs.select(*keep, F.explode(F.concat(*parts)).alias("hit__")).select(*keep, "hit__.*")
 
 
 def mentions(hits: DataFrame, keys: Sequence[str], source: str = "transcript") -> DataFrame:
@@ -32,7 +30,7 @@ def mentions(hits: DataFrame, keys: Sequence[str], source: str = "transcript") -
 def sector_proxies(sector_hits: DataFrame, members: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """sector_hits (keys, sector, alias) to the sectors' member symbols that are known assets; a symbol's aliases and sectors are united."""
     listed = members.join(known.select("symbol").distinct(), "symbol", "left_semi")
-    found = sector_hits.join(F.broadcast(listed), "sector")
+    found = sector_hits.join(listed, "sector")
     return found.groupBy(*keys, "symbol").agg(F.array_sort(F.collect_set("alias")).alias("matched_aliases"), F.array_sort(F.collect_set(F.concat(F.lit("sector_basket:"), "sector"))).alias("sources"))
 
 
@@ -52,12 +50,42 @@ def unresolved(observations: DataFrame, known: DataFrame, resolved_terms: DataFr
     an asset's name nor a sector term that the document resolved."""
     asset, symbol = F.trim(F.coalesce("asset", F.lit(""))), F.coalesce("symbol", F.lit(""))
     rows = observations.withColumn("asset", asset).withColumn("symbol", symbol)
-    by_symbol = rows.where("symbol <> ''").join(F.broadcast(known.select("symbol").distinct()), "symbol", "left_anti")
+    by_symbol = rows.where("symbol <> ''").join(known.select("symbol").distinct(), "symbol", "left_anti")
     by_symbol = by_symbol.select(*keys, F.when(F.col("asset") != "", F.concat("asset", F.lit(" ("), "symbol", F.lit(")"))).otherwise(F.col("symbol")).alias("mention"))
-    by_name = rows.where("symbol = '' and asset <> ''").join(F.broadcast(known.select(F.col("name").alias("asset")).distinct()), "asset", "left_anti")
+    by_name = rows.where("symbol = '' and asset <> ''").join(known.select(F.col("name").alias("asset")).distinct(), "asset", "left_anti")
     by_name = by_name.join(resolved_terms.select(*keys, F.col("term").alias("asset")).distinct(), [*keys, "asset"], "left_anti").select(*keys, F.col("asset").alias("mention"))
     return by_symbol.unionByName(by_name).distinct()
 
 
+def observed_symbols(observations: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, symbol, matched_aliases, sources): symbols that observations (keys, asset, symbol) name and that are known assets."""
+    found = observations.where("symbol <> ''").join(known.select("symbol").distinct(), "symbol", "left_semi").select(*keys, "symbol").distinct()
+    return found.select(*keys, "symbol", F.array().cast("array<string>").alias("matched_aliases"), F.array(F.lit("trade_observations.asset_symbol")).alias("sources"))
+
+
+def observed_sectors(observations: DataFrame, aliases: Sequence[tuple[str, str]], members: DataFrame, known: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(mentions, terms) of observations (keys, asset, symbol) whose asset is a sector's name or has one of its aliases (sector, alias).
+
+    mentions (keys, symbol, matched_aliases, sources): the sectors' members that are known assets, with the aliases and the asset itself. terms
+    (keys, term): the sector names, aliases and assets that are thereby explained."""
+    asset = F.trim(F.coalesce("asset", F.lit("")))
+    rows = observations.select(*keys, asset.alias("asset")).where("asset <> ''").distinct()
+    by_alias = alias_hits(rows.withColumn("text__", F.col("asset")), aliases, "text__").withColumnRenamed("symbol", "sector")
+    names = rows.sparkSession.createDataFrame(sorted({(s,) for s, _ in aliases}), "sector string")
+    by_name = rows.join(names, rows["asset"] == names["sector"]).select(*keys, "asset", "sector", F.lit(None).cast("string").alias("alias"))
+    hits = by_alias.select(*keys, "asset", "sector", "alias").unionByName(by_name)
+    listed = hits.join(members.join(known.select("symbol").distinct(), "symbol", "left_semi"), "sector")
+    flat = listed.groupBy(*keys, "symbol").agg(F.collect_set("alias").alias("a__"), F.collect_set("asset").alias("b__"), F.collect_set(F.concat(F.lit("sector_basket:"), "sector")).alias("s__"))
+    found = flat.select(*keys, "symbol", F.array_sort(F.array_union("a__", "b__")).alias("matched_aliases"), F.array_sort(F.array_append("s__", "trade_observations.asset_or_sector")).alias("sources"))
+    terms = hits.select(*keys, F.explode(F.array_compact(F.array("sector", "alias", "asset"))).alias("term")).distinct()
+    return found, terms
+
+
+def with_context_flag(views: DataFrame, direct: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """views (keys, symbol, others) with context_status: whether the record's direct mentions have priced the symbol already."""
+    priced = direct.where("symbol <> ''").select(*keys, "symbol", F.lit("priced_in_episode_asset_context").alias("context_status")).distinct()
+    return views.join(priced, [*keys, "symbol"], "left")
+
+
 def top_mentioned(found: DataFrame, key: str, k: int = 30) -> DataFrame:
     return found.groupBy("symbol").agg(F.count_distinct(key).alias("mentions")).orderBy(F.desc("mentions"), "symbol").limit(k)

@@ -26,7 +26,8 @@ def as_of(targets: DataFrame, bars: DataFrame, on: str = "symbol", target_day: s
     """targets with the last bar of their symbol on or before their day; bar columns are null if there is none.
 
     Both sides are merged and sorted once; the bar last seen goes on to the targets behind it. Bars of a day come before
-    targets of it, so equality counts. One shuffle by symbol and day range: see as_of_ranged for symbols too large for a task."""
+    targets of it, so equality counts. One shuffle by symbol, whose targets and bars are one group: pass distinct days, which the
+    calendar bounds, and join what has them afterwards (as_of_days); see as_of_ranged for more."""
     values = [c for c in bars.columns if c != on]
     bar = F.struct(*values)
     keep = [c for c in targets.columns if c != on]
@@ -37,10 +38,27 @@ def as_of(targets: DataFrame, bars: DataFrame, on: str = "symbol", target_day: s
     return seen.select(F.col("k__").alias(on), "row__.*", "bar__.*")
 
 
+def as_of_days(rows: DataFrame, bars: DataFrame, on: str = "symbol", target_day: str = "target", bar_day: str = "d") -> DataFrame:
+    """rows (target_day, others) by each symbol of bars, with its last bar on or before the day; bar columns are null if there is none.
+
+    The as-of join sees each distinct day and symbol once, however many rows have the day; the rows are joined with its result
+    by day."""
+    days = rows.where(F.col(target_day).isNotNull()).select(target_day).distinct()
+    found = as_of(days.crossJoin(bars.select(on).distinct()), bars, on, target_day, bar_day)
+    return rows.join(found, target_day)
+
+
+def as_of_keys(rows: DataFrame, bars: DataFrame, on: str = "symbol", target_day: str = "target", bar_day: str = "d") -> DataFrame:
+    """rows (on, target_day, others) with the last bar of their own symbol on or before their day, by distinct pairs of the two; a row whose
+    symbol or day is null has no bar."""
+    pairs = rows.where(F.col(on).isNotNull() & F.col(target_day).isNotNull()).select(on, target_day).distinct()
+    return rows.join(as_of(pairs, bars, on, target_day, bar_day), [on, target_day], "left")
+
+
 def as_of_ranged(targets: DataFrame, bars: DataFrame, on: str = "symbol", target_day: str = "target", bar_day: str = "d", days: int = 366) -> DataFrame:
-    """as_of for symbols of any size: time is cut into spans, and each span begins with the last bar before it.
+    """as_of for many targets of a symbol: time is cut into spans, and each span begins with the last bar before it.
 
-    The carried bar is found from one row a symbol and span, so no task needs a symbol's whole history."""
+    The carried bar is found from one row a symbol and span, so this join needs no symbol's whole history in a task."""
     epoch = F.lit("1970-01-01").cast("date")
     span = lambda d: F.floor(F.datediff(d, epoch) / days)
     values = [c for c in bars.columns if c != on]
@@ -86,6 +104,21 @@ def regime_tags(ret20: Column, drawdown: Column, chips20: Column, fear5: Column)
     return F.array_compact(F.array(*tags))
 
 
+def pricing_symbol(symbol: Column, override: Column, has_override: Column) -> Column:
+    """What an asset is priced by: its override where it has one, even if that is empty (no public symbol); else its own symbol."""
+    return F.when(has_override, F.coalesce(override, F.lit(""))).otherwise(symbol)
+
+
+def symbol_slug(symbol: Column) -> Column:
+    """A name for files: `^` as INDEX_, other characters than letters, digits, dot, underscore and hyphen as one underscore a run."""
+    return F.regexp_replace(F.replace(symbol, F.lit("^"), F.lit("INDEX_")), r"[^A-Za-z0-9._-]+", "_")
+
+
+def slug_symbol(slug: Column) -> Column:
+    """The symbol again, but for what the slug has lost: keep the symbol beside it."""
+    return F.replace(slug, F.lit("INDEX_"), F.lit("^"))
+
+
 def pricing_status(has_date: Column, pricing_symbol: Column, has_series: Column, has_bar: Column) -> Column:
     """A present but empty pricing symbol means that there is no public one."""
     return (

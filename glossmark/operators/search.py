@@ -59,6 +59,14 @@ def positional(docs: DataFrame, queries: Sequence[str], limit: int = 50, context
     return rows.orderBy(way(number), "query_ord", "start").limit(limit)
 
 
+def any_term(text: Column, terms: Sequence[str]) -> Column:
+    """Whether the text has any of the terms, as they are."""
+    found = F.lit(False)
+    for t in terms:
+        found = found | F.contains(text, F.lit(t))
+    return found
+
+
 def author_relevance(fields: dict[str, Column], terms: Sequence[str], weights: dict[str, int], dedicated: Column) -> tuple[Column, Column]:
     """(score, included) of a feed item: each term scores a field's weight where the field has it, 1 if none is given; 2 includes."""
     total = F.lit(0)

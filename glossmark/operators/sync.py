@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -27,12 +26,16 @@ def full_merge(preferred: DataFrame, other: DataFrame, keys: Sequence[str], colu
     return both.select(*keys, *[pick(c, types[c]).alias(c) for c in columns], kind.alias("kind"))
 
 
-def keyed_merge(rows: DataFrame, key: str, ord_: str, first_of: Sequence[str], paths: str) -> DataFrame:
-    """One row a key: the first non-empty value of each of first_of, by ord, and the distinct paths in the order first seen."""
-    first = [F.min_by(c, F.when(F.coalesce(F.col(c), F.lit("")) != "", F.col(ord_))).alias(c) for c in first_of]
-    listed = F.array_sort(F.collect_list(F.struct(F.col(ord_).alias("o"), F.col(paths).alias("p"))))
-    distinct = F.array_distinct(F.filter(F.transform(listed, lambda x: x["p"]), lambda p: p.isNotNull() & (p != "")))
-    return rows.groupBy(key).agg(*first, distinct.alias(paths))
+def keyed_merge(rows: DataFrame, key: str, ord_: str, first_of: Sequence[str], paths: str, last_of: Sequence[str] = ()) -> DataFrame:
+    """One row a key: the first non-empty value of each of first_of and the last of each of last_of, by ord, and the distinct paths in the
+    order first seen. Paths are made distinct before any is collected, so a key holds each once."""
+    filled = lambda c: F.when(F.coalesce(F.col(c), F.lit("")) != "", F.col(ord_))
+    values = [F.min_by(c, filled(c)).alias(c) for c in first_of] + [F.max_by(c, filled(c)).alias(c) for c in last_of]
+    seen = rows.groupBy(key, paths).agg(F.min(ord_).alias("seen__")).where(F.coalesce(F.col(paths), F.lit("")) != "")
+    listed = F.array_sort(F.collect_list(F.struct("seen__", F.col(paths).alias("p"))))
+    found = seen.groupBy(key).agg(F.transform(listed, lambda x: x["p"]).alias(paths))
+    empty = F.array().cast("array<string>")
+    return rows.groupBy(key).agg(*values).join(found, key, "left").withColumn(paths, F.coalesce(paths, empty))
 
 
 def upsert_preserving(new: DataFrame, old: DataFrame, key: str, preserved: Sequence[str]) -> DataFrame:
@@ -43,11 +46,21 @@ def upsert_preserving(new: DataFrame, old: DataFrame, key: str, preserved: Seque
 
 
 def upsert_new_wins(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
-    """Old rows overlaid with what new rows give for their key; new keys are added. A null in new gives nothing."""
+    """Old rows overlaid with what new rows give for their key; new keys are added.
+
+    A column that new gives, told by has_<column> where new has that column too, wins even if its value is null or empty."""
     columns = [c for c in old.columns if c != key]
-    a = new.select(key, *[F.col(c).alias(f"new__{c}") for c in columns if c in new.columns])
+    given = [c for c in columns if c in new.columns]
+    has = {c: F.coalesce(F.col(f"has_{c}"), F.lit(False)) if f"has_{c}" in new.columns else F.lit(True) for c in given}
+    a = new.select(key, *[F.col(c).alias(f"new__{c}") for c in given], *[has[c].alias(f"has__{c}") for c in given])
     joined = old.join(a, key, "full")
-    return joined.select(key, *[F.coalesce(f"new__{c}", c).alias(c) if c in new.columns else F.col(c) for c in columns])
+    return joined.select(key, *[F.when(F.col(f"has__{c}"), F.col(f"new__{c}")).otherwise(F.col(c)).alias(c) if c in given else F.col(c) for c in columns])
+
+
+def recording_status(transcribed: Column, previous: Column, audio: Column) -> Column:
+    """done where a transcript is there; else an error or a run that was noted stays; else pending, or missing_audio without an address."""
+    waiting = F.when(F.coalesce(audio, F.lit("")) != "", "pending").otherwise("missing_audio")
+    return F.when(transcribed, "done").when(previous.isin("error", "running"), previous).otherwise(waiting)
 
 
 def merge_status(rows: DataFrame, statuses: DataFrame, key: str, columns: Sequence[str], done: Column, error: str) -> DataFrame:
@@ -65,10 +78,10 @@ def merge_status(rows: DataFrame, statuses: DataFrame, key: str, columns: Sequen
 
 
 def signature_diff(before: DataFrame, after: DataFrame, key: str, signature: str) -> DataFrame:
-    """(key, change): added, changed or removed."""
-    a, b = (x.select(key, F.col(signature).alias(n)) for x, n in ((before, "before__"), (after, "after__")))
+    """(key, change): added, changed or removed. A key counts as there whatever its signature; null signatures are equal."""
+    a, b = (x.select(key, F.col(signature).alias(n), F.lit(True).alias(f"in_{n}")) for x, n in ((before, "before__"), (after, "after__")))
     both = a.join(b, key, "full")
-    change = F.when(F.col("before__").isNull(), "added").when(F.col("after__").isNull(), "removed").when(F.col("before__") != F.col("after__"), "changed")
+    change = F.when(F.col("in_before__").isNull(), "added").when(F.col("in_after__").isNull(), "removed").when(~F.col("before__").eqNullSafe(F.col("after__")), "changed")
     return both.select(key, change.alias("change")).where("change is not null")
 
 
@@ -78,10 +91,51 @@ def reconcile(manifest: DataFrame, files: DataFrame, key: str, defaults: dict[st
     return manifest.unionByName(missing.select(*[defaults[c].alias(c) if c in defaults else F.col(c) for c in manifest.columns]))
 
 
-def pending(queue: DataFrame, ord_: str, shards: int, shard: int, ready: Column, done: DataFrame, key: str, limit: int | None = None) -> DataFrame:
-    """A worker's share of a queue, newest first: the shard is taken by place before any filter, so shares never move."""
+def newest_first(date: Column, ord_: Column) -> list[Column]:
+    """By date, the newest first, a missing one last; of equal dates what stands first in the queue."""
+    return [F.desc(F.coalesce(date, F.lit(""))), ord_.asc()]
+
+
+def pending(queue: DataFrame, ord_: str, shards: int, shard: int, ready: Column, done: DataFrame, key: str, date: Column | None = None, limit: int | None = None) -> DataFrame:
+    """A worker's share of a queue: the shard is taken by place before any filter, so shares never move. With a limit, the first so
+    many of it, newest first where a date is given, else in the queue's order."""
     rows = queue.where(F.pmod(F.col(ord_), F.lit(shards)) == shard).where(ready).join(done.select(key).distinct(), key, "left_anti")
-    return rows.limit(limit) if limit else rows
+    order = [F.asc(ord_)] if date is None else newest_first(date, F.col(ord_))
+    return rows.orderBy(*order).limit(limit) if limit else rows
+
+
+def due_today(runs: DataFrame, today: Column, changed: DataFrame, waiting: DataFrame, forced: bool = False) -> DataFrame:
+    """(due, reason): whether a daily run has work. It has if forced, if no run of today is noted, if sources changed, or if targets wait."""
+    one = lambda df, name: df.agg((F.count(F.lit(1)) > 0).alias(name))
+    seen = one(runs.where(F.col("checked_date") == today), "checked").crossJoin(one(changed, "changed")).crossJoin(one(waiting, "waiting"))
+    reason = F.when(F.lit(forced), "forced").when(~F.col("checked"), "not_checked_today").when(F.col("changed"), "sources_changed").when(F.col("waiting"), "targets_waiting").otherwise("already_checked")
+    return seen.select((reason != "already_checked").alias("due"), reason.alias("reason"))
+
+
+def full_recording(title: Column, seconds: Column, least: int, short_marks: Sequence[str]) -> Column:
+    """Not one of the short formats by its title, and long enough."""
+    short = F.lit(False)
+    for mark in short_marks:
+        short = short | F.contains(F.lower(F.coalesce(title, F.lit(""))), F.lit(mark))
+    return ~short & (F.coalesce(seconds, F.lit(0)) >= least)
+
+
+def any_flag(flags: Sequence[Column], words: Sequence[Column], texts: Sequence[Column], id_: Column, word: str, names: Sequence[str], prefix: str) -> Column:
+    """Whether a row belongs: a flag is true, its id has the prefix, one of words has the word in any case, or a text one of the names."""
+    found = F.coalesce(F.startswith(id_, F.lit(prefix)), F.lit(False))
+    for f in flags:
+        found = found | F.coalesce(f, F.lit(False))
+    found = found | F.contains(F.lower(F.concat_ws(" ", *words)), F.lit(word))
+    text = F.concat_ws(" ", *texts)
+    for n in names:
+        found = found | F.contains(text, F.lit(n))
+    return found
+
+
+def sort_time(*candidates: Column) -> Column:
+    """Epoch seconds of the first candidate that can be read, a bare date as its midnight in UTC; 0 if none can."""
+    read = [F.unix_timestamp(F.try_to_timestamp(F.when(F.length(c) == 10, F.concat(c, F.lit("T00:00:00Z"))).otherwise(c))) for c in candidates]
+    return F.coalesce(*read, F.lit(0).cast("long"))
 
 
 def content_key(title: Column, day: Column, seconds: Column, drop: Sequence[str] = ("#shorts",), bucket: int = 30) -> Column:
@@ -109,7 +163,7 @@ def newest_target(rows: DataFrame, limit: int | None = None) -> DataFrame:
 def names_of(rows: DataFrame, ids: str, names: DataFrame, key: str) -> DataFrame:
     """rows with category_names for an array of ids: the name, or the id itself where there is none, in order."""
     flat = rows.select(key, F.posexplode(ids).alias("pos__", "id"))
-    named = flat.join(F.broadcast(names), "id", "left").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos__", F.coalesce("name", F.col("id").cast("string")).alias("n")))).alias("l__"))
+    named = flat.join(names, "id", "left").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos__", F.coalesce("name", F.col("id").cast("string")).alias("n")))).alias("l__"))
     return rows.join(named.select(key, F.transform("l__", lambda x: x["n"]).alias("category_names")), key, "left")
 
 
@@ -117,7 +171,3 @@ def first_by_key(rows: DataFrame, key: str, ord_: str, limit: int | None = None)
     """The first row of each key, in order."""
     best = rows.groupBy(key).agg(F.min_by(F.struct(*rows.columns), ord_).alias("row__")).select("row__.*")
     return best.orderBy(ord_).limit(limit) if limit else best
-
-
-def next_in_order(rows: DataFrame, group: str, order: str, column: str) -> DataFrame:
-    return rows.withColumn(f"next_{column}", F.lead(column).over(W.partitionBy(group).orderBy(order)))

@@ -28,8 +28,8 @@ def deterministic_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("deterministic_notes_whole")
 def deterministic_notes_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with headlines classed by their whole body."""
-    return _notes(spark, sf_dir, themes.headline_class_whole(spark, sf_dir))
+    """The name that deterministic_notes had while that one read beginnings."""
+    return deterministic_notes(spark, sf_dir)
 
 
 def _notes(spark: SparkSession, sf_dir: str, headlines: DataFrame) -> DataFrame:

@@ -27,10 +27,9 @@ def drawdown_60(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _aligned(spark: SparkSession, sf_dir: str, shift: int) -> DataFrame:
-    snapshots = prices.with_returns(bars(spark, sf_dir))
-    symbols = snapshots.select("symbol").distinct()
-    targets = dated(spark, sf_dir).select("doc_id", F.date_sub("day", shift).alias("target")).crossJoin(symbols)
-    return prices.as_of_ranged(targets, snapshots)
+    rows = dated(spark, sf_dir).select("doc_id", F.date_sub("day", shift).alias("target"))
+    found = prices.as_of_days(rows, prices.with_returns(bars(spark, sf_dir)))
+    return found.select("symbol", "doc_id", "target", *[c for c in found.columns if c not in ("symbol", "doc_id", "target")])
 
 
 def _aligned_sql(shift: int) -> str:
@@ -115,23 +114,25 @@ def regime_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regime_4(spark, sf_dir).join(dated(spark, sf_dir).select("doc_id", "day"), "doc_id").groupBy("regime").agg(F.count(F.lit(1)).alias("episodes"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
 
 
-_PRICED = {"en": "1-URGENT", "de": "", "fr": "9-NONE", "es": "2-HIGH"}
+_ASSET_OF = {"en": "1-URGENT", "de": "3-MEDIUM", "fr": "9-NONE", "es": "5-LOW"}
+_OVERRIDES = {"de": "", "es": "2-HIGH"}
 
 
 @register(
     "pricing_status",
-    f"""WITH t AS (SELECT doc_id, CASE WHEN doc_id % 11 <> 0 THEN day - 1200 END AS target, CASE lang WHEN 'en' THEN '1-URGENT' WHEN 'fr' THEN '9-NONE' WHEN 'es' THEN '2-HIGH' WHEN 'de' THEN '' END AS symbol FROM ({DATED})),
+    f"""WITH t AS (SELECT doc_id, CASE WHEN doc_id % 11 <> 0 THEN day - 1200 END AS target, CASE lang WHEN 'de' THEN '' WHEN 'es' THEN '2-HIGH' WHEN 'en' THEN '1-URGENT' WHEN 'fr' THEN '9-NONE' END AS symbol FROM ({DATED})),
  b AS ({BARS}), j AS (SELECT t.*, b.d FROM t ASOF LEFT JOIN b ON t.symbol = b.symbol AND t.target >= b.d)
  SELECT doc_id, symbol AS pricing_symbol, CASE WHEN target IS NULL THEN 'missing_episode_date' WHEN coalesce(symbol, '') = '' THEN 'no_public_symbol'
  WHEN symbol NOT IN (SELECT symbol FROM b) THEN 'missing_price_series' WHEN d IS NULL THEN 'no_prior_price' ELSE 'ok' END AS status FROM j""",
 )
 def pricing_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Why a mentioned asset has a price or not; languages stand for assets."""
-    mapped = F.create_map(*[F.lit(x) for kv in _PRICED.items() for x in kv])
-    targets = dated(spark, sf_dir).select("doc_id", F.when(F.col("doc_id") % 11 != 0, F.date_sub("day", 1200)).alias("target"), mapped[F.col("lang")].alias("symbol"))
+    """Why a mentioned asset has a price or not; languages stand for assets, two of them with a pricing symbol of their own."""
+    of = lambda table_: F.create_map(*[F.lit(x) for kv in table_.items() for x in kv])
+    symbol = prices.pricing_symbol(of(_ASSET_OF)[F.col("lang")], of(_OVERRIDES)[F.col("lang")], F.coalesce(F.col("lang").isin(*_OVERRIDES), F.lit(False)))
+    targets = dated(spark, sf_dir).select("doc_id", F.when(F.col("doc_id") % 11 != 0, F.date_sub("day", 1200)).alias("target"), symbol.alias("symbol"))
     days = bars(spark, sf_dir)
     series = days.select("symbol").distinct().withColumn("has_series", F.lit(True))
-    rows = prices.as_of(targets, days).join(series, "symbol", "left")
+    rows = prices.as_of_keys(targets, days).join(series, "symbol", "left")
     status = prices.pricing_status(F.col("target").isNotNull(), F.col("symbol"), F.coalesce("has_series", F.lit(False)), F.col("d").isNotNull())
     return rows.select("doc_id", F.col("symbol").alias("pricing_symbol"), status.alias("status"))
 

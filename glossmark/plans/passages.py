@@ -80,17 +80,17 @@ def humor_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "conversation_payload",
-    "SELECT conv_id, arg_min(role, turn) AS start_timestamp, arg_max(role, turn) AS end_timestamp, string_agg('[' || role || '] ' || substr(text, 1, 10), chr(10) ORDER BY turn, role, substr(text, 1, 10)) AS text, count(*) AS matched_chunk_count, round_even(max(length(text) / 1000), 4) AS match_similarity_max, max(length(text)) AS humor_score_max FROM conversations GROUP BY conv_id",
+    "SELECT conv_id, arg_min(role, turn) AS start_timestamp, arg_max(role, turn) AS end_timestamp, string_agg('[' || role || '] ' || text, chr(10) ORDER BY turn, role, text) AS text, count(*) AS matched_chunk_count, round_even(max(length(text) / 1000), 4) AS match_similarity_max, max(length(text)) AS humor_score_max FROM conversations GROUP BY conv_id",
 )
 def conversation_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chunks that belong to a note as one row: first and last mark, text in order, maxima."""
-    return _payload(spark, sf_dir, F.substring("text", 1, 10))
+    return _payload(spark, sf_dir, F.col("text"))
 
 
 @register("conversation_payload_whole")
 def conversation_payload_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with the whole text of each turn."""
-    return _payload(spark, sf_dir, F.col("text"))
+    """The name that conversation_payload had while that one read beginnings."""
+    return conversation_payload(spark, sf_dir)
 
 
 def _payload(spark: SparkSession, sf_dir: str, text: Column) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glossmark.functions import html as H
@@ -207,17 +206,17 @@ def page_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "hashtags_keywords",
-    r"SELECT doc_id, array_to_string(list_distinct_ordered, '|') AS words FROM (SELECT doc_id, list_transform(list_filter(w, lambda x, i: list_position(w, x) = i), lambda x: lower(x)) AS list_distinct_ordered FROM (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(substr(text, 1, 200), '[,;|]'), lambda x: trim(x)), lambda x: x <> '') AS w FROM documents))",
+    r"SELECT doc_id, array_to_string(list_distinct_ordered, '|') AS words FROM (SELECT doc_id, list_transform(list_filter(w, lambda x, i: list_position(w, x) = i), lambda x: lower(x)) AS list_distinct_ordered FROM (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '[,;|]'), lambda x: trim(x)), lambda x: x <> '') AS w FROM documents))",
 )
 def hashtags_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delimited keywords, first occurrences in order."""
-    return _keywords(spark, sf_dir, F.substring("text", 1, 200))
+    return _keywords(spark, sf_dir, F.col("text"))
 
 
 @register("hashtags_keywords_whole")
 def hashtags_keywords_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same of whole texts."""
-    return _keywords(spark, sf_dir, F.col("text"))
+    """The name that hashtags_keywords had while that one read beginnings."""
+    return hashtags_keywords(spark, sf_dir)
 
 
 def _keywords(spark: SparkSession, sf_dir: str, text: Column) -> DataFrame:
@@ -225,23 +224,16 @@ def _keywords(spark: SparkSession, sf_dir: str, text: Column) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.transform(F.array_distinct(words), lambda x: F.lower(x)), "|").alias("words"))
 
 
-_BLOCK = "substr(sha256(lang || '/' || source || '/' || n_chars % 7), 1, 8)"
-
-
 @register(
     "jaccard_trigram",
-    f"""WITH d AS (SELECT doc_id, {_BLOCK} AS b, substr(text, 1, 80) AS s FROM documents),
-g AS (SELECT doc_id, b, CASE WHEN length(s) > 3 THEN list_distinct(list_transform(range(1, length(s) - 1), lambda i: substr(s, i, 3))) WHEN length(s) > 0 THEN [s] ELSE [] END AS t FROM d),
-n AS (SELECT *, lead(doc_id) OVER w AS next_id, lead(t) OVER w AS u FROM g WINDOW w AS (PARTITION BY b ORDER BY doc_id))
-SELECT doc_id, next_id, CASE WHEN len(t) > 0 AND len(u) > 0 THEN round(len(list_intersect(t, u)) / (len(t) + len(u) - len(list_intersect(t, u))), 6) ELSE 0 END AS similarity FROM n WHERE next_id IS NOT NULL""",
+    """WITH g AS (SELECT conv_id, turn, role, CASE WHEN length(s) > 3 THEN list_distinct(list_transform(range(1, length(s) - 1), lambda i: substr(s, i, 3))) WHEN length(s) > 0 THEN [s] ELSE [] END AS t FROM (SELECT conv_id, turn, role, lower(text) AS s FROM conversations))
+SELECT a.conv_id, a.turn, CASE WHEN len(a.t) > 0 AND len(b.t) > 0 THEN round(len(list_intersect(a.t, b.t)) / (len(a.t) + len(b.t) - len(list_intersect(a.t, b.t))), 6) ELSE 0 END AS similarity FROM g a JOIN g b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1""",
 )
 def jaccard_trigram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Similarity of each document's opening to the next one's in its block."""
-    block = F.substring(F.sha2(F.concat_ws("/", "lang", "source", (F.col("n_chars") % 7).cast("string")), 256), 1, 8)
-    grams = table(spark, sf_dir, "documents").select("doc_id", block.alias("b"), T.trigrams(F.substring("text", 1, 80)).alias("t"))
-    order = W.partitionBy("b").orderBy("doc_id")
-    pairs = grams.select("doc_id", F.lead("doc_id").over(order).alias("next_id"), "t", F.lead("t").over(order).alias("u")).where("next_id is not null")
-    return pairs.select("doc_id", "next_id", F.round(T.jaccard(F.col("t"), F.col("u")), 6).alias("similarity"))
+    """Similarity of the whole texts of consecutive turns, in lower case: each turn with the next number of its conversation."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", T.trigrams(F.lower("text")).alias("t"))
+    later = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("t").alias("u"))
+    return turns.join(later, ["conv_id", "turn"]).select("conv_id", "turn", F.round(T.jaccard(F.col("t"), F.col("u")), 6).alias("similarity"))
 
 
 @register("jaccard_turns")
@@ -269,17 +261,18 @@ def duration_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "author_relevance",
     """SELECT doc_id, score, source = 'src3' OR score >= 2 AS included FROM (SELECT doc_id, source,
- (CASE WHEN contains(lower(substr(text, 1, 40)), 'the') THEN 3 ELSE 0 END + CASE WHEN contains(lower(substr(text, 41, 200)), 'the') THEN 2 ELSE 0 END + CASE WHEN contains(source, 'the') THEN 1 ELSE 0 END
- + CASE WHEN contains(lower(substr(text, 1, 40)), 'src1') THEN 3 ELSE 0 END + CASE WHEN contains(lower(substr(text, 41, 200)), 'src1') THEN 2 ELSE 0 END + CASE WHEN contains(source, 'src1') THEN 1 ELSE 0 END) AS score FROM documents)""",
+ (CASE WHEN contains(lower(substr(text, 1, 40)), 'the') THEN 3 ELSE 0 END + CASE WHEN contains(lower(substr(text, 41)), 'the') THEN 2 ELSE 0 END + CASE WHEN contains(source, 'the') THEN 1 ELSE 0 END
+ + CASE WHEN contains(lower(substr(text, 1, 40)), 'src1') THEN 3 ELSE 0 END + CASE WHEN contains(lower(substr(text, 41)), 'src1') THEN 2 ELSE 0 END + CASE WHEN contains(source, 'src1') THEN 1 ELSE 0 END) AS score FROM documents)""",
 )
 def author_relevance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _relevance(spark, sf_dir, F.substring("text", 41, 200))
+    """Title, which the first 40 characters stand for, description, which is all after it, and source against the terms."""
+    return _relevance(spark, sf_dir, F.substr("text", F.lit(41)))
 
 
 @register("author_relevance_whole")
 def author_relevance_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with everything after the stand-in title as description."""
-    return _relevance(spark, sf_dir, F.substr("text", F.lit(41)))
+    """The name that author_relevance had while that one read beginnings."""
+    return author_relevance(spark, sf_dir)
 
 
 def _relevance(spark: SparkSession, sf_dir: str, description: Column) -> DataFrame:

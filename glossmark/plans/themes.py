@@ -90,15 +90,17 @@ _ASSETS = {"AAA": ["tion", "Tion"], "BBB": ["eau"], "CCC": ["sch", "ung"]}
 
 @register(
     "asset_rollup",
-    """WITH c AS (SELECT * FROM (SELECT doc_id, source, symbol, ((length(text) - length(replace(text, keyword, ''))) // length(keyword))::BIGINT AS n
+    """WITH c AS (SELECT * FROM (SELECT doc_id, source, symbol, keyword, ((length(text) - length(replace(text, keyword, ''))) // length(keyword))::BIGINT AS n
  FROM documents, (VALUES ('AAA', 'tion'), ('AAA', 'Tion'), ('BBB', 'eau'), ('CCC', 'sch'), ('CCC', 'ung')) v(symbol, keyword)) WHERE n > 0)
-SELECT symbol AS asset, count(DISTINCT doc_id) AS episode_count, sum(n)::BIGINT AS hit_count, arg_max(source, doc_id) AS name, symbol, 'direct' AS kind FROM c GROUP BY symbol""",
+SELECT symbol AS asset, count(DISTINCT doc_id) AS episode_count, sum(n)::BIGINT AS hit_count, arg_max(source, doc_id) AS name, symbol, 'direct' AS kind,
+ (SELECT string_agg(keyword || '=' || t, ';' ORDER BY t DESC, keyword) FROM (SELECT keyword, sum(n)::BIGINT AS t FROM c d WHERE d.symbol = c.symbol GROUP BY keyword)) AS aliases FROM c GROUP BY symbol""",
 )
 def asset_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Assets over the corpus: documents counted once, hits summed, the last document's description wins."""
     found = D.keyword_counts(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), _ASSETS)
-    hits = found.select(F.col("doc_id").alias("ord"), F.col("doc_id").alias("source"), F.col("theme").alias("symbol"), F.col("source").alias("name"), F.lit("direct").alias("kind"), "n")
-    return D.asset_rollup(hits)
+    hits = found.select(F.col("doc_id").alias("ord"), F.col("doc_id").alias("source"), F.col("theme").alias("symbol"), F.col("source").alias("name"), F.lit("direct").alias("kind"), F.col("keyword").alias("alias"), "n")
+    shown = F.transform("aliases", lambda x: F.concat(x["alias"], F.lit("="), x["n"].cast("string")))
+    return D.asset_rollup(hits).withColumn("aliases", F.array_join(shown, ";"))
 
 
 _RHETORIC = {"question": ["qu", "?"], "list": [", "], "turn": ["ou", "aber"]}
@@ -133,17 +135,18 @@ def _sum_sql(words: list[str]) -> str:
     "headline_class",
     f"""SELECT doc_id, CASE WHEN r >= 2 AND d >= 1 THEN 'risk_control' WHEN u > 0 AND d > 0 THEN 'mixed' WHEN u > 0 THEN 'bullish' WHEN d > 0 THEN 'bearish' ELSE 'unknown' END AS direction,
  CASE WHEN contains(s, 'today') THEN 'intraday' WHEN contains(s, 'que') THEN 'monthly' WHEN contains(s, 'the') THEN 'multi_month' ELSE 'swing' END AS horizon
- FROM (SELECT doc_id, s, {_sum_sql(_UP)} AS u, {_sum_sql(_DOWN)} AS d, {_sum_sql(_RISK)} AS r FROM (SELECT doc_id, substr(text, 1, 40) || ' ' || substr(text, 1, 120) AS s FROM documents))""",
+ FROM (SELECT doc_id, s, {_sum_sql(_UP)} AS u, {_sum_sql(_DOWN)} AS d, {_sum_sql(_RISK)} AS r FROM (SELECT doc_id, substr(text, 1, 40) || ' ' || text AS s FROM documents))""",
 )
 def headline_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Direction and horizon from cues in title and body; the title counts again as it begins the body."""
-    return _headlines(spark, sf_dir, F.substring("text", 1, 120))
+    """Direction and horizon from cues in title and body; the title, which the first 40 characters stand for, counts again as it
+    begins the body. The reference stops at 2,500 characters of the body; here no cue is lost behind them."""
+    return _headlines(spark, sf_dir, F.col("text"))
 
 
 @register("headline_class_whole")
 def headline_class_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same from the whole body. The reference stops at 2,500 characters of it; here no cue is lost behind them."""
-    return _headlines(spark, sf_dir, F.col("text"))
+    """The name that headline_class had while that one read beginnings."""
+    return headline_class(spark, sf_dir)
 
 
 def _headlines(spark: SparkSession, sf_dir: str, body: Column) -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glossmark.functions import text as T
 from glossmark.functions import times
+from glossmark.operators.sync import last_by_key
 
 
 def read_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -31,9 +31,7 @@ def bad_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_keyed(spark: SparkSession, path: str, schema: str, key: str, ord_: str) -> DataFrame:
     """The last row of each key, by ord."""
-    rows = read_jsonl(spark, path, schema)
-    newest = W.partitionBy(key).orderBy(F.desc(ord_))
-    return rows.withColumn("rn__", F.row_number().over(newest)).where("rn__ = 1").drop("rn__")
+    return last_by_key(read_jsonl(spark, path, schema), [key], [ord_])
 
 
 def read_corpus(spark: SparkSession, path: str, kind: str) -> DataFrame:
@@ -92,14 +90,15 @@ def read_video_feed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def flatten_tree(spark: SparkSession, nodes: DataFrame) -> DataFrame:
-    """(id, path, depth) of nodes (id, parent, name), level by level from those without a parent."""
-    level = nodes.where("parent is null").select("id", F.col("name").alias("path"), F.lit(0).alias("depth"))
-    found = level
-    while not level.isEmpty():
-        step = level.select(F.col("id").alias("parent"), F.col("path").alias("up"), "depth")
-        level = nodes.join(step, "parent").select("id", F.concat_ws("/", "up", "name").alias("path"), (F.col("depth") + 1).alias("depth")).checkpoint()
-        found = found.unionByName(level)
-    return found
+    """(id, path, depth) of nodes (id, parent, name), level by level from those without a parent: one recursive query, of up to 1,000 levels."""
+    return spark.sql(
+        """WITH RECURSIVE tree MAX RECURSION LEVEL 1000 AS (
+             SELECT id, name AS path, 0 AS depth FROM {nodes} WHERE parent IS NULL
+             UNION ALL
+             SELECT n.id, concat_ws('/', t.path, n.name), t.depth + 1 FROM tree t JOIN {nodes} n ON n.parent = t.id)
+           SELECT id, path, depth FROM tree""",
+        nodes=nodes,
+    )
 
 
 def inventory(rows: DataFrame, date_keys: Sequence[str], text_keys: Sequence[str]) -> DataFrame:

@@ -68,4 +68,3 @@ def test_notes_take_whole_headlines(spark, small):
     notes = registry.queries()["deterministic_notes_whole"](spark, small).collect()
     assert len(notes) == len(whole)
     assert all((n.direction, n.horizon) == whole[n.doc_id] for n in notes)
-    assert whole != rows(spark, small, "headline_class")
