@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from glossmark.functions.html import meta_content
+
 
 def blocks(html: Column) -> Column:
     """array<string>: the page's JSON-LD scripts, control characters as spaces."""
@@ -54,17 +56,42 @@ def objects_of(types: tuple[str, ...]):
     return find
 
 
+def _said(text: Column) -> Column:
+    return F.nullif(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")), F.lit(""))
+
+
+def _people(value: Column) -> Column:
+    """Names of an author, an object or a list of either, with a comma between them."""
+    listed = F.when(F.startswith(value, F.lit("[")), F.from_json(value, "array<string>")).otherwise(F.array(value))
+    name = lambda x: F.when(F.startswith(x, F.lit("{")), F.coalesce(_said(F.get_json_object(x, "$.name")), _said(F.get_json_object(x, "$['@id']")))).otherwise(_said(x))
+    return F.nullif(F.array_join(F.array_compact(F.transform(listed, name)), ", "), F.lit(""))
+
+
+def _picture(value: Column) -> Column:
+    first = F.when(F.startswith(value, F.lit("[")), F.get(F.from_json(value, "array<string>"), F.lit(0))).otherwise(value)
+    return F.when(F.startswith(first, F.lit("{")), F.coalesce(_said(F.get_json_object(first, "$.url")), _said(F.get_json_object(first, "$.contentUrl")))).otherwise(_said(first))
+
+
 def article(html: Column) -> Column:
-    """struct of an article's metadata: its first JSON-LD article, and where that is silent the page's meta tags."""
+    """struct of an article's metadata: its first JSON-LD article, and where that is silent the page's meta tags; what isn't there is null."""
     first = F.get(objects_of(("NewsArticle", "Article", "BlogPosting"))(blocks(html)), F.lit(0))
-    value = lambda path: F.nullif(F.trim(F.get_json_object(first, path)), F.lit(""))
-    meta = lambda name: F.nullif(F.regexp_extract(html, rf'(?is)<meta[^>]+(?:property|name)=["\']{name}["\'][^>]+content=["\']([^"\']*)["\']', 1), F.lit(""))
+    raw = lambda path: F.get_json_object(first, path)
+    value = lambda path: _said(raw(path))
+    meta = lambda name, kind="property": F.nullif(meta_content(html, name, kind), F.lit(""))
+    page = raw("$.mainEntityOfPage")
+    of_page = F.when(F.startswith(page, F.lit("{")), F.coalesce(value("$.mainEntityOfPage['@id']"), value("$.mainEntityOfPage.url"))).otherwise(_said(page))
+    words = raw("$.keywords")
+    listed = F.when(F.startswith(words, F.lit("[")), F.from_json(words, "array<string>")).otherwise(F.filter(F.transform(F.split(words, ","), _said), lambda x: x.isNotNull()))
     return F.struct(
-        F.coalesce(value("$.headline"), meta("og:title")).alias("title"),
+        F.coalesce(value("$.url"), value("$['@id']"), of_page).alias("url"),
+        F.coalesce(value("$.headline"), value("$.name"), meta("og:title")).alias("title"),
         F.coalesce(value("$.description"), meta("og:description")).alias("description"),
         F.coalesce(value("$.datePublished"), meta("article:published_time")).alias("date_published"),
         value("$.dateModified").alias("date_modified"),
-        F.coalesce(value("$.author.name"), value("$.author[0].name"), meta("author")).alias("author"),
+        F.coalesce(_people(F.coalesce(raw("$.author"), raw("$.creator"))), meta("author", "name")).alias("author"),
         value("$.articleSection").alias("article_section"),
-        F.from_json(F.get_json_object(first, "$.keywords"), "array<string>").alias("keywords"),
+        value("$.genre").alias("genre"),
+        listed.alias("keywords"),
+        _picture(raw("$.image")).alias("image_url"),
+        raw("$.isAccessibleForFree").alias("is_accessible_for_free"),
     )

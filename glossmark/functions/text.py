@@ -124,6 +124,48 @@ def earliest_snippet(text: Column, keywords: list[str], context: int = 90) -> Co
     return F.when(hit.isNull(), F.lit("")).otherwise(cut)
 
 
+def ordered_snippets(text: Column, keywords: list[str], context: int = 80, limit: int = 3) -> Column:
+    """array<struct<keyword, start, snippet>>: the first matches, keyword by keyword in the order given, in any case. Two whose snippets begin at
+    one place, which only those cut off by the text's beginning do, are one."""
+    each = []
+    for k in keywords:
+        found = F.filter(matches(text, "(?iu)" + literal(k)), lambda m: (m["ord"] == 0) | (m["start"] > context))
+        each.append(F.transform(F.slice(found, 1, limit), _named(k)))
+    return F.transform(F.slice(F.concat(*each), 1, limit), lambda h: F.struct(h["keyword"].alias("keyword"), h["start"].alias("start"), around(text, h["start"], F.length(h["match"]), context).alias("snippet")))
+
+
+def _named(keyword: str):
+    return lambda m: F.struct(F.lit(keyword).alias("keyword"), m["start"].alias("start"), m["match"].alias("match"))
+
+
+def section(text: Column, heading: str) -> Column:
+    """What stands between the `# heading` line and the next `# ` line; '' without the heading."""
+    return F.regexp_extract(text, rf"(?ms)^# {literal(heading)}[ \t]*$(.*?)(?=^# [^\n]|\z)", 1)
+
+
+def bullet_lines(block: Column) -> Column:
+    """A block's lines without their bullets and the white space around them; empty ones and lone hyphens are left out."""
+    lines = F.transform(F.split(block, "\n"), lambda x: strip(x))
+    lines = F.transform(F.filter(lines, lambda x: (x != "") & (x != "-")), lambda x: strip(F.regexp_replace(x, r"\A- ", "")))
+    return F.filter(lines, lambda x: x != "")
+
+
+def heading_title(text: Column, boilerplate: list[str] | None = None) -> Column:
+    """The first non-empty `# ` heading behind the frontmatter that isn't boilerplate; null without one."""
+    lines = F.transform(F.split(strip_frontmatter(text), "\n"), lambda x: strip(x))
+    titles = F.transform(F.filter(lines, lambda x: F.startswith(x, F.lit("# "))), lambda x: strip(F.substr(x, F.lit(3))))
+    kept = F.filter(titles, lambda x: (x != "") & ~x.isin(*(boilerplate or [""])))
+    return F.get(kept, F.lit(0))
+
+
+def source_id(names: list[Column], numbers: list[Column], kind: str, fallback: Column) -> Column:
+    """The first name that isn't empty; else the first number, as EP and three digits if it is one; else kind and fallback."""
+    number = F.trim(first_nonempty(*[n.cast("string") for n in numbers]))
+    numbered = F.when(number.rlike(r"^[0-9]+$"), F.concat(F.lit("EP"), F.lpad(number.cast("bigint").cast("string"), 3, "0"))).otherwise(number)
+    long = F.when(number.rlike(r"^[0-9]+$") & (number.cast("bigint") > 999), F.concat(F.lit("EP"), number.cast("bigint").cast("string")))
+    return F.coalesce(first_nonempty(*names), long, F.nullif(numbered, F.lit("")), F.concat(F.lit(kind + "-"), fallback))
+
+
 def spaced_hits(hits: Column, context: int, limit: int) -> Column:
     """Of hits (structs with start), in order, those at least context away from all taken before; at most limit."""
     empty = F.filter(hits, lambda h: F.lit(False))

@@ -33,6 +33,23 @@ def date_string(text: Column) -> Column:
     return F.coalesce(F.when(iso != "", iso).otherwise(F.substring(text, 1, 10)), F.lit(""))
 
 
+def strict_date(text: Column) -> Column:
+    """yyyy-MM-dd and nothing else; null otherwise."""
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date"))
+
+
+def date_in(text: Column) -> Column:
+    """The first date of this century in a text, written with hyphens or slashes, as an ISO date; null without one."""
+    part = lambda k: F.regexp_extract(text, r"(20\d{2})[-/](\d{1,2})[-/](\d{1,2})", k)
+    return F.when(part(1) != "", F.concat_ws("-", part(1), F.lpad(part(2), 2, "0"), F.lpad(part(3), 2, "0")))
+
+
+def path_date(path: Column) -> Column:
+    """Of a file's name: the first ISO date in it; null without one."""
+    name = F.element_at(F.split(path, "/"), -1)
+    return F.nullif(F.regexp_extract(name, r"\d{4}-\d{2}-\d{2}", 0), F.lit(""))
+
+
 def published_local(text: Column) -> Column:
     """A publication time in many shapes as local (Taipei) wall time: epoch seconds, dates, four formats, ISO with or without a zone.
     Without a zone the time is local already; a bare date is its midnight."""

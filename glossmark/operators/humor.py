@@ -147,3 +147,8 @@ def greedy_dedupe(rows: DataFrame, day: str = "day", limit: int = 2400) -> DataF
 
 def ranked(rows: DataFrame, group: str, by: Sequence[Column]) -> DataFrame:
     return rows.withColumn("place", F.row_number().over(W.partitionBy(group).orderBy(*by)))
+
+
+def signal(text: Column, markers: Markers, pattern: str) -> Column:
+    """Whether a passage has an explicit or a strong marker, or else the pattern, which stays within a line."""
+    return (_present(text, markers.explicit) > 0) | (_present(text, markers.strong) > 0) | text.rlike(pattern)

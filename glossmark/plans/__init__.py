@@ -1,3 +1,3 @@
 """Queries by theme; importing this package enters them into the registry."""
 
-from glossmark.plans import jobs, market, passages, search, sync, themes  # noqa: F401
+from glossmark.plans import jobs, market, passages, records, search, sync, themes  # noqa: F401

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from glossmark.operators import mentions as M
 from glossmark.operators import notes as N
+from glossmark.operators import prices
+from glossmark.operators import sync as S
 from glossmark.plans import market, passages, search, sync, themes
-from glossmark.plans.tables import table
+from glossmark.plans.tables import BARS, DATED, bars, dated, table
 from glossmark.registry import oracle_sql, register
 
 _SQL = oracle_sql()
@@ -66,3 +70,65 @@ def changed_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = sync.signature_diff(spark, sf_dir)
     counts = themes.counts(spark, sf_dir).join(changed, "doc_id")
     return counts.groupBy("theme", "change").agg(F.count_distinct("doc_id").alias("episode_count"), F.sum("n").alias("hit_count"))
+
+
+_ALL_MENTIONS = f"""WITH direct AS (SELECT doc_id, symbol, matched_aliases, 'transcript' AS sources FROM ({search.DIRECT})), seen AS ({search.SECTOR_SEEN}),
+named AS (SELECT DISTINCT doc_id, symbol, '' AS matched_aliases, 'trade_observations.asset_symbol' AS sources FROM ({search.OBSERVED}) WHERE symbol IN ('AAA', 'BBB', 'CCC')),
+m AS (SELECT * FROM direct UNION ALL SELECT * FROM seen UNION ALL SELECT * FROM named UNION ALL SELECT * FROM ({_SQL["proxy_minus_direct"]})),
+a AS (SELECT doc_id, symbol, string_agg(DISTINCT x, ',' ORDER BY x) AS matched_aliases FROM (SELECT doc_id, symbol, unnest(string_split(matched_aliases, ',')) AS x FROM m) WHERE x <> '' GROUP BY ALL),
+s AS (SELECT doc_id, symbol, string_agg(DISTINCT x, ',' ORDER BY x) AS sources FROM (SELECT doc_id, symbol, unnest(string_split(sources, ',')) AS x FROM m) GROUP BY ALL)"""
+
+
+@register(
+    "asset_context",
+    f"""{_ALL_MENTIONS}, b AS ({BARS}),
+t AS (SELECT s.doc_id, s.symbol, coalesce(matched_aliases, '') AS matched_aliases, sources, CASE s.symbol WHEN 'AAA' THEN '1-URGENT' WHEN 'BBB' THEN '' ELSE 'CCC' END AS price_symbol, CASE WHEN s.doc_id % 11 <> 0 THEN day - 1200 END AS target
+ FROM s LEFT JOIN a ON a.doc_id = s.doc_id AND a.symbol = s.symbol JOIN ({DATED}) d ON d.doc_id = s.doc_id),
+j AS (SELECT t.*, b.d, b.close FROM t ASOF LEFT JOIN b ON t.price_symbol = b.symbol AND t.target >= b.d)
+SELECT doc_id, symbol, matched_aliases, sources, price_symbol, d AS price_day, close, CASE WHEN target IS NULL THEN 'missing_episode_date' WHEN price_symbol = '' THEN 'no_public_symbol' WHEN price_symbol NOT IN (SELECT symbol FROM b) THEN 'missing_price_series' WHEN d IS NULL THEN 'no_prior_price' ELSE 'ok' END AS status FROM j""",
+)
+def asset_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The asset context as one job: what each document mentions by alias, what its notes observe, sectors' members that it doesn't mention itself, all
+    united by asset, with the last price known at its time or why there is none."""
+    keys = ["doc_id"]
+    known = spark.createDataFrame(sorted({(s,) for s, _ in search.ALIASES}), "symbol string")
+    direct = search._direct(spark, sf_dir)
+    found = M.united(direct, search.sectors_seen(spark, sf_dir)[0], keys)
+    found = M.united(found, M.observed_symbols(search.observed(spark, sf_dir), known, keys), keys)
+    found = M.united(found, M.proxy_minus_direct(search._proxies(spark, sf_dir), direct, keys), keys)
+    overrides = F.create_map(F.lit("AAA"), F.lit("1-URGENT"), F.lit("BBB"), F.lit(""))
+    symbol = prices.pricing_symbol(F.col("symbol"), overrides[F.col("symbol")], F.col("symbol").isin("AAA", "BBB"))
+    days = dated(spark, sf_dir).select("doc_id", F.when(F.col("doc_id") % 11 != 0, F.date_sub("day", 1200)).alias("target"))
+    rows = search._flat(found).withColumn("price_symbol", symbol).join(days, "doc_id")
+    closes = bars(spark, sf_dir).withColumnRenamed("symbol", "price_symbol")
+    series = closes.select("price_symbol").distinct().withColumn("has_series", F.lit(True))
+    priced = prices.as_of_keys(rows, closes, "price_symbol").join(series, "price_symbol", "left")
+    status = prices.pricing_status(F.col("target").isNotNull(), F.col("price_symbol"), F.coalesce("has_series", F.lit(False)), F.col("d").isNotNull())
+    return priced.select("doc_id", "symbol", "matched_aliases", "sources", "price_symbol", F.col("d").alias("price_day"), "close", status.alias("status"))
+
+
+@register(
+    "feed_sync",
+    f"""WITH f AS (SELECT doc_id, substr(text, 1, 40) AS title, CASE WHEN doc_id % 10 <> 0 THEN strftime(day, '%Y-%m-%d') END AS pub, CASE WHEN doc_id % 6 <> 0 THEN 'a' || doc_id END AS audio FROM ({DATED}) SEMI JOIN ({_SQL["author_relevance"]} WHERE source = 'src3' OR score >= 2) r USING (doc_id)),
+o AS (SELECT doc_id, CASE WHEN quality = 1 THEN 't' || doc_id ELSE '' END AS transcript, CASE WHEN toxic = 1 THEN 'error' ELSE 'done' END AS status FROM labels)
+SELECT f.doc_id, title, pub, audio, nullif(o.transcript, '') AS transcript, CASE WHEN coalesce(o.transcript, '') <> '' THEN 'done' WHEN o.status = 'error' THEN 'error' WHEN audio IS NOT NULL THEN 'pending' ELSE 'missing_audio' END AS status,
+ row_number() OVER (ORDER BY coalesce(pub, '') DESC, f.doc_id) AS place FROM f LEFT JOIN o ON f.doc_id = o.doc_id QUALIFY place <= 1000""",
+)
+def feed_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed brought into its manifest as one job: the items that are the author's, with what the manifest knew of their transcripts and errors, their
+    status now, and the thousand newest of them in order. Documents stand for items, labels for the manifest."""
+    items = dated(spark, sf_dir).select("doc_id", F.substring("text", 1, 40).alias("title"), F.when(F.col("doc_id") % 10 != 0, F.date_format("day", "yyyy-MM-dd")).alias("pub"), F.when(F.col("doc_id") % 6 != 0, F.concat(F.lit("a"), F.col("doc_id").cast("string"))).alias("audio"))
+    mine = items.join(search.author_relevance(spark, sf_dir).where("included").select("doc_id"), "doc_id", "left_semi")
+    old = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, F.concat(F.lit("t"), F.col("doc_id").cast("string"))).otherwise("").alias("transcript"), F.when(F.col("toxic") == 1, "error").otherwise("done").alias("status"))
+    nothing = F.lit(None).cast("string")
+    merged = S.upsert_preserving(mine.withColumns({"transcript": nothing, "status": nothing}), old, "doc_id", ["transcript", "status"])
+    status = S.recording_status(F.coalesce("transcript", F.lit("")) != "", F.coalesce("status", F.lit("")), F.col("audio"))
+    top = merged.withColumn("status", status).orderBy(*S.newest_first(F.col("pub"), F.col("doc_id"))).limit(1000)
+    return top.withColumn("place", F.row_number().over(W.orderBy(*S.newest_first(F.col("pub"), F.col("doc_id")))))
+
+
+@register("daily_sync", f"WITH c AS ({oracle_sql()['changed_rollup']}) SELECT c.*, g.reason FROM c, ({_SQL['daily_gate']}) g WHERE g.due")
+def daily_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A daily run: nothing where today's is done and nothing waits; else the memory of what the diff of sources names, and why it ran."""
+    gate = sync.daily_gate(spark, sf_dir).where("due")
+    return changed_rollup(spark, sf_dir).crossJoin(gate.select("reason"))

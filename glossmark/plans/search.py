@@ -92,6 +92,21 @@ def snippets_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "h.keyword", "h.start", T.line_of(F.col("text"), F.col("h.start")).alias("line"), T.around(F.col("text"), F.col("h.start"), F.length("h.match"), 95).alias("snippet"))
 
 
+ORDERED = f"""WITH k(keyword, ord) AS (VALUES {", ".join(f"('{k}', {i})" for i, k in enumerate(_KEYS))}),
+p AS (SELECT doc_id, keyword, ord, unnest(string_split(lower(text), keyword)) AS piece, generate_subscripts(string_split(lower(text), keyword), 1) AS i FROM documents, k),
+h AS (SELECT doc_id, keyword, ord, i, (sum(length(piece)) OVER (PARTITION BY doc_id, ord ORDER BY i) + (i - 1) * length(keyword))::BIGINT AS start, count(*) OVER (PARTITION BY doc_id, ord) AS n FROM p),
+f AS (SELECT doc_id, keyword, ord, start, row_number() OVER (PARTITION BY doc_id ORDER BY ord, start) AS place FROM h WHERE i < n AND (i = 1 OR start > 80))
+SELECT f.doc_id, place::INT AS place, keyword, start::INT AS start, trim(regexp_replace(substr(text, greatest(start - 80, 0) + 1, start + length(keyword) + 80 - greatest(start - 80, 0)), '\\s+', ' ', 'g')) AS snippet FROM f JOIN documents USING (doc_id) WHERE place <= 3"""
+
+
+@register("snippets_ordered", ORDERED)
+def snippets_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first three matches of a document, keyword by keyword, with 80 characters to each side."""
+    found = T.ordered_snippets(F.col("text"), _KEYS)
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(found).alias("at", "s"))
+    return rows.select("doc_id", (F.col("at") + 1).alias("place"), "s.keyword", "s.start", "s.snippet")
+
+
 ALIASES = [("AAA", "the"), ("AAA", "tion"), ("BBB", "eau"), ("CCC", "und"), ("CCC", "la")]
 SECTORS = [("food", "de"), ("food", "eau"), ("chips", "on")]
 MEMBERS = [("food", "AAA"), ("food", "BBB"), ("food", "ZZZ"), ("chips", "CCC")]
@@ -150,20 +165,42 @@ def mention_top30(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.top_mentioned(both, "doc_id")
 
 
+OBSERVED = "SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'Alpha' WHEN 4 THEN 'la DE baja' WHEN 1 THEN source WHEN 5 THEN 'made on' WHEN 2 THEN '' WHEN 6 THEN 'chips' ELSE 'food' END AS asset, CASE WHEN doc_id % 3 = 0 THEN 'AAA' WHEN doc_id % 3 = 1 THEN 'QQQ' ELSE '' END AS symbol FROM documents"
+_SECTOR_HITS = f"SELECT doc_id, asset, sector, alias FROM ({OBSERVED}), (VALUES {_SECTOR_ROWS}) v(sector, alias) WHERE asset <> '' AND {_BOUND.replace('text', 'asset')} UNION ALL SELECT doc_id, asset, asset, NULL FROM ({OBSERVED}) WHERE asset IN ('food', 'chips')"
+_TERMS = f"SELECT DISTINCT doc_id, unnest([sector, alias, asset]) AS term FROM ({_SECTOR_HITS})"
+SECTOR_SEEN = f"""SELECT doc_id, symbol, string_agg(DISTINCT a, ',' ORDER BY a) AS matched_aliases, string_agg(DISTINCT s, ',' ORDER BY s) AS sources
+FROM (SELECT doc_id, m.symbol, unnest([alias, asset]) AS a, unnest(['sector_basket:' || h.sector, 'trade_observations.asset_or_sector']) AS s FROM ({_SECTOR_HITS}) h JOIN (VALUES {_MEMBER_ROWS}) m(sector, symbol) ON m.sector = h.sector WHERE m.symbol IN ('AAA', 'BBB', 'CCC')) GROUP BY ALL"""
+
+
+def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, asset, symbol): what the documents' notes observe; names and sectors, some with a symbol."""
+    k = F.col("doc_id")
+    asset = F.when(k % 8 == 0, "Alpha").when(k % 8 == 4, "la DE baja").when(k % 8 == 1, F.col("source")).when(k % 8 == 5, "made on").when(k % 8 == 2, "").when(k % 8 == 6, "chips").otherwise("food")
+    symbol = F.when(k % 3 == 0, "AAA").when(k % 3 == 1, "QQQ").otherwise("")
+    return table(spark, sf_dir, "documents").select("doc_id", asset.alias("asset"), symbol.alias("symbol"))
+
+
+def sectors_seen(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    known = spark.createDataFrame(sorted({(s,) for s, _ in ALIASES}), "symbol string")
+    return M.observed_sectors(observed(spark, sf_dir), SECTORS, spark.createDataFrame(MEMBERS, "sector string, symbol string"), known, ["doc_id"])
+
+
+@register("sector_observations", SECTOR_SEEN)
+def sector_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assets of the sectors that notes observe, by a sector's name or an alias of it."""
+    return _flat(sectors_seen(spark, sf_dir)[0])
+
+
 @register(
     "unresolved_mentions",
-    """WITH o AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Alpha' WHEN 1 THEN source WHEN 2 THEN '' ELSE 'food' END AS asset, CASE WHEN doc_id % 3 = 0 THEN 'AAA' WHEN doc_id % 3 = 1 THEN 'QQQ' ELSE '' END AS symbol FROM documents),
-r AS (SELECT doc_id, 'food' AS term FROM labels WHERE quality = 1)
+    f"""WITH o AS ({OBSERVED}), r AS ({_TERMS})
 SELECT DISTINCT doc_id, CASE WHEN asset <> '' THEN asset || ' (' || symbol || ')' ELSE symbol END AS mention FROM o WHERE symbol <> '' AND symbol NOT IN ('AAA', 'BBB')
-UNION SELECT doc_id, asset FROM o WHERE symbol = '' AND asset <> '' AND asset NOT IN ('Alpha', 'Beta') AND (doc_id, asset) NOT IN (SELECT doc_id, term FROM r)""",
+UNION SELECT doc_id, asset FROM o WHERE symbol = '' AND asset <> '' AND asset NOT IN ('Alpha', 'Beta') AND (doc_id, asset) NOT IN (SELECT doc_id, term FROM r WHERE term IS NOT NULL)""",
 )
 def unresolved_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    k = F.col("doc_id")
-    observed = docs.select("doc_id", F.when(k % 4 == 0, "Alpha").when(k % 4 == 1, F.col("source")).when(k % 4 == 2, "").otherwise("food").alias("asset"), F.when(k % 3 == 0, "AAA").when(k % 3 == 1, "QQQ").otherwise("").alias("symbol"))
+    """What notes observe and nothing explains: unknown symbols, and names that are neither an asset nor a term of a sector they matched."""
     known = spark.createDataFrame([("AAA", "Alpha"), ("BBB", "Beta")], "symbol string, name string")
-    terms = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id", F.lit("food").alias("term"))
-    return M.unresolved(observed, known, terms, ["doc_id"])
+    return M.unresolved(observed(spark, sf_dir), known, sectors_seen(spark, sf_dir)[1], ["doc_id"])
 
 
 @register("plain_markdown", r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\[([^\]]+)\]\([^)]+\)', '\1', 'g'), 'https?://\S+', '', 'g'), '(?m)^#+\s*', '', 'g'), '(?m)^\s*[-*]\s*', '', 'g'), '\s+', ' ', 'g')) AS plain FROM documents""")

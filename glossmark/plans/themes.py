@@ -197,3 +197,57 @@ SELECT * FROM e ORDER BY score DESC, day DESC, doc_id DESC LIMIT 8""",
 def evidence_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The eight documents with most evidence for a question."""
     return evidence_score(spark, sf_dir).orderBy(F.desc("score"), F.desc("day"), F.desc("doc_id")).limit(8)
+
+
+_SNIPPET_KEYS = {"risk": ["eau", "ou"], "macro": ["sch", "que"]}
+_EVIDENCE = f"""WITH c AS (SELECT theme FROM (VALUES {_scored_values(7)}) v(theme, theme_ord, score) WHERE score > 0 ORDER BY score DESC, theme_ord LIMIT 2),
+e AS (SELECT doc_id, day, sum(n * CASE WHEN contains('{QUESTION}', lower(keyword)) THEN 6 ELSE 1 END)::BIGINT AS score FROM ({COUNTS}) WHERE theme IN (SELECT theme FROM c) GROUP BY doc_id, day)"""
+
+
+@register("evidence_recent", _EVIDENCE + " SELECT * FROM e WHERE day >= DATE '1999-01-01' ORDER BY score DESC, day DESC, doc_id DESC LIMIT 6")
+def evidence_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the recent documents the six with most evidence, newer ones first among equals."""
+    return evidence_score(spark, sf_dir).where(F.col("day") >= "1999-01-01").orderBy(F.desc("score"), F.desc("day"), F.desc("doc_id")).limit(6)
+
+
+def theme_snippets(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+    """(doc_id, theme, place, keyword, start): up to three snippets of each theme in a document, in their stored order."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = rows if docs is None else rows.join(docs.select("doc_id"), "doc_id", "left_semi")
+    found = [F.struct(F.lit(t).alias("theme"), T.ordered_snippets(F.col("text"), ks).alias("found")) for t, ks in _SNIPPET_KEYS.items()]
+    each = rows.select("doc_id", F.explode(F.array(*found)).alias("t")).select("doc_id", "t.theme", F.posexplode("t.found").alias("place", "s"))
+    return each.select("doc_id", "theme", "place", "s.keyword", "s.start")
+
+
+def _snippet_sql(limit: int) -> str:
+    keys = ", ".join(f"('{t}', '{k}', {i})" for t, ks in _SNIPPET_KEYS.items() for i, k in enumerate(ks))
+    return f"""k(theme, keyword, ord) AS (VALUES {keys}),
+p AS (SELECT doc_id, theme, keyword, ord, unnest(string_split(lower(text), keyword)) AS piece, generate_subscripts(string_split(lower(text), keyword), 1) AS i FROM documents SEMI JOIN t USING (doc_id), k),
+h AS (SELECT doc_id, theme, keyword, ord, i, (sum(length(piece)) OVER (PARTITION BY doc_id, theme, ord ORDER BY i) + (i - 1) * length(keyword))::INT AS start, count(*) OVER (PARTITION BY doc_id, theme, ord) AS n FROM p),
+f AS (SELECT doc_id, theme, keyword, start, row_number() OVER (PARTITION BY doc_id, theme ORDER BY ord, start) AS place FROM h WHERE i < n AND (i = 1 OR start > 80)),
+s AS (SELECT f.*, row_number() OVER (PARTITION BY doc_id ORDER BY CASE theme WHEN 'risk' THEN 0 ELSE 1 END, place)::INT AS nth FROM f WHERE place <= 3 QUALIFY nth <= {limit})"""
+
+
+@register("evidence_snippets", _EVIDENCE + f", t AS (SELECT * FROM e ORDER BY score DESC, day DESC, doc_id DESC LIMIT 8), {_snippet_sql(3)} SELECT doc_id, score, theme, nth, keyword, start FROM t JOIN s USING (doc_id)")
+def evidence_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with most evidence, each with its first three snippets over the chosen themes, theme by theme."""
+    top = evidence_top(spark, sf_dir)
+    ranks = spark.createDataFrame([("risk", 0), ("macro", 1)], "theme string, theme_rank int")
+    found = D.first_snippets(theme_snippets(spark, sf_dir, top), ranks, "doc_id", 3)
+    return top.select("doc_id", "score").join(found, "doc_id").select("doc_id", "score", "theme", "nth", "keyword", "start")
+
+
+@register(
+    "note_assets",
+    """WITH c AS (SELECT doc_id, symbol, sum(n)::BIGINT AS hits FROM (SELECT doc_id, symbol, ((length(text) - length(replace(text, keyword, ''))) // length(keyword))::BIGINT AS n
+ FROM documents, (VALUES ('AAA', 'tion'), ('AAA', 'Tion'), ('BBB', 'eau'), ('CCC', 'sch'), ('CCC', 'ung')) v(symbol, keyword)) WHERE n > 0 GROUP BY ALL)
+SELECT doc_id, symbol, hits, row_number() OVER (PARTITION BY doc_id ORDER BY hits DESC, symbol)::INT AS place, CASE WHEN symbol = 'AAA' AND doc_id IN (SELECT doc_id FROM labels) THEN 'priced_in_episode_asset_context' END AS context_status FROM c QUALIFY place <= 20""",
+)
+def note_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty assets a document names most, and whether its asset context has priced them; labels stand for that context."""
+    from glossmark.operators import mentions as M
+
+    found = D.keyword_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), _ASSETS).groupBy("doc_id", F.col("theme").alias("symbol")).agg(F.sum("n").alias("hits"))
+    top = D.top_documents(found, [F.desc("hits"), F.asc("symbol")], 20, "doc_id")
+    direct = table(spark, sf_dir, "labels").select("doc_id", F.lit("AAA").alias("symbol"))
+    return M.with_context_flag(top, direct, ["doc_id"]).select("doc_id", "symbol", "hits", "place", "context_status")

@@ -12,6 +12,17 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", True).json(path)
 
 
+def write_document(df: DataFrame, path: str) -> None:
+    """Each row as an indented JSON document; Spark sorts no keys, so they stand in the columns' order."""
+    df.select(F.to_json(F.struct(*df.columns), {"pretty": "true"}).alias("value")).write.mode("overwrite").text(path)
+
+
+def manifest(df: DataFrame, name: str, key: str, outputs: dict[str, str]) -> DataFrame:
+    """One row that tells what a job wrote: its name and time, the rows and distinct keys, and where its outputs are."""
+    paths = F.create_map(*[F.lit(x) for kv in outputs.items() for x in kv]) if outputs else F.create_map().cast("map<string, string>")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys")).select(F.lit(name).alias("job"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("written_at"), "rows", "keys", paths.alias("outputs"))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

@@ -102,6 +102,5 @@ def test_feed_time(spark):
 
 def test_html():
     page = "<html><style>x</style><nav>menu</nav><h2>A &amp; b</h2><p>one<br>two <a href='/x'>go</a></p><div class='share-box'>noise<div>more</div></div><p>end</p><script>y</script></html>"
-    assert html.read(page, True) == "## A & b\none\ntwo [go](/x)\nend"
-    assert html.read(page, False) == "menu\nA & b\none\ntwo go\nnoise\nmore\nend"
-    assert html.read(None, True) is None and html.read("", True) == "" and html.read("<p>broken <b>x", False) == "broken x"
+    assert html.read(page, html.PAGE) == "## A & b\n\none\ntwo go\n\nnoise\nmore\n\nend"
+    assert html.read(None, html.PAGE) is None and html.read("", html.PAGE) == "" and html.read("<p>broken <b>x", html.PAGE) == "broken x"

@@ -14,6 +14,7 @@ def test_article(spark):
     found = {r.i: r.a for r in rows.select("i", jsonld.article(F.col("html")).alias("a")).collect()}
     a = found[0]
     assert (a.title, a.description, a.date_published, a.author, a.keywords) == ("Head line", "from meta", "2024-01-02", "A", ["x", "y"])
+    assert (a.genre, a.image_url, a.url) == (None, None, None)
     assert found[1].title is None and found[2].title is None
 
 

@@ -18,11 +18,3 @@ def test_greedy_snippets(spark, small):
                     piece = r.text[max(0, m.start() - 95) : m.end() + 95]
                     want.add((k, m.start(), r.text.count("\n", 0, m.start()) + 1, re.sub(r"\s+", " ", piece).strip()))
         assert found.get(r.doc_id, set()) == want
-
-
-def test_html_texts_are_what_the_parser_reads(spark, small):
-    from glossmark.functions.html import read
-
-    pages = {r.page_id: r.html for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
-    assert {r.page_id: r.text for r in search.html_text(spark, small).collect()} == {k: read(v, False) for k, v in pages.items()}
-    assert all("<" not in r.markdown or "<" in pages[r.page_id] for r in search.html_markdown(spark, small).collect())
