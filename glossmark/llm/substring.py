@@ -5,14 +5,18 @@ as WINDOW is at least 2 * ANCHOR - 1. So the blocks of every document, one in AN
 rolling run of ANCHOR words probes it; and hits are extended to windows, whose earliest document decides.
 
 Both exchanges go by hash. A row is all that one pass over some documents has for one shard: hashes in order, the anchors' by
-their low 16 bits and high 16 bits apart, which compress well, and the number in the pass of the document each stands in. So
-an entry takes the same few bytes however many shards there are. Answers go back by pass, where the numbers become
-documents again. What many documents of a pass have goes once for all of them, so a passage of a third of all documents adds
-one entry a pass, not one a document.
+their low 16 bits and high 16 bits apart, which compress well, and the number in the pass of the document each stands in.
+Answers go back by pass, where the numbers become documents again. What many documents of a pass have goes once for all of
+them, so a passage of a third of all documents adds one entry a pass, not one a document.
+
+An anchor is told by its shard and 32 bits; a false hit costs an extension, never a wrong result. Windows are told by two
+64-bit hashes of their words. There are as many shards as make one hold about SHARD_BYTES of text, so neither what a task
+holds nor the share of false hits grows with the corpus.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,21 +30,17 @@ from glossmark.llm.common import bloom_blocks, bloom_filter, bloom_probe, fresh,
 
 WINDOW_WORDS = 13
 ANCHOR_WORDS = 7
+SHARD_BYTES = 32 << 20
+#: Characters of a pass: what a worker holds as numbers at a time. A longer text is a pass of its own.
+PASS_CHARS = 2 << 20
+#: For the second hash of windows.
+_SECOND = 0xC2B2AE3D27D4EB4F
 
 _ANCHOR_ROW = "shard int, pass long, low binary, high binary, owner binary, block binary, several binary"
-_WINDOW_ROW = "shard int, pass long, base long, hash binary, owner binary, place binary, id binary"
+_WINDOW_ROW = "shard int, pass long, base long, hash binary, second binary, owner binary, place binary, id binary"
 _ANSWER = "pass long, keys binary, owner binary, value binary"
 
 
-def _runs(texts: list[str | None], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(owner, place, hash) of every run of width words in the texts."""
-    hashes = [words.rolling(words.hashes(words.split(t)), width) for t in texts]
-    sizes = np.array([len(h) for h in hashes], np.int64)
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return owner, place, np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-
-
 def _groups(*sorted_: np.ndarray) -> np.ndarray:
     """Where a new value of the sorted columns begins."""
     new = np.ones(len(sorted_[0]), bool)
@@ -64,34 +64,42 @@ def _aside(name: int, shards: int) -> int:
     return -1 - name % shards
 
 
+def _shard(h: np.ndarray, shards: int) -> np.ndarray:
+    """By the upper half of the hashes, in their order."""
+    return ((h >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+
+
 def _anchors(shards: int):
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each shard what this pass has of it; aside, the pass's documents and the anchors known here to repeat."""
         for batch in slices(batches, 1024):
             texts = batch.column("text").to_pylist()
-            for some in words.passes(texts):
+            for some in words.passes(texts, PASS_CHARS):
                 ids, keys = (batch.column(c).slice(some.start, len(some)).to_numpy() for c in ("id", "key"))
-                owner, place, h = _runs([texts[i] for i in some], ANCHOR_WORDS)
+                by_id = np.argsort(ids, kind="stable").astype(np.uint16)
+                rank = np.empty(len(ids), np.uint16)
+                rank[by_id] = np.arange(len(ids))
+                runs = [words.rolling(words.hashes(words.split(texts[i])), ANCHOR_WORDS) for i in some]
+                sizes = [len(x) for x in runs]
+                h = np.concatenate(runs)
                 if not len(h):
                     continue
                 name = _pass_name(keys)
                 yield _row(_ANCHOR_ROW, _aside(name, shards), name, keys, None, None, None, None)
-                block = place % ANCHOR_WORDS == 0
-                h = h & np.uint64(0xFFFFFFFFFFFF)  # 16 bits tell shards apart, 32 the hashes of a shard
-                shard, value = ((h >> np.uint64(32)) % np.uint64(shards)).astype(np.int64), h & np.uint64(0xFFFFFFFF)
-                order = np.lexsort((ids[owner], value, shard))
-                owner, block, shard, value = owner[order].astype(np.uint16), block[order], shard[order], value[order].astype(np.uint32)
-                new = _groups(shard, value)
-                first, of = np.flatnonzero(new), np.cumsum(new) - 1
-                several = np.maximum.reduceat(ids[owner], first) != ids[owner[first]]
-                again = several[of]
-                if again.any():
-                    yield _row(_ANCHOR_ROW, _aside(name, shards), name, None, value[again], owner[again], None, None)
-                block = np.logical_or.reduceat(block, first)
-                shard, value, owner = shard[first], value[first], owner[first]
+                block = np.concatenate([np.arange(n) % ANCHOR_WORDS == 0 for n in sizes])
+                order = np.argsort(h)
+                h, rank, block = h[order], np.repeat(rank, sizes)[order], block[order]
+                first = np.flatnonzero(_groups(h))
+                least, most = np.minimum.reduceat(rank, first), np.maximum.reduceat(rank, first)
+                several = least != most
+                if several.any():
+                    again = np.repeat(several, np.diff(np.r_[first, len(h)]))
+                    yield _row(_ANCHOR_ROW, _aside(name, shards), name, None, h[again].astype(np.uint32), by_id[rank[again]], None, None)
+                h, block, owner = h[first], np.logical_or.reduceat(block, first), by_id[least]
+                shard = _shard(h, shards)
                 cuts = np.flatnonzero(_groups(shard))
-                for a, b in zip(cuts, np.r_[cuts[1:], len(shard)], strict=True):
-                    yield _row(_ANCHOR_ROW, int(shard[a]), name, value[a:b].astype(np.uint16), (value[a:b] >> np.uint32(16)).astype(np.uint16), owner[a:b], np.packbits(block[a:b]), np.packbits(several[a:b]))
+                for a, b in zip(cuts, np.r_[cuts[1:], len(h)], strict=True):
+                    yield _row(_ANCHOR_ROW, int(shard[a]), name, h[a:b].astype(np.uint16), (h[a:b] >> np.uint64(16)).astype(np.uint16), owner[a:b], np.packbits(block[a:b]), np.packbits(several[a:b]))
 
     return entries
 
@@ -152,38 +160,39 @@ def _windows(shards: int):
         earlier document of the pass has too, which are settled."""
         for batch in slices(batches, 1024):
             texts, hits = batch.column("text").to_pylist(), batch.column("hits").to_pylist()
-            for some in words.passes(texts):
+            for some in words.passes(texts, PASS_CHARS):
                 ids, keys = (batch.column(c).slice(some.start, len(some)).to_numpy() for c in ("id", "key"))
-                owners, places, hashes = [], [], []
+                owners, places, hashes, seconds = [], [], [], []
                 for i in some:
                     h = words.hashes(words.split(texts[i]))
                     hit = np.isin(words.rolling(h, ANCHOR_WORDS).astype(np.uint32), np.unique(np.concatenate([np.frombuffer(x, np.uint32) for x in hits[i]])))
-                    w = words.rolling(h, WINDOW_WORDS)
-                    if len(w) and hit.any():
+                    w = len(h) - WINDOW_WORDS + 1
+                    if w > 0 and hit.any():
                         seen = np.r_[0, np.cumsum(hit)]
                         span = WINDOW_WORDS - ANCHOR_WORDS + 1
-                        starts = np.flatnonzero(seen[span : span + len(w)] > seen[: len(w)])
+                        starts = np.flatnonzero(seen[span : span + w] > seen[:w])
                         owners.append(np.full(len(starts), i - some.start, np.uint16))
                         places.append(starts.astype(np.uint32))
-                        hashes.append(w[starts])
+                        hashes.append(words.rolling(h, WINDOW_WORDS)[starts])
+                        seconds.append(words.rolling(h, WINDOW_WORDS, _SECOND)[starts])
                 if not hashes or not sum(map(len, hashes)):
                     continue
                 name, base = _pass_name(keys), int(ids.min())
-                yield _row(_WINDOW_ROW, _aside(name, shards), name, base, keys, None, None, None)
-                owner, place, h = np.concatenate(owners), np.concatenate(places), np.concatenate(hashes)
-                shard = ((h >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
-                order = np.lexsort((ids[owner], h, shard))
-                owner, place, h, shard = owner[order], place[order], h[order], shard[order]
-                new = _groups(shard, h)
+                yield _row(_WINDOW_ROW, _aside(name, shards), name, base, keys, None, None, None, None)
+                owner, place, h, second = (np.concatenate(x) for x in (owners, places, hashes, seconds))
+                order = np.lexsort((ids[owner], second, h))
+                owner, place, h, second = owner[order], place[order], h[order], second[order]
+                new = _groups(h, second)
                 later = ids[owner] != ids[owner[np.flatnonzero(new)]][np.cumsum(new) - 1]
                 if later.any():
-                    yield _row(_WINDOW_ROW, _aside(name, shards), name, base, None, owner[later], place[later], None)
-                owner, place, h, shard = (x[~later] for x in (owner, place, h, shard))
+                    yield _row(_WINDOW_ROW, _aside(name, shards), name, base, None, None, owner[later], place[later], None)
+                owner, place, h, second = (x[~later] for x in (owner, place, h, second))
                 offset = ids[owner] - base
                 offset = offset.astype(np.uint32 if offset.max() < 1 << 32 else np.uint64)
+                shard = _shard(h, shards)
                 cuts = np.flatnonzero(_groups(shard))
-                for a, b in zip(cuts, np.r_[cuts[1:], len(shard)], strict=True):
-                    yield _row(_WINDOW_ROW, int(shard[a]), name, base, h[a:b], owner[a:b], place[a:b], offset[a:b])
+                for a, b in zip(cuts, np.r_[cuts[1:], len(h)], strict=True):
+                    yield _row(_WINDOW_ROW, int(shard[a]), name, base, h[a:b], second[a:b], owner[a:b], place[a:b], offset[a:b])
 
     return entries
 
@@ -193,14 +202,14 @@ def _later(table: pa.Table) -> pa.Table:
     names = table.column("pass").to_pylist()
     if table.column("shard")[0].as_py() < 0:
         return _answers(names, table.column("hash").to_pylist(), table.column("owner").to_pylist(), table.column("place").to_pylist())
-    hashes, owners, places = _columns(table, ("hash", np.uint64), ("owner", np.uint16), ("place", np.uint32))
+    hashes, seconds, owners, places = _columns(table, ("hash", np.uint64), ("second", np.uint64), ("owner", np.uint16), ("place", np.uint32))
     offsets = [np.frombuffer(x, np.uint32 if len(x) == 4 * len(h) else np.uint64).astype(np.int64) for x, h in zip(table.column("id").to_pylist(), hashes, strict=True)]
     ids = np.concatenate([x + base for x, base in zip(offsets, table.column("base").to_pylist(), strict=True)])
     of = np.repeat(np.arange(len(hashes)), [len(x) for x in hashes])
-    h, owner, place = np.concatenate(hashes), np.concatenate(owners), np.concatenate(places)
-    order = np.argsort(h, kind="stable")
-    h, owner, place, of, ids = h[order], owner[order], place[order], of[order], ids[order]
-    first = np.flatnonzero(_groups(h))
+    h, second, owner, place = (np.concatenate(x) for x in (hashes, seconds, owners, places))
+    order = np.lexsort((second, h))
+    h, second, owner, place, of, ids = (x[order] for x in (h, second, owner, place, of, ids))
+    first = np.flatnonzero(_groups(h, second))
     late = ids > np.repeat(np.minimum.reduceat(ids, first), np.diff(np.r_[first, len(h)]))
     return _by_pass(names, of[late], owner[late], place[late])
 
@@ -208,7 +217,8 @@ def _later(table: pa.Table) -> pa.Table:
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(key, places): for each document of docs (id long, key long, text) the starts of its windows that a smaller id has too."""
     spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / SHARD_BYTES))
     hits = _answered(docs.mapInArrow(_anchors(shards), _ANCHOR_ROW), _probe, "hits")
     extended = _chosen(docs, hits.select("key")).join(hits, "key").select("id", "key", "text", "hits")
     return _answered(extended.mapInArrow(_windows(shards), _WINDOW_ROW), _later, "places")
@@ -231,7 +241,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """docs with n_words, n_removed and kept_text: the words that no repeated window covers, joined by one space.
 
     A window is 13 consecutive words of a document; it is repeated if the same words stand, in order, in a document with a
-    smaller id. All windows are judged on the input. Maximal repeats are the unions of such windows. Ids must be integers; a
+    smaller id; windows are held against each other by two 64-bit hashes. All windows are judged on the input. Maximal repeats are the unions of such windows. Ids must be integers; a
     null id is neither smaller nor larger than another, so nothing is removed there or on its account. Rows that repeat an id
     don't count against each other. Null and empty texts have no words. Columns named like the added ones are replaced.
     """

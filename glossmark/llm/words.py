@@ -51,13 +51,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def rolling(h: np.ndarray, width: int) -> np.ndarray:
-    """A hash for each run of width numbers of h."""
+def rolling(h: np.ndarray, width: int, factor: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+    """A hash for each run of width numbers of h; another odd factor gives another hash."""
     if len(h) < width:
         return np.zeros(0, np.uint64)
     out = np.zeros(len(h) - width + 1, np.uint64)
     for k in range(width):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - width + 1 + k]
+        out = out * np.uint64(factor) + h[k : len(h) - width + 1 + k]
     return mix(out)
 
 
