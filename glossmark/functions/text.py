@@ -17,8 +17,9 @@ def _nfkc(texts: pa.Array) -> pa.Array:
 
 
 def nfkc_lower(text: Column) -> Column:
-    """NFKC, then lower case: what scored search compares. Spark has no function for it, and Arrow's leaves letters decomposed."""
-    return F.lower(_nfkc(text))
+    """NFKC, then lower case: what scored search compares. Spark has no function for it, and Arrow's leaves letters decomposed. ASCII texts
+    are in this form already, and don't cross to Python."""
+    return F.lower(F.coalesce(_nfkc(F.when(F.octet_length(text) != F.length(text), text)), text))
 
 
 def collapse_spaces(text: Column) -> Column:
@@ -34,7 +35,7 @@ def strip(text: Column) -> Column:
 def count_literal(text: Column, needle: str | Column) -> Column:
     """Non-overlapping occurrences; 0 for an empty needle."""
     needle = F.lit(needle) if isinstance(needle, str) else needle
-    n = (F.length(text) - F.length(F.replace(text, needle, F.lit("")))) / F.length(needle)
+    n = (F.octet_length(text) - F.octet_length(F.replace(text, needle, F.lit("")))) / F.octet_length(needle)  # bytes: no walk over characters
     return F.when(F.length(needle) > 0, n.cast("long")).otherwise(F.lit(0).cast("long"))
 
 

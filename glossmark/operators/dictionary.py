@@ -65,6 +65,11 @@ def score_query(query: str, dictionary: Dictionary, labels: Mapping[str, str], p
     return [(t, i, per_keyword * sum(k.lower() in lower for k in words) + 2 * sum(p in query for p in pieces(labels.get(t, "")))) for i, (t, words) in enumerate(dictionary.items())]
 
 
+def best_themes(scored: Sequence[tuple[str, int, int]], k: int) -> list[str]:
+    """The k best themes of score_query's rows, best first; none if none scores, and then choose_themes falls back on the corpus."""
+    return [t for t, i, s in sorted(scored, key=lambda r: (-r[2], r[1])) if s > 0][:k]
+
+
 def choose_themes(rolled: DataFrame, scored: DataFrame, k: int, fallback: Sequence[str]) -> DataFrame:
     """The k best themes of a question; if none scores, those of fallback, by hits."""
     both = scored.join(rolled, "theme", "left")
