@@ -152,3 +152,35 @@ def ranked(rows: DataFrame, group: str, by: Sequence[Column]) -> DataFrame:
 def signal(text: Column, markers: Markers, pattern: str) -> Column:
     """Whether a passage has an explicit or a strong marker, or else the pattern, which stays within a line."""
     return (_present(text, markers.explicit) > 0) | (_present(text, markers.strong) > 0) | text.rlike(pattern)
+
+
+def attached(notes: DataFrame, chunks: DataFrame, on: str, note: str, chunk: str) -> DataFrame:
+    """(on, note, chunk, similarity, score): the chunks that belong to each note (on, note, at, grams), of chunks (on, chunk, seconds, grams, score, signal).
+
+    In a note's band it is those like it, and those close by that are jokes by their own signs. Only a note that gets none there may have the
+    nearest chunk, the earlier of two, within three minutes, and under stricter terms."""
+    sides = notes.select(on, note, "at"), chunks.select(on, chunk, "seconds")
+    told = chunks.select(on, chunk, F.col("grams").alias("theirs__"), "score", "signal")
+
+    def judged(pairs: DataFrame) -> DataFrame:
+        rows = pairs.join(notes.select(on, note, F.col("grams").alias("mine__")), [on, note]).join(told, [on, chunk])
+        return rows.withColumn("similarity", T.jaccard(F.col("mine__"), F.col("theirs__"))).drop("mine__", "theirs__")
+
+    near = judged(band_join(*sides, on).select(on, note, chunk, "delta"))
+    near = near.where((F.col("similarity") >= 0.035) | ((F.abs("delta") <= 45) & (F.col("score") >= 5) & F.col("signal")))
+    alone = notes.join(near.select(on, note).distinct(), [on, note], "left_anti")
+    next_ = judged(nearest_chunk(alone.select(on, note, "at"), sides[1], on, note, chunk))
+    next_ = next_.where((F.col("similarity") >= 0.04) | ((F.col("score") >= 6) & F.col("signal")))
+    return near.select(on, note, chunk, "similarity", "score").unionByName(next_.select(on, note, chunk, "similarity", "score"))
+
+
+def candidates(notes: DataFrame, chunks: DataFrame, on: str, note: str, chunk: str, least: int = 5) -> DataFrame:
+    """(on, id, seconds, kinds, matched_chunk_count, match_similarity_max, humor_score_max, confidence): each note, with what is attached to it, and each
+    chunk outside of all notes' bands that is a joke by its own signs."""
+    sums = attached(notes, chunks, on, note, chunk).groupBy(on, note).agg(F.count(F.lit(1)).alias("matched_chunk_count"), F.bround(F.max("similarity"), 4).alias("match_similarity_max"), F.max("score").alias("humor_score_max"))
+    labelled = notes.join(sums, [on, note], "left").select(on, F.col(note).alias("id"), F.col("at").alias("seconds"), F.when(F.col("matched_chunk_count").isNull(), "note").otherwise("note+transcript").alias("kinds"), "matched_chunk_count", "match_similarity_max", "humor_score_max", F.lit("high").alias("confidence"))
+    funny = chunks.where((F.col("score") >= least) & F.col("signal"))
+    loose = uncovered(funny, notes.select(on, note, "at"), on, chunk)
+    confidence = F.when(F.col("score") >= least + 2, "medium").otherwise("low")
+    found = loose.select(on, F.col(chunk).alias("id"), "seconds", F.lit("transcript").alias("kinds"), F.lit(1).cast("long").alias("matched_chunk_count"), F.lit(None).cast("double").alias("match_similarity_max"), F.col("score").alias("humor_score_max"), confidence.alias("confidence"))
+    return labelled.unionByName(found)

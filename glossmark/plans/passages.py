@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glossmark.functions import text as T
+from glossmark.functions import times
 from glossmark.operators import humor as H
 from glossmark.operators import notes as N
 from glossmark.plans.tables import table
@@ -158,3 +160,49 @@ def batch_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("evidence_short", "SELECT conv_id, turn, CASE WHEN length(t) > 200 THEN substr(t, 1, 197) || '...' ELSE t END AS evidence FROM (SELECT conv_id, turn, trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS t FROM conversations)")
 def evidence_short(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", N.short_evidence(F.col("text")).alias("evidence"))
+
+
+_GRAMS = "CASE WHEN length(s) > 3 THEN list_distinct(list_transform(range(1, length(s) - 1), lambda i: substr(s, i, 3))) WHEN length(s) > 0 THEN [s] ELSE [] END"
+_SIGNAL = f"({_has(MARKERS.explicit)} > 0 OR {_has(MARKERS.strong)} > 0 OR regexp_matches(text, 'la.*der|ou la'))"
+_CANDIDATES = f"""WITH t AS (SELECT conv_id, turn, turn * 100 AS seconds, role, text, ({_SCORE})::INT AS score, {_SIGNAL} AS signal, {_GRAMS} AS g FROM (SELECT *, lower(text) AS s FROM conversations)),
+n AS (SELECT * FROM t WHERE role = 'user' AND turn % 4 = 0), c AS (SELECT * FROM t WHERE NOT (role = 'user' AND turn % 4 = 0)),
+p AS (SELECT n.conv_id, n.turn AS note, c.turn AS chunk, c.seconds - n.seconds AS delta, c.score, c.signal, CASE WHEN len(n.g) > 0 AND len(c.g) > 0 THEN len(list_intersect(n.g, c.g)) / (len(n.g) + len(c.g) - len(list_intersect(n.g, c.g))) ELSE 0 END AS sim FROM n JOIN c ON n.conv_id = c.conv_id AND c.seconds - n.seconds BETWEEN -180 AND 180),
+b AS (SELECT * FROM p WHERE delta BETWEEN -120 AND 150 AND (sim >= 0.035 OR (abs(delta) <= 45 AND score >= 5 AND signal))),
+f AS (SELECT * FROM (SELECT * FROM p WHERE (conv_id, note) NOT IN (SELECT conv_id, note FROM b) QUALIFY row_number() OVER (PARTITION BY conv_id, note ORDER BY abs(delta), delta) = 1) WHERE sim >= 0.04 OR (score >= 6 AND signal)),
+m AS (SELECT conv_id, note, count(*) AS k, round_even(max(sim), 4) AS sim, max(score) AS score FROM (SELECT * FROM b UNION ALL SELECT * FROM f) GROUP BY ALL)
+SELECT n.conv_id, n.turn AS id, n.seconds, CASE WHEN k IS NULL THEN 'note' ELSE 'note+transcript' END AS kinds, k AS matched_chunk_count, m.sim AS match_similarity_max, m.score AS humor_score_max, 'high' AS confidence FROM n LEFT JOIN m ON m.conv_id = n.conv_id AND m.note = n.turn
+UNION ALL SELECT conv_id, turn, seconds, 'transcript', 1, NULL, score, CASE WHEN score >= 7 THEN 'medium' ELSE 'low' END FROM c WHERE score >= 5 AND signal AND NOT EXISTS (SELECT 1 FROM n WHERE n.conv_id = c.conv_id AND c.seconds - n.seconds BETWEEN -130 AND 160)"""
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", (F.col("turn") * 100).alias("seconds"), T.trigrams(F.lower("text")).alias("grams"), H.humor_score(text, MARKERS, F.length("text")).alias("score"), H.signal(text, MARKERS, "la.*der|ou la").alias("signal"))
+    is_note = (F.col("role") == "user") & (F.col("turn") % 4 == 0)
+    notes = turns.where(is_note).select("conv_id", F.col("turn").alias("note"), F.col("seconds").alias("at"), "grams")
+    chunks = turns.where(~is_note).select("conv_id", F.col("turn").alias("chunk"), "seconds", "grams", "score", "signal")
+    return H.candidates(notes, chunks, "conv_id", "note", "chunk")
+
+
+@register("joke_candidates", _CANDIDATES)
+def joke_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled passages with the transcript around them, and what the transcript has beside them; every fourth turn stands for a note."""
+    return _candidates(spark, sf_dir)
+
+
+@register("joke_summary", f"SELECT kinds, confidence, count(*) AS jokes, count(*) FILTER (contains(kinds, 'transcript')) AS with_transcript FROM ({_CANDIDATES}) GROUP BY kinds, confidence")
+def joke_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by the kinds of sources, joined, and by confidence."""
+    return _candidates(spark, sf_dir).groupBy("kinds", "confidence").agg(F.count(F.lit(1)).alias("jokes"), F.count_if(F.contains("kinds", F.lit("transcript"))).alias("with_transcript"))
+
+
+@register("joke_extract")
+def joke_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job: candidates, their texts, those that repeat one another as one, and what kind each is. Greedy deduplication has no SQL."""
+    found = _candidates(spark, sf_dir)
+    texts = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("id"), "text")
+    rows = found.join(texts, ["conv_id", "id"])
+    merged = H.greedy_dedupe(rows.select(F.col("conv_id").alias("day"), "id", "seconds", F.lit("").alias("heading"), F.col("kinds").alias("kind"), T.bare(F.col("text")).alias("text")))
+    first = merged.where("id = cluster").select(F.col("day").alias("conv_id"), "id", "cluster_size")
+    final = rows.join(first, ["conv_id", "id"])
+    print_ = F.substring(F.sha1(F.concat_ws(":", F.col("conv_id").cast("string"), times.clock(F.col("seconds")), F.substring(T.bare(F.col("text")), 1, 160))), 1, 8)
+    return final.select("conv_id", "id", F.concat_ws("-", F.lit("joke"), F.col("conv_id").cast("string"), print_).alias("joke_id"), "kinds", "confidence", "cluster_size", H.first_class(F.col("text"), _TYPES, "other").alias("type"), F.length("text").alias("text_chars"))
