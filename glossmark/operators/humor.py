@@ -7,7 +7,6 @@ from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glossmark.functions import text as T
@@ -145,10 +144,6 @@ def greedy_dedupe(rows: DataFrame, day: str = "day", limit: int = 2400) -> DataF
     return rows.groupBy(day).applyInPandas(cluster, f"{day} {kinds[day]}, id {kinds['id']}, cluster {kinds['id']}, cluster_size int")
 
 
-def ranked(rows: DataFrame, group: str, by: Sequence[Column]) -> DataFrame:
-    return rows.withColumn("place", F.row_number().over(W.partitionBy(group).orderBy(*by)))
-
-
 def signal(text: Column, markers: Markers, pattern: str) -> Column:
     """Whether a passage has an explicit or a strong marker, or else the pattern, which stays within a line."""
     return (_present(text, markers.explicit) > 0) | (_present(text, markers.strong) > 0) | text.rlike(pattern)

@@ -132,24 +132,25 @@ def located(record: Column) -> Column:
 
 
 # fixed values: vocabularies of the second note format
-ARCHETYPES = "market_commentary qa_heavy single_stock_deep_dive industry_supply_chain philosophy interview event_response milestone_or_retrospective lifestyle cautionary_tale business_or_sponsorship".split()
-ACTIONS = "buy sell hold hedge wait size-up size-down trim scale-out scale-in stop-out pyramid rotate unknown".split()
-RISK_CONTROLS = "stop-loss position-size diversify liquidity time-bound none".split()
-CONFIDENCES = "high medium low".split()
-ASSET_TYPES = "stock sector index theme crypto macro commodity".split()
-VIEWS = "bullish bearish neutral conditional unstated".split()
-HORIZONS = "intraday swing medium-term long-term unclear".split()
-CONSENSUS = "consensus contrarian crowded overlooked unclear".split()
-TONES = "serious self_deprecating sarcastic warning joke promotional".split()
-QUESTIONS = "investment_operation personal_finance career family relationships lifestyle ethics tools_platforms health_mental".split()
-CATALYSTS = "monetary_policy earnings macro_data regulation product_launch conference election black_swan IPO_or_listing merger_acquisition other".split()
-THREADS = "originating follow_up update resolution aside".split()
-PRINCIPLES = "position_sizing exit_discipline entry_discipline risk_management sentiment_reading contrarian longterm_outlook mental_health lifestyle_balance".split()
-WARNINGS = "instrument_trap anti_pattern rumor_debunk scam_alert".split()
-REFERENCES = "book article podcast_or_video report expert_quote".split()
-DOMAINS = "tech_industry macro_trend society personal_finance lifestyle management".split()
-LISTS = "topics investment_logic trade_observations qa_views catalysts narrative_threads view_changes principles mantras_or_catchphrases warnings references non_tradeable_insights open_questions".split()
-
+ARCHETYPES = ["market_commentary", "qa_heavy", "single_stock_deep_dive", "industry_supply_chain", "philosophy", "interview", "event_response", "milestone_or_retrospective", "lifestyle", "cautionary_tale", "business_or_sponsorship"]
+ACTIONS = ["buy", "sell", "hold", "hedge", "wait", "size-up", "size-down", "trim", "scale-out", "scale-in", "stop-out", "pyramid", "rotate", "unknown"]
+RISK_CONTROLS = ["stop-loss", "position-size", "diversify", "liquidity", "time-bound", "none"]
+CONFIDENCES = ["high", "medium", "low"]
+ASSET_TYPES = ["stock", "sector", "index", "theme", "crypto", "macro", "commodity"]
+VIEWS = ["bullish", "bearish", "neutral", "conditional", "unstated"]
+HORIZONS = ["intraday", "swing", "medium-term", "long-term", "unclear"]
+CONSENSUS = ["consensus", "contrarian", "crowded", "overlooked", "unclear"]
+TONES = ["serious", "self_deprecating", "sarcastic", "warning", "joke", "promotional"]
+QUESTIONS = ["investment_operation", "personal_finance", "career", "family", "relationships", "lifestyle", "ethics", "tools_platforms", "health_mental"]
+CATALYSTS = ["monetary_policy", "earnings", "macro_data", "regulation", "product_launch", "conference", "election", "black_swan", "IPO_or_listing", "merger_acquisition", "other"]
+THREADS = ["originating", "follow_up", "update", "resolution", "aside"]
+PRINCIPLES = ["position_sizing", "exit_discipline", "entry_discipline", "risk_management", "sentiment_reading", "contrarian", "longterm_outlook", "mental_health", "lifestyle_balance"]
+WARNINGS = ["instrument_trap", "anti_pattern", "rumor_debunk", "scam_alert"]
+REFERENCES = ["book", "article", "podcast_or_video", "report", "expert_quote"]
+DOMAINS = ["tech_industry", "macro_trend", "society", "personal_finance", "lifestyle", "management"]
+LISTS = ["topics", "investment_logic", "trade_observations", "qa_views", "catalysts", "narrative_threads", "view_changes", "principles", "mantras_or_catchphrases", "warnings", "references", "non_tradeable_insights", "open_questions"]
+
+# fixed values: fields and sizes of the second note format
 SECOND_FORMAT = Rules(
     required=["schema_version", "episode", "date", "episode_archetype", "segment_breakdown", "market_regime", "host_state", *LISTS],
     equal={"schema_version": "v2"},
@@ -160,10 +161,10 @@ SECOND_FORMAT = Rules(
     shares={"segment_breakdown": ("market_pct", "qa_pct", "life_or_aside_pct", "ads_pct", "principles_pct")},
     items=[
         Items("host_state.self_critique", enums={"tone": TONES}, objects=False),
-        Items("investment_logic", "claim trigger is_conditional condition action_bias risk_control risk_control_type evidence source_type confidence".split(), {"action_bias": ACTIONS, "risk_control_type": RISK_CONTROLS, "confidence": CONFIDENCES}, {"is_conditional": "bool"}, {"evidence": 200}),
-        Items("catalysts", "id event expected_date category expected_impact linked_assets".split(), {"category": CATALYSTS}, {"linked_assets": "list"}),
-        Items("trade_observations", "asset_or_sector asset_symbol asset_type view primary_horizon reasoning industry_nodes catalyst_anchor consensus_level market_alignment tone".split(), {"asset_type": ASSET_TYPES, "view.short_term": VIEWS, "view.medium_term": VIEWS, "view.long_term": VIEWS, "primary_horizon": HORIZONS, "consensus_level": CONSENSUS, "tone": TONES}, {"industry_nodes": "list"}, refers={"catalyst_anchor": ("catalysts", "id")}),
-        Items("qa_views", "category question_theme viewpoint principle tone evidence asker_persona".split(), {"category": QUESTIONS}, longest={"evidence": 200}),
+        Items("investment_logic", ["claim", "trigger", "is_conditional", "condition", "action_bias", "risk_control", "risk_control_type", "evidence", "source_type", "confidence"], {"action_bias": ACTIONS, "risk_control_type": RISK_CONTROLS, "confidence": CONFIDENCES}, {"is_conditional": "bool"}, {"evidence": 200}),
+        Items("catalysts", ["id", "event", "expected_date", "category", "expected_impact", "linked_assets"], {"category": CATALYSTS}, {"linked_assets": "list"}),
+        Items("trade_observations", ["asset_or_sector", "asset_symbol", "asset_type", "view", "primary_horizon", "reasoning", "industry_nodes", "catalyst_anchor", "consensus_level", "market_alignment", "tone"], {"asset_type": ASSET_TYPES, "view.short_term": VIEWS, "view.medium_term": VIEWS, "view.long_term": VIEWS, "primary_horizon": HORIZONS, "consensus_level": CONSENSUS, "tone": TONES}, {"industry_nodes": "list"}, refers={"catalyst_anchor": ("catalysts", "id")}),
+        Items("qa_views", ["category", "question_theme", "viewpoint", "principle", "tone", "evidence", "asker_persona"], {"category": QUESTIONS}, longest={"evidence": 200}),
         Items("narrative_threads", enums={"this_episode_role": THREADS}, objects=False),
         Items("principles", enums={"category": PRINCIPLES}, objects=False),
         Items("warnings", enums={"type": WARNINGS}, objects=False),
@@ -171,16 +172,17 @@ SECOND_FORMAT = Rules(
         Items("non_tradeable_insights", enums={"domain": DOMAINS}, objects=False),
     ],
 )
-FIRST_ACTIONS = "buy sell hold hedge wait size-down rotate unknown".split()
-FIRST_VIEWS = "bullish bearish neutral conditional".split()
+# fixed values: fields and vocabularies of the first note format
+FIRST_ACTIONS = ["buy", "sell", "hold", "hedge", "wait", "size-down", "rotate", "unknown"]
+FIRST_VIEWS = ["bullish", "bearish", "neutral", "conditional"]
 FIRST_FORMAT = Rules(
-    required="episode date title market_regime topics investment_logic trade_observations qa_views open_questions".split(),
-    types={"episode": "int", "date": "str", "title": "str", "market_regime": "str", **dict.fromkeys("topics investment_logic trade_observations qa_views open_questions".split(), "list")},
+    required=["episode", "date", "title", "market_regime", "topics", "investment_logic", "trade_observations", "qa_views", "open_questions"],
+    types={"episode": "int", "date": "str", "title": "str", "market_regime": "str", **dict.fromkeys(["topics", "investment_logic", "trade_observations", "qa_views", "open_questions"], "list")},
     sizes={"topics": (3, 8)},
     items=[
-        Items("investment_logic", "claim trigger action_bias risk_control evidence confidence".split(), {"action_bias": FIRST_ACTIONS, "confidence": CONFIDENCES}, longest={"evidence": 200}),
-        Items("trade_observations", "asset_or_sector view time_horizon reasoning market_alignment is_joke_or_aside".split(), {"view": FIRST_VIEWS, "time_horizon": HORIZONS}, {"is_joke_or_aside": "bool"}),
-        Items("qa_views", "question_theme viewpoint principle tone evidence".split(), longest={"evidence": 200}),
+        Items("investment_logic", ["claim", "trigger", "action_bias", "risk_control", "evidence", "confidence"], {"action_bias": FIRST_ACTIONS, "confidence": CONFIDENCES}, longest={"evidence": 200}),
+        Items("trade_observations", ["asset_or_sector", "view", "time_horizon", "reasoning", "market_alignment", "is_joke_or_aside"], {"view": FIRST_VIEWS, "time_horizon": HORIZONS}, {"is_joke_or_aside": "bool"}),
+        Items("qa_views", ["question_theme", "viewpoint", "principle", "tone", "evidence"], longest={"evidence": 200}),
     ],
 )
 

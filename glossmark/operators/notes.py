@@ -43,11 +43,6 @@ def errors(rules: Sequence[tuple[str, Column]], missing: Sequence[tuple[str, Col
     return F.when(F.size(gone) > 0, gone).otherwise(said(rules))
 
 
-def is_json_int(kind: Column) -> Column:
-    """By schema_of_variant: booleans pass where integers are asked for, as they are numbers in the notes' own language."""
-    return kind.isin("BIGINT", "BOOLEAN")
-
-
 def validate_percentages(parts: Column, low: float = 95, high: float = 105) -> Column:
     """True if the numbers don't add up to about a hundred."""
     total = F.aggregate(parts, F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
