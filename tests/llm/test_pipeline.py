@@ -41,3 +41,31 @@ def test_stages_against_brute_force(spark, small):
 
 def test_run(spark, small):
     assert corpus_pipeline.run(spark, small).count() > 0
+
+
+def staged(spark, docs):
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == corpus_pipeline.COLUMNS
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+    return docs, corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()
+
+
+def test_edges_of_all_stages(spark, docs_of):
+    """Nulls in any column, empty and long texts, repeated rows and ids, columns with clashing names."""
+    words = " ".join(f"w{i}" for i in range(60))
+    near_one, near_two = words + " tail", words + " other"
+    texts = [None, "", "12 34", words, words, words + "  ", near_one, near_two, "short text", "long " * 40_000, "apart alone here", "apart alone here"]
+    ids = [1, 2, 3, 4, 4, 5, 6, None, None, 9, 6, None]
+    docs, packed = staged(spark, docs_of(texts, ids, clash=True))
+    found = Counter((r.doc_id, r.text) for r in docs.collect())
+    # one of the equal rows of id 4 stays, and of its near copies none; the row that shares id 6 with a near copy stays, as does the short text
+    assert found == {(4, words): 1, (None, "short text"): 1, (9, "long " * 40_000): 1, (6, "apart alone here"): 1}
+    assert sum(r.length for r in packed if r.doc_id == 9) == 40_001
+    nulls = docs_of(texts, ids).selectExpr("doc_id", "text", "cast(null as string) AS lang", "cast(null as string) AS source", "cast(null as bigint) AS n_chars")
+    assert Counter((r.doc_id, r.text) for r in staged(spark, nulls)[0].collect()) == found
+
+
+def test_empty_table(spark, docs_of):
+    docs, packed = staged(spark, docs_of(["x"]).where("false"))
+    assert docs.count() == 0 and packed == []
