@@ -42,14 +42,15 @@ def scored(docs: DataFrame, terms: Sequence[str], limit: int = 20, oldest_first:
     return rows.orderBy(way(F.coalesce(date, F.lit(""))), way("score"), F.asc(ord_)).limit(limit)
 
 
-def positional(docs: DataFrame, queries: Sequence[str], limit: int = 50, context: int = 90, newest_first: bool = True, regex: bool = False, case_sensitive: bool = False, text: str = "text", number: str = "doc_id") -> DataFrame:
-    """(number, query, query_ord, start, match, snippet): matches by document, query and place.
+def positional(docs: DataFrame, queries: Sequence[str], limit: int = 50, context: int = 90, newest_first: bool = True, regex: bool = False, case_sensitive: bool = False, only: Sequence[int] | None = None, text: str = "text", number: str = "doc_id") -> DataFrame:
+    """(number, query, query_ord, start, match, snippet): matches by document, query and place; of the documents numbered in only, if it is given.
 
     Documents that can't be among the first limit are cut early: matches are counted where the text lies, and only as many
     documents as the limit needs have theirs written out."""
     patterns = [("" if case_sensitive else "(?iu)") + (q if regex else T.literal(q)) for q in queries]
     any_hit = F.col(text).rlike("|".join(f"(?:{p})" for p in patterns))
     way = F.desc if newest_first else F.asc
+    docs = docs.where(F.col(number).isin(*only)) if only else docs
     first = docs.where(any_hit).select(number, text).orderBy(way(number)).limit(limit)
     hits = None
     for i, (q, p) in enumerate(zip(queries, patterns, strict=True)):

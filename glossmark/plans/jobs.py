@@ -22,7 +22,7 @@ _SQL = oracle_sql()
     f"""WITH h AS ({themes.HITS}), o AS (SELECT DISTINCT theme, theme_ord FROM ({themes.COUNTS})),
 t AS (SELECT doc_id, count(*) AS themes, sum(hit_count)::BIGINT AS hits, arg_max(theme, hit_count * 100 - theme_ord) AS top_theme FROM h JOIN o USING (theme) GROUP BY doc_id),
 a AS (SELECT doc_id, count(*) AS assets FROM ({search.DIRECT}) GROUP BY doc_id)
-SELECT d.doc_id, regime, direction, horizon, coalesce(themes, 0) AS themes, coalesce(hits, 0) AS hits, coalesce(top_theme, '') AS top_theme, coalesce(assets, 0) AS assets
+SELECT d.doc_id, regime, direction, horizon, confidence, coalesce(themes, 0) AS themes, coalesce(hits, 0) AS hits, coalesce(top_theme, '') AS top_theme, coalesce(assets, 0) AS assets
 FROM documents d JOIN ({_SQL["regime_4"]}) r ON r.doc_id = d.doc_id JOIN ({_SQL["headline_class"]}) c ON c.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id LEFT JOIN a ON a.doc_id = d.doc_id""",
 )
 def deterministic_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,13 +44,24 @@ def _notes(spark: SparkSession, sf_dir: str, headlines: DataFrame) -> DataFrame:
     return notes.fillna(0, ["themes", "hits", "assets"]).fillna("", ["top_theme"])
 
 
-@register("validation_summary", f"SELECT error, count(*) AS notes FROM (SELECT unnest(string_split(errors, '; ')) AS error FROM ({_SQL['note_validate']})) WHERE error <> '' AND NOT starts_with(error, 'dangling') GROUP BY error")
+_ERRORS = "SELECT event_id, CASE WHEN starts_with(e, 'dangling') THEN 'dangling' ELSE e END AS error FROM (SELECT event_id, unnest(string_split(errors, '; ')) AS e FROM ({})) WHERE e <> ''"
+
+
+@register("validation_summary", f"SELECT error, count(*) AS notes FROM ({_ERRORS.format(_SQL['note_validate'])}) GROUP BY error")
 def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    errors = passages.note_validate(spark, sf_dir).select(F.explode(F.split("errors", "; ")).alias("error"))
-    return errors.where("error <> '' and not startswith(error, 'dangling')").groupBy("error").agg(F.count(F.lit(1)).alias("notes"))
+    """Each rule with the number of times it is broken; dangling references are one rule, whatever they refer to."""
+    errors = passages.note_validate(spark, sf_dir).select(F.explode(F.split("errors", "; ")).alias("error")).where("error <> ''")
+    rule = F.when(F.startswith("error", F.lit("dangling")), "dangling").otherwise(F.col("error"))
+    return errors.groupBy(rule.alias("error")).agg(F.count(F.lit(1)).alias("notes"))
 
 
-@register("validation_totals")
+@register(
+    "validation_totals",
+    f"""WITH k AS (SELECT v.event_id, v.errors FROM ({_SQL["note_validate"]}) v JOIN events e ON e.event_id = v.event_id WHERE e.props IS NOT NULL),
+t AS (SELECT (SELECT count(*) FROM events) AS target, (SELECT count(*) FROM k WHERE errors = '') AS valid, (SELECT count(*) FROM events WHERE props IS NULL) AS missing, (SELECT count(*) FROM k WHERE errors <> '') AS invalid),
+r AS (SELECT error, count(DISTINCT event_id) AS notes FROM ({_ERRORS.format("SELECT * FROM k")}) GROUP BY error)
+SELECT target, valid, missing, invalid, error, notes FROM t LEFT JOIN r ON true""",
+)
 def validation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target, valid, missing and invalid counts beside the notes of each error, dangling references included.
 

@@ -103,7 +103,7 @@ def _payload(spark: SparkSession, sf_dir: str, text: Column) -> DataFrame:
 @register("greedy_dedupe")
 def greedy_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of a conversation that repeat one another, taken in order."""
-    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("day"), F.col("turn").alias("id"), (F.col("turn") * 60).cast("long").alias("seconds"), F.lit("").alias("heading"), F.col("role").alias("kind"), F.regexp_replace(F.lower("text"), r"(?U)[\W_]+", "").alias("text"))
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("day"), F.col("turn").alias("id"), (F.col("turn") * 60).cast("long").alias("seconds"), F.lit("").alias("heading"), F.col("role").alias("kind"), T.bare(F.col("text")).alias("text"))
     return H.greedy_dedupe(rows)
 
 

@@ -272,6 +272,6 @@ def access_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("select_window", f"SELECT doc_id, day FROM (SELECT doc_id, day FROM ({DATED}) WHERE day BETWEEN DATE '1996-01-01' AND DATE '1997-12-31' AND lang IN ('en', 'fr') ORDER BY day DESC, doc_id DESC LIMIT 40)")
 def select_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest 40 of a window of days and kinds: what a run with a limit works on."""
+    """The newest 40 of a window of days and kinds, oldest first: what a run with a limit works on."""
     rows = dated(spark, sf_dir).where(F.col("day").between("1996-01-01", "1997-12-31") & F.col("lang").isin("en", "fr"))
-    return rows.select("doc_id", "day").orderBy(F.desc("day"), F.desc("doc_id")).limit(40)
+    return rows.select("doc_id", "day").orderBy(F.desc("day"), F.desc("doc_id")).limit(40).orderBy("day", "doc_id")

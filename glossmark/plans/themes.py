@@ -134,7 +134,7 @@ def _sum_sql(words: list[str]) -> str:
 @register(
     "headline_class",
     f"""SELECT doc_id, CASE WHEN r >= 2 AND d >= 1 THEN 'risk_control' WHEN u > 0 AND d > 0 THEN 'mixed' WHEN u > 0 THEN 'bullish' WHEN d > 0 THEN 'bearish' ELSE 'unknown' END AS direction,
- CASE WHEN contains(s, 'today') THEN 'intraday' WHEN contains(s, 'que') THEN 'monthly' WHEN contains(s, 'the') THEN 'multi_month' ELSE 'swing' END AS horizon
+ CASE WHEN contains(s, 'today') THEN 'intraday' WHEN contains(s, 'que') THEN 'monthly' WHEN contains(s, 'the') THEN 'multi_month' ELSE 'swing' END AS horizon, CASE WHEN u > 0 OR d > 0 THEN 'medium' ELSE 'low' END AS confidence
  FROM (SELECT doc_id, s, {_sum_sql(_UP)} AS u, {_sum_sql(_DOWN)} AS d, {_sum_sql(_RISK)} AS r FROM (SELECT doc_id, substr(text, 1, 40) || ' ' || text AS s FROM documents))""",
 )
 def headline_class(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +155,8 @@ def _headlines(spark: SparkSession, sf_dir: str, body: Column) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", s.alias("s")).select("doc_id", "s", total(_UP).alias("u"), total(_DOWN).alias("d"), total(_RISK).alias("r"))
     direction = F.when((F.col("r") >= 2) & (F.col("d") >= 1), "risk_control").when((F.col("u") > 0) & (F.col("d") > 0), "mixed").when(F.col("u") > 0, "bullish").when(F.col("d") > 0, "bearish").otherwise("unknown")
     horizon = F.when(F.contains("s", F.lit("today")), "intraday").when(F.contains("s", F.lit("que")), "monthly").when(F.contains("s", F.lit("the")), "multi_month").otherwise("swing")
-    return rows.select("doc_id", direction.alias("direction"), horizon.alias("horizon"))
+    confidence = F.when(direction != "unknown", "medium").otherwise("low")
+    return rows.select("doc_id", direction.alias("direction"), horizon.alias("horizon"), confidence.alias("confidence"))
 
 
 def _scored_values(per_keyword: int) -> str:

@@ -32,11 +32,12 @@ def test_headlines(spark, tables):
         s = f"{text[:40]} {text}"
         up, down, risk = (sum(map(s.count, words)) for words in (["tion", "ing"], ["eau", "sch"], ["ou", "ion"]))
         direction = "risk_control" if risk >= 2 and down else "mixed" if up and down else "bullish" if up else "bearish" if down else "unknown"
-        return direction, "intraday" if "today" in s else "monthly" if "que" in s else "multi_month" if "the" in s else "swing"
+        horizon = "intraday" if "today" in s else "monthly" if "que" in s else "multi_month" if "the" in s else "swing"
+        return direction, horizon, "low" if direction == "unknown" else "medium"
 
     found = rows(spark, tables, "headline_class_whole")
     assert found == {d[0]: classed(d[1]) for d in DOCS}
-    assert found[1] == ("mixed", "monthly") and found[2][1] == "intraday"
+    assert found[1][:2] == ("mixed", "monthly") and found[2][1] == "intraday"
 
 
 def test_keywords(spark, tables):
@@ -67,4 +68,4 @@ def test_notes_take_whole_headlines(spark, small):
     whole = rows(spark, small, "headline_class_whole")
     notes = registry.queries()["deterministic_notes_whole"](spark, small).collect()
     assert len(notes) == len(whole)
-    assert all((n.direction, n.horizon) == whole[n.doc_id] for n in notes)
+    assert all((n.direction, n.horizon, n.confidence) == whole[n.doc_id] for n in notes)
