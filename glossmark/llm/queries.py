@@ -44,6 +44,15 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_archive.read_pages(spark, path)
 
 
+#: Base32 of the digest: each five hex digits are four characters.
+OP3_SQL = """
+WITH d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS x, max(page_id) OVER (PARTITION BY sha256(h)) AS top FROM (SELECT page_id, coalesce(html, '') AS h FROM pages))
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(x, (i // 4 * 5 + 1)::INT, 5))::INT >> (15 - i % 4 * 5)::INT) & 31) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to
+FROM d
+"""
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
 
@@ -95,6 +104,16 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+OP7_SQL = r"""
+WITH w AS (SELECT doc_id, unnest(l) AS word, generate_subscripts(l, 1) AS pos FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS l FROM documents)),
+k AS (SELECT doc_id, pos, word, CASE WHEN count(*) OVER a = 13 THEN string_agg(word, ' ') OVER a END AS run FROM w WINDOW a AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+m AS (SELECT doc_id, pos, word, (run IS NOT NULL AND min(doc_id) OVER (PARTITION BY run) < doc_id)::INT AS late FROM k),
+c AS (SELECT doc_id, pos, word, max(late) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM m)
+SELECT d.doc_id, count(word) AS n_words, coalesce(sum(gone), 0)::BIGINT AS n_removed, sha256(coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (gone = 0), '')) AS kept_sha256
+FROM documents d LEFT JOIN c ON c.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
@@ -124,4 +143,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op4_url_filter": _op4_sql()}
+    return {"op1_exact_dedup": OP1_SQL, "op3_warc": OP3_SQL, "op4_url_filter": _op4_sql(), "op7_substring_dedup": OP7_SQL}

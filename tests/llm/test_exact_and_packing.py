@@ -22,7 +22,7 @@ def odd_texts(n, size, seed):
     return ["".join(rnd.choice(ODD) for _ in range(rnd.randrange(size))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("name", ["op1_exact_dedup", "op4_url_filter"])
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op3_warc", "op4_url_filter", "op7_substring_dedup"])
 def test_against_sql(spark, small, name):
     assert spark_rows(queries.queries()[name](spark, small)) == duck(small, queries.oracle_sql()[name])
 
