@@ -30,7 +30,7 @@ def deterministic_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _notes(spark, sf_dir, themes.headline_class(spark, sf_dir))
 
 
-@register("deterministic_notes_whole")
+@register("deterministic_notes_whole", oracle_sql()["deterministic_notes"])
 def deterministic_notes_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The name that deterministic_notes had while that one read beginnings."""
     return deterministic_notes(spark, sf_dir)

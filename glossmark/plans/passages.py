@@ -10,7 +10,7 @@ from glossmark.functions import times
 from glossmark.operators import humor as H
 from glossmark.operators import notes as N
 from glossmark.plans.tables import table
-from glossmark.registry import register
+from glossmark.registry import oracle_sql, register
 
 _NOTES = "SELECT user_id, event_id AS note, epoch(ts)::BIGINT AS note_s FROM events WHERE event_type = 'purchase'"
 _CHUNKS = "SELECT user_id, event_id AS chunk, epoch(ts)::BIGINT AS seconds FROM events WHERE event_type <> 'purchase'"
@@ -89,7 +89,7 @@ def conversation_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _payload(spark, sf_dir, F.col("text"))
 
 
-@register("conversation_payload_whole")
+@register("conversation_payload_whole", oracle_sql()["conversation_payload"])
 def conversation_payload_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The name that conversation_payload had while that one read beginnings."""
     return conversation_payload(spark, sf_dir)

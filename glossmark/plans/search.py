@@ -11,7 +11,7 @@ from glossmark.functions import times
 from glossmark.operators import mentions as M
 from glossmark.operators import search as S
 from glossmark.plans.tables import DATED, dated, table
-from glossmark.registry import register
+from glossmark.registry import oracle_sql, register
 
 TERMS = ["tion", "The", "eau"]
 
@@ -250,7 +250,7 @@ def hashtags_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keywords(spark, sf_dir, F.col("text"))
 
 
-@register("hashtags_keywords_whole")
+@register("hashtags_keywords_whole", oracle_sql()["hashtags_keywords"])
 def hashtags_keywords_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The name that hashtags_keywords had while that one read beginnings."""
     return hashtags_keywords(spark, sf_dir)
@@ -306,7 +306,7 @@ def author_relevance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _relevance(spark, sf_dir, F.substr("text", F.lit(41)))
 
 
-@register("author_relevance_whole")
+@register("author_relevance_whole", oracle_sql()["author_relevance"])
 def author_relevance_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The name that author_relevance had while that one read beginnings."""
     return author_relevance(spark, sf_dir)

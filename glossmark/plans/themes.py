@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from glossmark.functions import text as T
 from glossmark.operators import dictionary as D
 from glossmark.plans.tables import DATED, dated, table
-from glossmark.registry import register
+from glossmark.registry import oracle_sql, register
 
 THEMES = {"growth": ["tion", "ing ", "The "], "risk": ["eau", "der ", "ou"], "macro": ["sch", "que", "ción"], "none": ["zzzz"]}
 LABELS = {"growth": "growth trend", "risk": "risk control", "macro": "macro", "none": "none"}
@@ -143,7 +143,7 @@ def headline_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _headlines(spark, sf_dir, F.col("text"))
 
 
-@register("headline_class_whole")
+@register("headline_class_whole", oracle_sql()["headline_class"])
 def headline_class_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The name that headline_class had while that one read beginnings."""
     return headline_class(spark, sf_dir)
