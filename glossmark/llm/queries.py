@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossmark.llm import ann, bpe_codec, dart_minhash, exact_dedup, langid, packing, page_archive, substring, token_counts, url_filter
+from glossmark.llm import ann, ball_tree, bpe_codec, dart_minhash, exact_dedup, langid, packing, page_archive, substring, token_counts, url_filter
 from glossmark.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,6 +127,24 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(_table(spark, sf_dir, "embeddings"), lambda id_: id_ % 20 == 0)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_OP11_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+OP11_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_OP11_TERMS} AS t FROM documents),
+i AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_OP11_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+s AS (SELECT count(*) AS docs, sum(len(t))::BIGINT AS total FROM d WHERE len(t) > 0),
+p AS (SELECT r, doc_id, len(t)::BIGINT AS n, term, tf FROM d JOIN (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY ALL) USING (r)),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
+c AS (SELECT item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total))))::BIGINT AS score
+      FROM i JOIN p USING (term) JOIN w USING (term), s GROUP BY ALL),
+k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM c WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -139,8 +157,9 @@ def queries() -> dict[str, Query]:
         "op8_token_counts": op8_token_counts,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_nearest_neighbours": op10_nearest_neighbours,
+        "op11_ranked_search": op11_ranked_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op3_warc": OP3_SQL, "op4_url_filter": _op4_sql(), "op7_substring_dedup": OP7_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op3_warc": OP3_SQL, "op4_url_filter": _op4_sql(), "op7_substring_dedup": OP7_SQL, "op11_ranked_search": OP11_SQL}
