@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossmark.llm import ann, ball_tree, bpe_codec, dart_minhash, exact_dedup, langid, packing, page_archive, substring, token_counts, url_filter
+from glossmark.llm import ann, ball_tree, bpe_codec, dart_minhash, exact_dedup, hat_trie, langid, packing, page_archive, substring, token_counts, url_filter
 from glossmark.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +145,35 @@ SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
 """
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hat_trie.phrases(_table(spark, sf_dir, "documents"))
+
+
+def _op12_score(left: str, right: str) -> str:
+    return f"((1000000::HUGEINT * t.f * t.f) // ({left}::HUGEINT * {right}))::BIGINT"
+
+
+OP12_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT r, lang, generate_subscripts(pieces, 1) AS k, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS words FROM d),
+w AS (SELECT r, lang, k, unnest(words) AS w, generate_subscripts(words, 1) AS pos FROM p),
+g AS (SELECT lang, w AS w1, lead(w) OVER x AS w2, lead(w, 2) OVER x AS w3 FROM w WINDOW x AS (PARTITION BY r, k ORDER BY pos)),
+one AS (SELECT lang, w1, count(*) AS f FROM g GROUP BY ALL),
+two AS (SELECT lang, w1, w2, count(*) AS f FROM g WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+three AS (SELECT lang, w1, w2, w3, count(*) AS f FROM g WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+cover AS (SELECT lang, w1, w2, max(f) AS most FROM (SELECT lang, w1, w2, f FROM three UNION ALL SELECT lang, w2, w3, f FROM three) GROUP BY ALL),
+c AS (
+  SELECT lang, t.w1 || ' ' || t.w2 AS phrase, t.f AS a, x.f AS l, y.f AS r, {_op12_score("x.f", "y.f")} AS score
+  FROM two t JOIN one x USING (lang, w1) JOIN (SELECT lang, w1 AS w2, f FROM one) y USING (lang, w2) LEFT JOIN cover USING (lang, w1, w2) WHERE most IS NULL OR 100 * most < 50 * t.f
+  UNION ALL
+  SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2) FROM (
+    SELECT lang, t.w1 || ' ' || t.w2 || ' ' || t.w3 AS phrase, t.f AS a, x.f AS l1, tail.f AS r1, head.f AS l2, z.f AS r2, {_op12_score("x.f", "tail.f")} AS s1, {_op12_score("head.f", "z.f")} AS s2
+    FROM three t JOIN one x USING (lang, w1) JOIN (SELECT lang, w1 AS w3, f FROM one) z USING (lang, w3) JOIN two head USING (lang, w1, w2) JOIN (SELECT lang, w1 AS w2, w2 AS w3, f FROM two) tail USING (lang, w2, w3))),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM c)
+SELECT lang, rank, phrase, a, l, r, n, score FROM k JOIN (SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY lang) USING (lang) WHERE rank <= 2000
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -158,8 +187,9 @@ def queries() -> dict[str, Query]:
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_nearest_neighbours": op10_nearest_neighbours,
         "op11_ranked_search": op11_ranked_search,
+        "op12_phrases": op12_phrases,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op3_warc": OP3_SQL, "op4_url_filter": _op4_sql(), "op7_substring_dedup": OP7_SQL, "op11_ranked_search": OP11_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op3_warc": OP3_SQL, "op4_url_filter": _op4_sql(), "op7_substring_dedup": OP7_SQL, "op11_ranked_search": OP11_SQL, "op12_phrases": OP12_SQL}
