@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossmark.llm import ann, ball_tree, bpe_codec, dart_minhash, exact_dedup, hat_trie, langid, packing, page_archive, substring, token_counts, url_filter
+from glossmark.llm import ann, ball_tree, bpe_codec, dart_minhash, exact_dedup, hat_trie, invertible_sketch, langid, packing, page_archive, substring, token_counts, url_filter
 from glossmark.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,6 +174,10 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM k JOIN (SELECT lang, sum(f)::B
 """
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return invertible_sketch.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -188,6 +192,7 @@ def queries() -> dict[str, Query]:
         "op10_nearest_neighbours": op10_nearest_neighbours,
         "op11_ranked_search": op11_ranked_search,
         "op12_phrases": op12_phrases,
+        "op13_fingerprints": op13_fingerprints,
     }
 
 
