@@ -1,11 +1,10 @@
-"""Passages of transcripts: humour scores, notes held against nearby chunks, greedy deduplication."""
+"""Passages of transcripts: humour scores, notes held against nearby chunks. Deduplication is in greedy."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,57 +92,6 @@ def chunks_of(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     return cut.select(key, "ord", F.regexp_extract(head, r"^(\d{1,3}:\d{2})", 1).alias("timestamp"), T.strip(F.regexp_replace(head, r"^\d{1,3}:\d{2}\s*", "")).alias("heading"), T.strip(F.substring(F.col("part"), F.length(head) + 1, F.length("part"))).alias("body"))
 
 
-@dataclass
-class _Cluster:
-    text: str
-    seconds: int | None
-    heading: str
-    kinds: set[str]
-    rows: list = field(default_factory=list)
-
-
-def _grams(text: str) -> set[str]:
-    return {text[i : i + 3] for i in range(len(text) - 2)} if len(text) > 3 else {text} if text else set()
-
-
-def _similar(a: str, b: str) -> float:
-    x, y = _grams(a), _grams(b)
-    return len(x & y) / len(x | y) if x and y else 0.0
-
-
-def same_joke(a: _Cluster, b: _Cluster) -> bool:
-    if a.heading and b.heading and a.heading != b.heading and _similar(a.heading, b.heading) < 0.35:
-        return False
-    sim = _similar(a.text, b.text)
-    if a.seconds is not None and b.seconds is not None and abs(a.seconds - b.seconds) <= 130 and (sim >= 0.035 or a.kinds != b.kinds):
-        return True
-    return sim >= 0.55
-
-
-def greedy_dedupe(rows: DataFrame, day: str = "day", limit: int = 2400) -> DataFrame:
-    """rows (day, id, seconds, heading, kind, text) with cluster, the id of the cluster's first row, and cluster_size.
-
-    Rows of a day are taken by time, those without one, or at 0, last; each joins the first cluster that is the same joke,
-    whose text then grows by it, and so may attract what it would not have before. The outcome depends on that order, so a day
-    is one group by its nature; a day's transcripts bound it. text is compared bare: see functions.text.bare."""
-
-    def cluster(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("id").assign(at=lambda f: f.seconds.where(f.seconds.notna() & (f.seconds != 0), 999_999)).sort_values("at", kind="stable")
-        clusters: list[_Cluster] = []
-        for r in frame.itertuples():
-            new = _Cluster(r.text or "", None if pd.isna(r.seconds) else int(r.seconds), r.heading or "", {r.kind}, [r.id])
-            old = next((c for c in clusters if same_joke(c, new)), None)
-            if old is None:
-                clusters.append(new)
-            else:
-                old.text, old.kinds = (old.text + new.text)[:limit], old.kinds | new.kinds
-                old.rows.append(r.id)
-        return pd.DataFrame([(frame[day].iloc[0], i, c.rows[0], len(c.rows)) for c in clusters for i in c.rows], columns=[day, "id", "cluster", "cluster_size"])
-
-    kinds = dict(rows.dtypes)
-    return rows.groupBy(day).applyInPandas(cluster, f"{day} {kinds[day]}, id {kinds['id']}, cluster {kinds['id']}, cluster_size int")
-
-
 def signal(text: Column, markers: Markers, pattern: str) -> Column:
     """Whether a passage has an explicit or a strong marker, or else the pattern, which stays within a line."""
     return (_present(text, markers.explicit) > 0) | (_present(text, markers.strong) > 0) | text.rlike(pattern)

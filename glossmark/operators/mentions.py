@@ -8,19 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossmark.functions import text as T
+from glossmark.operators.automaton import table_hits
 
-#: Aliases of one array expression; more are further arrays of the same scan.
-INLINE_ALIASES = 512
+#: So many aliases are literals of one array expression; more are found by an automaton (see automaton.table_hits).
+INLINE_ALIASES = 32
 
 
 def alias_hits(docs: DataFrame, aliases: Sequence[tuple[str, str]], text: str = "text") -> DataFrame:
     """docs' other columns with symbol and alias, for each alias the text has; ASCII aliases only as whole words.
 
-    Patterns are literals, so each is compiled once, and a text is looked at where it lies."""
+    A few aliases are patterns, each compiled once, and a text is looked at where it lies; many go into one automaton."""
+    if len(aliases) > INLINE_ALIASES:
+        return table_hits(docs, docs.sparkSession.createDataFrame(list(aliases), "symbol string, alias string"), text)
     hits = [F.when(F.col(text).rlike(T.alias_pattern(a)), F.struct(F.lit(s).alias("symbol"), F.lit(a).alias("alias"))) for s, a in aliases]
     keep = [c for c in docs.columns if c != text]
-    parts = [F.array_compact(F.array(*hits[i : i + INLINE_ALIASES])) for i in range(0, len(hits), INLINE_ALIASES)]
-    return docs.select(*keep, F.explode(F.concat(*parts)).alias("hit__")).select(*keep, "hit__.*")
+    return docs.select(*keep, F.explode(F.array_compact(F.array(*hits))).alias("hit__")).select(*keep, "hit__.*")
 
 
 def mentions(hits: DataFrame, keys: Sequence[str], source: str = "transcript") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from glossmark.functions import text as T
 from glossmark.functions import times
+from glossmark.operators import greedy
 from glossmark.operators import humor as H
 from glossmark.operators import notes as N
 from glossmark.plans.tables import table
@@ -104,7 +105,7 @@ def _payload(spark: SparkSession, sf_dir: str, text: Column) -> DataFrame:
 def greedy_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of a conversation that repeat one another, taken in order."""
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("day"), F.col("turn").alias("id"), (F.col("turn") * 60).cast("long").alias("seconds"), F.lit("").alias("heading"), F.col("role").alias("kind"), T.bare(F.col("text")).alias("text"))
-    return H.greedy_dedupe(rows)
+    return greedy.greedy_dedupe(rows)
 
 
 _ALIASES = {"clk": "click", "buy": "purchase", "bought": "purchase"}
@@ -201,7 +202,7 @@ def joke_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _candidates(spark, sf_dir)
     texts = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("id"), "text")
     rows = found.join(texts, ["conv_id", "id"])
-    merged = H.greedy_dedupe(rows.select(F.col("conv_id").alias("day"), "id", "seconds", F.lit("").alias("heading"), F.col("kinds").alias("kind"), T.bare(F.col("text")).alias("text")))
+    merged = greedy.greedy_dedupe(rows.select(F.col("conv_id").alias("day"), "id", "seconds", F.lit("").alias("heading"), F.col("kinds").alias("kind"), T.bare(F.col("text")).alias("text")))
     first = merged.where("id = cluster").select(F.col("day").alias("conv_id"), "id", "cluster_size")
     final = rows.join(first, ["conv_id", "id"])
     print_ = F.substring(F.sha1(F.concat_ws(":", F.col("conv_id").cast("string"), times.clock(F.col("seconds")), F.substring(T.bare(F.col("text")), 1, 160))), 1, 8)

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from glossmark.operators import humor, notes, prices, sync
+from glossmark.operators import greedy, humor, notes, prices, sync
 
 
 def day(n):
@@ -79,7 +79,7 @@ def test_greedy_dedupe_depends_on_order(spark):
     """A is like B and B like C but A not like C: C joins as the cluster's text has grown by B."""
     a, b, c = "abcdefghij", "abcdefghijklmnopqrst", "klmnopqrstuvwxyz"
     rows = spark.createDataFrame([("d", 1, 1000, "", "t", a), ("d", 2, 2000, "", "t", b), ("d", 3, 0, "", "t", b), ("d", 4, 3000, "", "n", c), ("d", 5, 3010, "", "t", "zz")], "day string, id long, seconds long, heading string, kind string, text string")
-    found = {r.id: r.cluster for r in humor.greedy_dedupe(rows).collect()}
+    found = {r.id: r.cluster for r in greedy.greedy_dedupe(rows).collect()}
 
     def grams(t):
         return {t[i : i + 3] for i in range(len(t) - 2)} if len(t) > 3 else {t}
