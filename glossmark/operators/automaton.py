@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -59,8 +60,8 @@ class Matcher:
         return sorted(found)
 
 
-#: The matchers of this Python worker, by their broadcast: built once a worker, not once a task.
-_built: dict[int, Matcher] = {}
+#: The matcher of this Python worker, by its table's name: built once a worker, not once a task.
+_built: dict[str, Matcher] = {}
 
 
 def table_hits(docs: DataFrame, aliases: DataFrame, text: str = "text", max_bytes: int | None = None) -> DataFrame:
@@ -83,15 +84,16 @@ def table_hits(docs: DataFrame, aliases: DataFrame, text: str = "text", max_byte
 def _part_hits(docs: DataFrame, pairs: DataFrame, text: str) -> DataFrame:
     keep = [c for c in docs.columns if c != text]
     shared = docs.sparkSession.sparkContext.broadcast([(r["symbol"], r["alias"]) for r in pairs.sort("symbol", "alias").collect()])
+    name = uuid.uuid4().hex
     added = StructType([StructField("symbol", StringType()), StructField("alias", StringType())])
     schema = StructType([*docs.select(*keep).schema.fields, *added.fields])
     arrow = to_arrow_schema(schema)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = _built.get(shared.id)
+        matcher = _built.get(name)
         if matcher is None:
             _built.clear()
-            matcher = _built[shared.id] = Matcher(shared.value)
+            matcher = _built[name] = Matcher(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from glossmark.checkpoints import settled
+from glossmark.operators import dictionary as D
+from glossmark.operators import memory as Y
 from glossmark.operators import mentions as M
 from glossmark.operators import notes as N
 from glossmark.operators import prices
@@ -143,3 +146,42 @@ def daily_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A daily run: nothing where today's is done and nothing waits; else the memory of what the diff of sources names, and why it ran."""
     gate = sync.daily_gate(spark, sf_dir).where("due")
     return changed_rollup(spark, sf_dir).crossJoin(gate.select("reason"))
+
+
+def _version(k: int) -> str:
+    """The k-th of derived versions of the documents: each lacks some, and some texts come twice over."""
+    return f"SELECT doc_id, CASE WHEN doc_id % 5 = {k} THEN text || ' ' || text ELSE text END AS text FROM documents WHERE doc_id % 7 <> {k}"
+
+
+def _memory_sql(k: int) -> str:
+    counts = themes.COUNTS.replace(DATED, f"SELECT v.*, source, lang, day FROM ({_version(k)}) v JOIN (SELECT doc_id, source, lang, day FROM ({DATED})) USING (doc_id)")
+    flat = f"SELECT doc_id, unnest(['theme', 'year', 'keyword']) AS part, theme AS k1, unnest(['', strftime(day, '%Y'), keyword]) AS k2, n FROM ({counts})"
+    return f"SELECT part, k1, k2, count(DISTINCT doc_id) AS docs, sum(n)::BIGINT AS hits FROM ({flat}) GROUP BY ALL"
+
+
+def _contributions(docs: DataFrame) -> DataFrame:
+    counts = D.keyword_counts(docs, themes.THEMES)
+    parts = {"theme": (F.col("theme"), F.lit("")), "year": (F.col("theme"), F.date_format("day", "yyyy")), "keyword": (F.col("theme"), F.col("keyword"))}
+    return Y.contributions(counts, "doc_id", parts)
+
+
+@register("memory_kept_current", _memory_sql(3))
+def memory_kept_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The memory of themes, by year and by keyword, built once and then brought through three differences of sources, each of which reads only the texts
+    that were added or changed; equal to building it anew from the last version."""
+
+    def version(k: int) -> DataFrame:
+        text = F.when(F.col("doc_id") % 5 == k, F.concat("text", F.lit(" "), "text")).otherwise(F.col("text"))
+        return dated(spark, sf_dir).where(F.col("doc_id") % 7 != k).select("doc_id", "day", text.alias("text"))
+
+    def signed(k: int) -> DataFrame:
+        return version(k).select("doc_id", F.sha2("text", 256).alias("s"))
+
+    kept = settled(_contributions(version(0)))
+    memory = Y.memory(kept)
+    for k in (1, 2, 3):
+        changes = settled(S.signature_diff(signed(k - 1), signed(k), "doc_id", "s").withColumnRenamed("doc_id", "doc"))
+        come = version(k).join(changes.where("change <> 'removed'").select(F.col("doc").alias("doc_id")), "doc_id", "left_semi")
+        memory, kept = Y.updated(memory, kept, changes, settled(_contributions(come)))
+        memory, kept = settled(memory), settled(kept)
+    return memory

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from glossmark.functions import html as H
 from glossmark.functions import text as T
 from glossmark.functions import times
+from glossmark.operators import automaton
 from glossmark.operators import mentions as M
 from glossmark.operators import search as S
 from glossmark.plans.tables import DATED, dated, table
@@ -139,6 +140,19 @@ def alias_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(_direct(spark, sf_dir)).drop("sources")
 
 
+_TABLE = "(SELECT alias, 'i' || min(item_id) AS symbol FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z0-9_]{4,}')) AS alias FROM benchmark) GROUP BY alias)"
+
+
+@register("alias_table_mentions", f"SELECT doc_id, symbol, string_agg(alias, ',' ORDER BY alias) AS matched_aliases FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) AS alias FROM documents) JOIN {_TABLE} USING (alias) GROUP BY doc_id, symbol")
+def alias_table_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary that is a table, too large for a pattern each: the words of benchmark items stand for aliases, the first item with one for
+    what it means."""
+    words = table(spark, sf_dir, "benchmark").select("item_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9_]{4,}"), F.lit(0))).alias("alias"))
+    aliases = words.groupBy("alias").agg(F.concat(F.lit("i"), F.min("item_id").cast("string")).alias("symbol"))
+    hits = automaton.table_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), aliases)
+    return _flat(M.mentions(hits, ["doc_id"])).drop("sources")
+
+
 @register("sector_proxy", _PROXY)
 def sector_proxy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(_proxies(spark, sf_dir))
