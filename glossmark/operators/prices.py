@@ -42,10 +42,14 @@ def as_of_days(rows: DataFrame, bars: DataFrame, on: str = "symbol", target_day:
     """rows (target_day, others) by each symbol of bars, with its last bar on or before the day; bar columns are null if there is none.
 
     The as-of join sees each distinct day and symbol once, however many rows have the day; the rows are joined with its result
-    by day."""
+    by day. A row without a day has no bar of any symbol."""
     days = rows.where(F.col(target_day).isNotNull()).select(target_day).distinct()
-    found = as_of(days.crossJoin(bars.select(on).distinct()), bars, on, target_day, bar_day)
-    return rows.join(found, target_day)
+    symbols = bars.select(on).distinct()
+    found = as_of(days.crossJoin(symbols), bars, on, target_day, bar_day).withColumnRenamed(target_day, "of_day__")
+    undated = symbols.select(on, F.lit(None).cast(dict(rows.dtypes)[target_day]).alias("of_day__"))
+    found = found.unionByName(undated, allowMissingColumns=True)
+    joined = rows.join(found, F.col(target_day).eqNullSafe(F.col("of_day__")))
+    return joined.select(target_day, *[c for c in rows.columns if c != target_day], *[c for c in found.columns if c != "of_day__"])
 
 
 def as_of_keys(rows: DataFrame, bars: DataFrame, on: str = "symbol", target_day: str = "target", bar_day: str = "d") -> DataFrame:

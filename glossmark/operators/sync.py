@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from glossmark.checkpoints import settled
+
 
 def last_by_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key, by max_by: partial sums keep one row a key and task, so a hot key costs nothing."""
@@ -96,6 +99,17 @@ def newest_first(date: Column, ord_: Column) -> list[Column]:
     return [F.desc(F.coalesce(date, F.lit(""))), ord_.asc()]
 
 
+def placed(rows: DataFrame, order: Sequence[Column], name: str = "place") -> DataFrame:
+    """rows with their place in the order, from 1, whatever their number: ranges of the order are numbered by themselves, and each range begins
+    where the sizes of those before it end. Only these sizes, a row a range, come together. The order should tell all rows apart."""
+    ranges = settled(rows.repartitionByRange(*order).withColumn("range__", F.spark_partition_id()))
+    sizes = ranges.groupBy("range__").agg(F.count(F.lit(1)).alias("n__"))
+    before = F.coalesce(F.sum("n__").over(W.orderBy("range__").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("range__", before.alias("before__"))
+    within = F.row_number().over(W.partitionBy("range__").orderBy(*order))
+    return ranges.withColumn("in__", within).join(F.broadcast(starts), "range__").withColumn(name, F.col("in__") + F.col("before__")).drop("range__", "in__", "before__")
+
+
 def pending(queue: DataFrame, ord_: str, shards: int, shard: int, ready: Column, done: DataFrame, key: str, date: Column | None = None, limit: int | None = None) -> DataFrame:
     """A worker's share of a queue: the shard is taken by place before any filter, so shares never move. With a limit, the first so
     many of it, newest first where a date is given, else in the queue's order."""

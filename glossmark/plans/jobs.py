@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glossmark.checkpoints import settled
@@ -126,19 +125,18 @@ def asset_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH f AS (SELECT doc_id, substr(text, 1, 40) AS title, CASE WHEN doc_id % 10 <> 0 THEN strftime(day, '%Y-%m-%d') END AS pub, CASE WHEN doc_id % 6 <> 0 THEN 'a' || doc_id END AS audio FROM ({DATED}) SEMI JOIN ({_SQL["author_relevance"]} WHERE source = 'src3' OR score >= 2) r USING (doc_id)),
 o AS (SELECT doc_id, CASE WHEN quality = 1 THEN 't' || doc_id ELSE '' END AS transcript, CASE WHEN toxic = 1 THEN 'error' ELSE 'done' END AS status FROM labels)
 SELECT f.doc_id, title, pub, audio, nullif(o.transcript, '') AS transcript, CASE WHEN coalesce(o.transcript, '') <> '' THEN 'done' WHEN o.status = 'error' THEN 'error' WHEN audio IS NOT NULL THEN 'pending' ELSE 'missing_audio' END AS status,
- row_number() OVER (ORDER BY coalesce(pub, '') DESC, f.doc_id) AS place FROM f LEFT JOIN o ON f.doc_id = o.doc_id QUALIFY place <= 1000""",
+ row_number() OVER (ORDER BY coalesce(pub, '') DESC, f.doc_id) AS place FROM f LEFT JOIN o ON f.doc_id = o.doc_id""",
 )
 def feed_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A feed brought into its manifest as one job: the items that are the author's, with what the manifest knew of their transcripts and errors, their
-    status now, and the thousand newest of them in order. Documents stand for items, labels for the manifest."""
+    status now, and their places, newest first. Documents stand for items, labels for the manifest."""
     items = dated(spark, sf_dir).select("doc_id", F.substring("text", 1, 40).alias("title"), F.when(F.col("doc_id") % 10 != 0, F.date_format("day", "yyyy-MM-dd")).alias("pub"), F.when(F.col("doc_id") % 6 != 0, F.concat(F.lit("a"), F.col("doc_id").cast("string"))).alias("audio"))
     mine = items.join(search.author_relevance(spark, sf_dir).where("included").select("doc_id"), "doc_id", "left_semi")
     old = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, F.concat(F.lit("t"), F.col("doc_id").cast("string"))).otherwise("").alias("transcript"), F.when(F.col("toxic") == 1, "error").otherwise("done").alias("status"))
     nothing = F.lit(None).cast("string")
     merged = S.upsert_preserving(mine.withColumns({"transcript": nothing, "status": nothing}), old, "doc_id", ["transcript", "status"])
     status = S.recording_status(F.coalesce("transcript", F.lit("")) != "", F.coalesce("status", F.lit("")), F.col("audio"))
-    top = merged.withColumn("status", status).orderBy(*S.newest_first(F.col("pub"), F.col("doc_id"))).limit(1000)
-    return top.withColumn("place", F.row_number().over(W.orderBy(*S.newest_first(F.col("pub"), F.col("doc_id")))))
+    return S.placed(merged.withColumn("status", status), S.newest_first(F.col("pub"), F.col("doc_id")))
 
 
 @register("daily_sync", f"WITH c AS ({oracle_sql()['changed_rollup']}) SELECT c.*, g.reason FROM c, ({_SQL['daily_gate']}) g WHERE g.due")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glossmark.operators import search as Q
@@ -132,14 +131,12 @@ def queue_newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "feed_newest_first",
-    "SELECT event_id, stamp, row_number() OVER (ORDER BY coalesce(stamp, '') DESC, event_id) AS place FROM (SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS stamp FROM events) ORDER BY place LIMIT 500",
+    "SELECT event_id, stamp, row_number() OVER (ORDER BY coalesce(stamp, '') DESC, event_id) AS place FROM (SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS stamp FROM events)",
 )
 def feed_newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 500 newest items of a feed, with their place; items without a time are the oldest."""
+    """All items of a feed, newest first, with their place; items without a time are the oldest."""
     items = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 10 != 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("stamp"))
-    top = items.orderBy(*S.newest_first(F.col("stamp"), F.col("event_id"))).limit(500)
-    # the window sees what the limit left
-    return top.withColumn("place", F.row_number().over(W.orderBy(*S.newest_first(F.col("stamp"), F.col("event_id")))))
+    return S.placed(items, S.newest_first(F.col("stamp"), F.col("event_id")))
 
 
 @register("feed_totals", "SELECT source AS feed, count(*) AS parsed, count(*) FILTER (n_chars >= 400) AS kept, sum(n_chars)::BIGINT AS chars, arg_max(doc_id, (n_chars, -doc_id)) AS latest FROM documents GROUP BY source UNION ALL SELECT 'all', count(*), count(*) FILTER (n_chars >= 400), sum(n_chars)::BIGINT, arg_max(doc_id, (n_chars, -doc_id)) FROM documents")

@@ -9,7 +9,6 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -72,16 +71,3 @@ def chart_bars(payloads: DataFrame, symbol: str = "symbol", payload: str = "payl
     rows = payloads.select(symbol, zipped.alias("z")).select(symbol, F.to_date(F.timestamp_seconds("z.t")).alias("d"), F.col("z.c").alias("close"))
     return rows.where("close is not null and not isnan(close) and abs(close) < double('Infinity')")
 
-
-def through_cache(spark: SparkSession, wanted: DataFrame, cache_path: str, fetch: Callable[[DataFrame], DataFrame], key: str = "symbol") -> DataFrame:
-    """Rows of the wanted keys, read through a table that keeps what was fetched: an anti-join tells the keys it lacks, fetch makes rows of
-    these alone, and they are appended, a folder a key. cache_path must be a folder that the cluster shares."""
-    try:
-        kept = spark.read.parquet(cache_path)
-    except AnalysisException:
-        kept = None
-    keys = wanted.select(key).distinct()
-    missing = keys if kept is None else keys.join(kept.select(key).distinct(), key, "left_anti")
-    new = fetch(missing)
-    new.write.mode("append").partitionBy(key).parquet(cache_path)
-    return spark.read.schema(new.schema).parquet(cache_path).join(keys, key, "left_semi")

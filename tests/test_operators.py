@@ -110,3 +110,19 @@ def test_note_errors(spark):
 def test_batches_keep_the_last_valid(spark):
     rows = spark.createDataFrame([("a", 1, False), ("a", 2, True), ("a", 3, False), ("b", 1, False), ("b", 2, False), ("c", 1, True), ("c", 4, True)], "k string, o int, valid boolean")
     assert {r.k: (r.o, r.valid) for r in notes.settle_batches(rows, "k", ["o"], "valid").collect()} == {"a": (2, True), "b": (2, False), "c": (4, True)}
+
+
+def test_rows_without_a_day_stay(spark):
+    rows = spark.createDataFrame([(1, None), (2, datetime.date(2024, 1, 2))], "i int, target date")
+    bars = spark.createDataFrame([("A", datetime.date(2024, 1, 1), 5.0), ("B", datetime.date(2024, 1, 3), 6.0)], "symbol string, d date, close double")
+    found = sorted(((r.i, r.symbol, r.close) for r in prices.as_of_days(rows, bars).collect()), key=repr)
+    assert found == [(1, "A", None), (1, "B", None), (2, "A", 5.0), (2, "B", None)]
+
+
+def test_places_over_ranges(spark):
+    rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("i"), F.when(F.col("id") % 3 != 0, F.col("id") % 10).alias("k"))
+    order = [F.desc_nulls_last("k"), F.asc("i")]
+    found = [(r.i, r.place) for r in sync.placed(rows, order).orderBy("place").collect()]
+    assert [p for _, p in found] == list(range(1, 5001))
+    assert [i for i, _ in found] == [r.i for r in rows.orderBy(*order).collect()]
+    assert sync.placed(rows.where("false"), order).collect() == []
