@@ -113,8 +113,8 @@ def test_batches_keep_the_last_valid(spark):
 
 
 def test_rows_without_a_day_stay(spark):
-    rows = spark.createDataFrame([(1, None), (2, datetime.date(2024, 1, 2))], "i int, target date")
-    bars = spark.createDataFrame([("A", datetime.date(2024, 1, 1), 5.0), ("B", datetime.date(2024, 1, 3), 6.0)], "symbol string, d date, close double")
+    rows = spark.createDataFrame([(1, None), (2, dt.date(2024, 1, 2))], "i int, target date")
+    bars = spark.createDataFrame([("A", dt.date(2024, 1, 1), 5.0), ("B", dt.date(2024, 1, 3), 6.0)], "symbol string, d date, close double")
     found = sorted(((r.i, r.symbol, r.close) for r in prices.as_of_days(rows, bars).collect()), key=repr)
     assert found == [(1, "A", None), (1, "B", None), (2, "A", 5.0), (2, "B", None)]
 
