@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -22,6 +22,8 @@ COLLISIONS = 0.5
 SURETY = 0.65
 #: The first radius, and the factor it grows by; the larger one while fewer than k vectors are verified.
 FIRST_RADIUS, GROWTH, FAST_GROWTH = 0.8, 1.08, 1.25
+#: Exponents (of two) of a block's largest component and a query's, added up, between which products and their sums are normal doubles.
+LEAST_EXPONENT, LARGEST_EXPONENT = -960, 1000
 #: Candidates of a block, on average. Blocks are dealt out by a hash of a row number, so a block doesn't come near 65,536, what ranks of 16 bits tell apart.
 BLOCK = 16384
 #: A block is copied once for every so many queries, which is more work than the copy.
@@ -36,18 +38,21 @@ def _normal(x: np.ndarray) -> np.ndarray:
 class Block:
     """Candidates with their projections, each in a sorted array of its own.
 
-    Vectors are scaled by the largest norm and lifted by one coordinate to norm 1, so that the inner product with the query's
+    Vectors are scaled by the block's largest norm and lifted by one coordinate to norm 1, so that the inner product with the query's
     direction is all that tells how near they are; at rho, a projection is normal around rho times the query's, with variance 1 - rho^2. A window
     of R to each side of the query serves every R: a larger one goes on to both sides (virtual rehashing), and only the ranks
-    that are new in it are counted."""
+    that are new in it are counted. Scaling goes by powers of two first, so no norm is out of range, however large or small components are."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, scale: float, projections: int = PROJECTIONS):
-        self.ids, self.vectors, self.scale, self.m = ids, vectors.astype(np.float64), scale, projections
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, projections: int = PROJECTIONS):
+        self.ids, self.vectors, self.m = ids, vectors.astype(np.float64), projections
         n = len(ids)
         if n > 1 << 16:
             raise ValueError("a block holds at most 65,536 vectors")
+        self.exponent = int(np.frexp(np.abs(self.vectors).max())[1])
+        self.small = np.ldexp(self.vectors, -self.exponent)
+        self.small /= math.sqrt((self.small**2).sum(1).max()) * (1 + 1e-12)
         self.directions = np.random.default_rng(20).standard_normal((vectors.shape[1] + 1, projections))
-        small = self.vectors / scale
+        small = self.small
         lift = np.sqrt(np.maximum(0, 1 - (small**2).sum(1)))
         self.order = np.empty((projections, n), np.uint16)
         places = np.empty((projections, n))
@@ -69,8 +74,12 @@ class Block:
         """(ids, scores, verified): the k largest inner products found, ties to the smaller id, and how many vectors were verified
         for them; rows with the id own don't count."""
         n, query = len(self.ids), query.astype(np.float64)
-        length = float(np.linalg.norm(query))
-        at = query / length @ self.directions[:-1]
+        exponent = int(np.frexp(np.abs(query).max())[1])
+        if not LEAST_EXPONENT < exponent + self.exponent < LARGEST_EXPONENT:
+            return self._plainly(own, query, k)
+        direction = np.ldexp(query, -exponent)
+        direction /= math.sqrt((direction**2).sum())
+        at = direction @ self.directions[:-1]
         chosen = np.argsort(-np.abs(at), kind="stable")[:SEARCHED]
         at, base, shift = at[chosen], chosen * n, chosen * self.apart
         enough = max(1, math.ceil(COLLISIONS * len(chosen)))
@@ -88,12 +97,12 @@ class Block:
             fresh = np.flatnonzero((counts >= enough) & ~verified)
             verified[fresh] = True
             found = np.r_[found, fresh]
-            scores = np.r_[scores, self.vectors[fresh] @ query]
+            scores = np.r_[scores, self.small[fresh] @ direction]
             if len(found) == total:
                 break
             if len(found) >= k:
                 kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-                if self._sure(at, radius, min(1.0, kth / (length * self.scale)), enough):
+                if self._sure(at, radius, min(1.0, kth), enough):
                     break
                 radius *= GROWTH
             else:
@@ -101,11 +110,25 @@ class Block:
         seen = len(found)
         # equal vectors must tie exactly, so the best are summed once more, in an order that their place doesn't change
         if k:
-            found = found[scores >= np.partition(scores, len(scores) - k)[len(scores) - k] - 1e-9 * length * self.scale]
+            found = found[scores >= np.partition(scores, len(scores) - k)[len(scores) - k] - 1e-9]
         scores = (self.vectors[found] * query).sum(1)
         best = np.lexsort((self.ids[found], -scores))[:k]
         return self.ids[found[best]], scores[best], seen
 
+    def _plainly(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """All vectors verified: where products leave the range of doubles, scores are infinite or 0, and ids decide. What isn't a number comes last."""
+        found = np.flatnonzero(self.ids != own)
+        with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+            scores = (self.vectors[found] * query).sum(1)
+        best = np.lexsort((self.ids[found], -scores, np.isnan(scores)))[:k]
+        return self.ids[found[best]], scores[best], len(found)
+
+
+def _log_norm() -> Column:
+    """The logarithm to base 2 of a vector's norm, whatever its components' size."""
+    most = F.array_max(F.transform("vector", lambda x: F.abs(x)))
+    return F.log2(most) + 0.5 * F.log2(F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / most) * (x / most)))
+
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, vector): without null ids and vectors that are null, empty, zero or hold null or non-finite components."""
@@ -118,7 +141,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 def nearest_neighbours(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, id_col, score): the k largest inner products found for each row that is_query, a condition on id, holds for.
 
-    Candidates are dealt into blocks of about BLOCK, each of them in one place; queries go to every block, and are streamed past its
+    Candidates are dealt into blocks of about BLOCK by the octave of their norm, each block in one place; queries go to every block, and are streamed past its
     index, so a task holds one block and a few queries. A block's vectors that collide with a query often enough are
     verified, and the best of all blocks are ranked. Scores are in double precision on the original vectors; ties go to the
     smaller id. Vectors that usable() leaves out take no part, nor do those of another length than the most common one (the
@@ -126,15 +149,21 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 20, id_col: str =
     empty table gives no rows. Columns other than the two are not read.
     """
     good = written(usable(vectors, id_col, vector_col).withColumn("row", F.monotonically_increasing_id()), "vectors")
-    sizes = good.groupBy(F.size("vector").alias("size")).agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query(F.col("id"))).alias("queries"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)).alias("norm")).orderBy(F.desc("n"), "size").take(1)
+    sizes = good.groupBy(F.size("vector").alias("size")).agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query(F.col("id"))).alias("queries"), F.percentile_approx(_log_norm(), 0.5).alias("middle")).orderBy(F.desc("n"), "size").take(1)
     if not sizes:
         return good.sparkSession.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
-    size, n, scale = sizes[0]["size"], sizes[0]["n"], math.sqrt(sizes[0]["norm"]) * (1 + 1e-12)
-    blocks, groups = math.ceil(n / BLOCK), max(1, math.ceil(sizes[0]["queries"] / QUERY_GROUP))
-    good = good.where(F.size("vector") == size)
+    size, groups = sizes[0]["size"], max(1, math.ceil(sizes[0]["queries"] / QUERY_GROUP))
+    # vectors of like norms share blocks, each with a scale of its own: a few long ones don't blur the others
+    good = good.where(F.size("vector") == size).withColumn("octave", F.floor(_log_norm() - sizes[0]["middle"] + 0.5).cast("int"))
+    octaves, blocks, first, share = good.groupBy("octave").count().collect(), 0, [], []  # doubles have some 2,100 octaves
+    for r in octaves:
+        first += [F.lit(r["octave"]), F.lit(blocks)]
+        share += [F.lit(r["octave"]), F.lit(math.ceil(r["count"] / BLOCK))]
+        blocks += math.ceil(r["count"] / BLOCK)
+    own_block = (F.create_map(*first)[F.col("octave")] + F.pmod(F.xxhash64("row"), F.create_map(*share)[F.col("octave")])).cast("int")
     to_all = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     hashed = lambda count: F.pmod(F.xxhash64("row"), F.lit(count)).cast("int")
-    candidates = good.select("id", "vector", F.lit(False).alias("query"), hashed(blocks).alias("block"), to_all(groups).alias("group"))
+    candidates = good.select("id", "vector", F.lit(False).alias("query"), own_block.alias("block"), to_all(groups).alias("group"))
     queries = good.where(is_query(F.col("id"))).select("id", "vector", F.lit(True).alias("query"), to_all(blocks).alias("block"), hashed(groups).alias("group"))
     dealt = candidates.unionByName(queries).select("id", "vector", "query", (F.col("group") * blocks + F.col("block")).alias("place"))
     dealt = dealt.repartitionById(blocks * groups, "place").sortWithinPartitions("place", "query")
@@ -152,12 +181,12 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 20, id_col: str =
                     held.append((ids[a:b], all_[a:b].copy()))
                     continue
                 if index is None and held:
-                    index, held = Block(*(np.concatenate(x) for x in zip(*held, strict=True)), scale), []
+                    index, held = Block(*(np.concatenate(x) for x in zip(*held, strict=True))), []
                 if index is not None:
                     found = [(i, *index.nearest(i, v, k)) for i, v in zip(ids[a:b], all_[a:b], strict=True)]
                     columns = (np.concatenate([np.full(len(f[1]), f[0]) for f in found]), np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found]))
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", id_col, "score"])
 
     found = dealt.mapInArrow(search, f"query_id long, {id_col} long, score double")
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), id_col)
+    best = W.partitionBy("query_id").orderBy(F.isnan("score"), F.desc("score"), id_col)
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", id_col, "score")

@@ -382,7 +382,7 @@ def test_neighbours_recall_and_edges(spark, small):
 def test_few_vectors_are_verified_at_good_recall():
     rows = pq.read_table("/root/testdata/sf0.1/embeddings.parquet", columns=["vec_id", "embedding"])
     ids, all_ = rows["vec_id"].to_numpy(), np.array(rows["embedding"].to_pylist(), float)
-    block = ann.Block(ids, all_, np.linalg.norm(all_, axis=1).max() * (1 + 1e-12))
+    block = ann.Block(ids, all_)
     recall, verified = [], []
     for q in np.flatnonzero(ids % 20 == 0):
         exact = (all_ * all_[q]).sum(1)
@@ -424,3 +424,44 @@ def test_many_equal_vectors_go_by_id(spark):
     found = ann.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i == 400).orderBy("rank").collect()
     better = [i for i, v in rows if i != 400 and np.dot(v, [1, 2, 3]) > 14]
     assert [r.vec_id for r in found if r.score == 14.0] == [i for i in range(1, 400, 2)][: 20 - len(better)]
+
+
+def test_components_of_any_size_have_answers(spark):
+    """Whatever doubles can be: products that leave their range are infinite or 0, as plain arithmetic has them, and ids decide."""
+    rng = np.random.default_rng(4)
+    for size in (1e200, 1e-200, 1e-310, 1e307, 1.0):
+        rows = [(i, (rng.standard_normal(4) * size).tolist()) for i in range(1, 61)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        found = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in ann.nearest_neighbours(df, lambda i: i % 20 == 0, k=5).collect())
+        with np.errstate(all="ignore"):
+            want = []
+            for q in (20, 40, 60):
+                scores = [(float((np.array(v) * rows[q - 1][1]).sum()), i) for i, v in rows if i != q]
+                scores.sort(key=lambda x: (np.isnan(x[0]), -x[0], x[1]))
+                want += [(q, n + 1, i, s) for n, (s, i) in enumerate(scores[:5])]
+        assert [f[:3] for f in found] == [w[:3] for w in want]
+        assert all(f[3] == w[3] or np.isnan(w[3]) or abs(f[3] - w[3]) <= 1e-12 * abs(w[3]) for f, w in zip(found, want, strict=True))
+
+
+@pytest.mark.parametrize("factor", [10, 1000, 1e200])
+def test_one_long_vector_does_not_switch_the_method_off(spark, factor, monkeypatch):
+    rows = pq.read_table("/root/testdata/sf0.1/embeddings.parquet", columns=["vec_id", "embedding"]).to_pylist()
+    rows[7]["embedding"] = [x * factor for x in rows[7]["embedding"]]
+    frame = spark.createDataFrame([(r["vec_id"], [float(x) for x in r["embedding"]]) for r in rows], "vec_id long, embedding array<double>")
+    found = defaultdict(set)
+    for r in ann.nearest_neighbours(frame, lambda i: i % 20 == 0).collect():
+        found[r.query_id].add(r.vec_id)
+    ids, all_ = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], float)
+    recall = []
+    for q in np.flatnonzero(ids % 20 == 0):
+        exact = (all_ * all_[q]).sum(1)
+        exact[q] = -np.inf
+        recall.append(len(set(ids[np.lexsort((ids, -exact))[:20]].tolist()) & found[ids[q]]) / 20)
+    assert np.mean(recall) >= 0.9
+    norms = np.log2(np.abs(all_).max(1)) + 0.5 * np.log2(((all_ / np.abs(all_).max(1, keepdims=True)) ** 2).sum(1))
+    octave = np.floor(norms - np.median(norms) + 0.5)
+    verified = np.zeros(0)
+    for o in set(octave.tolist()):
+        block = ann.Block(ids[octave == o], all_[octave == o])
+        verified = np.r_[verified, [block.nearest(ids[q], all_[q], 20)[2] for q in np.flatnonzero(ids % 20 == 0)[:40]]]
+    assert verified.sum() / 40 <= 0.1 * len(ids)
