@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossmark.functions import text as T
@@ -83,6 +83,37 @@ def observed_sectors(observations: DataFrame, aliases: Sequence[tuple[str, str]]
     return found, terms
 
 
+def context_mentions(rows: DataFrame, keys: Sequence[str], aliases: Sequence[tuple[str, str]], sectors: Sequence[tuple[str, str]], members: Sequence[tuple[str, str]], text: str = "text", asset: str = "asset", symbol: str = "symbol") -> DataFrame:
+    """(keys, symbol, matched_aliases, sources): all that documents (keys, text, asset, symbol) mention, in one scan and one grouping.
+
+    It is the union of direct mentions by alias, of what their notes observe as a symbol, a sector's name or one of its aliases, and of the members of
+    sectors that the text names, but for symbols that it mentions directly. Known assets are those with an alias. A text is looked at where it lies; a hit
+    is a row of its symbols, tagged with what it is, and a direct one wins over a sector's inside its group. For dictionaries small enough to be literals;
+    larger ones are joined (see united)."""
+    known = {s for s, _ in aliases}
+    of_sector = {s: sorted({m for t, m in members if t == s and m in known}) for s, _ in sectors}
+    words = lambda *xs: F.array(*[x if isinstance(x, Column) else F.lit(x) for x in xs]).cast("array<string>")
+    seen, named = F.trim(F.coalesce(asset, F.lit(""))), F.coalesce(symbol, F.lit(""))
+
+    def hit(test: Column, kind: str, symbols: Column, said: Column, sources: Column) -> Column:
+        return F.when(test, F.struct(F.lit(kind).alias("kind"), symbols.alias("symbols"), said.alias("said"), sources.alias("sources")))
+
+    hits = [hit(F.col(text).rlike(T.alias_pattern(a)), "direct", words(s), words(a), words("transcript")) for s, a in aliases]
+    for s, a in sectors:
+        basket = f"sector_basket:{s}"
+        hits.append(hit(F.col(text).rlike(T.alias_pattern(a)), "proxy", words(*of_sector[s]), words(a), words(basket)))
+        hits.append(hit(seen.rlike(T.alias_pattern(a)), "seen", words(*of_sector[s]), words(a, seen), words(basket, "trade_observations.asset_or_sector")))
+    for s, own in of_sector.items():
+        hits.append(hit(seen == s, "seen", words(*own), words(seen), words(f"sector_basket:{s}", "trade_observations.asset_or_sector")))
+    hits.append(hit(named.isin(*known), "named", words(named), words(), words("trade_observations.asset_symbol")))
+    flat = rows.select(*keys, F.explode(F.array_compact(F.array(*hits))).alias("h__")).select(*keys, F.explode("h__.symbols").alias("symbol"), "h__.kind", "h__.said", "h__.sources")
+    proxy = F.col("kind") == "proxy"
+    sums = {f"{c}_{n}": F.flatten(F.collect_list(F.when(test, F.col(c)))) for c in ("said", "sources") for n, test in (("own", ~proxy), ("proxy", proxy))}
+    grouped = flat.groupBy(*keys, "symbol").agg(F.max(F.col("kind") == "direct").alias("direct"), *[c.alias(n) for n, c in sums.items()])
+    both = lambda c: F.array_sort(F.array_distinct(F.when(F.col("direct"), F.col(f"{c}_own")).otherwise(F.concat(f"{c}_own", f"{c}_proxy"))))
+    return grouped.select(*keys, "symbol", both("said").alias("matched_aliases"), both("sources").alias("sources"))
+
+
 def with_context_flag(views: DataFrame, direct: DataFrame, keys: Sequence[str]) -> DataFrame:
     """views (keys, symbol, others) with context_status: whether the record's direct mentions have priced the symbol already."""
     priced = direct.where("symbol <> ''").select(*keys, "symbol", F.lit("priced_in_episode_asset_context").alias("context_status")).distinct()

@@ -92,6 +92,13 @@ a AS (SELECT doc_id, symbol, string_agg(DISTINCT x, ',' ORDER BY x) AS matched_a
 s AS (SELECT doc_id, symbol, string_agg(DISTINCT x, ',' ORDER BY x) AS sources FROM (SELECT doc_id, symbol, unnest(string_split(sources, ',')) AS x FROM m) GROUP BY ALL)"""
 
 
+def asset_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, target, symbol, matched_aliases, sources): what each document mentions, with the day whose prices it could know, from one scan."""
+    asset, symbol = search.observed_columns()
+    docs = dated(spark, sf_dir).select("doc_id", F.when(F.col("doc_id") % 11 != 0, F.date_sub("day", 1200)).alias("target"), "text", asset.alias("asset"), symbol.alias("symbol"))
+    return search._flat(M.context_mentions(docs, ["doc_id", "target"], search.ALIASES, search.SECTORS, search.MEMBERS))
+
+
 @register(
     "asset_context",
     f"""{_ALL_MENTIONS}, b AS ({BARS}),
@@ -103,16 +110,10 @@ SELECT doc_id, symbol, matched_aliases, sources, price_symbol, d AS price_day, c
 def asset_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The asset context as one job: what each document mentions by alias, what its notes observe, sectors' members that it doesn't mention itself, all
     united by asset, with the last price known at its time or why there is none."""
-    keys = ["doc_id"]
-    known = spark.createDataFrame(sorted({(s,) for s, _ in search.ALIASES}), "symbol string")
-    direct = search._direct(spark, sf_dir)
-    found = M.united(direct, search.sectors_seen(spark, sf_dir)[0], keys)
-    found = M.united(found, M.observed_symbols(search.observed(spark, sf_dir), known, keys), keys)
-    found = M.united(found, M.proxy_minus_direct(search._proxies(spark, sf_dir), direct, keys), keys)
+    rows = settled(asset_mentions(spark, sf_dir))  # few rows beside the texts, read twice
     overrides = F.create_map(F.lit("AAA"), F.lit("1-URGENT"), F.lit("BBB"), F.lit(""))
     symbol = prices.pricing_symbol(F.col("symbol"), overrides[F.col("symbol")], F.col("symbol").isin("AAA", "BBB"))
-    days = dated(spark, sf_dir).select("doc_id", F.when(F.col("doc_id") % 11 != 0, F.date_sub("day", 1200)).alias("target"))
-    rows = search._flat(found).withColumn("price_symbol", symbol).join(days, "doc_id")
+    rows = rows.withColumn("price_symbol", symbol)
     closes = bars(spark, sf_dir).withColumnRenamed("symbol", "price_symbol")
     series = closes.select("price_symbol").distinct().withColumn("has_series", F.lit(True))
     priced = prices.as_of_keys(rows, closes, "price_symbol").join(series, "price_symbol", "left")

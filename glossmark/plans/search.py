@@ -186,11 +186,16 @@ SECTOR_SEEN = f"""SELECT doc_id, symbol, string_agg(DISTINCT a, ',' ORDER BY a)
 FROM (SELECT doc_id, m.symbol, unnest([alias, asset]) AS a, unnest(['sector_basket:' || h.sector, 'trade_observations.asset_or_sector']) AS s FROM ({_SECTOR_HITS}) h JOIN (VALUES {_MEMBER_ROWS}) m(sector, symbol) ON m.sector = h.sector WHERE m.symbol IN ('AAA', 'BBB', 'CCC')) GROUP BY ALL"""
 
 
-def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, asset, symbol): what the documents' notes observe; names and sectors, some with a symbol."""
+def observed_columns() -> tuple[Column, Column]:
+    """What the documents' notes observe: names and sectors, some with a symbol."""
     k = F.col("doc_id")
     asset = F.when(k % 8 == 0, "Alpha").when(k % 8 == 4, "la DE baja").when(k % 8 == 1, F.col("source")).when(k % 8 == 5, "made on").when(k % 8 == 2, "").when(k % 8 == 6, "chips").otherwise("food")
-    symbol = F.when(k % 3 == 0, "AAA").when(k % 3 == 1, "QQQ").otherwise("")
+    return asset, F.when(k % 3 == 0, "AAA").when(k % 3 == 1, "QQQ").otherwise("")
+
+
+def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, asset, symbol) of the documents' notes."""
+    asset, symbol = observed_columns()
     return table(spark, sf_dir, "documents").select("doc_id", asset.alias("asset"), symbol.alias("symbol"))
 
 
