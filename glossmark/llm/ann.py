@@ -127,7 +127,11 @@ class Block:
 def _log_norm() -> Column:
     """The logarithm to base 2 of a vector's norm, whatever its components' size."""
     most = F.array_max(F.transform("vector", lambda x: F.abs(x)))
-    return F.log2(most) + 0.5 * F.log2(F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / most) * (x / most)))
+
+    def scaled(m: Column) -> Column:  # m is computed once a vector, not once a component
+        return F.log2(m) + 0.5 * F.log2(F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / m) * (x / m)))
+
+    return F.get(F.transform(F.array(most), scaled), F.lit(0))
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -148,13 +152,14 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 20, id_col: str =
     shorter, if several are). Rows with the query's own id are no candidates; rows that repeat an id or a vector each count. An
     empty table gives no rows. Columns other than the two are not read.
     """
-    good = written(usable(vectors, id_col, vector_col).withColumn("row", F.monotonically_increasing_id()), "vectors")
-    sizes = good.groupBy(F.size("vector").alias("size")).agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query(F.col("id"))).alias("queries"), F.percentile_approx(_log_norm(), 0.5).alias("middle")).orderBy(F.desc("n"), "size").take(1)
+    good = usable(vectors, id_col, vector_col).select("id", "vector", _log_norm().alias("log_norm"), F.monotonically_increasing_id().alias("row"))
+    good = written(good, "vectors")
+    sizes = good.groupBy(F.size("vector").alias("size")).agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query(F.col("id"))).alias("queries"), F.percentile_approx("log_norm", 0.5).alias("middle")).orderBy(F.desc("n"), "size").take(1)
     if not sizes:
         return good.sparkSession.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
     size, groups = sizes[0]["size"], max(1, math.ceil(sizes[0]["queries"] / QUERY_GROUP))
     # vectors of like norms share blocks, each with a scale of its own: a few long ones don't blur the others
-    good = good.where(F.size("vector") == size).withColumn("octave", F.floor(_log_norm() - sizes[0]["middle"] + 0.5).cast("int"))
+    good = good.where(F.size("vector") == size).withColumn("octave", F.floor(F.col("log_norm") - sizes[0]["middle"] + 0.5).cast("int"))
     octaves, blocks, first, share = good.groupBy("octave").count().collect(), 0, [], []  # doubles have some 2,100 octaves
     for r in octaves:
         first += [F.lit(r["octave"]), F.lit(blocks)]
