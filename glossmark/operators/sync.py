@@ -99,15 +99,21 @@ def newest_first(date: Column, ord_: Column) -> list[Column]:
     return [F.desc(F.coalesce(date, F.lit(""))), ord_.asc()]
 
 
+def running_sum(rows: DataFrame, order: Sequence[Column], value: Column, name: str) -> DataFrame:
+    """rows with the sum of value over all rows up to and with their own, in the order, whatever their number: ranges of the order are summed up by
+    themselves, and each range begins where those before it end. Only the ranges' sums, a row a range, come together. The order should tell all
+    rows apart."""
+    ranges = settled(rows.repartitionByRange(*order).withColumns({"range__": F.spark_partition_id(), "value__": value}))
+    sums = ranges.groupBy("range__").agg(F.sum("value__").alias("sum__"))
+    before = F.coalesce(F.sum("sum__").over(W.orderBy("range__").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = sums.select("range__", before.alias("before__"))
+    within = F.sum("value__").over(W.partitionBy("range__").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow))
+    return ranges.withColumn("in__", within).join(F.broadcast(starts), "range__").withColumn(name, F.col("in__") + F.col("before__")).drop("range__", "value__", "in__", "before__")
+
+
 def placed(rows: DataFrame, order: Sequence[Column], name: str = "place") -> DataFrame:
-    """rows with their place in the order, from 1, whatever their number: ranges of the order are numbered by themselves, and each range begins
-    where the sizes of those before it end. Only these sizes, a row a range, come together. The order should tell all rows apart."""
-    ranges = settled(rows.repartitionByRange(*order).withColumn("range__", F.spark_partition_id()))
-    sizes = ranges.groupBy("range__").agg(F.count(F.lit(1)).alias("n__"))
-    before = F.coalesce(F.sum("n__").over(W.orderBy("range__").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("range__", before.alias("before__"))
-    within = F.row_number().over(W.partitionBy("range__").orderBy(*order))
-    return ranges.withColumn("in__", within).join(F.broadcast(starts), "range__").withColumn(name, F.col("in__") + F.col("before__")).drop("range__", "in__", "before__")
+    """rows with their place in the order, from 1."""
+    return running_sum(rows, order, F.lit(1), name)
 
 
 def pending(queue: DataFrame, ord_: str, shards: int, shard: int, ready: Column, done: DataFrame, key: str, date: Column | None = None, limit: int | None = None) -> DataFrame:

@@ -15,6 +15,8 @@ from glossmark.operators import sync as S
 from glossmark.plans import market, passages, search, sync, themes
 from glossmark.plans.tables import BARS, DATED, bars, dated, table
 from glossmark.registry import oracle_sql, register
+from glossmark.sources import discovery, intervals, sinks
+from glossmark.streaming import supervisor
 
 _SQL = oracle_sql()
 
@@ -184,3 +186,74 @@ def memory_kept_current(spark: SparkSession, sf_dir: str) -> DataFrame:
         memory, kept = Y.updated(memory, kept, changes, settled(_contributions(come)))
         memory, kept = settled(memory), settled(kept)
     return memory
+
+
+_RUN = "CASE event_type WHEN 'purchase' THEN 'done' WHEN 'error' THEN 'error' WHEN 'signup' THEN 'pending' ELSE 'running' END"
+_RUN_SILENT = 86_400
+
+
+@register(
+    "run_states",
+    f"""WITH e AS (SELECT user_id AS key, ts::TIMESTAMP AS stamp, {_RUN} AS status FROM events),
+w AS (SELECT *, lag(status) OVER o AS was, lag(stamp) OVER o AS was_at FROM e WINDOW o AS (PARTITION BY key ORDER BY stamp, status)),
+l AS (SELECT key, arg_max(status, (stamp, status)) AS status, max(stamp) AS stamp, count(*) FILTER (status = 'running' AND (coalesce(was, '') <> 'running' OR epoch_us(stamp) - epoch_us(was_at) >= {_RUN_SILENT * 1_000_000})) AS attempts FROM w GROUP BY key),
+h AS (SELECT *, status = 'running' AND (SELECT epoch_us(max(stamp)) FROM e) - epoch_us(stamp) >= {_RUN_SILENT * 1_000_000} AS hung FROM l)
+SELECT key, CASE WHEN hung THEN 'error' ELSE status END AS status, CASE WHEN hung THEN '{supervisor.SILENT} for {_RUN_SILENT} s' WHEN status = 'error' THEN 'failed' END AS error, attempts::INT AS attempts FROM h""",
+)
+def run_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the supervisor of runs has come to at the end of the log, users standing for runs: the batch that its stream is held against."""
+    kind = F.when(F.col("event_type") == "purchase", "done").when(F.col("event_type") == "error", "error").when(F.col("event_type") == "signup", "pending").otherwise("running")
+    log = table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), F.col("ts").cast("timestamp").alias("at"), kind.alias("status"), F.lit("failed").alias("error"))
+    return supervisor.replayed(log, _RUN_SILENT).drop("at")
+
+
+_WANTED = "SELECT user_id AS symbol, ts::DATE AS since, ts::DATE + (event_id % 9)::INT AS until FROM events WHERE event_id % 3 <> 0"
+_FETCHED = "SELECT user_id AS symbol, ts::DATE - (event_id % 5)::INT AS since, ts::DATE + (event_id % 4)::INT - 1 AS until FROM events WHERE event_id % 3 = 0"
+
+
+@register(
+    "series_gaps",
+    f"""WITH d AS (SELECT DISTINCT symbol, unnest(generate_series(since, until, INTERVAL 1 DAY))::DATE AS d FROM ({_WANTED}) EXCEPT SELECT symbol, unnest(generate_series(since, until, INTERVAL 1 DAY))::DATE FROM ({_FETCHED}) WHERE until >= since),
+g AS (SELECT symbol, d, d - (row_number() OVER (PARTITION BY symbol ORDER BY d))::INT AS island FROM d)
+SELECT symbol, min(d) AS since, max(d) AS until FROM g GROUP BY symbol, island""",
+)
+def series_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spans of daily series that are wanted and weren't fetched, by user: events stand for both."""
+    events = table(spark, sf_dir, "events").select(F.col("user_id").alias("symbol"), F.col("ts").cast("date").alias("day"), "event_id")
+    span = lambda before, after: [F.date_sub("day", before.cast("int")).alias("since"), F.date_add("day", after.cast("int")).alias("until")]
+    k = F.col("event_id")
+    wanted = events.where("event_id % 3 <> 0").select("symbol", *span(F.lit(0), k % 9))
+    fetched = events.where("event_id % 3 = 0").select("symbol", *span(k % 5, k % 4 - 1))
+    return intervals.gaps(wanted, fetched, "symbol")
+
+
+_LINKS = "SELECT page_id AS page, (page_id * 2 + strlen(html) % 5) % n AS \"to\" FROM pages, (SELECT count(*) AS n FROM pages) WHERE html IS NOT NULL UNION ALL SELECT page_id, (page_id + 7) % n FROM pages, (SELECT count(*) AS n FROM pages) WHERE page_id % 3 = 0"
+
+
+@register(
+    "site_crawl",
+    f"""WITH RECURSIVE links AS ({_LINKS}), c AS (SELECT page_id AS page, 0 AS depth FROM pages WHERE page_id % 50 = 1 UNION SELECT "to", depth + 1 FROM c JOIN links USING (page) WHERE depth < 6 AND "to" % 11 <> 0)
+SELECT page, min(depth) AS depth FROM c GROUP BY page""",
+)
+def site_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that a crawl reaches in six steps from some of them, each at its least depth; links are made of ids and lengths, as pages have none to each other."""
+    pages = table(spark, sf_dir, "pages")
+    n = pages.count()
+    one = pages.where("html is not null").select(F.col("page_id").alias("page"), ((F.col("page_id") * 2 + F.octet_length("html") % 5) % n).alias("to"))
+    links = settled(one.unionByName(pages.where("page_id % 3 = 0").select(F.col("page_id").alias("page"), ((F.col("page_id") + 7) % n).alias("to"))))
+    seeds = pages.where("page_id % 50 = 1").select(F.col("page_id").alias("page"))
+    return discovery.crawl(links, seeds, settled, 6, lambda page: page % 11 != 0)
+
+
+_LINE = "doc_id || ':' || coalesce(text, '')"
+
+
+@register(
+    "request_batches",
+    f"""WITH l AS (SELECT doc_id, strlen({_LINE}) + 1 AS size FROM documents), m AS (SELECT max(size) AS longest FROM l)
+SELECT doc_id, ((sum(size) OVER (ORDER BY doc_id) - size) // (1000000 - longest + 1))::BIGINT AS batch FROM l, m""",
+)
+def request_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In which file of requests each document goes, so that files stay below a million bytes and keep the order."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.coalesce("text", F.lit(""))).alias("value"))
+    return sinks.request_batches(lines, "doc_id", 1_000_000).select("doc_id", "batch")

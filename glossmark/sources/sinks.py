@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glossmark.operators.sync import running_sum
+
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", True).json(path)
@@ -65,6 +67,24 @@ def request_lines(df: DataFrame, id_: str, prompt: Column, style: str = "chat",
     return df.select(F.to_json(line).alias("value"))
 
 
+def request_batches(lines: DataFrame, order: str, max_bytes: int, value: str = "value") -> DataFrame:
+    """lines (order, value) with batch, from 0: files of at most max_bytes each, line ends included, in order. The order should tell lines apart.
+
+    A batch is what begins in one stretch of the running sum of bytes. Stretches are as long as a file may be, less the longest line, so that what
+    begins in one ends within max_bytes; no batch depends on the one before, and no task sees all. A longer line than max_bytes is an error."""
+    size = (F.octet_length(value) + 1).cast("long")
+    longest = lines.agg(F.coalesce(F.max(size), F.lit(0))).first()[0]
+    if longest > max_bytes:
+        raise ValueError(f"a line has {longest} bytes, a file may have {max_bytes}")
+    summed = running_sum(lines, [F.asc(order)], size, "end__")
+    return summed.withColumn("batch", F.floor((F.col("end__") - size) / (max_bytes - longest + 1)).cast("long")).drop("end__")
+
+
+def write_batches(batches: DataFrame, order: str, path: str, value: str = "value") -> None:
+    """A folder a batch, with one text file, its lines in order."""
+    batches.repartition("batch").sortWithinPartitions("batch", order).select("batch", F.col(value).alias("value")).write.mode("overwrite").partitionBy("batch").text(path)
+
+
 def report(df: DataFrame, heading: str, columns: Sequence[str], order: Sequence[Column], limit: int) -> DataFrame:
     """(value): the first rows as one Markdown table."""
     top = df.orderBy(*order).limit(limit).select(F.struct(*columns).alias("r"))
