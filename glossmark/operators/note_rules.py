@@ -123,6 +123,7 @@ def located(record: Column) -> Column:
     """The note in a batch record (Variant): itself, or below content, note or a response, as an object or as JSON text in a fence."""
     from glossmark.functions.text import unfenced
 
+    # fixed values: where a batch record holds its note, the first that is there counts
     paths = ("content", "note", "response.output_text", "body.output_text", "response.choices[0].message.content", "body.choices[0].message.content", "response.output[0].content[0].text")
     objects = [F.when(is_kind(at(record, p), "dict"), at(record, p)) for p in paths]
     texts = [F.when(is_kind(at(record, p), "str"), F.try_parse_json(unfenced(text_of(at(record, p))))) for p in paths]
