@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 #: Bits of one Bloom block: what Spark's bitmap_construct_agg holds in one binary value (4 KB).
 BLOCK_BITS = 32768
-#: A filter up to this size is broadcast; a larger one is joined by a shuffle on its block number.
-MAX_BROADCAST_BYTES = 32 << 20
+#: A filter is broadcast in parts of up to this size, at most so many; a larger one is joined by a shuffle on its block number.
+MAX_BROADCAST_BYTES, MOST_PARTS = 32 << 20, 8
 
 
 #: Bytes of one Arrow batch on its way to a Python worker, while a scratch table is computed: a worker holds a few batches, whatever the rows' size.
@@ -113,23 +113,41 @@ def bloom_bits(key: Column, hashes: int) -> list[Column]:
     return [F.pmod(F.xxhash64(key, F.lit(i + 1)), F.lit(BLOCK_BITS)) for i in range(hashes)]
 
 
-def bloom_filter(keys: DataFrame, key: str, blocks: int, hashes: int, at_least: int = 1) -> DataFrame:
-    """(bloom_block, bloom_map): a blocked Bloom filter whose bits at_least so many rows have set.
+def bloom_filter(keys: DataFrame, key: str, blocks: int, hashes: int) -> DataFrame:
+    """(bloom_block, bloom_map): a blocked Bloom filter of the keys.
 
-    Only (block, bit) counts are shuffled, after map-side sums, so that a key with a third of all rows is one row of each task."""
+    Only (block, bit) pairs are shuffled, each once a task, so that a key with a third of all rows is one row of each task."""
     bits = F.array_distinct(F.array(*bloom_bits(F.col(key), hashes)))
-    slots = keys.select(bloom_block(F.col(key), blocks).alias("bloom_block"), F.explode(bits).alias("bit"))
-    slots = slots.groupBy("bloom_block", "bit").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= at_least)
+    slots = keys.select(bloom_block(F.col(key), blocks).alias("bloom_block"), F.explode(bits).alias("bit")).distinct()
     return slots.groupBy("bloom_block").agg(F.bitmap_construct_agg("bit").alias("bloom_map"))
 
 
+def repeated_slots(keys: DataFrame, key: str, slots: int, slot: str) -> DataFrame:
+    """(slot): of a Bloom filter with one hash and so many slots, those that two rows or more set; counted in each task before they are shuffled."""
+    counted = keys.select(bloom_slot(F.col(key), slots).alias(slot)).groupBy(slot).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where("n >= 2").select(slot)
+
+
+def bloom_slot(key: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(slots))
+
+
 def bloom_probe(df: DataFrame, key: str, filter_: DataFrame, blocks: int, hashes: int, flag: str) -> DataFrame:
-    """df with a boolean: whether the filter may hold the key. The filter is broadcast only if its proven size allows."""
+    """df with a boolean: whether the filter may hold the key. The filter is broadcast only if its proven size allows, in one part or several;
+    df's rows are not shuffled then."""
     block, bitmap = fresh(df, "bloom_block"), fresh(df, "bloom_map")
     filter_ = filter_.select(F.col("bloom_block").alias(block), F.col("bloom_map").alias(bitmap))
-    if blocks * (BLOCK_BITS // 8) <= MAX_BROADCAST_BYTES:
-        filter_ = F.broadcast(filter_)
-    joined = df.withColumn(block, bloom_block(F.col(key), blocks)).join(filter_, block, "left")
+    a_part = max(1, MAX_BROADCAST_BYTES // (BLOCK_BITS // 8))
+    joined = df.withColumn(block, bloom_block(F.col(key), blocks))
+    if blocks <= a_part * MOST_PARTS:
+        names = []
+        for first in range(0, blocks, a_part):
+            names.append(fresh(df, f"bloom_map_{first}"))
+            part = filter_.where(F.col(block).between(first, first + a_part - 1)).withColumnRenamed(bitmap, names[-1])
+            joined = joined.join(F.broadcast(part), block, "left")
+        joined = joined.withColumn(bitmap, F.coalesce(*names)).drop(*names)
+    else:
+        joined = joined.join(filter_, block, "left")
     held = F.col(bitmap).isNotNull()
     for bit in bloom_bits(F.col(key), hashes):
         held &= F.getbit(_byte(bitmap, bit), F.pmod(bit, F.lit(8)).cast("int")) == 1

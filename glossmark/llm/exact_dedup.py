@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossmark.llm.common import bloom_blocks, bloom_filter, bloom_probe, fresh, join_groups, without, written
+from glossmark.llm.common import bloom_blocks, bloom_filter, bloom_probe, bloom_slot, fresh, join_groups, repeated_slots, without, written
 
 OUTPUTS = ("keep_id", "group_size", "kept", "text_sha256")
 #: One slot a row, so that pass one counts one slot a row; a row that is alone shares it with another one with a chance of 1 in 64.
-BITS_PER_ROW, HASHES = 64, 1
+BITS_PER_ROW = 64
+#: The filter that pass two probes holds the slots set more than once, few of all, at as many bits and hashes a slot.
+BITS_PER_SLOT, HASHES = 16, 2
 
 
 def text_digest(text: Column) -> Column:
@@ -21,11 +23,12 @@ def text_digest(text: Column) -> Column:
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", digest: str = "text_sha256", bits_per_row: int = BITS_PER_ROW, keep: str = "min") -> DataFrame:
     """Mark all but one of the rows whose digest column is equal.
 
-    Pass one counts the rows that set each slot of a blocked Bloom filter and keeps the slots set more than once: a slot's number
-    is shuffled for each digest of a task, nothing else of the rows. Pass two probes the filter with every row: a row with an
-    unset slot is alone and passes straight through; only the others are shuffled, where an exact group-by on the digest
-    settles them, with sums in each task first; groups that hold a large share of the rows are joined by broadcast. False
-    positives cost a shuffle of their row, never a wrong result.
+    Pass one counts the rows that set each slot of a Bloom filter with one hash and keeps the slots set more than once: a slot's
+    number is shuffled for each digest of a task, nothing else of the rows. These slots make a filter of their own, sized by their
+    number and so far smaller than one of all rows. Pass two probes it with every row: a row whose slot it doesn't hold is alone
+    and passes straight through; only the others are shuffled, where an exact group-by on the digest settles them, with sums in
+    each task first; groups that hold a large share of the rows are joined by broadcast. False positives cost a shuffle of their
+    row, never a wrong result.
 
     Adds keep_id (smallest, or with keep="max" largest, non-null id of the group; null if all are null), group_size and kept. Rows that repeat an id and a
     digest are copies like any other: exactly one of them is kept. Input columns named like the added ones are replaced. An
@@ -33,10 +36,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", digest: str = "text_sha
     """
     docs = docs.select(*without(docs, {"keep_id", "group_size", "kept"}))
     total = docs.count()
-    blocks = bloom_blocks(total, bits_per_row)
-    repeated = written(bloom_filter(docs.select(digest), digest, blocks, HASHES, at_least=2), "repeated-slots")
-    flag, row = fresh(docs, "may_repeat"), fresh(docs, "row__")
-    probed = bloom_probe(docs, digest, repeated, blocks, HASHES, flag)
+    slots = max(1, total * bits_per_row)
+    slot, flag, row = fresh(docs, "slot__"), fresh(docs, "may_repeat"), fresh(docs, "row__")
+    repeated = written(repeated_slots(docs.select(digest), digest, slots, slot), "repeated-slots")
+    blocks = bloom_blocks(repeated.count(), BITS_PER_SLOT)
+    filter_ = written(bloom_filter(repeated, slot, blocks, HASHES), "repeated-filter")
+    probed = bloom_probe(docs.withColumn(slot, bloom_slot(F.col(digest), slots)), slot, filter_, blocks, HASHES, flag)
     alone = probed.where(~F.col(flag)).select(*docs.columns, F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
     flagged = written(probed.where(F.col(flag)).select(*docs.columns, F.monotonically_increasing_id().alias(row)), "may-repeat")
     known = F.col(id_col).isNotNull()

@@ -11,7 +11,7 @@ import pytest
 from oracle import duck, spark_rows
 from tokenizers import Tokenizer
 
-from glossmark.llm import bpe, bpe_codec, exact_dedup, long_texts, packing, queries, token_counts
+from glossmark.llm import bpe, bpe_codec, common, exact_dedup, long_texts, packing, queries, token_counts
 
 WORD, BYTE = (public_tokenizers.path(f) for f in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 ODD = ["a", "Th", "ing", "'s", "'re", "'", "!", "?!", " ", "  ", "\n", "\n\n", "\t", "\xa0", "　", "é", "É", "Σ", "İ", "1", "23", "中", "文字", "ᄀ", "ᅡ", "😀", "\x1c", "\x85", "<|endoftext|>", "<|startoftext|>", "x" * 30, "-" * 20, "​", "́", "ª", "½"]
@@ -50,6 +50,35 @@ def test_exact_dedup_empty_and_hot(spark, docs_of):
     assert sum(r.kept for r in rows) == 1001 and max(r.group_size for r in rows) == 2000
 
 
+@pytest.mark.parametrize(("bytes_a_part", "most_parts", "shuffled"), [(32 << 20, 8, False), (8192, 8, False), (4096, 8, True)])
+def test_probe_of_large_filters_shuffles_no_rows(spark, docs_of, monkeypatch, bytes_a_part, most_parts, shuffled):
+    monkeypatch.setattr(common, "MAX_BROADCAST_BYTES", bytes_a_part)
+    monkeypatch.setattr(common, "MOST_PARTS", most_parts)
+    docs = docs_of([f"text {i}" for i in range(3000)], clash=True)
+    held = docs.where("doc_id % 10 = 0")
+    filter_ = common.written(common.bloom_filter(held, "text", 12, 2), "filter")
+    probed = common.bloom_probe(docs, "text", filter_, 12, 2, "may_hold")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = probed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert ("hashpartitioning" in plan) == shuffled
+    rows = probed.collect()
+    assert len(rows) == 3000 and probed.columns == [*docs.columns, "may_hold"] and all(r.bloom_map == "clash" for r in rows)
+    assert all(r.may_hold for r in rows if r.doc_id % 10 == 0) and sum(r.may_hold for r in rows) < 330
+
+
+def test_exact_dedup_with_a_filter_in_parts(spark, docs_of, monkeypatch):
+    docs = exact_dedup.with_digest(docs_of([f"text {i % 900}" for i in range(1500)] + [f"alone {i}" for i in range(1500)], clash=True))
+    want = sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(docs).collect())
+    assert want == sorted((i, i % 900 if i < 1500 else i, 1 + (i % 900 < 600) if i < 1500 else 1, i >= 1500 or i < 900) for i in range(3000))
+    monkeypatch.setattr(common, "MAX_BROADCAST_BYTES", 4 * 4096)
+    monkeypatch.setattr(exact_dedup, "BITS_PER_SLOT", 1024)
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(docs).collect()) == want
+
+
 @pytest.mark.parametrize("file", [WORD, BYTE])
 def test_encoder_is_the_library(file):
     coder = bpe.Encoder(file)
