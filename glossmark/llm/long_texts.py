@@ -23,9 +23,9 @@ _RUN = "struct<text: string, ids: binary, starts: binary, ends: binary>"
 
 def parts_of(docs: DataFrame, part_chars: int, overlap: int) -> DataFrame:
     """(id, text_hash, part, text, n_bytes) of docs (id, text): the text's parts, each but the last going overlap characters on into
-    the next; n_bytes is the whole text's."""
-    last = F.floor((F.length("text") - 1) / part_chars)
-    cut = F.transform(F.sequence(F.lit(0).cast("long"), last), lambda i: F.substring("text", (i * part_chars + 1).cast("int"), F.lit(part_chars + overlap)))
+    the next; n_bytes is the whole text's. One pass over the text cuts all: a part is matched, and looks ahead at what it shares with the next.
+    An empty text has no part."""
+    cut = F.regexp_extract_all("text", F.lit(rf"(?s)(?=(.{{1,{part_chars + overlap}}}+)).{{1,{part_chars}}}+"), F.lit(1))
     return docs.select("id", F.xxhash64("text").alias("text_hash"), F.octet_length("text").cast("long").alias("n_bytes"), F.posexplode(cut).alias("part", "text"))
 
 

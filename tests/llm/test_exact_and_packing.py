@@ -161,6 +161,11 @@ def test_registered_queries_against_the_library(spark, small, tmp_path, name):
 def test_parts_cover_texts(spark, docs_of):
     df = docs_of(["abcdefghij"]).selectExpr("doc_id AS id", "text")
     assert [r.text for r in long_texts.parts_of(df, 4, 2).orderBy("part").collect()] == ["abcdef", "efghij", "ij"]
+    # Code points of any width, line ends and parts far longer than a stack is deep.
+    text = "w\u00f6rd \U0001f600\r\n\u2028" * 40_000
+    cut = [r.text for r in long_texts.parts_of(docs_of([text]).selectExpr("doc_id AS id", "text"), 65536, 300).orderBy("part").collect()]
+    assert cut == [text[i : i + 65536 + 300] for i in range(0, len(text), 65536)]
+    assert long_texts.parts_of(docs_of(["", None]).selectExpr("doc_id AS id", "text"), 4, 2).count() == 0
 
 
 def sequences(rows, capacity):
