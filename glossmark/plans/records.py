@@ -158,7 +158,7 @@ def note_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.col("n.episode").alias("episode"), logic["action_bias"].alias("action"), logic["confidence"].alias("confidence"), seen["view"].alias("view"), seen["is_joke_or_aside"].alias("joke"), logic["evidence"].alias("evidence"))
 
 
-def _enveloped(spark: SparkSession, sf_dir: str) -> DataFrame:
+def enveloped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, record): the notes as batch services hand them back, in five shapes, one of them without a note."""
     n = F.col("note")
     inner = F.to_json(F.struct(n.alias("x")))
@@ -173,7 +173,7 @@ def _enveloped(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("note_located", "SELECT doc_id, CASE WHEN doc_id % 5 = 4 OR doc_id % 35 = 0 THEN NULL ELSE source END AS title, CASE WHEN doc_id % 5 = 4 OR doc_id % 35 = 0 THEN NULL ELSE length(text) END::INT AS evidence_chars FROM documents")
 def note_located(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The note in each envelope; a bare one counts as a note if it has topics and an episode."""
-    rows = _enveloped(spark, sf_dir).select("doc_id", note_rules.located(F.try_parse_json("record")).alias("n"))
+    rows = enveloped(spark, sf_dir).select("doc_id", note_rules.located(F.try_parse_json("record")).alias("n"))
     return rows.select("doc_id", F.try_variant_get("n", "$.title", "string").alias("title"), F.length(F.try_variant_get("n", "$.investment_logic[0].evidence", "string")).alias("evidence_chars"))
 
 
@@ -184,7 +184,7 @@ SELECT doc_id, attempt, valid FROM a QUALIFY row_number() OVER (PARTITION BY doc
 )
 def note_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outputs of two runs settled: located, repaired, checked; the last valid output of a note stands, without one its last error."""
-    located = _enveloped(spark, sf_dir).select("doc_id", "source", F.to_json(note_rules.located(F.try_parse_json("record"))).alias("note"))
+    located = enveloped(spark, sf_dir).select("doc_id", "source", F.to_json(note_rules.located(F.try_parse_json("record"))).alias("note"))
     fixed = note_rules.repaired(F.from_json("note", note_rules.FIRST_SCHEMA), F.lit(None).cast("int"), F.lit(""), F.col("source"))
     # flags are booleans again after the repair, which the schema reads as text
     checked = located.select("doc_id", F.lit(0).alias("attempt"), F.when(F.col("note").isNotNull(), F.to_json(fixed)).alias("note"))

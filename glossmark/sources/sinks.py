@@ -51,8 +51,8 @@ def transcript_lines(segments: Column) -> Column:
     return F.array_join(F.transform(segments, lambda s: F.concat(F.lit("["), clock(s["seconds"]), F.lit("] "), F.trim(s["text"]))), "\n")
 
 
-def request_lines(df: DataFrame, id_: str, prompt: Column, style: str = "chat", model: str = "model", max_tokens: int = 4096) -> DataFrame:
-    """(value): a JSON line for each row, in one of three batch formats: chat, messages or plain."""
+def request_line(id_: str, prompt: Column, style: str = "chat", model: str = "model", max_tokens: int = 4096) -> Column:
+    """A JSON line in one of three batch formats: chat, messages or plain."""
     said = F.array(F.struct(F.lit("user").alias("role"), prompt.alias("content")))
     key = F.col(id_).cast("string").alias("custom_id")
     body = F.struct(F.lit(model).alias("model"), F.lit(max_tokens).alias("max_tokens"), said.alias("messages"))
@@ -64,7 +64,12 @@ def request_lines(df: DataFrame, id_: str, prompt: Column, style: str = "chat",
         line = F.struct(key, prompt.alias("prompt"))
     else:
         raise ValueError(f"unknown style {style}")
-    return df.select(F.to_json(line).alias("value"))
+    return F.to_json(line)
+
+
+def request_lines(df: DataFrame, id_: str, prompt: Column, style: str = "chat", model: str = "model", max_tokens: int = 4096) -> DataFrame:
+    """(value): a JSON line for each row, in one of three batch formats: chat, messages or plain."""
+    return df.select(request_line(id_, prompt, style, model, max_tokens).alias("value"))
 
 
 def request_batches(lines: DataFrame, order: str, max_bytes: int, value: str = "value") -> DataFrame:
