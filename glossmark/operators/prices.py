@@ -38,6 +38,17 @@ def as_of(targets: DataFrame, bars: DataFrame, on: str = "symbol", target_day: s
     return seen.select(F.col("k__").alias(on), "row__.*", "bar__.*")
 
 
+def daily(bars: DataFrame, end: str, on: str = "symbol", bar_day: str = "d") -> DataFrame:
+    """bars for each calendar day from a symbol's first bar to end: a day without a bar has the last one before it.
+
+    A row a symbol and day, which the calendar bounds: rows with a day then join it by equality, without an as-of join of their own. Bars after end
+    are left out; bars of one day should be one."""
+    of = W.partitionBy(on).orderBy(bar_day)
+    rows = bars.where(F.col(bar_day) <= F.lit(end).cast("date"))
+    until = F.coalesce(F.date_sub(F.lead(bar_day).over(of), 1), F.lit(end).cast("date"))
+    return rows.withColumn("until__", until).select(F.explode(F.sequence(bar_day, "until__")).alias("day"), *bars.columns)
+
+
 def as_of_days(rows: DataFrame, bars: DataFrame, on: str = "symbol", target_day: str = "target", bar_day: str = "d") -> DataFrame:
     """rows (target_day, others) by each symbol of bars, with its last bar on or before the day; bar columns are null if there is none.
 

@@ -85,7 +85,7 @@ def keyword_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.most_common(counts(spark, sf_dir), "doc_id")
 
 
-_ASSETS = {"AAA": ["tion", "Tion"], "BBB": ["eau"], "CCC": ["sch", "ung"]}
+ASSETS = {"AAA": ["tion", "Tion"], "BBB": ["eau"], "CCC": ["sch", "ung"]}
 
 
 @register(
@@ -97,7 +97,7 @@ SELECT symbol AS asset, count(DISTINCT doc_id) AS episode_count, sum(n)::BIGINT
 )
 def asset_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Assets over the corpus: documents counted once, hits summed, the last document's description wins."""
-    found = D.keyword_counts(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), _ASSETS)
+    found = D.keyword_counts(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), ASSETS)
     hits = found.select(F.col("doc_id").alias("ord"), F.col("doc_id").alias("source"), F.col("theme").alias("symbol"), F.col("source").alias("name"), F.lit("direct").alias("kind"), F.col("keyword").alias("alias"), "n")
     shown = F.transform("aliases", lambda x: F.concat(x["alias"], F.lit("="), x["n"].cast("string")))
     return D.asset_rollup(hits).withColumn("aliases", F.array_join(shown, ";"))
@@ -253,7 +253,7 @@ def note_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty assets a document names most, and whether its asset context has priced them; labels stand for that context."""
     from glossmark.operators import mentions as M
 
-    found = D.keyword_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), _ASSETS).groupBy("doc_id", F.col("theme").alias("symbol")).agg(F.sum("n").alias("hits"))
+    found = D.keyword_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), ASSETS).groupBy("doc_id", F.col("theme").alias("symbol")).agg(F.sum("n").alias("hits"))
     top = D.top_documents(found, [F.desc("hits"), F.asc("symbol")], 20, "doc_id")
     direct = table(spark, sf_dir, "labels").select("doc_id", F.lit("AAA").alias("symbol"))
     return M.with_context_flag(top, direct, ["doc_id"]).select("doc_id", "symbol", "hits", "place", "context_status")
