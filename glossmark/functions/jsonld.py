@@ -95,3 +95,28 @@ def article(html: Column) -> Column:
         _picture(raw("$.image")).alias("image_url"),
         raw("$.isAccessibleForFree").alias("is_accessible_for_free"),
     )
+
+
+def record(article_: Column, source: Column, list_url: Column, position: Column, base: str) -> Column:
+    """An article's struct as the record that an inventory keeps, of the fifteen fields: with where it was found, its address made whole and
+    its id; fields that are empty are null, and keywords without any too (to_json then leaves them out).
+
+    base is scheme and host: what an address without a scheme is below. An article without an address has base for one."""
+    at = F.coalesce(article_["url"], F.lit(""))
+    whole = F.when(at.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), at).when(F.startswith(at, F.lit("//")), F.concat(F.lit(base.split("//")[0]), at)).when(at == "", F.lit(base)).otherwise(F.concat(F.lit(base + "/"), F.ltrim(at, F.lit("/"))))
+    there = lambda c: F.nullif(c, F.lit(""))
+    words = F.filter(article_["keywords"], lambda x: x.isNotNull())
+    return F.struct(
+        there(source).alias("source"), there(list_url).alias("source_list_url"), position.alias("list_position"), article_id(whole).alias("article_id"), whole.alias("url"),
+        *[there(article_[c]).alias(c) for c in ("title", "description", "date_published", "date_modified", "author", "article_section", "genre")],
+        F.when(F.size(words) > 0, words).alias("keywords"), there(article_["image_url"]).alias("image_url"), there(article_["is_accessible_for_free"]).alias("is_accessible_for_free"),
+    )
+
+
+def article_id(url: Column) -> Column:
+    """The number that ends an address's path; else the last part of the path; else the address with hyphens for what is no letter or digit."""
+    number = F.regexp_extract(url, r"/(\d+)(?:\.html)?/?(?:[?#].*)?$", 1)
+    path = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
+    last = F.regexp_extract(path, r"([^/]+)/*$", 1)
+    bare = F.trim(F.regexp_replace(url, r"(?U)\W+", "-"), F.lit("-"))
+    return F.when(number != "", number).when(last != "", last).otherwise(F.nullif(bare, F.lit("")))

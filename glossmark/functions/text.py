@@ -66,12 +66,43 @@ def frontmatter_map(text: Column, quotes: str = "\"'") -> Column:
 
     quotes is both kinds, or the double one alone, as corpora differ in it."""
     block = F.regexp_extract(text, r"(?s)\A---\n(.*?)\n---", 1)
+    return _last_fields(block, quotes)
+
+
+def _last_fields(block: Column, quotes: str) -> Column:
     lines = F.filter(F.split(block, "\n"), lambda x: F.instr(x, ":") > 0)
     pair = F.transform(lines, lambda x: F.struct(F.trim(F.regexp_extract(x, r"^([^:]*):", 1)).alias("k"), F.trim(F.trim(F.regexp_extract(x, r"^[^:]*:(.*)$", 1)), F.lit(quotes)).alias("v")))
     last = F.filter(pair, lambda x, i: ~F.exists(F.slice(pair, i + 2, F.size(pair)), lambda y: y["k"] == x["k"]))
     return F.map_from_entries(last)
 
 
+def frontmatter_parts(text: Column) -> Column:
+    """struct<meta, body> in the loose form: a text that begins with `---` and a line's end has its `key: value` lines up to the next `---`,
+    wherever that stands, and the body behind it, stripped. Values lose double quotes alone. A text without either mark is all body, unstripped; its meta is empty."""
+    # fixed values: the two marks
+    loose = r"(?s)\A---\n(.*?)---(.*)\z"
+    there = F.regexp_like(text, F.lit(loose))
+    meta = _last_fields(F.regexp_extract(text, loose, 1), '"')
+    return F.struct(meta.alias("meta"), F.when(there, strip(F.regexp_extract(text, loose, 2))).otherwise(text).alias("body"))
+
+
+def _first_each(words: Column) -> Column:
+    return F.array_distinct(F.filter(words, lambda x: x != ""))
+
+
+def hashtags(text: Column) -> Column:
+    """array<string>: the words behind `#`, each once, in the order they come in; a null text has none."""
+    # fixed value: what ends a tag
+    return F.coalesce(_first_each(F.regexp_extract_all(text, F.lit(r"(?U)#([^\s#\uFF0C,\u3001]+)"), 1)), F.array().cast("array<string>"))
+
+
+def split_keywords(text: Column) -> Column:
+    """array<string>: a feed's keywords, cut at commas of both widths, tabs and line ends, without white space and `#` at their ends, each once."""
+    # fixed value: what parts keywords
+    words = F.transform(F.split(text, r"[,\uFF0C\n\t]+"), lambda x: F.trim(strip(x), F.lit("#")))
+    return F.coalesce(_first_each(words), F.array().cast("array<string>"))
+
+
 def clean_transcript(text: Column) -> Column:
     """Without time stamps, heading lines and replacement characters."""
     text = F.regexp_replace(text, r"\[\d{2}:\d{2}:\d{2}\]\s*", "")

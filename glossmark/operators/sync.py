@@ -191,3 +191,12 @@ def first_by_key(rows: DataFrame, key: str, ord_: str, limit: int | None = None)
     """The first row of each key, in order."""
     best = rows.groupBy(key).agg(F.min_by(F.struct(*rows.columns), ord_).alias("row__")).select("row__.*")
     return best.orderBy(ord_).limit(limit) if limit else best
+
+
+def allowed_only(rows: DataFrame, allowed: DataFrame | None, path: str = "path") -> DataFrame:
+    """rows whose path the inventory has (allowed: path, any other columns, repeats); all rows if there is no inventory. Null and empty paths are no
+    entries, so a row without a path passes only where there is no inventory. The inventory's paths alone are shuffled, each once."""
+    if allowed is None:
+        return rows
+    paths = allowed.select(path).where(F.coalesce(F.col(path) != "", F.lit(False))).distinct()
+    return rows.join(paths, path, "left_semi").select(*rows.columns)

@@ -194,7 +194,7 @@ def note_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.settle_batches(first.unionByName(again), "doc_id", ["attempt"], "valid")
 
 
-def _article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, url, html): the pages, four of five with a JSON-LD article in a graph."""
     k = F.col("page_id")
     author = F.when(k % 3 == 0, F.lit('[{"@type": "Person", "name": "A  B"}, "C"]')).when(k % 3 == 1, F.lit('{"@id": "person-1"}')).otherwise(F.lit('"D"'))
@@ -217,7 +217,7 @@ def _metadata(pages: DataFrame) -> DataFrame:
 @register("article_metadata", _ARTICLES)
 def article_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata of articles by JSON-LD at any depth, repaired where tabs break it, else by meta tags."""
-    return _metadata(_article_pages(spark, sf_dir)).drop("url", "html")
+    return _metadata(article_pages(spark, sf_dir)).drop("url", "html")
 
 
 _BODY = r"regexp_extract(coalesce(html, ''), '(?is)<article\b[^>]*>(.*?)</article>', 1)"
@@ -230,7 +230,7 @@ SELECT page_id, url, title, author, length({_BODY})::INT AS body_chars, contains
 )
 def article_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The crawl as one job, offline: of each address the first page, its metadata and body, and whether it has any of the terms."""
-    return article_records(_article_pages(spark, sf_dir), ("News 1", "tion")).select("page_id", "url", "title", "author", F.length("body").alias("body_chars"), "relevant")
+    return article_records(article_pages(spark, sf_dir), ("News 1", "tion")).select("page_id", "url", "title", "author", F.length("body").alias("body_chars"), "relevant")
 
 
 def article_records(pages: DataFrame, terms: tuple[str, ...]) -> DataFrame:

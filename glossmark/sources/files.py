@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmark.functions import text as T
@@ -105,3 +105,24 @@ def inventory(rows: DataFrame, date_keys: Sequence[str], text_keys: Sequence[str
     """Metadata rows as searchable text: the first date that is there, the other values in one string."""
     dates = T.first_nonempty(*[F.col(c) for c in date_keys])
     return rows.withColumns({"date": times.date_string(dates), "text": F.concat_ws(" ", *[F.nullif(F.col(c), F.lit("")) for c in text_keys])})
+
+
+def _text_of(rows: DataFrame, *names: str) -> list[Column]:
+    """Those of the fields that the rows have, as text."""
+    return [F.col(n).cast("string") for n in names if n in rows.columns] or [F.lit("")]
+
+
+def article_inventory(rows: DataFrame, path: str) -> DataFrame:
+    """(kind, date, id, title, path, text): an article inventory's rows for search. Fields that it lacks count as empty."""
+    # fixed values: where inventories have an article's fields, the first that is there counts
+    first = lambda *names: F.coalesce(T.first_nonempty(*_text_of(rows, *names)), F.lit(""))
+    title, summary, id_ = first("title"), first("summary", "description"), first("article_id", "id", "url")
+    said = F.array_join(F.filter(F.array(title, summary, id_), lambda x: x != ""), " ")
+    return rows.select(F.lit("article").alias("kind"), times.date_string(first("date", "published_at", "date_published")).alias("date"), id_.alias("id"), title.alias("title"), F.lit(path).alias("path"), T.plain_markdown(said).alias("text"))
+
+
+def joke_inventory(rows: DataFrame, path: str) -> DataFrame:
+    """(kind, date, path, timestamp, confidence, text): a joke inventory's rows for search; what it lacks is null, but date and text, which are empty."""
+    value = lambda name: F.col(name).cast("string") if name in rows.columns else F.lit(None).cast("string")
+    said = lambda name: F.coalesce(value(name), F.lit(""))
+    return rows.select(F.lit("joke").alias("kind"), said("date").alias("date"), F.lit(path).alias("path"), value("timestamp").alias("timestamp"), value("confidence").alias("confidence"), said("text_preview").alias("text"))
