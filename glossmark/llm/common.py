@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 #: Bits of one Bloom block: what Spark's bitmap_construct_agg holds in one binary value (4 KB).
 BLOCK_BITS = 32768
-#: A filter is broadcast in parts of up to this size, at most so many; a larger one is joined by a shuffle on its block number.
+#: A filter is broadcast in parts of up to this size, at most so many, and never gets larger: with more keys it holds more that it was not given.
 MAX_BROADCAST_BYTES, MOST_PARTS = 32 << 20, 8
 
 
@@ -102,7 +102,10 @@ def without(df: DataFrame, names: Iterable[str]) -> list[str]:
 
 
 def bloom_blocks(rows: int, bits_per_row: int) -> int:
-    return max(1, math.ceil(rows * bits_per_row / BLOCK_BITS))
+    """Blocks of a filter for so many keys, as many as are broadcast at most. Beyond that a key gets fewer bits: more rows that the filter doesn't hold
+    are taken for rows that it may hold, and settled exactly like those; none that it holds is lost, and no row is shuffled to be probed."""
+    most = max(1, MAX_BROADCAST_BYTES // (BLOCK_BITS // 8)) * MOST_PARTS
+    return max(1, min(most, math.ceil(rows * bits_per_row / BLOCK_BITS)))
 
 
 def bloom_block(key: Column, blocks: int) -> Column:
@@ -133,21 +136,20 @@ def bloom_slot(key: Column, slots: int) -> Column:
 
 
 def bloom_probe(df: DataFrame, key: str, filter_: DataFrame, blocks: int, hashes: int, flag: str) -> DataFrame:
-    """df with a boolean: whether the filter may hold the key. The filter is broadcast only if its proven size allows, in one part or several;
-    df's rows are not shuffled then."""
+    """df with a boolean: whether the filter may hold the key. The filter, of bloom_blocks' size, is broadcast in one part or several; df's rows
+    are not shuffled."""
     block, bitmap = fresh(df, "bloom_block"), fresh(df, "bloom_map")
     filter_ = filter_.select(F.col("bloom_block").alias(block), F.col("bloom_map").alias(bitmap))
     a_part = max(1, MAX_BROADCAST_BYTES // (BLOCK_BITS // 8))
+    if blocks > a_part * MOST_PARTS:
+        raise ValueError(f"a filter of {blocks} blocks is too large; bloom_blocks gives the size")
     joined = df.withColumn(block, bloom_block(F.col(key), blocks))
-    if blocks <= a_part * MOST_PARTS:
-        names = []
-        for first in range(0, blocks, a_part):
-            names.append(fresh(df, f"bloom_map_{first}"))
-            part = filter_.where(F.col(block).between(first, first + a_part - 1)).withColumnRenamed(bitmap, names[-1])
-            joined = joined.join(F.broadcast(part), block, "left")
-        joined = joined.withColumn(bitmap, F.coalesce(*names)).drop(*names)
-    else:
-        joined = joined.join(filter_, block, "left")
+    names = []
+    for first in range(0, blocks, a_part):
+        names.append(fresh(df, f"bloom_map_{first}"))
+        part = filter_.where(F.col(block).between(first, first + a_part - 1)).withColumnRenamed(bitmap, names[-1])
+        joined = joined.join(F.broadcast(part), block, "left")
+    joined = joined.withColumn(bitmap, F.coalesce(*names)).drop(*names)
     held = F.col(bitmap).isNotNull()
     for bit in bloom_bits(F.col(key), hashes):
         held &= F.getbit(_byte(bitmap, bit), F.pmod(bit, F.lit(8)).cast("int")) == 1
