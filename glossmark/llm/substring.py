@@ -30,7 +30,7 @@ from glossmark.llm.common import bloom_blocks, bloom_filter, bloom_probe, fresh,
 
 WINDOW_WORDS = 13
 ANCHOR_WORDS = 7
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 #: Characters of a pass: what a worker holds as numbers at a time. A longer text is a pass of its own.
 PASS_CHARS = 2 << 20
 #: For the second hash of windows.
