@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from glossmark.llm.common import join_groups, written
 
 #: A rule's verdict, host and path prefix.
-RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
+RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
 
 
 @dataclass(frozen=True)
