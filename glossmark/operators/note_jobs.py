@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glossmark.checkpoints import settled
 from glossmark.operators import note_rules
 from glossmark.operators.notes import settle_batches
 from glossmark.sources import sinks
@@ -32,10 +33,13 @@ def first_format(title: Column, episode: Column | None = None, date: Column | No
     nothing = F.lit(None).cast("int")
 
     def repair(note: Column) -> Column:
-        record = F.try_variant_get(note, "$", FIRST_STRUCT)
-        fixed = note_rules.repaired(record, nothing if episode is None else episode, F.lit("") if date is None else date, title)
-        # null fields must be absent, which JSON text does and a cast to Variant doesn't
-        return F.when(note.isNotNull(), F.parse_json(F.to_json(fixed)))
+        def one(there: Column) -> Column:
+            record = F.try_variant_get(there, "$", FIRST_STRUCT)
+            fixed = note_rules.repaired(record, nothing if episode is None else episode, F.lit("") if date is None else date, title)
+            # null fields must be absent, which JSON text does and a cast to Variant doesn't
+            return F.when(there.isNotNull(), F.parse_json(F.to_json(fixed)))
+
+        return note_rules.let(note, one)
 
     return Format("first", note_rules.FIRST_FORMAT, repair)
 
@@ -46,8 +50,9 @@ SECOND = Format("second", note_rules.SECOND_FORMAT)
 def prepare(targets: DataFrame, valid: DataFrame, key: str, prompt: Column, max_bytes: int, style: str = "chat") -> DataFrame:
     """(key, value, batch): request lines of the targets without a valid note, in files below max_bytes and in order of key.
 
-    targets has a key once; keys that are null ask for nothing. Repeated keys of valid count once."""
-    open_ = targets.where(F.col(key).isNotNull()).join(valid.select(key).distinct(), key, "left_anti")
+    targets has a key once; keys that are null ask for nothing. Repeated keys of valid count once. valid is often the end of a long job, and the
+    lines are read more than once to be batched, so its keys are settled first."""
+    open_ = targets.where(F.col(key).isNotNull()).join(settled(valid.select(key).distinct()), key, "left_anti")
     lines = open_.select(key, sinks.request_line(key, prompt, style).alias("value"))
     return sinks.request_batches(lines, key, max_bytes)
 
@@ -72,8 +77,8 @@ def job(targets: DataFrame, outputs: DataFrame, key: str, order: list[str], reco
     rows = checked(outputs, [key, *order], record, form)
     valid = F.coalesce(F.col("n_errors") == 0, F.lit(False))
     # a run without a note never stands before one with a note
-    settled = settle_batches(rows.withColumn("valid__", valid).withColumn("there__", F.col("n_errors").isNotNull()), key, ["there__", *order], "valid__")
-    every = targets.select(key).join(settled.select(key, "n_errors", "errors"), key, "left")
+    last = settle_batches(rows.withColumn("valid__", valid).withColumn("there__", F.col("n_errors").isNotNull()), key, ["there__", *order], "valid__")
+    every = targets.select(key).join(last.select(key, "n_errors", "errors"), key, "left")
     status = F.when(F.col("n_errors").isNull(), "missing").when(F.col("n_errors") == 0, "valid").otherwise("invalid")
     return every.select(key, status.alias("status"), F.coalesce("n_errors", F.lit(0)).alias("n_errors"), F.coalesce("errors", F.array().cast("array<string>")).alias("errors"))
 

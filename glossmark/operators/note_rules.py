@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -40,6 +40,12 @@ class Rules:
     items: Sequence[Items] = ()
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use of a value that is computed once a row, however often use names it. A Column that is named twice stands in the plan twice, and is
+    computed as often wherever that is below a condition or in a lambda; a lambda's own variable is not."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def at(value: Column, path: str) -> Column:
     return F.try_variant_get(value, "$." + path, "variant")
 
@@ -97,7 +103,13 @@ def _items(note: Column, rule: Items) -> Column:
 
 
 def validate(note: Column, rules: Rules) -> Column:
-    """array<string>: what is wrong with the note, in the rules' order. Missing fields end it, as nothing else can be judged then."""
+    """array<string>: what is wrong with the note, in the rules' order. Missing fields end it, as nothing else can be judged then.
+
+    The note, which may be the parsing of a text, is computed once."""
+    return let(note, lambda value: _errors(value, rules))
+
+
+def _errors(note: Column, rules: Rules) -> Column:
     missing = F.array_compact(F.array(*[F.when(at(note, k).isNull(), F.lit(f"missing {k}")) for k in rules.required]))
     found = [_if(F.coalesce(text_of(at(note, k)) != v, F.lit(True)), F.lit(f"{k} must be {v}")) for k, v in rules.equal.items()]
     found += [_if(~is_kind(at(note, k), t), F.lit(f"{k} must be {t}")) for k, t in rules.types.items()]
@@ -120,14 +132,21 @@ def validate(note: Column, rules: Rules) -> Column:
 
 
 def located(record: Column) -> Column:
-    """The note in a batch record (Variant): itself, or below content, note or a response, as an object or as JSON text in a fence."""
+    """The note in a batch record (Variant): itself, or below content, note or a response, as an object or as JSON text in a fence.
+
+    The record, which may be the parsing of a text, is computed once, and so is what stands at each place up to the first note."""
+    return let(record, _located)
+
+
+def _located(record: Column) -> Column:
     from glossmark.functions.text import unfenced
 
+    def there(found: Column) -> Column:
+        return F.when(is_kind(found, "dict"), found).when(is_kind(found, "str"), let(text_of(found), lambda text: F.try_parse_json(unfenced(text))))
+
     # fixed values: where a batch record holds its note, the first that is there counts
     paths = ("content", "note", "response.output_text", "body.output_text", "response.choices[0].message.content", "body.choices[0].message.content", "response.output[0].content[0].text")
-    objects = [F.when(is_kind(at(record, p), "dict"), at(record, p)) for p in paths]
-    texts = [F.when(is_kind(at(record, p), "str"), F.try_parse_json(unfenced(text_of(at(record, p))))) for p in paths]
-    below = F.coalesce(*[c for pair in zip(objects, texts, strict=True) for c in pair])
+    below = F.coalesce(*[let(at(record, p), there) for p in paths])
     whole = F.when(at(record, "topics").isNotNull() & at(record, "episode").isNotNull(), record)
     return F.coalesce(whole, below)
 
@@ -215,7 +234,11 @@ def repaired(note: Column, episode: Column, date: Column, title: Column) -> Colu
     def answer(x: Column) -> Column:
         return x.withField("evidence", F.coalesce(short_evidence(x["evidence"]), F.lit("")))
 
-    note = note.withField("episode", F.coalesce(note["episode"], episode)).withField("date", F.coalesce(note["date"], date, F.lit(""))).withField("title", F.coalesce(note["title"], title, F.lit("")))
-    for name, fix in (("investment_logic", logic), ("trade_observations", observation), ("qa_views", answer)):
-        note = note.withField(name, F.transform(F.array_compact(note[name]), fix))
-    return note
+    def fixed(note: Column) -> Column:
+        # each field is read from the note as it came: read from one with fields replaced, it would hold that one again, twice for each field
+        new = note.withField("episode", F.coalesce(note["episode"], episode)).withField("date", F.coalesce(note["date"], date, F.lit(""))).withField("title", F.coalesce(note["title"], title, F.lit("")))
+        for name, fix in (("investment_logic", logic), ("trade_observations", observation), ("qa_views", answer)):
+            new = new.withField(name, F.transform(F.array_compact(note[name]), fix))
+        return new
+
+    return let(note, fixed)
