@@ -154,15 +154,15 @@ def greedy_dedupe(rows: DataFrame, day: str = "day", limit: int = 2400) -> DataF
     Rows of a day are taken by time, those without one, or at 0, last, equal times by id; each joins the first cluster that is the same,
     whose text then grows by it, and so may attract what it would not have before. text is compared bare: see functions.text.bare.
 
-    No pairs of all rows, and no day in memory: distinct texts that are alike are found by a join on their rarest trigrams; then one pass over each day's rows, in order,
+    No pairs of all rows, and no day in memory: distinct texts that are alike are found by a join on their rarest trigrams (in a day of few texts, of each pair); then one pass over each day's rows, in order,
     compares a row with clusters near it in time and with those that hold a text like its own. That a cluster's grown text can attract
     more than its texts do by themselves is made sure of afterwards: a join of grown texts with rows they mostly contain names what the
     pass didn't compare, and such days are passed again with these, until nothing is new. So the outcome is that of comparing every row
     with every cluster. Days and ids must not be null; an id comes once a day."""
     plain = rows.select(day, "id", F.col("seconds").cast("long").alias("seconds"), "heading", "kind", F.coalesce("text", F.lit("")).alias("text"))
-    texts = plain.groupBy(day, "text").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies__"))
-    sets = texts.where("text <> ''").select(day, "node", T.trigrams(F.col("text")).alias("grams"))
-    pairs = settled(similar_pairs(sets, day, "node", "grams", ALIKE))
+    texts = settled(plain.groupBy(day, "text").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies__")))
+    grams_of = lambda some: some.where("text <> ''").select(day, "node", T.trigrams(F.col("text")).alias("grams"))
+    pairs = settled(similar_pairs(grams_of(texts), day, "node", "grams", ALIKE))
     both = pairs.select(day, F.col("a").alias("node"), F.col("b").alias("other")).unionByName(pairs.select(day, F.col("b").alias("node"), F.col("a").alias("other")))
     far = both.groupBy(day, "node").agg(F.collect_list("other").alias("far"))
     at = F.when(F.coalesce("seconds", F.lit(0)) == 0, LAST).otherwise(F.col("seconds"))
@@ -179,11 +179,13 @@ def greedy_dedupe(rows: DataFrame, day: str = "day", limit: int = 2400) -> DataF
         return _chosen(told, day, limit)
 
     found, extras = settled(passed(base, None)), None
+    part = found  # the days passed last: others gave nothing new before, and are as they were
     while True:
-        grown = found.where("id is null").select(day, "cluster", T.trigrams(F.col("text")).alias("grams"))
-        hits = contained_pairs(sets, grown, day, "node", "cluster", "grams", ALIKE)
+        grown = part.where("id is null").select(day, "cluster", T.trigrams(F.col("text")).alias("grams"))
+        near = texts.join(part.where("id is null").select(day).distinct(), day, "left_semi")
+        hits = contained_pairs(grams_of(near), grown, day, "node", "cluster", "grams", ALIKE)
         first = base.select(day, F.col("id").alias("cluster"), F.struct("at", "id").alias("begun__"))
-        mine = found.where("id is not null").select(day, "id", F.col("cluster").alias("mine__"))
+        mine = part.where("id is not null").select(day, "id", F.col("cluster").alias("mine__"))
         late = base.select(day, "node", "id", F.struct("at", "id").alias("place__")).join(hits, [day, "node"]).join(first, [day, "cluster"]).where("place__ > begun__")
         new = late.join(mine, [day, "id"]).where("mine__ <> cluster").select(day, "id", "cluster")
         if extras is not None:
@@ -193,7 +195,7 @@ def greedy_dedupe(rows: DataFrame, day: str = "day", limit: int = 2400) -> DataF
             break
         days = new.select(day).distinct()
         extras = new if extras is None else settled(extras.unionByName(new))
-        again = passed(base.join(days, day, "left_semi"), extras)
-        found = settled(found.join(days, day, "left_anti").unionByName(again))
+        part = settled(passed(base.join(days, day, "left_semi"), extras))
+        found = settled(found.join(days, day, "left_anti").unionByName(part))
     placed = found.where("id is not null").select(day, "id", "cluster")
     return placed.join(placed.groupBy(day, "cluster").agg(F.count(F.lit(1)).cast("int").alias("cluster_size")), [day, "cluster"]).select(day, "id", "cluster", "cluster_size")
