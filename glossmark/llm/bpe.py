@@ -19,6 +19,8 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
+from glossmark.llm.common import keep_only
+
 #: Chunks, and pre-tokens, kept by a worker process, at about 200 bytes each: those that came twice, as most words come but once.
 #: Once full, new ones are encoded each time they come.
 CACHE_ENTRIES = 160_000
@@ -386,7 +388,10 @@ def _rows(piece, start: int = 0, stop: int | None = None) -> list[tuple[int, int
     return list(zip(*(x[start:stop].tolist() for x in piece[1:]), strict=True))
 
 
-@functools.cache
+_encoder = functools.cache(Encoder)
+
+
 def encoder(file: str) -> Encoder:
-    """One for each file and worker process."""
-    return Encoder(file)
+    """One for each file and worker process, until the worker goes on to another operator."""
+    keep_only("encoder", _encoder.cache_clear)
+    return _encoder(file)

@@ -8,7 +8,7 @@ import math
 import re
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +23,8 @@ MAX_BROADCAST_BYTES, MOST_PARTS = 32 << 20, 8
 #: Bytes of one Arrow batch on its way to a Python worker, while a scratch table is computed: a worker holds a few batches, whatever the rows' size.
 BATCH_BYTES = 4 << 20
 _scopes: list[list[str]] = []
+#: What a worker keeps from task to task, by name, with what empties it.
+_kept: dict[str, Callable[[], None]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -183,6 +185,15 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
     give_back()
 
 
+def keep_only(name: str | None = None, empty: Callable[[], None] | None = None) -> None:
+    """Of what this worker keeps from task to task, all but the one named goes, as it belongs to another stage: a worker outlives stages, and what each
+    of them keeps would add up."""
+    for other in [k for k in _kept if k != name]:
+        _kept.pop(other)()
+    if name is not None and empty is not None:
+        _kept[name] = empty
+
+
 def give_back() -> None:
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # glibc alone has malloc_trim

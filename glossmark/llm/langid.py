@@ -11,7 +11,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossmark.llm.common import slices
+from glossmark.llm.common import keep_only, slices
 
 TABLE_BITS = 16
 ORDER = 3
@@ -139,11 +139,12 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     language. Ties go to the language that sorts first. Only the text is read; columns named like the added ones are replaced."""
 
     @F.arrow_udf("struct<lang_pred: string, score: double, mixture: map<string, double>>")
-    def predict(texts: pa.Array) -> pa.Array:
-        pieces = slices([pa.RecordBatch.from_arrays([texts], names=["text"])])
-        found = [model.predict(t) for some in pieces for t in some.column("text").to_pylist()]
-        fields = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()), pa.array([list(x[2].items()) for x in found], pa.map_(pa.string(), pa.float64()))]
-        return pa.StructArray.from_arrays(fields, names=["lang_pred", "score", "mixture"])
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        keep_only()
+        for some in slices(pa.RecordBatch.from_arrays([texts], names=["text"]) for texts in batches):
+            found = [model.predict(t) for t in some.column("text").to_pylist()]
+            fields = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()), pa.array([list(x[2].items()) for x in found], pa.map_(pa.string(), pa.float64()))]
+            yield pa.StructArray.from_arrays(fields, names=["lang_pred", "score", "mixture"])
 
     keep = [c for c in docs.columns if c.lower() not in {"lang_pred", "score", "mixture"}]
     found = docs.select(*keep, predict(F.col(text_col)).alias("found__"))

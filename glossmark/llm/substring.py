@@ -26,13 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossmark.llm import words
-from glossmark.llm.common import bloom_blocks, bloom_filter, bloom_probe, fresh, slices, written
+from glossmark.llm.common import bloom_blocks, bloom_filter, bloom_probe, fresh, give_back, slices, written
 
 WINDOW_WORDS = 13
 ANCHOR_WORDS = 7
 SHARD_BYTES = 32 << 20
 #: Characters of a pass: what a worker holds as numbers at a time. A longer text is a pass of its own.
 PASS_CHARS = 2 << 20
+#: A shard's rows are compared in 2 ** PART_BITS parts, by bits of their hashes: what a worker sorts at a time is a part.
+PART_BITS = 4
 #: For the second hash of windows.
 _SECOND = 0xC2B2AE3D27D4EB4F
 
@@ -105,7 +107,21 @@ def _anchors(shards: int):
 
 
 def _columns(table: pa.Table, *kinds: tuple[str, type]) -> list[list[np.ndarray]]:
-    return [[np.frombuffer(x, k) for x in table.column(c).to_pylist()] for c, k in kinds]
+    """Each row's numbers, as they lie in the table."""
+    return [[np.frombuffer(x.as_buffer(), k) for x in table.column(c)] for c, k in kinds]
+
+
+def _rows_of(columns: list[np.ndarray]) -> np.ndarray:
+    """Of each number of the columns, which row it stands in."""
+    return np.repeat(np.arange(len(columns), dtype=np.uint32), [len(x) for x in columns])
+
+
+def _parts(part: np.ndarray) -> Iterator[np.ndarray]:
+    """The places of each part that isn't empty."""
+    for k in range(1 << PART_BITS):
+        here = np.flatnonzero(part == k)
+        if len(here):
+            yield here
 
 
 def _answers(names: list[int], keys: list, owners: list, values: list) -> pa.Table:
@@ -128,16 +144,20 @@ def _probe(table: pa.Table) -> pa.Table:
     if table.column("shard")[0].as_py() < 0:
         return _answers(names, table.column("low").to_pylist(), table.column("owner").to_pylist(), table.column("high").to_pylist())
     lows, highs, owners, blocks, severals = _columns(table, ("low", np.uint16), ("high", np.uint16), ("owner", np.uint16), ("block", np.uint8), ("several", np.uint8))
-    value = np.concatenate(highs).astype(np.uint32) << np.uint32(16) | np.concatenate(lows)
-    of, owner = np.repeat(np.arange(len(lows)), [len(x) for x in lows]), np.concatenate(owners)
-    block, several = (np.concatenate([np.unpackbits(x, count=len(low)) for x, low in zip(some, lows, strict=True)]).astype(bool) for some in (blocks, severals))
-    order = np.argsort(value, kind="stable")
-    value, owner, of, block, several = value[order], owner[order], of[order], block[order], several[order]
-    first = np.flatnonzero(_groups(value))
-    sizes = np.diff(np.r_[first, len(value)])
-    repeats = ((sizes > 1) | np.logical_or.reduceat(several, first)) & np.logical_or.reduceat(block, first)
-    hit = np.repeat(repeats, sizes)
-    return _by_pass(names, of[hit], owner[hit], value[hit])
+    low, high, owner, of = np.concatenate(lows), np.concatenate(highs), np.concatenate(owners), _rows_of(lows)
+    block, several = (np.concatenate([np.unpackbits(x, count=len(y)) for x, y in zip(some, lows, strict=True)]).view(bool) for some in (blocks, severals))
+    found = []
+    for here in _parts(high >> np.uint16(16 - PART_BITS)):
+        value = high[here].astype(np.uint32) << np.uint32(16) | low[here]
+        order = np.argsort(value, kind="stable")
+        value, here = value[order], here[order]
+        first = np.flatnonzero(_groups(value))
+        sizes = np.diff(np.r_[first, len(value)])
+        repeats = ((sizes > 1) | np.logical_or.reduceat(several[here], first)) & np.logical_or.reduceat(block[here], first)
+        hit = np.repeat(repeats, sizes)
+        found.append((of[here[hit]], owner[here[hit]], value[hit]))
+    del low, high, owner, of, block, several
+    return _by_pass(names, *(np.concatenate(x) for x in zip(*found, strict=True)))
 
 
 def _by_document(table: pa.Table) -> pa.Table:
@@ -203,15 +223,19 @@ def _later(table: pa.Table) -> pa.Table:
     if table.column("shard")[0].as_py() < 0:
         return _answers(names, table.column("hash").to_pylist(), table.column("owner").to_pylist(), table.column("place").to_pylist())
     hashes, seconds, owners, places = _columns(table, ("hash", np.uint64), ("second", np.uint64), ("owner", np.uint16), ("place", np.uint32))
-    offsets = [np.frombuffer(x, np.uint32 if len(x) == 4 * len(h) else np.uint64).astype(np.int64) for x, h in zip(table.column("id").to_pylist(), hashes, strict=True)]
-    ids = np.concatenate([x + base for x, base in zip(offsets, table.column("base").to_pylist(), strict=True)])
-    of = np.repeat(np.arange(len(hashes)), [len(x) for x in hashes])
-    h, second, owner, place = (np.concatenate(x) for x in (hashes, seconds, owners, places))
-    order = np.lexsort((second, h))
-    h, second, owner, place, of, ids = (x[order] for x in (h, second, owner, place, of, ids))
-    first = np.flatnonzero(_groups(h, second))
-    late = ids > np.repeat(np.minimum.reduceat(ids, first), np.diff(np.r_[first, len(h)]))
-    return _by_pass(names, of[late], owner[late], place[late])
+    offsets = [np.frombuffer(x.as_buffer(), np.uint32 if len(x.as_buffer()) == 4 * len(h) else np.uint64) for x, h in zip(table.column("id"), hashes, strict=True)]
+    ids = np.concatenate([x.astype(np.int64) + base for x, base in zip(offsets, table.column("base").to_pylist(), strict=True)])
+    of = _rows_of(hashes)
+    hash_, second, owner, place = (np.concatenate(x) for x in (hashes, seconds, owners, places))
+    found = []
+    for here in _parts((hash_ & np.uint64((1 << PART_BITS) - 1)).astype(np.uint8)):
+        here = here[np.lexsort((second[here], hash_[here]))]
+        first = np.flatnonzero(_groups(hash_[here], second[here]))
+        id_ = ids[here]
+        late = here[id_ > np.repeat(np.minimum.reduceat(id_, first), np.diff(np.r_[first, len(here)]))]
+        found.append((of[late], owner[late], place[late]))
+    del ids, of, hash_, second, owner, place
+    return _by_pass(names, *(np.concatenate(x) for x in zip(*found, strict=True)))
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
@@ -224,10 +248,20 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     return _answered(extended.mapInArrow(_windows(shards), _WINDOW_ROW), _later, "places")
 
 
+def _lean(judge):
+    def judged(table: pa.Table) -> pa.Table:
+        """judge, and then what it held in reserve is given back: the worker's next group may be long in coming."""
+        out = judge(table)
+        give_back()
+        return out
+
+    return judged
+
+
 def _answered(entries: DataFrame, judge, name: str) -> DataFrame:
     """(key, name): to the shards, back to the passes, and out to the documents."""
-    answers = entries.groupBy("shard").applyInArrow(judge, _ANSWER)
-    found = answers.groupBy("pass").applyInArrow(_by_document, "key long, found binary")
+    answers = entries.groupBy("shard").applyInArrow(_lean(judge), _ANSWER)
+    found = answers.groupBy("pass").applyInArrow(_lean(_by_document), "key long, found binary")
     return written(found.groupBy("key").agg(F.collect_list("found").alias(name)), name)
 
 

@@ -8,6 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import xxhash
 
+from glossmark.llm.common import keep_only
+
 #: Characters of text that one numpy pass takes; a longer text is a pass of its own.
 PASS_CHARS = 4 << 20
 #: Texts of a pass are told apart by 16-bit numbers.
@@ -33,7 +35,8 @@ class _Hashes(dict):
         return value
 
 
-_hash = _Hashes().__getitem__
+_memo = _Hashes()
+_hash = _memo.__getitem__
 
 
 def hashes(words: list[str]) -> np.ndarray:
@@ -63,6 +66,7 @@ def rolling(h: np.ndarray, width: int, factor: int = 0x9E3779B97F4A7C15) -> np.n
 
 def passes(texts: list[str | None], chars: int = PASS_CHARS, most: int = PASS_TEXTS) -> Iterator[range]:
     """Runs of positions in texts, most at a time, whose characters add up to about so many."""
+    keep_only("words", _memo.clear)
     start, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t or "")

@@ -465,3 +465,45 @@ def test_one_long_vector_does_not_switch_the_method_off(spark, factor, monkeypat
         block = ann.Block(ids[octave == o], all_[octave == o])
         verified = np.r_[verified, [block.nearest(ids[q], all_[q], 20)[2] for q in np.flatnonzero(ids % 20 == 0)[:40]]]
     assert verified.sum() / 40 <= 0.1 * len(ids)
+
+
+def test_a_shard_is_compared_in_parts():
+    """What _probe sorts at a time is a part of a shard, and it finds what one sort of the whole finds."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    rows, expected = [], []
+    for name in range(20):
+        h = rng.integers(0, 1 << 22, 50_000).astype(np.uint32) * np.uint32(2654435761)
+        owner, bits = rng.integers(0, 100, len(h)).astype(np.uint16), rng.integers(0, 4, (2, len(h))) == 0
+        rows.append((0, name, h.astype(np.uint16).tobytes(), (h >> np.uint32(16)).astype(np.uint16).tobytes(), owner.tobytes(), *(np.packbits(x).tobytes() for x in bits)))
+        expected += zip([name] * len(h), h.tolist(), owner.tolist(), *bits.tolist(), strict=True)
+    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
+    table = pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[c.split()[0] for c in substring._ANCHOR_ROW.split(", ")])
+    tracemalloc.start()
+    answers = substring._probe(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    counts, block, several = Counter(v for _, v, *_ in expected), set(), set()
+    for _, v, _, b, s in expected:
+        block |= {v} if b else set()
+        several |= {v} if s else set()
+    found = Counter((n, int(v), int(o)) for n, os, vs in zip(*(answers.column(c).to_pylist() for c in ("pass", "owner", "value")), strict=True) for o, v in zip(np.frombuffer(os, np.uint16), np.frombuffer(vs, np.uint32), strict=True))
+    assert found == Counter((n, v, o) for n, v, o, _, _ in expected if v in block and (counts[v] > 1 or v in several))
+    assert peak < 45 * len(expected), f"{peak / len(expected):.0f} bytes an entry"
+
+
+def test_a_worker_keeps_what_one_stage_needs():
+    import public_tokenizers
+
+    from glossmark.llm import bpe
+
+    list(words.passes(["a b"]))
+    words.hashes(["a", "b"])
+    assert words._memo
+    bpe.encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert not words._memo and bpe._encoder.cache_info().currsize == 1
+    list(words.passes(["a b"]))
+    assert bpe._encoder.cache_info().currsize == 0
