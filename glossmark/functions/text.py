@@ -5,15 +5,15 @@ from __future__ import annotations
 import re
 import unicodedata
 
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
+from glossmark.functions.pieces import by_value
 
-@F.arrow_udf(StringType())
-def _nfkc(texts: pa.Array) -> pa.Array:
-    return pa.array([t if t is None or t.isascii() else unicodedata.normalize("NFKC", t) for t in texts.to_pylist()], pa.string())
+
+@by_value
+def _nfkc(text: str | None) -> str | None:
+    return text if text is None or text.isascii() else unicodedata.normalize("NFKC", text)
 
 
 def nfkc_lower(text: Column) -> Column:
