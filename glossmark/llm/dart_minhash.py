@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,11 +19,18 @@ BANDS, BAND_ROWS = 24, 5
 #: Four bits of each coordinate make a sketch. At similarity 0.8 two sketches differ in more than MAX_UNLIKE of them with a chance
 #: of 7 in 100,000 too; such pairs are not looked at.
 COORDINATES, MAX_UNLIKE = 368, 97
-#: Darts a document throws on average: enough that a coordinate stays empty in one of seven documents, which then throw on.
-DARTS = int(COORDINATES * (np.log(COORDINATES) + 2))
+#: A unit column throws Poisson(1) darts at each area, a span of ranks of length one. Sixteen bits of a hash give their number.
+COUNTS = np.searchsorted(np.cumsum([math.exp(-1) / math.factorial(n) for n in range(12)]), (np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.uint8)
+#: Darts a document throws at first, and each time that a coordinate is still empty; it takes COORDINATES * (ln(COORDINATES) + 0.6) on average.
+FIRST_DARTS, MORE_DARTS = 4 * COORDINATES, 3 * COORDINATES // 2
+#: (element, area) pairs thrown at in one go, so that their arrays stay in a processor's cache, however long a text is.
+AREAS_AT_ONCE = 1 << 14
+#: Low bits of a dart in a signature: its place within its area. Those above are the area.
+PLACE_BITS = 40
+NONE = np.uint64(2**64 - 1)
 #: Members of a leader that one copy of the leader's elements is joined with.
 MEMBERS_PER_COPY = 500
-#: What one numpy pass takes: about so many characters, and documents that throw some 200,000 darts; a longer text is a pass of its own.
+#: What one numpy pass takes: about so many characters, and so many documents; a longer text is a pass of its own.
 PASS_CHARS, PASS_DOCUMENTS = 1 << 19, 64
 
 
@@ -49,44 +57,48 @@ def elements(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return owner, words.mix(shingle + occurrence.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
-def _uniform(x: np.ndarray, salt: int) -> np.ndarray:
-    return ((words.mix(x + np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64)) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+def _count_up(n: np.ndarray) -> np.ndarray:
+    """0, 1, ... below each number of n in turn."""
+    end = np.cumsum(n)
+    return np.arange(end[-1]) - np.repeat(end - n, n)
 
 
-def signatures(owner: np.ndarray, element: np.ndarray, documents: int) -> np.ndarray:
-    """The dart that wins each coordinate of each document, as 64-bit numbers.
+def _throw(lowest: np.ndarray, owner: np.ndarray, element: np.ndarray, first: np.ndarray, areas: np.ndarray) -> None:
+    """Throw each element's darts at so many areas from its first; lowest, flat, keeps the lowest dart of each document's coordinates."""
+    area = (np.repeat(first, areas) + _count_up(areas)).astype(np.uint64)
+    seed = words.mix(np.repeat(element, areas) + area * np.uint64(0x9E3779B97F4A7C15))
+    n = COUNTS[(seed >> np.uint64(48)).astype(np.int64)].astype(np.int64)
+    dart = words.mix(np.repeat(seed, n) + _count_up(n).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+    cell = ((dart >> np.uint64(32)) * np.uint64(COORDINATES) >> np.uint64(32)).astype(np.int64)
+    cell += np.repeat(np.repeat(owner * COORDINATES, areas), n)
+    dart &= np.uint64(2**PLACE_BITS - 1)
+    dart |= np.repeat(area << np.uint64(PLACE_BITS), n)
+    np.minimum.at(lowest, cell, dart)
+
 
-    Each unit column of weight throws darts at ranks of a Poisson process that depends on the column alone, so documents
-    that share a column share its darts. A document looks at ranks up to the bound below which it expects DARTS darts;
-    each dart is hashed to a coordinate, where the dart of lowest rank stays. Two documents agree on a coordinate with
-    their weighted Jaccard similarity as probability. Work is in proportion to elements plus darts, not to their product."""
-    signature = np.zeros((documents, COORDINATES), np.uint64)
+def signatures(owner: np.ndarray, element: np.ndarray, documents: int) -> np.ndarray:
+    """The dart that wins each coordinate of each document, as 64-bit numbers; zeros for a document without elements.
+
+    Each unit column of weight throws darts at ranks of a Poisson process that depends on the column alone, area by area, so
+    documents that share a column share its darts. Each dart is hashed to a coordinate, where the dart of lowest rank stays. A
+    document goes on to further areas until no coordinate is empty; darts beyond have higher ranks and can't win. Two documents
+    agree on a coordinate with their weighted Jaccard similarity as probability. A dart is its area and 40 bits of its place there,
+    all in integers, so every machine throws the same. Work is in proportion to elements plus darts, not to their product."""
+    lowest = np.full(documents * COORDINATES, NONE, np.uint64)
+    signature = lowest.reshape(documents, COORDINATES)
     weight = np.bincount(owner, minlength=documents)
-    bound = DARTS / np.maximum(weight, 1)
-    open_ = weight > 0
+    first = np.zeros(documents, np.int64)
+    open_, darts = weight > 0, FIRST_DARTS
     while open_.any():
-        rank = np.zeros(len(owner))
+        areas = -(-darts // np.maximum(weight, 1))
         live = np.flatnonzero(open_[owner])
-        cells, ranks, darts = [], [], []
-        throw = 0
-        while len(live):
-            throw += 1
-            rank[live] -= np.log(_uniform(element[live], 2 * throw))
-            live = live[rank[live] <= bound[owner[live]]]
-            dart = words.mix(element[live] + np.uint64(throw * 0xA0761D6478BD642F % 2**64))
-            cells.append(owner[live] * COORDINATES + ((dart >> np.uint64(32)) % np.uint64(COORDINATES)).astype(np.int64))
-            ranks.append(rank[live])
-            darts.append(dart)
-        cell, rank_, dart = np.concatenate(cells), np.concatenate(ranks), np.concatenate(darts)
-        lowest = np.full(documents * COORDINATES, np.inf)
-        np.minimum.at(lowest, cell, rank_)
-        wins = rank_ == lowest[cell]
-        flat = np.zeros(documents * COORDINATES, np.uint64)
-        flat[cell[wins]] = dart[wins]
-        full = np.isfinite(lowest).reshape(documents, -1).all(1) & open_
-        signature[full] = flat.reshape(documents, -1)[full]
-        open_ &= ~full
-        bound = bound * 2
+        part = np.cumsum(areas[owner[live]]) // AREAS_AT_ONCE
+        for some in np.split(live, np.flatnonzero(np.diff(part)) + 1):
+            _throw(lowest, owner[some], element[some], first[owner[some]], areas[owner[some]])
+        first += areas
+        open_ &= (signature == NONE).any(1)
+        darts = MORE_DARTS
+    signature[weight == 0] = 0
     return signature
 
 
