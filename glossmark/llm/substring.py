@@ -295,20 +295,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whole = found.where(~F.col(flag)).select(*keep, n_words.alias("n_words"), F.lit(0).cast("long").alias("n_removed"), joined.alias("kept_text"))
 
     @F.arrow_udf("struct<n_words: long, n_removed: long, kept_text: string>")
-    def cut(texts: pa.Array, runs: pa.Array) -> pa.Array:
-        rows = []
-        pairs = slices([pa.RecordBatch.from_arrays([texts, runs], names=["text", "runs"])])
-        for text, places in (x for some in pairs for x in zip(*(c.to_pylist() for c in some.columns), strict=True)):
-            found = words.split(text)
-            covered = np.zeros(len(found) + 1, np.int64)
-            for some in places or []:
-                starts = np.frombuffer(some, np.uint32).astype(np.int64)
-                np.add.at(covered, starts, 1)
-                np.add.at(covered, starts + WINDOW_WORDS, -1)
-            gone = np.cumsum(covered)[: len(found)] > 0
-            rows.append((len(found), int(gone.sum()), " ".join(w for w, g in zip(found, gone.tolist(), strict=True) if not g)))
-        kinds = (pa.int64(), pa.int64(), pa.string())
-        return pa.StructArray.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(3)], names=["n_words", "n_removed", "kept_text"])
-
-    parted = found.where(flag).drop(flag).join(repeated, key, "left").select(*keep, cut(text_col, places).alias(flag))
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for some in slices(pa.RecordBatch.from_arrays(list(columns), names=["text", "runs"]) for columns in batches):
+            rows = []
+            for text, places in zip(*(c.to_pylist() for c in some.columns), strict=True):
+                found = words.split(text)
+                covered = np.zeros(len(found) + 1, np.int64)
+                for run in places or []:
+                    starts = np.frombuffer(run, np.uint32).astype(np.int64)
+                    np.add.at(covered, starts, 1)
+                    np.add.at(covered, starts + WINDOW_WORDS, -1)
+                gone = np.cumsum(covered)[: len(found)] > 0
+                rows.append((len(found), int(gone.sum()), " ".join(w for w, g in zip(found, gone.tolist(), strict=True) if not g)))
+            kinds = (pa.int64(), pa.int64(), pa.string())
+            yield pa.StructArray.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(3)], names=["n_words", "n_removed", "kept_text"])
+
+    # Not deterministic, so that it is computed once a row: else a filter on its columns is moved below it with a call of its own, by a second Python worker in each task.
+    parted = found.where(flag).drop(flag).join(repeated, key, "left").select(*keep, cut.asNondeterministic()(text_col, places).alias(flag))
     return whole.unionByName(parted.select(*keep, f"{flag}.*"))

@@ -69,3 +69,13 @@ def test_edges_of_all_stages(spark, docs_of):
 def test_empty_table(spark, docs_of):
     docs, packed = staged(spark, docs_of(["x"]).where("false"))
     assert docs.count() == 0 and packed == []
+
+
+def test_one_python_call_a_row(spark, docs_of):
+    """A stage's last step has one Python node: with two in a task, each executor holds twice the Python workers from then on."""
+    words = " ".join(f"w{i}" for i in range(40))
+    docs = docs_of([words, words + " tail", "apart alone"])
+    for name, stage in corpus_pipeline.STAGES:
+        plan = stage(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") + plan.count("MapInArrow") <= 1, name
+    assert {r.doc_id: r.text for r in corpus_pipeline.substrings(spark, docs, "").collect()} == {0: words, 1: "tail", 2: "apart alone"}
